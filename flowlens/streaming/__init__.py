@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this library rebuilds are batch views: stage changes and
+durations need each sale's whole history (LAG/LEAD), first purchases and
+first appearances need all past rows, and the path graph compares global
+first-touch times.  None of them has a watermark, window or late-data rule,
+so there is no Structured Streaming operator to build.  A refreshed result
+is produced by re-running the batch query and ``flowlens.sources.publish``.
+"""
