@@ -13,7 +13,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from flowlens.operators import funnel as V5
+from flowlens.operators import growth as V4
 from flowlens.operators.durations import state_durations, state_periods
+from flowlens.operators.paths import REGISTRATION, Edge, PathGraph, State, Transition
+from flowlens.operators.paths import event_paths, event_states
 from flowlens.operators.purchases import first_vs_repeat
 from flowlens.operators.transitions import forward_conversions, stage_responsible
 from flowlens.sources import adapters as A
@@ -23,8 +29,28 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Driver-data parameters (the reference defaults are 2024-08-01 and
 # 2022-01-01; the driver's sales start 2024-01-01 and its months 1995-01).
 STAGE_RESPONSIBLE_SINCE = "2024-01-01"
+GROWTH_SINCE = "1996-01-01"
 LINEITEM_TIEBREAK = ["log_id", "log_part", "log_supp"]
 
+# Path graph over the driver's event types: registration = signup; states
+# are the other four types; edges signup->view, view->error, view->click,
+# click->purchase, purchase->error.
+DRIVER_GRAPH = PathGraph(
+    registration_events=("signup",),
+    states=(State("view", ("view",)), State("click", ("click",)),
+            State("error", ("error",)), State("purchase", ("purchase",))),
+    transitions=(Transition("t_view", REGISTRATION, "view"),
+                 Transition("t_view_error", "t_view", "error"),
+                 Transition("t_click", "t_view", "click"),
+                 Transition("t_purchase", "t_click", "purchase"),
+                 Transition("t_purchase_error", "t_purchase", "error")),
+    edges=(Edge(1, "Signup", "View", "t_view"),
+           Edge(2, "View", "Error", "t_view_error"),
+           Edge(3, "View", "Click", "t_click"),
+           Edge(4, "Click", "Purchase", "t_purchase"),
+           Edge(5, "Purchase", "Error", "t_purchase_error")),
+)
+
 
 def q_first_vs_repeat(spark: SparkSession, sf: str) -> DataFrame:
     return first_vs_repeat(A.followups(spark, sf), A.operators(spark, sf),
@@ -55,6 +81,75 @@ def q_forward_conversions(spark: SparkSession, sf: str) -> DataFrame:
     return forward_conversions(q_stage_responsible(spark, sf))
 
 
+# ------------------------------------------------------------------- V4
+def q_monthly_growth(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.monthly_growth(A.users(spark, sf), A.leads(spark, sf), A.contracts(spark, sf),
+                             since=GROWTH_SINCE)
+
+
+def q_first_appearance_month(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.first_appearance_month(A.users(spark, sf), "user_id", "created_at")
+
+
+def q_cumulative_new_users(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.new_users(A.users(spark, sf))
+
+
+def q_cumulative_new_covenants(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.new_covenants(A.users(spark, sf))
+
+
+def q_qualified_leads(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.qualified_leads(A.users(spark, sf), A.leads(spark, sf))
+
+
+def q_monthly_clients(spark: SparkSession, sf: str) -> DataFrame:
+    out = V4.monthly_clients(V4.client_months(A.contracts(spark, sf)))
+    return out.withColumn("total_commission", F.col("total_commission").cast("double"))
+
+
+def q_first_month_commission(spark: SparkSession, sf: str) -> DataFrame:
+    new, commission = V4.first_month_commission(V4.client_months(A.contracts(spark, sf)))
+    return (new.join(commission, "month", "left")
+            .withColumn("first_purchase_commission",
+                        F.col("first_purchase_commission").cast("double")))
+
+
+# ------------------------------------------------------------------- V5
+def _funnel_inputs(spark: SparkSession, sf: str):
+    return (A.users(spark, sf), A.leads(spark, sf), A.proposal_events(spark, sf),
+            A.followups(spark, sf), A.status_logs(spark, sf))
+
+
+def q_daily_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.daily_funnel(*_funnel_inputs(spark, sf))
+
+
+def q_funnel_user_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.funnel_user_flags(*_funnel_inputs(spark, sf))
+
+
+def q_lead_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.lead_verdict(A.leads(spark, sf), A.users(spark, sf))
+
+
+def q_user_lead_status(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.user_lead_status(A.users(spark, sf), A.leads(spark, sf))
+
+
+def q_canceled_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.canceled_incomplete(A.status_logs(spark, sf))
+
+
+# ------------------------------------------------------------------- V6
+def q_event_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return event_paths(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH)
+
+
+def q_event_states(spark: SparkSession, sf: str) -> DataFrame:
+    return event_states(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH)
+
+
 def queries() -> dict[str, Query]:
     return {
         "first_vs_repeat": q_first_vs_repeat,
@@ -63,4 +158,18 @@ def queries() -> dict[str, Query]:
         "state_periods": q_state_periods,
         "stage_responsible": q_stage_responsible,
         "forward_conversions": q_forward_conversions,
+        "monthly_growth": q_monthly_growth,
+        "first_appearance_month": q_first_appearance_month,
+        "cumulative_new_users": q_cumulative_new_users,
+        "cumulative_new_covenants": q_cumulative_new_covenants,
+        "qualified_leads": q_qualified_leads,
+        "monthly_clients": q_monthly_clients,
+        "first_month_commission": q_first_month_commission,
+        "daily_funnel": q_daily_funnel,
+        "funnel_user_flags": q_funnel_user_flags,
+        "lead_verdict": q_lead_verdict,
+        "user_lead_status": q_user_lead_status,
+        "canceled_incomplete": q_canceled_incomplete,
+        "event_paths": q_event_paths,
+        "event_states": q_event_states,
     }
