@@ -25,10 +25,11 @@ literal chain (parent = the blocked-button transition), D2.
 Plan: one filtered scan of events (pushed IN filter), one aggregation per
 (user, platform) holding the registration time and one ``min(when(...))``
 column per state (partial aggregation makes a bot user with millions of
-events cheap), a second tiny aggregation per user, a join to users, then
-every transition is a conjunction of column comparisons and the matched
-edges are exploded and counted - two shuffles on user_id and one on the
-(at most a few dozen) edge keys, no self-join and no nested-loop join.
+events cheap), a window over the few platform rows of each user for the
+user-level minima, a join to users, then every transition is a conjunction
+of column comparisons and the matched edges are exploded and counted - one
+shuffle of partial aggregates, one of per-(user, platform) rows and one of
+the (at most a few dozen) edge keys; no self-join, no nested-loop join.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REGISTRATION = "registration"
@@ -99,8 +100,15 @@ def _state_col(name: str) -> str:
     return f"_st_{name}"
 
 
-def first_touch_times(events: DataFrame, graph: PathGraph) -> tuple[DataFrame, DataFrame]:
-    """(registration rows per (user_id, platform), first-touch pivot per user_id)."""
+def first_touch_times(events: DataFrame, graph: PathGraph) -> DataFrame:
+    """One row per (user_id, platform): first registration time on that
+    platform (``_reg_at``) and the user's global first touch of every state
+    (``_st_<name>``, minimum over all platforms).
+
+    One scan and one partial aggregation per (user, platform); the per-user
+    minimum is a window over those few rows per user, so registration rows
+    and states come from the same pipeline (no second scan of events).
+    """
     states = graph.used_states()
     ev = events.where(F.col("event_name").isin(*graph.event_ids()))
     reg_time = F.min(F.when(F.col("event_name").isin(*graph.registration_events),
@@ -109,20 +117,21 @@ def first_touch_times(events: DataFrame, graph: PathGraph) -> tuple[DataFrame, D
         reg_time,
         *[F.min(F.when(F.col("event_name").isin(*s.events), F.col("event_at")))
           .alias(_state_col(s.name)) for s in states])
-    regs = (per_platform.where(F.col("_reg_at").isNotNull())
-            .select("user_id", "platform", "_reg_at"))
-    pivot = per_platform.groupBy("user_id").agg(
-        *[F.min(_state_col(s.name)).alias(_state_col(s.name)) for s in states])
-    return regs, pivot
+    per_user = Window.partitionBy("user_id")
+    return per_platform.select(
+        "user_id", "platform", "_reg_at",
+        *[F.min(_state_col(s.name)).over(per_user).alias(_state_col(s.name)) for s in states])
 
 
 def event_states(events: DataFrame, users: DataFrame, graph: PathGraph, *,
                  covenants: Sequence[str] | None = None) -> DataFrame:
     """Long form of the first-touch pivot: (user_id, state, first_at)."""
     users = _filter_users(users, covenants)
-    _, pivot = first_touch_times(events, graph)
-    pivot = pivot.join(users.select("user_id"), "user_id", "left_semi")
     states = graph.used_states()
+    pivot = (first_touch_times(events, graph)
+             .groupBy("user_id").agg(*[F.min(_state_col(s.name)).alias(_state_col(s.name))
+                                       for s in states])
+             .join(users.select("user_id"), "user_id", "left_semi"))
     stacked = F.explode(F.array(*[F.struct(F.lit(s.name).alias("state"),
                                            F.col(_state_col(s.name)).alias("first_at"))
                                   for s in states])).alias("_s")
@@ -149,13 +158,15 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph, *,
     # Events are reduced per (user, platform) before any join: a user's
     # states only matter through its registration rows, which the join to
     # (covenant-filtered) users below restricts.
-    regs, pivot = first_touch_times(events, graph)
-    reg_rows = (regs.join(users.select("user_id", F.col("created_at").alias("_created"),
-                                       F.col("source_platform").alias("_origin"), "covenant"),
-                          "user_id")
-                .groupBy("user_id", "_created", "_origin", "platform", "covenant")
-                .agg(F.min("_reg_at").alias("_reg_at")))
-    rows = reg_rows.join(pivot, "user_id")
+    states = [_state_col(s.name) for s in graph.used_states()]
+    regs = first_touch_times(events, graph).where(F.col("_reg_at").isNotNull())
+    # GROUP BY the five registration attributes, as the reference does; the
+    # data is already hash-partitioned by user_id here, so no new exchange.
+    rows = (regs.join(users.select("user_id", F.col("created_at").alias("_created"),
+                                   F.col("source_platform").alias("_origin"), "covenant"),
+                      "user_id")
+            .groupBy("user_id", "_created", "_origin", "platform", "covenant")
+            .agg(F.min("_reg_at").alias("_reg_at"), *[F.first(c).alias(c) for c in states]))
     matched = F.array(*[F.when(_chain_holds(graph, e.transition),
                                F.struct(F.lit(e.step_order).alias("step_order"),
                                         F.lit(e.source).alias("source"),

@@ -1,0 +1,130 @@
+"""V5 daily funnel and V6 event paths on hand-made rows (FIXTURES.md B)."""
+
+from flowlens.operators.funnel import daily_funnel, lead_verdict, user_lead_status
+from flowlens.operators.paths import COVENANTS, DEFAULT_GRAPH, default_graph, event_paths
+from tests.conftest import (
+    EVENTS_SCHEMA,
+    FOLLOWUPS_SCHEMA,
+    LEADS_SCHEMA,
+    LOGS_SCHEMA,
+    USERS_SCHEMA,
+    followup,
+    ts,
+)
+
+
+def _lead(user, lid, cov, link=None, elig=None, rel=None, rep=None, alim=None, reg="R",
+          created="2024-01-01", seq=1):
+    return (user, lid, cov, link, elig, rel, rep, alim, reg, ts(created), seq)
+
+
+def test_daily_funnel_hand_cases(spark):
+    day = "2024-03-10"
+    users = spark.createDataFrame([
+        ("u1", "C", ts(f"{day} 08:00:00"), False, None),      # NULL platform -> APP
+        ("u2", "C", ts(f"{day} 09:00:00"), False, "APP"),
+        ("u3", "C", ts(day), True, "APP"),                     # blocked user
+        ("u4", "C", ts(day), False, "APP"),
+        ("u5", "C", ts(day), False, "APP"),                    # no lead
+        ("u6", "C", ts(day), False, "APP"),
+        ("u7", "C", ts(day), False, "APP"),
+        ("u8", "C", ts("2024-03-11"), False, "WEB"),           # group with only zeros
+    ], USERS_SCHEMA)
+    leads = spark.createDataFrame([
+        _lead("u1", "L1", "SIAPE", link=0),                                 # valid
+        _lead("u2", "L2", "SIAPE", link=1),                                 # invalid
+        _lead("u3", "L3", "INSS", elig=True, rel=True, rep=False, alim=False),  # valid
+        _lead("u4", "L4a", "INSS", elig=True, rel=True, rep=False, alim=False, created="2024-01-01", seq=1),
+        _lead("u4", "L4b", "INSS", rel=False, created="2024-02-01", seq=2),    # newer: Blocked
+        _lead("u6", "L6", "INSS", elig=True, rel=None, rep=False, alim=False),  # released NULL
+        _lead("u7", "L7a", "SIAPE", link=None, created=None, seq=1),        # NULL date is newest
+        _lead("u7", "L7b", "SIAPE", link=0, created="2024-01-01", seq=2),
+    ], LEADS_SCHEMA)
+    ev = lambda i, u, when: (i, u, ts(when), "user_has_proposals", "APP")
+    events = spark.createDataFrame([
+        ev(1, "u1", "2024-03-25"), ev(2, "u2", "2024-04-01"), ev(3, "u3", "2024-03-10"),
+        ev(4, "u4", "2024-03-02"), ev(5, "u5", "2024-03-12"), ev(6, "u6", "2024-03-30"),
+        ev(7, "u7", "2024-03-11"), (8, "u1", ts("2024-03-11"), "other_event", "APP"),
+    ], EVENTS_SCHEMA)
+    fu = spark.createDataFrame([
+        followup(1, "u1", "2024-03-10 20:00:00", status="Finalizado"),     # day 0
+        followup(2, "u2", "2024-03-15", status="Finalizado"),              # no proposal
+        followup(3, "u3", "2024-04-09 23:00:00", status="Em andamento"),   # day 30
+        followup(4, "u3", "2024-04-10", status="Finalizado"),              # day 31
+        followup(5, "u4", "2024-03-11", status="Cancelado pelo usuário"),
+        followup(6, "u6", "2024-03-12", status="Incompleto sem interação"),
+        followup(7, "u6", "2024-03-13", status="Cancelado"),                # from incomplete
+        followup(8, "u7", "2024-03-14", status="Cancelado"),                # not from incomplete
+    ], FOLLOWUPS_SCHEMA)
+    logs = spark.createDataFrame([
+        (1, 7, ts("2024-03-14"), "Status", "Incompleto em negociação", "Cancelado"),
+        (2, 8, ts("2024-03-15"), "Status", "Em análise", "Cancelado"),
+    ], LOGS_SCHEMA)
+
+    verdict = {r.user_id: r.lead_valid for r in lead_verdict(leads, users).collect()}
+    assert verdict == {"u1": "true", "u2": "false", "u3": "true", "u4": "Blocked",
+                       "u6": "false", "u7": "false"}
+    status = {r.user_id: r.lead_status for r in user_lead_status(users, leads).collect()}
+    assert status["u3"] == "Blocked" and status["u5"] == "Not a lead" and status["u1"] == "Valid lead"
+
+    out = daily_funnel(users, leads, events, fu, logs)
+    got = {(r.day, r.covenant, r.platform): tuple(r)[3:] for r in out.collect()}
+    assert got == {
+        (ts(day), "C", "APP"): (7, 8, 3, 1, 5, 5, 3, 1),
+        (ts("2024-03-11"), "C", "WEB"): (1, None, None, None, None, None, None, None),
+    }
+
+
+def _path_events(spark):
+    rows = []
+
+    def add(user, name, minute, platform="ios"):
+        rows.append((len(rows), user, ts(f"2024-05-01 10:{minute:02d}:00"), name, platform))
+
+    full = ["registration_completed", "view_bank_wheel_screen_without_password",
+            "lead_generation_success", "clicked_new_credit", "opened_new_credit_oportunities_view",
+            "opened_contracting_psw_screen", "gave_password_on_dashboard",
+            "view_bank_wheel_screen_with_password", "lead_gen_with_psw_success",
+            "no_lead_user_is_unlinked"]
+    for i, name in enumerate(full):
+        add("p1", name, i + 1)                                     # full 10-state path
+    add("p2", "registration_completed", 1)
+    add("p2", "view_bank_wheel_screen_without_password", 1)       # equal time fails
+    add("p3", "view_bank_wheel_screen_without_password", 1)       # first touch before reg
+    add("p3", "registration_completed", 2)
+    add("p3", "view_bank_wheel_screen_without_password", 3)
+    add("p4", "registration_completed", 1)
+    add("p4", "splash_screen_view", 2)                            # early splash screen
+    add("p4", "view_bank_wheel_screen_without_password", 3)
+    add("p4", "lead_generation_success", 4)
+    add("p5", "registration_completed", 1, "ios")                 # two platforms
+    add("p5", "registration_completed_sms", 2, "android")
+    add("p5", "view_bank_wheel_screen_without_password", 3)
+    add("p6", "registration_completed", 1)                        # covenant not listed
+    add("p6", "view_bank_wheel_screen_without_password", 2)
+    add("p7", "random_event", 1)                                  # unlisted event
+    return spark.createDataFrame(rows, EVENTS_SCHEMA)
+
+
+def test_event_paths_default_and_literal_graph(spark):
+    events = _path_events(spark)
+    users = spark.createDataFrame(
+        [(u, "GOVERNO DO PARANÁ", ts("2024-04-01"), False, "APP") for u in
+         ["p1", "p2", "p3", "p4", "p5", "p7"]] + [("p6", "OTHER", ts("2024-04-01"), False, "APP")],
+        USERS_SCHEMA)
+    got = {r.step_order: r.users for r in
+           event_paths(events, users, DEFAULT_GRAPH, covenants=COVENANTS).collect()}
+    assert got == {1: 4, 3: 2, 4: 1, 5: 1, 6: 1, 7: 1, 10: 1, 11: 1, 13: 1, 14: 1}
+    literal = {r.step_order: r.users for r in
+               event_paths(events, users, default_graph(literal_edge6=True),
+                           covenants=COVENANTS).collect()}
+    assert literal == {1: 4, 3: 2, 4: 1, 5: 1}
+    labels = {(r.step_order, r.source, r.target) for r in
+              event_paths(events, users, DEFAULT_GRAPH, covenants=COVENANTS).collect()}
+    assert (6, "Clicked New Option", "Viewed New Opportunities Screen") in labels
+
+
+def test_default_graph_resolves_every_edge():
+    assert len(DEFAULT_GRAPH.edges) == 17 and len(DEFAULT_GRAPH.states) == 29
+    assert len(DEFAULT_GRAPH.transitions) == 37
+    assert len(DEFAULT_GRAPH.chain(DEFAULT_GRAPH.edges[13].transition)) == 9

@@ -1,80 +1,33 @@
 """Compare every registered Spark query with its DuckDB oracle SQL.
 
-Mimics the driver's correctness gate: row count, column names and an
-order-insensitive comparison of all values.  Usage:
-
     python tools/check_oracle.py [sf_dir] [key ...]
 """
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
-from collections import Counter
-
-import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from flowlens.plans.check import compare, duckdb_connection  # noqa: E402
 from flowlens.session import local_session  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
-
-def norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return float(f"{v:.9g}")
-    if hasattr(v, "as_tuple"):  # Decimal
-        return float(f"{float(v):.9g}")
-    if hasattr(v, "isoformat"):
-        return v.isoformat()
-    return v
-
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:]
     spark = local_session()
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    con = duckdb_connection(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
-    for key in keys or list(qs):
+    for key in sys.argv[2:] or list(qs):
         t0 = time.time()
-        df = qs[key](spark, sf_dir)
-        s_cols = df.columns
-        s_rows = [tuple(norm(r[c]) for c in sorted(s_cols)) for r in df.collect()]
-        t1 = time.time()
-        if key not in sqls:
-            print(f"{key:28s} spark rows={len(s_rows)} (no oracle) {t1 - t0:.1f}s")
-            continue
-        cur = con.execute(sqls[key])
-        d_cols = [d[0] for d in cur.description]
-        raw = cur.fetchall()
-        idx = {c: i for i, c in enumerate(d_cols)}
-        d_rows = [tuple(norm(r[idx[c]]) for c in sorted(d_cols)) for r in raw]
-        ok_cols = sorted(s_cols) == sorted(d_cols)
-        ok_rows = Counter(s_rows) == Counter(d_rows)
-        status = "OK" if ok_cols and ok_rows else "MISMATCH"
-        bad += status != "OK"
-        print(f"{key:28s} {status} spark={len(s_rows)} duck={len(d_rows)} {t1 - t0:.1f}s")
-        if not ok_cols:
-            print("   spark cols:", sorted(s_cols))
-            print("   duck  cols:", sorted(d_cols))
-        elif not ok_rows:
-            only_s = Counter(s_rows) - Counter(d_rows)
-            only_d = Counter(d_rows) - Counter(s_rows)
-            print("   cols:", sorted(s_cols))
-            print("   only spark:", list(only_s.items())[:3])
-            print("   only duck :", list(only_d.items())[:3])
+        r = compare(spark, con, sf_dir, key, qs[key], sqls.get(key))
+        bad += not r.ok
+        print(f"{key:28s} {'OK' if r.ok else 'MISMATCH'} spark={r.spark_rows} "
+              f"oracle={r.oracle_rows} {time.time() - t0:.1f}s {r.detail}", flush=True)
     spark.stop()
     return 1 if bad else 0
 
