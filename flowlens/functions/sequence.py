@@ -45,6 +45,12 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
             .drop("_n"))
 
 
+def has_hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
+                 max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> bool:
+    """True when some key has more than ``max_group_rows`` rows (one small job)."""
+    return _hot_keys(df, list(keys), time_col, max_group_rows).limit(1).count() > 0
+
+
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], direction: str = "next",
                   prefix: str | None = None,

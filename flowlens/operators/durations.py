@@ -14,26 +14,30 @@ Reference semantics kept (SURVEY 2.2):
 * states outside ``states`` count nowhere, but still keep the sale's row;
 * attributes come from followups joined (inner) to users.
 
-Plan (one pass per input, no self-joins):
-* ``bounds``: ONE aggregation over the log per sale (last log time, first
-  state change, first terminal time) - partial aggregation, skew-safe;
-* ``next`` state-change time: skew-safe LEAD (``with_neighbor``) over the
-  state rows only, hash-partitioned by sale;
-* sector periods join ``bounds`` on the same key (co-partitioned) and are
-  summed per sale with conditional sums (a pivot without Expand);
-* the initial period is computed per sale next to the attributes, so there
-  is no UNION ALL followed by a re-shuffle.
+Plan (no self-joins, no UNION ALL + re-shuffle):
+* usual case, no sale above ``max_group_rows`` log rows: ONE scan and ONE
+  exchange of the log.  A single window pass over all log rows of a sale
+  gives the bounds (last log time, first state change, first terminal
+  time: whole-partition aggregates) and the next state change (LEAD over
+  ``(is_state desc, time, tiebreak)``, so other fields never sit between
+  two state rows).  The per-sale conditional sums (a pivot without Expand)
+  then run on the same hash(followup_id) partitioning, no new exchange;
+* hot sales present: bounds come from a partial aggregation and the next
+  state change from the sliced, skew-safe LEAD (``with_neighbor``);
+* the initial period is computed per sale next to the attributes.
+Deciding between the two costs one aggregation over (followup_id,
+log_date); ``max_group_rows=None`` skips it and always uses the one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.semantics import seconds_between
-from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, with_neighbor
+from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, has_hot_keys, with_neighbor
 
 # The reference's seven stage names, in the order of its
 # output columns.
@@ -79,6 +83,50 @@ def _capped(periods: DataFrame) -> DataFrame:
             .withColumn("duration_seconds", seconds_between("start_time", "end_time")))
 
 
+def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
+              tiebreak: Sequence[str]) -> DataFrame:
+    """All log rows with the sale bounds and, for state rows, the next state change."""
+    is_state = F.coalesce(F.col("changed_field") == state_field, F.lit(False))
+    sale = Window.partitionBy("followup_id")
+    seq = sale.orderBy(F.col("_is").desc(), F.col("log_date").asc_nulls_last(),
+                       *[F.col(c).asc_nulls_last() for c in tiebreak])
+    rows = logs.select("followup_id", "log_date", *tiebreak,
+                       F.col("updated_content").alias("state"), is_state.alias("_is"))
+    nxt = F.lead(F.struct(F.col("_is").alias("s"), F.col("log_date").alias("t"))).over(seq)
+    return rows.select(
+        "followup_id", "state", "_is", F.col("log_date").alias("start_time"),
+        F.when(F.col("_is") & nxt["s"], nxt["t"]).alias("end_time"),
+        F.max("log_date").over(sale).alias("max_log"),
+        F.min(F.when(F.col("_is"), F.col("log_date"))).over(sale).alias("first_change"),
+        F.min(F.when(F.col("_is") & (F.col("state") == terminal_state), F.col("log_date")))
+        .over(sale).alias("done_at"))
+
+
+def _per_sale(logs: DataFrame, state_field: str, terminal_state: str, states: Sequence[str],
+              tiebreak: Sequence[str], max_group_rows: int | None) -> DataFrame:
+    """Per sale: bounds, number of kept state periods and seconds per state."""
+    def sums(kept_rows: DataFrame):
+        return [F.count_if(F.col("_kept")).alias("_kept"),
+                *[F.sum(F.when(F.col("_kept") & (F.col("state") == s), F.col("duration_seconds"))
+                        .otherwise(F.lit(0))).alias(f"_s_{s}") for s in states]]
+
+    cap = F.coalesce(F.col("done_at"), F.col("max_log"))
+    if max_group_rows is None or not has_hot_keys(logs, ["followup_id"], "log_date", max_group_rows):
+        rows = _one_pass(logs, state_field, terminal_state, tiebreak)
+        rows = (rows.withColumn("_kept", F.col("_is") & F.col("state").isNotNull()
+                                & (F.col("start_time") <= cap))
+                .withColumn("duration_seconds", seconds_between(
+                    "start_time", F.least(F.coalesce(F.col("end_time"), F.col("max_log")), cap))))
+        return rows.groupBy("followup_id").agg(
+            F.max("max_log").alias("max_log"), F.max("first_change").alias("first_change"),
+            F.max("done_at").alias("done_at"), *sums(rows))
+    bounds = _bounds(logs, state_field, terminal_state)
+    changes = (_capped(_state_rows(logs, state_field, tiebreak, max_group_rows)
+                       .join(bounds, "followup_id"))
+               .withColumn("_kept", F.lit(True)))
+    return bounds.join(changes.groupBy("followup_id").agg(*sums(changes)), "followup_id", "left")
+
+
 def state_periods(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                   state_field: str = "Sector", initial_state: str = "UNDEFINED",
                   terminal_state: str = "COMPLETED", tiebreak: Sequence[str] = ("log_id",),
@@ -104,16 +152,9 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                     state_field: str = "Sector", initial_state: str = "UNDEFINED",
                     terminal_state: str = "COMPLETED", states: Sequence[str] = tuple(STATES),
                     tiebreak: Sequence[str] = ("log_id",),
-                    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """One row per sale with ``time_<state>`` seconds for each state."""
-    tiebreak = list(tiebreak)
-    bounds = _bounds(logs, state_field, terminal_state)
-    changes = _capped(_state_rows(logs, state_field, tiebreak, max_group_rows)
-                      .join(bounds, "followup_id"))
-    sums = changes.groupBy("followup_id").agg(
-        F.count(F.lit(1)).alias("_kept"),
-        *[F.sum(F.when(F.col("state") == s, F.col("duration_seconds")).otherwise(F.lit(0)))
-          .alias(f"_s_{s}") for s in states])
+    per_sale = _per_sale(logs, state_field, terminal_state, states, list(tiebreak), max_group_rows)
 
     # Initial period, one per sale that has any log row.
     cap = F.coalesce(F.col("done_at"), F.col("max_log"))
@@ -121,9 +162,8 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
     initial_kept = start <= cap
     initial_secs = seconds_between(start, F.least(F.coalesce(F.col("first_change"),
                                                              F.col("max_log")), cap))
-    per_sale = (_attributes(followups, users).join(bounds, "followup_id")
-                .join(sums, "followup_id", "left")
-                .where(initial_kept | (F.col("_kept") > 0)))
+    rows = (_attributes(followups, users).join(per_sale, "followup_id")
+            .where(initial_kept | (F.coalesce(F.col("_kept"), F.lit(0)) > 0)))
 
     def total(s: str):
         sector = F.coalesce(F.col(f"_s_{s}"), F.lit(0)).cast("long")
@@ -131,4 +171,4 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
             sector = sector + F.when(initial_kept, initial_secs).otherwise(F.lit(0))
         return sector.cast("long").alias(f"time_{s.lower()}")
 
-    return per_sale.select("followup_id", *ATTRIBUTES, *[total(s) for s in states])
+    return rows.select("followup_id", *ATTRIBUTES, *[total(s) for s in states])

@@ -79,7 +79,7 @@ def inputs(spark):
             spark.createDataFrame(USERS, USERS_SCHEMA))
 
 
-@pytest.mark.parametrize("max_group_rows", [4_000_000, 1])
+@pytest.mark.parametrize("max_group_rows", [4_000_000, 1, None])
 def test_state_durations_hand_cases(inputs, max_group_rows):
     logs, fu, users = inputs
     out = state_durations(logs, fu, users, max_group_rows=max_group_rows)
