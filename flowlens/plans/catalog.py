@@ -18,8 +18,17 @@ from pyspark.sql import functions as F
 from flowlens.operators import funnel as V5
 from flowlens.operators import growth as V4
 from flowlens.operators.durations import state_durations, state_periods
-from flowlens.operators.paths import REGISTRATION, Edge, PathGraph, State, Transition
-from flowlens.operators.paths import event_paths, event_states
+from flowlens.operators.paths import (
+    DEFAULT_GRAPH,
+    REGISTRATION,
+    Edge,
+    PathGraph,
+    State,
+    Transition,
+    default_graph,
+    event_paths,
+    event_states,
+)
 from flowlens.operators.purchases import first_vs_repeat
 from flowlens.operators.transitions import forward_conversions, stage_responsible
 from flowlens.sources import adapters as A
@@ -146,6 +155,19 @@ def q_event_paths(spark: SparkSession, sf: str) -> DataFrame:
     return event_paths(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH)
 
 
+def q_event_paths_reference_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference's 17-edge graph over driver events renamed to its event ids."""
+    events = A.app_events_named(spark, sf, DEFAULT_GRAPH.event_ids())
+    return event_paths(events, A.users(spark, sf), DEFAULT_GRAPH)
+
+
+def q_event_paths_literal_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """Same, with edge 6 on the literal (blocked-button) chain."""
+    graph = default_graph(literal_edge6=True)
+    events = A.app_events_named(spark, sf, DEFAULT_GRAPH.event_ids())
+    return event_paths(events, A.users(spark, sf), graph)
+
+
 def q_event_states(spark: SparkSession, sf: str) -> DataFrame:
     return event_states(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH)
 
@@ -172,4 +194,6 @@ def queries() -> dict[str, Query]:
         "canceled_incomplete": q_canceled_incomplete,
         "event_paths": q_event_paths,
         "event_states": q_event_states,
+        "event_paths_reference_graph": q_event_paths_reference_graph,
+        "event_paths_literal_graph": q_event_paths_literal_graph,
     }

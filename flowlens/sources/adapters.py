@@ -247,6 +247,18 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("platform"))
 
 
+def app_events_named(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """Driver events renamed by a rule: ``names[event_id % len(names)]``.
+
+    Lets a path graph written for real app event ids (the reference graph)
+    run over the whole driver events table.
+    """
+    e = app_events(spark, sf_dir)
+    name = F.element_at(F.array(*[F.lit(n) for n in names]),
+                        (F.col("event_id") % len(names) + 1).cast("int"))
+    return e.withColumn("event_name", name)
+
+
 # ---------------------------------------------------- sellers, ids, contracts
 def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
