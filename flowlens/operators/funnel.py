@@ -124,8 +124,17 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                         "user_id", month_start("created_at").alias("_month"))
            .distinct())
 
-    lead_users = (leads.where(F.col("lead_id").isNotNull())
-                  .select("user_id").distinct().withColumn("_lead", F.lit(True)))
+    # One verdict row per user with a non-null lead (users without one get
+    # none): it gives the lead existence the chain needs and the status flags.
+    verdict = lead_verdict(leads, users, inss=inss)
+    blocked = F.coalesce(F.col("is_blocked") == True, F.lit(False))  # noqa: E712
+    lv = F.col("lead_valid")
+    per_user = (users.select("user_id", "is_blocked").join(verdict, "user_id", "left")
+                .groupBy("user_id").agg(
+                    F.max(lv.isNotNull()).alias("_lead"),
+                    F.max(blocked | F.coalesce(lv.isin("true", "Blocked"), F.lit(False)))
+                    .alias("valid_relationship"),
+                    F.max(~blocked & F.coalesce(lv == "true", F.lit(False))).alias("unblocked")))
     proposal_months = (events.where(F.col("event_name") == PROPOSAL_EVENT)
                        .select("user_id", month_start("event_at").alias("_month")).distinct()
                        .withColumn("_proposal", F.lit(True)))
@@ -140,7 +149,7 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                  .agg(F.max(valid_sale).alias("_valid"),
                       F.max(status == FINALIZED_STATUS).alias("_final")))
 
-    flags = (reg.join(lead_users, "user_id", "left")
+    flags = (reg.join(per_user, "user_id", "left")
              .join(proposal_months, ["user_id", "_month"], "left"))
     flags = (flags.alias("r").join(sale_days.alias("s"),
                                    (F.col("r.user_id") == F.col("s.user_id"))
@@ -149,16 +158,13 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                                    "left")
              .select("r.*", F.col("s._fday"), F.col("s._valid"), F.col("s._final")))
     proposal = F.coalesce(F.col("_lead"), F.lit(False)) & F.coalesce(F.col("_proposal"), F.lit(False))
-    flags = flags.groupBy(*GROUP, "user_id").agg(
+    return flags.groupBy(*GROUP, "user_id").agg(
         F.max(proposal).alias("has_proposal"),
         F.max(proposal & F.col("_fday").isNotNull()).alias("created_30d"),
         F.max(proposal & F.coalesce(F.col("_valid"), F.lit(False))).alias("valid_created_30d"),
-        F.max(proposal & F.coalesce(F.col("_final"), F.lit(False))).alias("finalized_30d"))
-
-    per_user = user_lead_status(users, leads, inss=inss).groupBy("user_id").agg(
-        F.max(F.col("lead_status").isin("Valid lead", "Blocked")).alias("valid_relationship"),
-        F.max(F.col("lead_status") == "Valid lead").alias("unblocked"))
-    return flags.join(per_user, "user_id", "left")
+        F.max(proposal & F.coalesce(F.col("_final"), F.lit(False))).alias("finalized_30d"),
+        F.max("valid_relationship").alias("valid_relationship"),
+        F.max("unblocked").alias("unblocked"))
 
 
 def daily_funnel(users: DataFrame, leads: DataFrame, events: DataFrame,
