@@ -10,3 +10,26 @@ native Spark expressions, aggregations, joins and windows.  Sub-packages:
 * ``plans``      - named query catalog, DuckDB oracle SQL, plan inspection
 * ``streaming``  - intentionally empty (the analytics are batch-only)
 """
+
+from flowlens.operators.durations import state_durations, state_periods  # noqa: E402
+from flowlens.operators.funnel import daily_funnel  # noqa: E402
+from flowlens.operators.growth import monthly_growth  # noqa: E402
+from flowlens.operators.paths import (  # noqa: E402
+    DEFAULT_GRAPH,
+    Edge,
+    PathGraph,
+    State,
+    Transition,
+    default_graph,
+    event_paths,
+)
+from flowlens.operators.purchases import first_vs_repeat  # noqa: E402
+from flowlens.operators.transitions import forward_conversions, stage_responsible  # noqa: E402
+from flowlens.sources.tables import publish, read_table  # noqa: E402
+
+__all__ = [
+    "DEFAULT_GRAPH", "Edge", "PathGraph", "State", "Transition", "daily_funnel",
+    "default_graph", "event_paths", "first_vs_repeat", "forward_conversions",
+    "monthly_growth", "publish", "read_table", "stage_responsible", "state_durations",
+    "state_periods",
+]

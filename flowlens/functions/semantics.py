@@ -111,12 +111,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return out.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
-def nulls_first_desc_key(c: str | Column) -> list[Column]:
-    """Struct-order key equal to ORDER BY c DESC NULLS FIRST under ``max``."""
-    c = col(c)
-    return [c.isNull(), c]
-
-
 def assert_unique(df: DataFrame, keys: Iterable[str], name: str = "table") -> None:
     """Eager contract check: fail if ``keys`` repeat (runs one aggregation).
 
