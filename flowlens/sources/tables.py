@@ -8,14 +8,26 @@ a refresh of such a view does.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+# One reader DataFrame per (session, path).  Creating it lists the files and
+# reads Parquet footers (about 0.1 s each); a query that derives several
+# logical tables from the same driver table would otherwise pay that per
+# use.  DataFrames are immutable, so sharing the object is safe; every
+# action still scans the files.
+_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table: ``{sf_dir}/{name}.parquet`` (columnar, pushdown-capable)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _READERS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def publish(df: DataFrame, *, path: str | None = None, table: str | None = None,
