@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EPOCH = "1970-01-01 00:00:00"
 _MICROS_PER_SECOND = 1_000_000
 
 
@@ -46,8 +45,18 @@ def plus_days(c: str | Column, days: int) -> Column:
 
 
 def epoch_micros(c: str | Column) -> Column:
-    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` (zone-free)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), col(c))
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` (zone-free).
+
+    Built from calendar fields (days since the epoch of the date, then hour,
+    minute and seconds with fraction).  ``timestamp_diff`` on NTZ values goes
+    through the session zone and shifts wall-clock times that fall in a DST
+    gap by an hour (e.g. 1995-10-15 00:00 in America/Sao_Paulo).
+    """
+    c = col(c)
+    return (F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400 * _MICROS_PER_SECOND)
+            + F.hour(c).cast("long") * F.lit(3_600 * _MICROS_PER_SECOND)
+            + F.minute(c).cast("long") * F.lit(60 * _MICROS_PER_SECOND)
+            + (F.date_part(F.lit("SECOND"), c) * F.lit(_MICROS_PER_SECOND)).cast("long"))
 
 
 def epoch_second_floor(c: str | Column) -> Column:

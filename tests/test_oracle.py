@@ -28,3 +28,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["month", "user_id", "client_key", "seller", "platform",
                           "purchase_type", "commission", "completion_date", "creation_date"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["state_durations", "state_durations_events", "daily_funnel",
+                                 "monthly_growth", "first_vs_repeat"])
+def test_results_do_not_depend_on_session_zone(spark, con, key):
+    """Midnights that fall in a DST gap (America/Sao_Paulo) must not shift."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        r = compare(spark, con, SF, key, entry.queries()[key], entry.oracle_sql()[key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.ok, r.detail

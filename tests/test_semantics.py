@@ -44,6 +44,19 @@ def test_truncation_is_zone_free(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_seconds_between_is_zone_free_across_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    rows = [(ts("1995-10-14 12:00:00"), ts("1995-10-15 00:00:00")),    # gap midnight in Sao Paulo
+            (ts("1995-10-15 00:00:00"), ts("1995-10-15 10:30:00.5"))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = {}
+    for zone in ("UTC", "America/Sao_Paulo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got[zone] = [r.s for r in df.select(seconds_between("a", "b").alias("s")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", old)
+    assert got["UTC"] == got["America/Sao_Paulo"] == [43200, 37800]
+
+
 def test_is_present_and_null_if_zero(spark):
     df = spark.createDataFrame([("a", 0), ("", 2), (None, 1)], "s string, n long")
     got = df.select(is_present("s").alias("p"), null_if_zero("n").alias("z")).collect()
