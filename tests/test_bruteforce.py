@@ -1,0 +1,142 @@
+"""Randomized checks against small pure-Python brute-force versions of the
+reference semantics (one sale / one user at a time), on every plan variant
+(plain, one-pass, forced hot-key slicing)."""
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+
+from flowlens.operators.durations import STATES, state_durations
+from flowlens.operators.paths import REGISTRATION, Edge, PathGraph, State, Transition, event_paths
+from flowlens.operators.transitions import STAGE_NAMES, stage_responsible
+from tests.conftest import EVENTS_SCHEMA, FOLLOWUPS_SCHEMA, LOGS_SCHEMA, USERS_SCHEMA, followup
+
+T0 = dt.datetime(2024, 8, 1)
+
+
+def _secs(t: dt.datetime) -> int:
+    return int((t - dt.datetime(1970, 1, 1)).total_seconds() // 1)
+
+
+def _random_logs(rnd: random.Random, n_sales: int):
+    logs, lid = [], 0
+    for fid in range(1, n_sales + 1):
+        for _ in range(rnd.randint(0, 12)):
+            lid += 1
+            when = T0 + dt.timedelta(seconds=rnd.choice([0, 1, 1.5, 60, 3600]) * rnd.randint(0, 20),
+                                     microseconds=rnd.choice([0, 0, 500_000]))
+            field = rnd.choice(["Sector", "Sector", "Sector", "Stage Responsible", "Status"])
+            value = (rnd.choice(STATES + ["FOO", None]) if field == "Sector"
+                     else rnd.choice(["ana", "bob", "SALES"]))
+            logs.append((lid, fid, when, field, None, value))
+    return logs
+
+
+def _brute_durations(logs, created):
+    out = {}
+    by_sale = {}
+    for row in logs:
+        by_sale.setdefault(row[1], []).append(row)
+    for fid, rows in by_sale.items():
+        rows.sort(key=lambda r: (r[2], r[0]))
+        max_log = max(r[2] for r in rows)
+        sector = [r for r in rows if r[3] == "Sector"]
+        done = [r[2] for r in sector if r[5] == "COMPLETED"]
+        cap = min(done) if done else max_log
+        periods = [(r[5], r[2], sector[i + 1][2] if i + 1 < len(sector) else None)
+                   for i, r in enumerate(sector)]
+        periods.append(("UNDEFINED", created, sector[0][2] if sector else None))
+        totals, kept = {s: 0 for s in STATES}, 0
+        for state, start, end in periods:
+            if state is None or start > cap:
+                continue
+            kept += 1
+            stop = min(end if end is not None else max_log, cap)
+            if state in totals:
+                totals[state] += _secs(stop) - _secs(start)
+        if kept:
+            out[fid] = tuple(totals[s] for s in STATES)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("max_group_rows", [None, 4_000_000, 3])
+def test_state_durations_vs_brute_force(spark, seed, max_group_rows):
+    rnd = random.Random(seed)
+    logs = _random_logs(rnd, 40)
+    created = T0 + dt.timedelta(seconds=30)
+    fu = [followup(f, "u1", str(created)) for f in range(1, 41)]
+    users = [("u1", "C", T0, False, "APP")]
+    out = state_durations(spark.createDataFrame(logs, LOGS_SCHEMA),
+                          spark.createDataFrame(fu, FOLLOWUPS_SCHEMA),
+                          spark.createDataFrame(users, USERS_SCHEMA), max_group_rows=max_group_rows)
+    got = {r.followup_id: tuple(r[f"time_{s.lower()}"] for s in STATES) for r in out.collect()}
+    assert got == _brute_durations(logs, created)
+
+
+def _brute_responsible(logs):
+    out = Counter()
+    by_sale = {}
+    for row in logs:
+        if row[3] in ("Sector", "Stage Responsible"):
+            by_sale.setdefault(row[1], []).append(row)
+    for rows in by_sale.values():
+        rows.sort(key=lambda r: (r[2], r[0]))
+        for prev, cur in zip(rows, rows[1:]):
+            responsible = "" if prev[5] in STAGE_NAMES else prev[5]
+            if cur[3] == "Sector" and responsible is not None and responsible != "":
+                out[(cur[1], cur[2], cur[5], responsible)] += 1
+    return out
+
+
+@pytest.mark.parametrize("max_group_rows", [4_000_000, 2])
+def test_stage_responsible_vs_brute_force(spark, max_group_rows):
+    rnd = random.Random(5)
+    logs = _random_logs(rnd, 30)
+    fu = [followup(f, "u1", "2024-08-01") for f in range(1, 31)]
+    users = [("u1", "C", T0, False, "APP")]
+    out = stage_responsible(spark.createDataFrame(logs, LOGS_SCHEMA),
+                            spark.createDataFrame(fu, FOLLOWUPS_SCHEMA),
+                            spark.createDataFrame(users, USERS_SCHEMA), max_group_rows=max_group_rows)
+    got = Counter((r.followup_id, r.log_date, r.updated_content, r.stage_responsible)
+                  for r in out.collect())
+    assert got == _brute_responsible(logs)
+
+
+def test_event_paths_vs_brute_force(spark):
+    rnd = random.Random(9)
+    kinds = ["reg", "a", "b", "c"]
+    graph = PathGraph(("reg",), (State("A", ("a",)), State("B", ("b", "x")), State("C", ("c", "x"))),
+                      (Transition("ta", REGISTRATION, "A"), Transition("tb", "ta", "B"),
+                       Transition("tc", "tb", "C"), Transition("tc2", "ta", "C")),
+                      (Edge(1, "R", "A", "ta"), Edge(2, "A", "B", "tb"), Edge(3, "B", "C", "tc"),
+                       Edge(4, "A", "C", "tc2")))
+    events, users = [], []
+    for u in range(60):
+        users.append((f"u{u}", "COV", T0, False, "APP"))
+        for _ in range(rnd.randint(0, 8)):
+            events.append((len(events), f"u{u}", T0 + dt.timedelta(minutes=rnd.randint(0, 6)),
+                           rnd.choice(kinds + ["x", "zzz"]), rnd.choice(["ios", "android"])))
+    out = {r.step_order: r.users for r in event_paths(
+        spark.createDataFrame(events, EVENTS_SCHEMA), spark.createDataFrame(users, USERS_SCHEMA),
+        graph).collect()}
+
+    want = {}
+    for u in range(60):
+        evs = [e for e in events if e[1] == f"u{u}"]
+        first = {}
+        for name, names in (("A", {"a"}), ("B", {"b", "x"}), ("C", {"c", "x"})):
+            ts = [e[2] for e in evs if e[3] in names]
+            first[name] = min(ts) if ts else None
+        for platform in {e[4] for e in evs}:
+            reg = [e[2] for e in evs if e[3] == "reg" and e[4] == platform]
+            if not reg:
+                continue
+            chains = {1: ["A"], 2: ["A", "B"], 3: ["A", "B", "C"], 4: ["A", "C"]}
+            for step, chain in chains.items():
+                times = [min(reg)] + [first[s] for s in chain]
+                if all(t is not None for t in times) and all(a < b for a, b in zip(times, times[1:])):
+                    want[step] = want.get(step, 0) + 1
+    assert out == want
