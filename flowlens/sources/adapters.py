@@ -155,8 +155,11 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     field.alias("changed_field"),
                     value.alias("updated_content"))
     # Adapter-side history of the same field (the source system records it).
-    w = Window.partitionBy("followup_id", "changed_field").orderBy("log_date", "log_id")
-    prev = F.lag("updated_content").over(w)
+    # Partitioned by sale only (ordered by field first), so a consumer that
+    # windows by sale reuses this hash partitioning instead of re-shuffling.
+    w = Window.partitionBy("followup_id").orderBy("changed_field", "log_date", "log_id")
+    prev = F.when(F.lag("changed_field").over(w) == F.col("changed_field"),
+                  F.lag("updated_content").over(w))
     original = F.when(F.col("changed_field") == "Sector",
                       F.coalesce(prev, F.lit("UNDEFINED"))).otherwise(prev)
     return logs.select("log_id", "followup_id", "log_date", "changed_field",
