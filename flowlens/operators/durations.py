@@ -84,8 +84,9 @@ def _capped(periods: DataFrame) -> DataFrame:
 
 
 def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
-              tiebreak: Sequence[str]) -> DataFrame:
-    """All log rows with the sale bounds and, for state rows, the next state change."""
+              tiebreak: Sequence[str], with_first: bool = False) -> DataFrame:
+    """All log rows with the sale bounds and, for state rows, the next state change
+    (``_first`` marks one row per sale when ``with_first``)."""
     is_state = F.coalesce(F.col("changed_field") == state_field, F.lit(False))
     sale = Window.partitionBy("followup_id")
     seq = sale.orderBy(F.col("_is").desc(), F.col("log_date").asc_nulls_last(),
@@ -93,8 +94,9 @@ def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
     rows = logs.select("followup_id", "log_date", *tiebreak,
                        F.col("updated_content").alias("state"), is_state.alias("_is"))
     nxt = F.lead(F.struct(F.col("_is").alias("s"), F.col("log_date").alias("t"))).over(seq)
+    first = [(F.row_number().over(seq) == 1).alias("_first")] if with_first else []
     return rows.select(
-        "followup_id", "state", "_is", F.col("log_date").alias("start_time"),
+        "followup_id", "state", "_is", *first, F.col("log_date").alias("start_time"),
         F.when(F.col("_is") & nxt["s"], nxt["t"]).alias("end_time"),
         F.max("log_date").over(sale).alias("max_log"),
         F.min(F.when(F.col("_is"), F.col("log_date"))).over(sale).alias("first_change"),
@@ -130,20 +132,42 @@ def _per_sale(logs: DataFrame, state_field: str, terminal_state: str, states: Se
 def state_periods(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                   state_field: str = "Sector", initial_state: str = "UNDEFINED",
                   terminal_state: str = "COMPLETED", tiebreak: Sequence[str] = ("log_id",),
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                  max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """One row per kept period: attributes, state, start, capped end, seconds."""
     tiebreak = list(tiebreak)
-    bounds = _bounds(logs, state_field, terminal_state)
     attrs = _attributes(followups, users)
-    changes = _state_rows(logs, state_field, tiebreak, max_group_rows)
+    bound_cols = ["max_log", "first_change", "done_at"]
+    if max_group_rows is None or not has_hot_keys(logs, ["followup_id"], "log_date", max_group_rows):
+        # One stream: every state row is a period, and the first row of each
+        # sale also carries its initial period (start filled from the sale's
+        # creation after the attribute join) - no second scan, no UNION.
+        rows = _one_pass(logs, state_field, terminal_state, tiebreak, with_first=True)
+        kinds = F.array(
+            F.when(F.col("_is"), F.struct(F.col("state"), F.col("start_time"), F.col("end_time"),
+                                          F.lit(False).alias("_init"))),
+            F.when(F.col("_first"), F.struct(F.lit(initial_state).alias("state"),
+                                             F.lit(None).cast("timestamp_ntz").alias("start_time"),
+                                             F.col("first_change").alias("end_time"),
+                                             F.lit(True).alias("_init"))))
+        periods = (rows.select("followup_id", *bound_cols,
+                               F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("_p"))
+                   .select("followup_id", *bound_cols, "_p.*")
+                   .join(attrs, "followup_id")
+                   .withColumn("start_time", F.when(F.col("_init"), F.col("followup_creation_date"))
+                               .otherwise(F.col("start_time"))))
+        return (_capped(periods)
+                .select("followup_id", *ATTRIBUTES, "state", "start_time", "end_time",
+                        "duration_seconds"))
+    bounds = _bounds(logs, state_field, terminal_state)
+    changes = (_state_rows(logs, state_field, tiebreak, max_group_rows)
+               .join(bounds, "followup_id"))
     initial = (attrs.join(bounds, "followup_id")
                .select("followup_id", F.lit(initial_state).alias("state"),
                        F.col("followup_creation_date").alias("start_time"),
-                       F.col("first_change").alias("end_time")))
+                       F.col("first_change").alias("end_time"), *bound_cols))
     periods = (changes.join(attrs.select("followup_id"), "followup_id", "left_semi")
                .unionByName(initial))
-    kept = _capped(periods.join(bounds, "followup_id"))
-    return (kept.join(attrs, "followup_id")
+    return (_capped(periods).join(attrs, "followup_id")
             .select("followup_id", *ATTRIBUTES, "state", "start_time", "end_time",
                     "duration_seconds"))
 

@@ -95,8 +95,9 @@ def test_state_durations_output_schema(inputs):
     assert all(t == "bigint" for c, t in out.dtypes if c.startswith("time_"))
 
 
-def test_state_periods_sum_to_durations(inputs):
-    periods = state_periods(*inputs)
+@pytest.mark.parametrize("max_group_rows", [4_000_000, 1])
+def test_state_periods_sum_to_durations(inputs, max_group_rows):
+    periods = state_periods(*inputs, max_group_rows=max_group_rows)
     sums = {}
     for r in periods.collect():
         if r.state in ("UNDEFINED", "SALES", "TYPING", "FORMALIZATION", "PROGRESS",

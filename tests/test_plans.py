@@ -25,3 +25,18 @@ def test_path_filter_pushed_to_scan(spark):
 def test_responsible_scan_reads_only_needed_columns(spark):
     plan = physical_plan(entry.queries()["stage_responsible"](spark, SF))
     assert "props" not in plan
+
+
+def _scans_of(plan: str, table: str) -> int:
+    return sum(1 for block in plan.split("\n\n") if f"{table}.parquet" in block and "Scan parquet" in block)
+
+
+@pytest.mark.parametrize("key", ["state_durations", "state_periods"])
+def test_durations_read_the_log_once(spark, key):
+    plan = physical_plan(entry.queries()[key](spark, SF))
+    assert _scans_of(plan, "lineitem") == 1
+
+
+def test_funnel_has_no_expand(spark):
+    plan = physical_plan(entry.queries()["daily_funnel"](spark, SF))
+    assert "Expand" not in plan and "NestedLoopJoin" not in plan
