@@ -45,21 +45,31 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
             .drop("_n"))
 
 
-def has_hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
+def has_hot_keys(df: DataFrame, keys: Sequence[str], time_col: str | None = None,
                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> bool:
-    """True when some key has more than ``max_group_rows`` rows (one small job)."""
-    return _hot_keys(df, list(keys), time_col, max_group_rows).limit(1).count() > 0
+    """True when some key has more than ``max_group_rows`` rows.
+
+    One aggregation of row counts per key (map-side partial counts, so a hot
+    key is cheap); only a boolean reaches the driver.  ``time_col`` is
+    accepted for symmetry with the slicing step and not needed here.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > F.lit(max_group_rows)).limit(1).count() > 0
 
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], direction: str = "next",
                   prefix: str | None = None,
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                  stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of the previous/next row in the sequence.
 
     ``order`` is ascending and must be a total order within ``keys`` (pass a
     tie-break column); its first column is the timestamp used to slice hot
     keys.  Equivalent to LAG/LEAD over ``PARTITION BY keys ORDER BY order``.
+    ``stats_from`` may be a cheaper superset of ``df`` (same keys and time
+    column, e.g. before a filtering join) to count rows per key on: counts
+    and time ranges of a superset only make the slicing conservative.
     """
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
@@ -67,10 +77,11 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     shift = F.lead if direction == "next" else F.lag
     keys, order, values = list(keys), list(order), list(values)
 
-    hot = _hot_keys(df, keys, order[0], max_group_rows)
-    if hot.limit(1).count() == 0:
+    stats = stats_from if stats_from is not None else df
+    if not has_hot_keys(stats, keys, order[0], max_group_rows):
         w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_last() for o in order])
         return df.select("*", *[shift(v).over(w).alias(prefix + v) for v in values])
+    hot = _hot_keys(stats, keys, order[0], max_group_rows)
 
     micros = epoch_micros(order[0])
     frac = ((micros - F.col("_lo")).cast("double")

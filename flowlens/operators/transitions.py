@@ -56,10 +56,14 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
     sales = followups
     if since is not None:
         sales = sales.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
+    field_rows = rows
     rows = rows.join(sales.select("followup_id"), "followup_id", "left_semi")
 
+    # The hot-key count runs on the field-filtered log (a superset of the
+    # joined rows), so it does not repeat the semi-join.
     rows = with_neighbor(rows, ["followup_id"], ["log_date", *tiebreak], ["updated_content"],
-                         direction="prev", prefix="prev_", max_group_rows=max_group_rows)
+                         direction="prev", prefix="prev_", max_group_rows=max_group_rows,
+                         stats_from=field_rows.select("followup_id", "log_date"))
     prev = F.col("prev_updated_content")
     responsible = F.when(prev.isin(*stage_names), F.lit("")).otherwise(prev)
     kept = (rows.withColumn("stage_responsible", responsible)
