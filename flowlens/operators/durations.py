@@ -88,9 +88,12 @@ def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
     """All log rows with the sale bounds and, for state rows, the next state change
     (``_first`` marks one row per sale when ``with_first``)."""
     is_state = F.coalesce(F.col("changed_field") == state_field, F.lit(False))
-    sale = Window.partitionBy("followup_id")
-    seq = sale.orderBy(F.col("_is").desc(), F.col("log_date").asc_nulls_last(),
-                       *[F.col(c).asc_nulls_last() for c in tiebreak])
+    seq = Window.partitionBy("followup_id").orderBy(
+        F.col("_is").desc(), F.col("log_date").asc_nulls_last(),
+        *[F.col(c).asc_nulls_last() for c in tiebreak])
+    # Same partition and order as ``seq`` with a whole-sale frame: Spark
+    # evaluates both in one Window operator over one sort.
+    sale = seq.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = logs.select("followup_id", "log_date", *tiebreak,
                        F.col("updated_content").alias("state"), is_state.alias("_is"))
     nxt = F.lead(F.struct(F.col("_is").alias("s"), F.col("log_date").alias("t"))).over(seq)
