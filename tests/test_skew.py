@@ -53,3 +53,39 @@ def test_sliced_responsible_equal_plain(spark, skewed_logs):
     sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=1_000)
     got, want = sorted(sliced.collect()), sorted(plain.collect())
     assert len(want) > 0 and got == want
+
+
+def test_first_vs_repeat_hot_user_equals_row_number(spark):
+    """A user with a third of all purchases: the aggregate-based first
+    detection equals ROW_NUMBER over a user window (the reference shape)."""
+    from collections import Counter
+
+    from pyspark.sql import Window
+
+    from flowlens.operators.purchases import FIRST, REPEAT, first_vs_repeat
+
+    fu = A.followups(spark, SF)
+    fu = fu.withColumn("user_id", F.when(F.col("followup_id") % 3 == 0, F.lit("1"))
+                       .otherwise(F.col("user_id")))
+    ops, users, ids = A.operators(spark, SF), A.users(spark, SF), A.client_ids(spark, SF)
+    got = Counter(tuple(r) for r in first_vs_repeat(fu, ops, users, ids).collect())
+
+    p = (fu.where((F.col("status") == "Finalizado") & (F.col("commission") >= 0)
+                  & F.col("user_id").isNotNull() & (F.col("user_id") != ""))
+         .join(ops, "seller_id", "left").join(users.select("user_id"), "user_id")
+         .join(ids, "user_id"))
+    w = Window.partitionBy("user_id").orderBy(
+        F.coalesce("finalized_at", "created_at").asc_nulls_last(), "followup_id",
+        F.col("client_key").asc_nulls_last())
+    ref = p.withColumn("rn", F.row_number().over(w)).select(
+        F.coalesce(F.trunc(F.to_date("finalized_at"), "MM"), F.trunc(F.to_date("created_at"), "MM"))
+        .cast("timestamp_ntz").alias("month"),
+        "user_id", "client_key", F.col("seller_name").alias("seller"),
+        F.col("origin_platform").alias("platform"),
+        F.when(F.col("rn") == 1, F.lit(FIRST)).otherwise(F.lit(REPEAT)).alias("purchase_type"),
+        F.col("commission").cast("double").alias("commission"),
+        F.col("finalized_at").alias("completion_date"), F.col("created_at").alias("creation_date"))
+    want = Counter(tuple(r) for r in ref.collect())
+    hot_rows = sum(n for row, n in got.items() if row[1] == "1")
+    assert hot_rows > sum(got.values()) / 4
+    assert got == want
