@@ -119,10 +119,12 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                       excluded_statuses: Sequence[str] = tuple(EXCLUDED_STATUSES),
                       inss: str = INSS) -> DataFrame:
     """One row per (day, covenant, platform, user_id) with the funnel flags."""
-    reg = (users.select(day_start("created_at").alias("day"), "covenant",
-                        F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
-                        "user_id", month_start("created_at").alias("_month"))
-           .distinct())
+    # No DISTINCT: every flag below is a max regrouped by (group, user), so
+    # duplicate user rows are harmless, and the users are shuffled once, by
+    # user_id, for the joins and the final aggregation.
+    reg = users.select(day_start("created_at").alias("day"), "covenant",
+                       F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
+                       "user_id", month_start("created_at").alias("_month"))
 
     # One verdict row per user with a non-null lead (users without one get
     # none): it gives the lead existence the chain needs and the status flags.
