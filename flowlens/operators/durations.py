@@ -36,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.functions.semantics import seconds_between
+from flowlens.functions.semantics import assert_unique, seconds_between
 from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, has_hot_keys, with_neighbor
 
 # The reference's seven stage names, in the order of its
@@ -179,8 +179,15 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                     state_field: str = "Sector", initial_state: str = "UNDEFINED",
                     terminal_state: str = "COMPLETED", states: Sequence[str] = tuple(STATES),
                     tiebreak: Sequence[str] = ("log_id",),
-                    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """One row per sale with ``time_<state>`` seconds for each state."""
+                    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
+                    assert_users_unique: bool = False) -> DataFrame:
+    """One row per sale with ``time_<state>`` seconds for each state.
+
+    ``assert_users_unique`` checks the contract that ``users.user_id`` is a
+    key (D21: a duplicate would double every duration) with one aggregation.
+    """
+    if assert_users_unique:
+        assert_unique(users, ["user_id"], "users")
     per_sale = _per_sale(logs, state_field, terminal_state, states, list(tiebreak), max_group_rows)
 
     # Initial period, one per sale that has any log row.

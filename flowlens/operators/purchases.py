@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.semantics import first_per_key, is_present, month_start
+from flowlens.functions.semantics import assert_unique, first_per_key, is_present, month_start
 
 FIRST = "First-time purchase"
 REPEAT = "Repeat purchase"
@@ -37,8 +37,15 @@ OUTPUT_COLUMNS = ["month", "user_id", "client_key", "seller", "platform",
 
 
 def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame,
-                    client_ids: DataFrame, *, done_status: str = "Finalizado") -> DataFrame:
-    """One row per (completed purchase, client id) with its purchase type."""
+                    client_ids: DataFrame, *, done_status: str = "Finalizado",
+                    assert_users_unique: bool = False) -> DataFrame:
+    """One row per (completed purchase, client id) with its purchase type.
+
+    Users only filter here (a semi-join), so duplicates cannot fan out;
+    ``assert_users_unique`` still checks the key contract on request.
+    """
+    if assert_users_unique:
+        assert_unique(users, ["user_id"], "users")
     user_type = dict(followups.dtypes)["user_id"]
     present = is_present("user_id") if user_type == "string" else F.col("user_id").isNotNull()
     purchases = (followups

@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions.semantics import assert_unique
 from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, with_neighbor
 
 # Fixed values of the reference: the seven stage names and the five
@@ -48,7 +49,11 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
                       stage_names: Sequence[str] = tuple(STAGE_NAMES),
                       forward_steps: Sequence[tuple[str, str]] = tuple(FORWARD_STEPS),
                       since: str | None = SINCE, tiebreak: Sequence[str] = ("log_id",),
-                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                      assert_users_unique: bool = False) -> DataFrame:
+    """Kept stage changes with their responsible and the forward-step flag."""
+    if assert_users_unique:
+        assert_unique(users, ["user_id"], "users")
     tiebreak = list(tiebreak)
     rows = (logs.where(F.col("changed_field").isin(stage_field, responsible_field))
             .select("followup_id", "log_date", *tiebreak, "changed_field",

@@ -31,3 +31,20 @@ def test_assert_unique(spark):
     assert_unique(spark.createDataFrame([(1,), (2,)], "k int"), ["k"])
     with pytest.raises(ValueError):
         assert_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], "users")
+
+
+def test_operators_can_assert_unique_users(spark):
+    from flowlens import first_vs_repeat, stage_responsible, state_durations
+    from tests.conftest import FOLLOWUPS_SCHEMA, LOGS_SCHEMA, USERS_SCHEMA
+
+    users = spark.createDataFrame([("u1", "A", None, False, None), ("u1", "B", None, False, None)],
+                                  USERS_SCHEMA)
+    logs = spark.createDataFrame([], LOGS_SCHEMA)
+    fu = spark.createDataFrame([], FOLLOWUPS_SCHEMA)
+    ids = spark.createDataFrame([], "user_id string, client_key string")
+    ops = spark.createDataFrame([], "seller_id long, seller_name string")
+    for call in (lambda: state_durations(logs, fu, users, assert_users_unique=True),
+                 lambda: stage_responsible(logs, fu, users, assert_users_unique=True),
+                 lambda: first_vs_repeat(fu, ops, users, ids, assert_users_unique=True)):
+        with pytest.raises(ValueError):
+            call()
