@@ -18,8 +18,9 @@ Plan: instead of ROW_NUMBER over a user window (one task per user: a user
 with a third of all purchases would sort a third of the data in one task),
 the first row per user is the ``min`` of a struct, computed with map-side
 partial aggregation, and joined back on user_id (AQE splits a skewed join
-partition).  Exact duplicate client-id rows are counted, not windowed: the
-first row with multiplicity n gives one 'First' and n-1 'Repeat' rows.
+partition).  Exact duplicate client-id rows are counted, not windowed, and
+expanded back in bounded chunks: the first row with multiplicity n gives one
+'First' and n-1 'Repeat' rows, and no array ever exceeds ``COPY_CHUNK``.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.semantics import assert_unique, first_per_key, is_present, month_start
 
+COPY_CHUNK = 1024
+
 FIRST = "First-time purchase"
 REPEAT = "Repeat purchase"
 
@@ -56,15 +59,25 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
                  .join(operators.select("seller_id", "seller_name"), "seller_id", "left")
                  .withColumn("_ts", F.coalesce("finalized_at", "created_at")))
 
-    ids = (client_ids.groupBy("user_id", "client_key")
-           .agg(F.count(F.lit(1)).alias("_copies")))
+    # Exact duplicate client-id rows ("copies") are counted, then cut into
+    # chunk rows of at most COPY_CHUNK copies: the expansion below never
+    # builds an array longer than COPY_CHUNK, however many copies a key has,
+    # and a key with many copies becomes many join rows that AQE's skew-join
+    # split can spread over tasks.
+    counted = (client_ids.groupBy("user_id", "client_key")
+               .agg(F.count(F.lit(1)).alias("_n")))
+    ids = (counted.withColumn("_chunk", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPY_CHUNK).cast("long"))))
+           .withColumn("_copies", F.least(F.lit(COPY_CHUNK).cast("long"),
+                                          F.col("_n") - F.col("_chunk") * COPY_CHUNK))
+           .drop("_n"))
 
     # First (purchase, client key) per user: min over the two factors of the
     # join separately, which equals the min over their product.
     first_purchase = first_per_key(purchases, ["user_id"],
                                    [F.col("_ts").isNull(), "_ts", "followup_id"],
                                    ["followup_id"], prefix="_first_")
-    first_key = ids.groupBy("user_id").agg(
+    first_key = counted.groupBy("user_id").agg(
         F.min(F.struct(F.col("client_key").isNull().alias("_n"),
                        F.col("client_key").alias("k"))).alias("_fk"))
     firsts = first_purchase.join(first_key, "user_id").select(
@@ -73,10 +86,10 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
     rows = (purchases.join(ids, "user_id")
             .join(firsts, "user_id")
             .withColumn("_is_first", (F.col("followup_id") == F.col("_first_followup_id"))
-                        & F.col("client_key").eqNullSafe(F.col("_first_key"))))
-    # Multiplicity of an exact duplicate client-id row: n copies, only the
-    # first copy of the first row is 'First'.
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+                        & F.col("client_key").eqNullSafe(F.col("_first_key"))
+                        & (F.col("_chunk") == 0)))
+    # n copies of the first row: only the first copy of chunk 0 is 'First'.
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
 
     return rows.select(
         F.coalesce(month_start("finalized_at"), month_start("created_at")).alias("month"),

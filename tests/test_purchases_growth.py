@@ -90,3 +90,19 @@ def test_monthly_growth_hand_cases(spark):
     assert out.columns[1:] == ["Total Covenants", "User Base", "Qualified Users", "Total Clients",
                                "Clients This Month", "Commission This Month", "New Clients",
                                "First Purchase Commission"]
+
+
+def test_first_vs_repeat_many_copies_are_chunked(spark):
+    """3,000 identical client-id rows with a chunk of 1,024: exact counts."""
+    import flowlens.operators.purchases as P
+
+    fu = spark.createDataFrame([followup(1, "u1", "2024-01-01", "2024-01-02", F_, 1),
+                                followup(2, "u1", "2024-02-01", "2024-02-02", F_, 1)],
+                               FOLLOWUPS_SCHEMA)
+    ops = spark.createDataFrame([], "seller_id long, seller_name string")
+    users = spark.createDataFrame([("u1", None, None, None, None)], USERS_SCHEMA)
+    ids = spark.range(3000).selectExpr("'u1' AS user_id", "'ck' AS client_key")
+    out = P.first_vs_repeat(fu, ops, users, ids)
+    got = Counter((r.creation_date, r.purchase_type) for r in out.collect())
+    assert got == Counter({(ts("2024-01-01"), FIRST): 1, (ts("2024-01-01"), REPEAT): 2999,
+                           (ts("2024-02-01"), REPEAT): 3000})
