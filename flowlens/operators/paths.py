@@ -43,6 +43,10 @@ from pyspark.sql import functions as F
 
 REGISTRATION = "registration"
 
+# The reference's covenant filter (the default of event_paths).
+COVENANTS = ("PREFEITURA DE GOIÂNIA", "GOVERNO DO RIO DE JANEIRO", "GOVERNO DE AMAZONAS",
+             "GOVERNO DO PARANÁ")
+
 
 @dataclass(frozen=True)
 class State:
@@ -123,9 +127,13 @@ def first_touch_times(events: DataFrame, graph: PathGraph) -> DataFrame:
         *[F.min(_state_col(s.name)).over(per_user).alias(_state_col(s.name)) for s in states])
 
 
-def event_states(events: DataFrame, users: DataFrame, graph: PathGraph, *,
-                 covenants: Sequence[str] | None = None) -> DataFrame:
-    """Long form of the first-touch pivot: (user_id, state, first_at)."""
+def event_states(events: DataFrame, users: DataFrame, graph: PathGraph | None = None, *,
+                 covenants: Sequence[str] | None = COVENANTS) -> DataFrame:
+    """Long form of the first-touch pivot: (user_id, state, first_at).
+
+    ``graph`` defaults to the reference graph and ``covenants`` to its four
+    covenants; ``covenants=None`` reads every user."""
+    graph = graph or DEFAULT_GRAPH
     users = _filter_users(users, covenants)
     states = graph.used_states()
     pivot = (first_touch_times(events, graph)
@@ -151,9 +159,13 @@ def _chain_holds(graph: PathGraph, transition: str) -> Column:
     return reduce(lambda a, b: a & b, [a < b for a, b in zip(times, times[1:])])
 
 
-def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph, *,
-                covenants: Sequence[str] | None = None) -> DataFrame:
-    """Edge list (step_order, source, target, users)."""
+def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = None, *,
+                covenants: Sequence[str] | None = COVENANTS) -> DataFrame:
+    """Edge list (step_order, source, target, users).
+
+    ``graph`` defaults to the reference graph and ``covenants`` to its four
+    covenants; ``covenants=None`` reads every user."""
+    graph = graph or DEFAULT_GRAPH
     users = _filter_users(users, covenants)
     # Events are reduced per (user, platform) before any join: a user's
     # states only matter through its registration rows, which the join to
@@ -180,14 +192,12 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph, *,
 
 
 # ---------------------------------------------------------------------------
-# The reference's covenant list, registration event ids and
+# The reference's registration event ids and
 # its 29 first-touch states (event ids per state), transitions with the
 # names of SURVEY 2.6 (right-hand names resolved to defined states), and the
 # 17 emitted edge labels.  The reference also filters events to a 66-id
 # list; ids used by no state cannot change any count, so the scan filter is
 # the set of ids the graph uses (``PathGraph.event_ids``).
-COVENANTS = ("PREFEITURA DE GOIÂNIA", "GOVERNO DO RIO DE JANEIRO", "GOVERNO DE AMAZONAS",
-             "GOVERNO DO PARANÁ")
 REGISTRATION_EVENTS = ("registration_completed", "registration_completed_sms",
                        "registration_completed_email")
 STATES = (

@@ -121,7 +121,7 @@ def test_event_paths_vs_brute_force(spark):
                            rnd.choice(kinds + ["x", "zzz"]), rnd.choice(["ios", "android"])))
     out = {r.step_order: r.users for r in event_paths(
         spark.createDataFrame(events, EVENTS_SCHEMA), spark.createDataFrame(users, USERS_SCHEMA),
-        graph).collect()}
+        graph, covenants=None).collect()}
 
     want = {}
     for u in range(60):

@@ -115,6 +115,8 @@ def test_event_paths_default_and_literal_graph(spark):
     got = {r.step_order: r.users for r in
            event_paths(events, users, DEFAULT_GRAPH, covenants=COVENANTS).collect()}
     assert got == {1: 4, 3: 2, 4: 1, 5: 1, 6: 1, 7: 1, 10: 1, 11: 1, 13: 1, 14: 1}
+    # the defaults are the reference graph and the reference covenant filter
+    assert {r.step_order: r.users for r in event_paths(events, users).collect()} == got
     literal = {r.step_order: r.users for r in
                event_paths(events, users, default_graph(literal_edge6=True),
                            covenants=COVENANTS).collect()}
