@@ -18,8 +18,9 @@ tasks:
    back by broadcast (same bound as step 1).
 
 When no key is hot (the usual case) the plan is the plain window.  Deciding
-that costs one aggregation over the key and time columns; only a scalar
-reaches the driver.
+that costs one aggregation of row counts per key; only a boolean reaches the
+driver.  Open limitation: slices are cut by time, so a hot key whose rows
+nearly all share one timestamp stays in one slice.
 """
 
 from __future__ import annotations

@@ -15,18 +15,19 @@ Reference semantics kept (SURVEY 2.2):
 * attributes come from followups joined (inner) to users.
 
 Plan (no self-joins, no UNION ALL + re-shuffle):
-* usual case, no sale above ``max_group_rows`` log rows: ONE scan and ONE
-  exchange of the log.  A single window pass over all log rows of a sale
-  gives the bounds (last log time, first state change, first terminal
-  time: whole-partition aggregates) and the next state change (LEAD over
+* usual case, no sale above ``max_group_rows`` log rows: ONE scan, ONE
+  exchange and ONE Window operator over the log.  A single window pass over
+  all log rows of a sale gives the bounds (last log time, first state
+  change, first terminal time: aggregates over a whole-sale frame) and the
+  next state change (LEAD over
   ``(is_state desc, time, tiebreak)``, so other fields never sit between
   two state rows).  The per-sale conditional sums (a pivot without Expand)
   then run on the same hash(followup_id) partitioning, no new exchange;
 * hot sales present: bounds come from a partial aggregation and the next
   state change from the sliced, skew-safe LEAD (``with_neighbor``);
 * the initial period is computed per sale next to the attributes.
-Deciding between the two costs one aggregation over (followup_id,
-log_date); ``max_group_rows=None`` skips it and always uses the one pass.
+Deciding between the two costs one aggregation of row counts per sale;
+``max_group_rows=None`` skips it and always uses the one pass.
 """
 
 from __future__ import annotations
