@@ -49,7 +49,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     keys = sys.argv[1:] or HEADLINE
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app_name="flowlens-bench")
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus)))
+    spark = local_session(cores=cpus, shuffle_partitions=partitions, app_name="flowlens-bench")
     qs = catalog.queries()
     for key in keys:
         run(qs[key](spark, WARMUP_DIR))

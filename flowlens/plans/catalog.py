@@ -15,6 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from flowlens.functions.semantics import (
+    first_per_key,
+    is_present,
+    latest_per_key,
+    month_start,
+    running_total,
+    seconds_between,
+)
+from flowlens.functions.sequence import with_neighbor
 from flowlens.operators import funnel as V5
 from flowlens.operators import growth as V4
 from flowlens.operators.durations import state_durations, state_periods
@@ -32,6 +41,7 @@ from flowlens.operators.paths import (
 from flowlens.operators.purchases import first_vs_repeat
 from flowlens.operators.transitions import forward_conversions, stage_responsible
 from flowlens.sources import adapters as A
+from flowlens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,6 +184,52 @@ def q_event_states(spark: SparkSession, sf: str) -> DataFrame:
     return event_states(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH, covenants=None)
 
 
+# ------------------------------------------------- shared building blocks
+def q_seconds_between(spark: SparkSession, sf: str) -> DataFrame:
+    """Second-boundary gap from each event to the user's next event."""
+    ev = A.app_events(spark, sf).select("event_id", "user_id", "event_at")
+    nxt = with_neighbor(ev, ["user_id"], ["event_at", "event_id"], ["event_at"], "next", "next_")
+    return nxt.select("event_id", "user_id",
+                      seconds_between("event_at", "next_event_at").alias("gap_seconds"))
+
+
+def q_month_trunc(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items per ship month (zone-free DATE_TRUNC month)."""
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy(month_start("l_shipdate").alias("month")).agg(
+        F.count(F.lit(1)).alias("line_items"))
+
+
+def q_present_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Users per present, known covenant (blank, NULL and 'desconhecido' dropped)."""
+    users = A.users(spark, sf)
+    kept = users.where(is_present("covenant") & ~F.col("covenant").ilike("desconhecido"))
+    return kept.groupBy("covenant").agg(F.count(F.lit(1)).alias("users"))
+
+
+def q_dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest lead row per (user, registry): created DESC NULLS FIRST, then sequence."""
+    leads = A.leads(spark, sf).where(F.col("lead_id").isNotNull())
+    return latest_per_key(leads, ["user_id", "registry_no"],
+                          [F.col("created_at").isNull(), "created_at", "created_seq"],
+                          ["lead_id", "created_at"])
+
+
+def q_first_touch(spark: SparkSession, sf: str) -> DataFrame:
+    """First time of each event type per user."""
+    ev = A.app_events(spark, sf)
+    return first_per_key(ev, ["user_id", "event_name"], ["event_at", "event_id"],
+                         ["event_id", "event_at"])
+
+
+def q_running_total(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per order month and their running total (NULL months last)."""
+    o = read_table(spark, sf, "orders")
+    per_month = o.groupBy(month_start("o_orderdate").alias("month")).agg(
+        F.count(F.lit(1)).alias("orders"))
+    return running_total(per_month, "month", "orders", "cumulative")
+
+
 def queries() -> dict[str, Query]:
     return {
         "first_vs_repeat": q_first_vs_repeat,
@@ -198,4 +254,10 @@ def queries() -> dict[str, Query]:
         "event_states": q_event_states,
         "event_paths_reference_graph": q_event_paths_reference_graph,
         "event_paths_literal_graph": q_event_paths_literal_graph,
+        "seconds_between": q_seconds_between,
+        "month_trunc": q_month_trunc,
+        "present_filter": q_present_filter,
+        "dedupe_latest": q_dedupe_latest,
+        "first_touch": q_first_touch,
+        "running_total": q_running_total,
     }
