@@ -23,8 +23,10 @@ Plan (no self-joins, no UNION ALL + re-shuffle):
   ``(is_state desc, time, tiebreak)``, so other fields never sit between
   two state rows).  The per-sale conditional sums (a pivot without Expand)
   then run on the same hash(followup_id) partitioning, no new exchange;
-* hot sales present: bounds come from a partial aggregation and the next
-  state change from the sliced, skew-safe LEAD (``with_neighbor``);
+* hot sales present: bounds come from a partial aggregation; rows of one
+  sale at one timestamp are collapsed first (only the last one by tie-break
+  can have a non-zero period), then the next state change comes from the
+  sliced, skew-safe LEAD (``with_neighbor``) over distinct timestamps;
 * the initial period is computed per sale next to the attributes.
 Deciding between the two costs one aggregation of row counts per sale;
 ``max_group_rows=None`` skips it and always uses the one pass.
@@ -126,11 +128,30 @@ def _per_sale(logs: DataFrame, state_field: str, terminal_state: str, states: Se
         return rows.groupBy("followup_id").agg(
             F.max("max_log").alias("max_log"), F.max("first_change").alias("first_change"),
             F.max("done_at").alias("done_at"), *sums(rows))
+    # Hot sales.  Rows of one sale at one timestamp are interchangeable but
+    # for the last one by tie-break: the others get 0-second periods, and
+    # only the last row's state receives the gap to the next timestamp.  So
+    # each (sale, timestamp) group is first collapsed by partial aggregation
+    # (a third of all rows at one instant, copies included, become one row)
+    # and the sliced LEAD runs over distinct timestamps.
     bounds = _bounds(logs, state_field, terminal_state)
-    changes = (_capped(_state_rows(logs, state_field, tiebreak, max_group_rows)
-                       .join(bounds, "followup_id"))
-               .withColumn("_kept", F.lit(True)))
-    return bounds.join(changes.groupBy("followup_id").agg(*sums(changes)), "followup_id", "left")
+    is_state = F.col("changed_field") == state_field
+    instants = (logs.where(is_state)
+                .groupBy("followup_id", "log_date")
+                .agg(F.max(F.struct(*[F.col(c) for c in tiebreak],
+                                    F.col("updated_content").alias("state"))).alias("_last"),
+                     F.count("updated_content").alias("_n_kept")))
+    instants = with_neighbor(instants, ["followup_id"], ["log_date"], ["log_date"],
+                             direction="next", prefix="next_", max_group_rows=max_group_rows)
+    rows = instants.join(bounds, "followup_id")
+    kept = F.col("log_date") <= cap
+    last_state = F.col("_last.state")
+    secs = seconds_between("log_date", F.least(F.coalesce(F.col("next_log_date"), F.col("max_log")), cap))
+    per_sale = rows.groupBy("followup_id").agg(
+        F.sum(F.when(kept, F.col("_n_kept")).otherwise(F.lit(0))).alias("_kept"),
+        *[F.sum(F.when(kept & (last_state == s), secs).otherwise(F.lit(0))).alias(f"_s_{s}")
+          for s in states])
+    return bounds.join(per_sale, "followup_id", "left")
 
 
 def state_periods(logs: DataFrame, followups: DataFrame, users: DataFrame, *,

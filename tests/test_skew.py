@@ -89,3 +89,16 @@ def test_first_vs_repeat_hot_user_equals_row_number(spark):
     hot_rows = sum(n for row, n in got.items() if row[1] == "1")
     assert hot_rows > sum(got.values()) / 4
     assert got == want
+
+
+def test_hot_sale_at_one_instant(spark, skewed_logs):
+    """A third of all rows on one sale at ONE timestamp (a group of copies in
+    time): the hot path collapses the instant, and still equals the plain plan."""
+    logs = skewed_logs.withColumn(
+        "log_date", F.when(F.col("followup_id") == HOT, F.lit("1999-06-01 00:00:00").cast("timestamp_ntz"))
+        .otherwise(F.col("log_date")))
+    fu, users = A.followups(spark, SF), A.users(spark, SF)
+    tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
+    plain = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=None)
+    sliced = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=1_000)
+    assert sorted(plain.collect()) == sorted(sliced.collect())
