@@ -78,7 +78,7 @@ def record_status(inss: str = INSS):
 def lead_verdict(leads: DataFrame, users: DataFrame, *, inss: str = INSS) -> DataFrame:
     """Per user: 'true' (any valid record), 'Blocked' (any blocked), else 'false'."""
     rows = (leads.where(F.col("lead_id").isNotNull())
-            .join(users.select("user_id"), "user_id", "left_semi")
+            .join(users.select("user_id").distinct(), "user_id", "left_semi")
             .withColumn("record_status", record_status(inss)))
     newest = latest_per_key(rows, ["user_id", "registry_no"],
                             [F.col("created_at").isNull(), F.col("created_at"), F.col("created_seq")],
@@ -119,24 +119,29 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                       excluded_statuses: Sequence[str] = tuple(EXCLUDED_STATUSES),
                       inss: str = INSS) -> DataFrame:
     """One row per (day, covenant, platform, user_id) with the funnel flags."""
-    # No DISTINCT: every flag below is a max regrouped by (group, user), so
-    # duplicate user rows are harmless, and the users are shuffled once, by
-    # user_id, for the joins and the final aggregation.
-    reg = users.select(day_start("created_at").alias("day"), "covenant",
-                       F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
-                       "user_id", month_start("created_at").alias("_month"))
+    # DISTINCT first (map-side partial aggregation): copies of a user row,
+    # however many, are one row before the joins below, whose per-user
+    # partitions AQE cannot split (the final aggregation needs them).
+    reg = (users.select(day_start("created_at").alias("day"), "covenant",
+                        F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
+                        "user_id", month_start("created_at").alias("_month"))
+           .distinct())
 
     # One verdict row per user with a non-null lead (users without one get
     # none): it gives the lead existence the chain needs and the status flags.
     verdict = lead_verdict(leads, users, inss=inss)
     blocked = F.coalesce(F.col("is_blocked") == True, F.lit(False))  # noqa: E712
+    # Per user_id over all its user rows (aggregated before the join): any
+    # row blocked / any row not blocked; the verdict is per user_id.
+    flags_by_user = users.groupBy("user_id").agg(F.max(blocked).alias("_any_blocked"),
+                                                 F.max(~blocked).alias("_any_unblocked"))
     lv = F.col("lead_valid")
-    per_user = (users.select("user_id", "is_blocked").join(verdict, "user_id", "left")
-                .groupBy("user_id").agg(
-                    F.max(lv.isNotNull()).alias("_lead"),
-                    F.max(blocked | F.coalesce(lv.isin("true", "Blocked"), F.lit(False)))
-                    .alias("valid_relationship"),
-                    F.max(~blocked & F.coalesce(lv == "true", F.lit(False))).alias("unblocked")))
+    per_user = (flags_by_user.join(verdict, "user_id", "left")
+                .select("user_id", lv.isNotNull().alias("_lead"),
+                        (F.col("_any_blocked") | F.coalesce(lv.isin("true", "Blocked"), F.lit(False)))
+                        .alias("valid_relationship"),
+                        (F.col("_any_unblocked") & F.coalesce(lv == "true", F.lit(False)))
+                        .alias("unblocked")))
     proposal_months = (events.where(F.col("event_name") == PROPOSAL_EVENT)
                        .select("user_id", month_start("event_at").alias("_month")).distinct()
                        .withColumn("_proposal", F.lit(True)))
@@ -179,10 +184,10 @@ def daily_funnel(users: DataFrame, leads: DataFrame, events: DataFrame,
                               excluded_statuses=excluded_statuses, inss=inss)
     reg = (users.select(day_start("created_at").alias("day"), "covenant",
                         F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
-                        "user_id"))
-    group_leads = (reg.join(leads.where(F.col("lead_id").isNotNull()).select("user_id", "lead_id"),
-                            "user_id")
-                   .select(*GROUP, "lead_id").distinct())
+                        "user_id")
+           .distinct())
+    lead_ids = leads.where(F.col("lead_id").isNotNull()).select("user_id", "lead_id").distinct()
+    group_leads = reg.join(lead_ids, "user_id").select(*GROUP, "lead_id").distinct()
 
     def flag(name: str):
         return F.col("user_id").isNotNull() & F.coalesce(F.col(name), F.lit(False))

@@ -139,7 +139,7 @@ def event_states(events: DataFrame, users: DataFrame, graph: PathGraph | None =
     pivot = (first_touch_times(events, graph)
              .groupBy("user_id").agg(*[F.min(_state_col(s.name)).alias(_state_col(s.name))
                                        for s in states])
-             .join(users.select("user_id"), "user_id", "left_semi"))
+             .join(users.select("user_id").distinct(), "user_id", "left_semi"))
     stacked = F.explode(F.array(*[F.struct(F.lit(s.name).alias("state"),
                                            F.col(_state_col(s.name)).alias("first_at"))
                                   for s in states])).alias("_s")
@@ -174,9 +174,11 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = N
     regs = first_touch_times(events, graph).where(F.col("_reg_at").isNotNull())
     # GROUP BY the five registration attributes, as the reference does; the
     # data is already hash-partitioned by user_id here, so no new exchange.
-    rows = (regs.join(users.select("user_id", F.col("created_at").alias("_created"),
-                                   F.col("source_platform").alias("_origin"), "covenant"),
-                      "user_id")
+    # Distinct registration attributes first: copies of a user row collapse
+    # map-side instead of multiplying through the join into one task.
+    attrs = users.select("user_id", F.col("created_at").alias("_created"),
+                         F.col("source_platform").alias("_origin"), "covenant").distinct()
+    rows = (regs.join(attrs, "user_id")
             .groupBy("user_id", "_created", "_origin", "platform", "covenant")
             .agg(F.min("_reg_at").alias("_reg_at"), *[F.first(c).alias(c) for c in states]))
     matched = F.array(*[F.when(_chain_holds(graph, e.transition),

@@ -55,7 +55,7 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
                  .where((F.col("status") == done_status) & (F.col("commission") >= 0) & present)
                  .select("followup_id", "user_id", "seller_id", "origin_platform",
                          "commission", "finalized_at", "created_at")
-                 .join(users.select("user_id"), "user_id", "left_semi")
+                 .join(users.select("user_id").distinct(), "user_id", "left_semi")
                  .join(operators.select("seller_id", "seller_name"), "seller_id", "left")
                  .withColumn("_ts", F.coalesce("finalized_at", "created_at")))
 

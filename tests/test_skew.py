@@ -102,3 +102,27 @@ def test_hot_sale_at_one_instant(spark, skewed_logs):
     plain = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=None)
     sliced = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=1_000)
     assert sorted(plain.collect()) == sorted(sliced.collect())
+
+
+def test_user_copies_do_not_change_funnel_or_paths(spark):
+    """5,000 copies of one user row: COUNT(DISTINCT) measures and the GROUP BY
+    of registration rows are unchanged, and the copies collapse before joins."""
+    from flowlens.operators.funnel import daily_funnel
+    from flowlens.operators.paths import event_paths
+
+    users = A.users(spark, SF)
+    copies = (users.where(F.col("user_id") == "7")
+              .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("_k"))
+    many = users.unionByName(copies)
+    args = (A.leads(spark, SF), A.proposal_events(spark, SF), A.followups(spark, SF),
+            A.status_logs(spark, SF))
+    from collections import Counter
+
+    def bag(df):
+        return Counter(tuple(r) for r in df.collect())
+
+    assert bag(daily_funnel(many, *args)) == bag(daily_funnel(users, *args))
+    graph = catalog.DRIVER_GRAPH
+    ev = A.app_events(spark, SF)
+    assert (bag(event_paths(ev, many, graph, covenants=None))
+            == bag(event_paths(ev, users, graph, covenants=None)))
