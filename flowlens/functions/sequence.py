@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.semantics import epoch_micros
 
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
+_NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
 def _hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
@@ -83,29 +84,64 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_last() for o in order])
         return df.select("*", *[shift(v).over(w).alias(prefix + v) for v in values])
     hot = _hot_keys(stats, keys, order[0], max_group_rows)
-
     micros = epoch_micros(order[0])
-    frac = ((micros - F.col("_lo")).cast("double")
+    df = df.withColumn("_t", micros)
+
+    # Hot instants: (key, timestamp) groups of a hot key still above the
+    # limit (at most N / max_group_rows of them, so broadcast).  Their rows
+    # are sub-sliced by the first tie-break column when it is numeric.
+    dtypes = dict(df.dtypes)
+    tb0 = order[1] if len(order) > 1 and dtypes[order[1]] in _NUMERIC else None
+    src = stats if tb0 is None or tb0 in stats.columns else df
+    src_t = src.withColumn("_t", micros) if "_t" not in src.columns else src
+    inst = (src_t.join(F.broadcast(hot.select(*keys)), keys)
+            .groupBy(*keys, "_t")
+            .agg(F.count(F.lit(1)).alias("_tn"),
+                 *([F.min(tb0).alias("_tlo"), F.max(tb0).alias("_thi")] if tb0 else []))
+            .where(F.col("_tn") > F.lit(max_group_rows))
+            .withColumn("_tnb", F.ceil(F.col("_tn") / F.lit(max_group_rows))))
+    marks = inst.groupBy(*keys).agg(F.array_sort(F.collect_list("_t")).alias("_hot_t"))
+    hot = hot.join(marks, keys, "left")
+
+    frac = ((F.col("_t") - F.col("_lo")).cast("double")
             / (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double"))
+    # Slice id (_b, _m, _s), lexicographically monotone along the order:
+    # _b time bucket (NULL times last); _m position among the key's hot
+    # instants (2k before the k-th, 2k+1 at it); _s tie-break bucket inside
+    # a hot instant (NULL tie-breaks last).
     sliced = (df.join(F.broadcast(hot), keys, "left")
+              .join(F.broadcast(inst.drop("_tn")), [*keys, "_t"], "left")
               .withColumn("_b", F.when(F.col("_nb").isNull(), F.lit(0))
-                          .otherwise(F.floor(frac * F.col("_nb")).cast("long"))))
+                          .when(F.col("_t").isNull(), F.col("_nb"))
+                          .otherwise(F.floor(frac * F.col("_nb")).cast("long")))
+              .withColumn("_m", F.when(F.col("_hot_t").isNull() | F.col("_t").isNull(), F.lit(0))
+                          .otherwise(F.size(F.filter("_hot_t", lambda x: x < F.col("_t"))) * 2
+                                     + F.when(F.col("_tnb").isNotNull(), F.lit(1)).otherwise(F.lit(0))))
+              .withColumn("_s", F.lit(0).cast("long") if tb0 is None else
+                          F.when(F.col("_tnb").isNull(), F.lit(0).cast("long"))
+                          .when(F.col(tb0).isNull(), F.col("_tnb"))
+                          .otherwise(F.floor((F.col(tb0) - F.col("_tlo")).cast("double")
+                                             / (F.col("_thi") - F.col("_tlo") + F.lit(1)).cast("double")
+                                             * F.col("_tnb")).cast("long"))))
+    slice_cols = ["_b", "_m", "_s"]
 
     payload = F.struct(*[F.col(v) for v in values])
-    w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o).asc_nulls_last() for o in order])
+    w = Window.partitionBy(*keys, *slice_cols).orderBy(*[F.col(o).asc_nulls_last() for o in order])
     inner = sliced.withColumn("_in", shift(payload).over(w))
 
     # Edge row of every slice of a hot key: first row (for "next" of the
-    # previous slice) or last row (for "prev" of the following slice).
+    # previous slice) or last row (for "prev" of the following slice).  The
+    # null flags make struct order equal the window's NULLS LAST order.
     edge_of = F.min if direction == "next" else F.max
-    edge = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+    edge = F.struct(*[c for i, o in enumerate(order)
+                      for c in (F.col(o).isNull().alias(f"_n{i}"), F.col(o).alias(f"_o{i}"))],
                     *[F.col(v) for v in values])
     edges = (sliced.where(F.col("_nb").isNotNull())
-             .groupBy(*keys, "_b").agg(edge_of(edge).alias("_edge")))
-    ws = Window.partitionBy(*keys).orderBy("_b")
-    edges = edges.select(*keys, "_b", shift(F.col("_edge")).over(ws).alias("_adj"))
+             .groupBy(*keys, *slice_cols).agg(edge_of(edge).alias("_edge")))
+    ws = Window.partitionBy(*keys).orderBy(*slice_cols)
+    edges = edges.select(*keys, *slice_cols, shift(F.col("_edge")).over(ws).alias("_adj"))
 
-    joined = inner.join(F.broadcast(edges), [*keys, "_b"], "left")
+    joined = inner.join(F.broadcast(edges), [*keys, *slice_cols], "left")
     out_cols = [F.when(F.col("_in").isNotNull(), F.col(f"_in.{v}"))
                 .otherwise(F.col(f"_adj.{v}")).alias(prefix + v) for v in values]
-    return joined.select(*df.columns, *out_cols)
+    return joined.select(*[c for c in df.columns if c != "_t"], *out_cols)

@@ -103,3 +103,37 @@ def test_with_neighbor_split_path_equals_window(spark):
                                 prefix="n_", max_group_rows=limit)
             assert sorted(got.select("k", "tb", "n_v", "n_tb").collect()) == \
                 sorted(want.select("k", "tb", "n_v", "n_tb").collect())
+
+
+def test_with_neighbor_hot_instant_and_nulls(spark):
+    """A hot key with 250 rows at ONE timestamp (sub-sliced by the numeric
+    tie-break), NULL timestamps and NULL tie-breaks (both sort last)."""
+    rnd = random.Random(3)
+    rows, seen = [], set()
+    for i in range(700):
+        key = 0 if i < 500 else rnd.randint(1, 5)
+        if key == 0 and i < 250:
+            sec = 777                                       # the hot instant
+        elif rnd.random() < 0.03:
+            sec = None                                      # NULL time
+        else:
+            sec = rnd.randint(0, 3000)
+        tb = None if rnd.random() < 0.02 else i
+        if (key, sec, tb) in seen:
+            continue
+        seen.add((key, sec, tb))
+        rows.append((key, sec, tb, rnd.choice(["a", "b", None])))
+    df = (spark.createDataFrame(rows, "k int, sec int, tb int, v string")
+          .withColumn("t", F.when(F.col("sec").isNotNull(),
+                                  F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                                  + F.make_dt_interval(secs=F.col("sec"))))
+          .drop("sec"))
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("tb").asc_nulls_last())
+    for direction, fn in (("next", F.lead), ("prev", F.lag)):
+        want = sorted(df.select("k", "tb", "t", fn("v").over(w).alias("n_v"),
+                                fn("tb").over(w).alias("n_tb")).collect(), key=repr)
+        for limit in (10 ** 9, 40, 7):
+            got = with_neighbor(df, ["k"], ["t", "tb"], ["v", "tb"], direction=direction,
+                                prefix="n_", max_group_rows=limit)
+            got = sorted(got.select("k", "tb", "t", "n_v", "n_tb").collect(), key=repr)
+            assert got == want, (direction, limit)

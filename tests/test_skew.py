@@ -126,3 +126,21 @@ def test_user_copies_do_not_change_funnel_or_paths(spark):
     ev = A.app_events(spark, SF)
     assert (bag(event_paths(ev, many, graph, covenants=None))
             == bag(event_paths(ev, users, graph, covenants=None)))
+
+
+def test_responsible_hot_sale_at_one_instant(spark, skewed_logs):
+    """Row-level LAG on a sale with a third of all rows at one timestamp: the
+    instant is sub-sliced by the numeric tie-break and equals the plain plan."""
+    logs = (skewed_logs
+            .withColumn("log_date", F.when(F.col("followup_id") == HOT,
+                                           F.lit("1999-06-01 00:00:00").cast("timestamp_ntz"))
+                        .otherwise(F.col("log_date")))
+            .withColumn("changed_field", F.when(F.col("updated_content") == "agent",
+                                                F.lit("Stage Responsible"))
+                        .otherwise(F.col("changed_field"))))
+    fu, users = A.followups(spark, SF), A.users(spark, SF)
+    tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
+    plain = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=10 ** 12)
+    sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=1_000)
+    got, want = sorted(sliced.collect()), sorted(plain.collect())
+    assert len(want) > 0 and got == want
