@@ -99,7 +99,7 @@ def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
     sale = seq.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = logs.select("followup_id", "log_date", *tiebreak,
                        F.col("updated_content").alias("state"), is_state.alias("_is"))
-    nxt = F.lead(F.struct(F.col("_is").alias("s"), F.col("log_date").alias("t"))).over(seq)
+    nxt = {"s": F.lead("_is").over(seq), "t": F.lead("log_date").over(seq)}
     first = [(F.row_number().over(seq) == 1).alias("_first")] if with_first else []
     return rows.select(
         "followup_id", "state", "_is", *first, F.col("log_date").alias("start_time"),
