@@ -5,7 +5,7 @@
 Each query runs end to end (driver tables -> adapters -> operator) into
 Spark's ``noop`` sink, so the whole plan executes and nothing is collected
 to the driver.  A warm-up on sf0.001 absorbs JVM start and code generation;
-every query is then timed twice and the faster run is reported.  Exchange
+every query is then timed three times and the fastest run is reported.  Exchange
 counts per query come from the formatted physical plan.  ``literal_baseline``
 times the literal join/window formulation of three views on the same Spark
 session (set BENCH_LITERAL=0 to skip it).
@@ -59,7 +59,7 @@ def main() -> None:
     for key in keys:
         df = qs[key](spark, sf_dir)
         exchanges[key] = plan_counts(df)["exchanges"]
-        times[key] = round(min(run(qs[key](spark, sf_dir)) for _ in range(2)), 3)
+        times[key] = round(min(run(qs[key](spark, sf_dir)) for _ in range(3)), 3)
     literal = {}
     if os.environ.get("BENCH_LITERAL", "1") != "0":
         sqls = oracle.all_sql()
