@@ -112,6 +112,20 @@ def canceled_incomplete(logs: DataFrame) -> DataFrame:
             .select("followup_id").distinct())
 
 
+def _registrations(users: DataFrame, default_platform: str) -> DataFrame:
+    """Distinct (day, covenant, platform, user_id) registration rows.
+
+    DISTINCT first (map-side partial aggregation): copies of a user row,
+    however many, are one row before the joins that follow, whose per-user
+    partitions AQE cannot split.  Both users of it build the same plan, so
+    Spark reuses its exchange.
+    """
+    return (users.select(day_start("created_at").alias("day"), "covenant",
+                         F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
+                         "user_id")
+            .distinct())
+
+
 def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                       followups: DataFrame, logs: DataFrame, *,
                       horizon_days: int = HORIZON_DAYS,
@@ -119,13 +133,7 @@ def funnel_user_flags(users: DataFrame, leads: DataFrame, events: DataFrame,
                       excluded_statuses: Sequence[str] = tuple(EXCLUDED_STATUSES),
                       inss: str = INSS) -> DataFrame:
     """One row per (day, covenant, platform, user_id) with the funnel flags."""
-    # DISTINCT first (map-side partial aggregation): copies of a user row,
-    # however many, are one row before the joins below, whose per-user
-    # partitions AQE cannot split (the final aggregation needs them).
-    reg = (users.select(day_start("created_at").alias("day"), "covenant",
-                        F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
-                        "user_id", month_start("created_at").alias("_month"))
-           .distinct())
+    reg = _registrations(users, default_platform).withColumn("_month", month_start("day"))
 
     # One verdict row per user with a non-null lead (users without one get
     # none): it gives the lead existence the chain needs and the status flags.
@@ -182,10 +190,7 @@ def daily_funnel(users: DataFrame, leads: DataFrame, events: DataFrame,
     flags = funnel_user_flags(users, leads, events, followups, logs,
                               horizon_days=horizon_days, default_platform=default_platform,
                               excluded_statuses=excluded_statuses, inss=inss)
-    reg = (users.select(day_start("created_at").alias("day"), "covenant",
-                        F.coalesce(F.col("source_platform"), F.lit(default_platform)).alias("platform"),
-                        "user_id")
-           .distinct())
+    reg = _registrations(users, default_platform)
     lead_ids = leads.where(F.col("lead_id").isNotNull()).select("user_id", "lead_id").distinct()
     group_leads = reg.join(lead_ids, "user_id").select(*GROUP, "lead_id").distinct()
 
