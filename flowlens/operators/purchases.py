@@ -83,8 +83,10 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
     firsts = first_purchase.join(first_key, "user_id").select(
         "user_id", "_first_followup_id", F.col("_fk.k").alias("_first_key"))
 
-    rows = (purchases.join(ids, "user_id")
-            .join(firsts, "user_id")
+    # The two per-user tables meet first, so the only join touching the big
+    # purchases side is the last operator before the output: AQE may split a
+    # hot user's partition there (it cannot under a second join on user_id).
+    rows = (purchases.join(ids.join(firsts, "user_id"), "user_id")
             .withColumn("_is_first", (F.col("followup_id") == F.col("_first_followup_id"))
                         & F.col("client_key").eqNullSafe(F.col("_first_key"))
                         & (F.col("_chunk") == 0)))
