@@ -4,21 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, queries_sql
+from flowlens.llm import decontam, queries_sql, tokencount
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencount.token_counts(_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hit_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_decontamination,)}
+    return {f.__name__: f for f in (op1_token_counts, op9_decontamination,)}
 
 
 def oracle_sql() -> dict[str, str]:
