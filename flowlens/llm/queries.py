@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, queries_sql, tokencount
+from flowlens.llm import decontam, queries_sql, tokencount, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +21,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                                       tokenfiles.token_file_folder(spark))
+    return tokenfiles.read_documents(manifest)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hit_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op9_decontamination,)}
+    return {f.__name__: f for f in (op1_token_counts, op7_token_files, op9_decontamination,)}
 
 
 def oracle_sql() -> dict[str, str]:
