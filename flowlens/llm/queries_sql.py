@@ -20,4 +20,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLES = {"op9_decontamination": OP9}
+OP5 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
+      FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM k),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE n > 1),
+g AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM c GROUP BY doc_id),
+m AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+      ANTI JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+ORACLES = {"op5_substring_dedup": OP5, "op9_decontamination": OP9}
