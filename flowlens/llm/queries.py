@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, piecebpe, queries_sql, substrings, tokencount, tokenfiles
+from flowlens.llm import decontam, ngramjoin, piecebpe, queries_sql, substrings, tokencount, tokenfiles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similar_components(_table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op5_substring_dedup, op7_token_files, op8_sentencepiece,
+    return {f.__name__: f for f in (op1_token_counts, op3_ngram_jaccard, op5_substring_dedup, op7_token_files, op8_sentencepiece,
                                       op9_decontamination,)}
 
 

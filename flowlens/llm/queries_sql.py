@@ -20,6 +20,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+OP3 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+      FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, coalesce(min(r.c), d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id
+"""
+
 OP5 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k
@@ -35,4 +48,4 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM d LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-ORACLES = {"op5_substring_dedup": OP5, "op9_decontamination": OP9}
+ORACLES = {"op3_ngram_jaccard": OP3, "op5_substring_dedup": OP5, "op9_decontamination": OP9}

@@ -128,8 +128,8 @@ def window_codes(code: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
 
 def short_code(code: np.ndarray, k: int, seed: int = 5) -> int:
     """Code of a whole sequence shorter than ``k``; its length is part of it."""
-    total = (code * constants(k, seed)[:len(code)]).sum(dtype=np.uint64)
-    return int(mix(np.array([total + np.uint64(len(code)) * np.uint64(0xA0761D6478BD642F)], np.uint64))[0])
+    total = (code * constants(k, seed)[:len(code)]).sum(dtype=np.uint64, keepdims=True)
+    return int(mix(total + np.full(1, len(code), np.uint64) * np.uint64(0xA0761D6478BD642F))[0])
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
