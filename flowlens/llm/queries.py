@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, ngramjoin, piecebpe, queries_sql, substrings, tokencount, tokenfiles
+from flowlens.llm import decontam, ngramjoin, piecebpe, queries_sql, substrings, tokencount, tokenfiles, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +43,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hit_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op3_ngram_jaccard, op5_substring_dedup, op7_token_files, op8_sentencepiece,
-                                      op9_decontamination,)}
+                                      op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
