@@ -130,14 +130,16 @@ SPANS_DDL = "array<struct<start: bigint, end: bigint>>"
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """(doc_id, text, n_words, hit_spans, hit_items) per row of ``docs``.
+    """(doc_id, text, n_words, hit_spans, hit_items) per row of ``docs``; other columns go into ``row``.
 
     ``hit_spans`` are word ranges [start, end) inside some benchmark window (they
     may overlap when the benchmark came in several blocks); ``hit_items`` the
     sorted ids of the items whose windows occur.
     """
-    keep = ["doc_id", "text"]
-    start = docs.select(*keep, F.lit(0).cast("long").alias("n_words"),
+    keep = ["doc_id", "text", "row"]
+    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.struct(*others) if others else F.lit(None).cast("string")
+    start = docs.select("doc_id", "text", row.alias("row"), F.lit(0).cast("long").alias("n_words"),
                         F.array().cast(SPANS_DDL).alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"))
     schema = start.schema
     tables = benchmark_blocks(benchmark, ngram, max_windows) or [{}]
@@ -147,8 +149,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_win
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """``docs`` (doc_id, text) without the documents that hold a benchmark window."""
-    return find_hits(docs, benchmark, ngram).where(F.size("hit_items") == 0).select("doc_id", "text")
+    """``docs``, all columns, without the documents that hold a benchmark window."""
+    clean = find_hits(docs, benchmark, ngram).where(F.size("hit_spans") == 0)
+    return clean.select(*[F.col(c) if c in ("doc_id", "text") else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +174,7 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def hit_digest(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """Counts and the digest of the hit items per document."""
-    found = find_hits(docs, benchmark, ngram).drop("text")
+    found = find_hits(docs.select("doc_id", "text"), benchmark, ngram).drop("text", "row")
     return found.mapInArrow(_digest_rows, "doc_id long, n_words long, n_hit long, n_items long, "
                                           "items_sha256 string, contaminated boolean")
 
