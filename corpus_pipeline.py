@@ -1,30 +1,65 @@
-"""The training-data pipeline: stages over ``documents``, each by one llm operator."""
+"""The training-data pipeline: five stages over ``documents``, each by one llm operator.
+
+A stage gets what its predecessor kept.  All stages but the last return the columns of
+the documents they got; ``run`` writes each result to the shared folder and reads it back.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlens.llm import decontam
+from flowlens.llm import decontam, ngramjoin, piecebpe, substrings, toxicity
 from flowlens.llm.workspace import stored
 
 
-def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the toxicity threshold."""
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("toxic_score") < toxicity.THRESHOLD).drop("toxic_score")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: that of the smallest id."""
+    return ngramjoin.keep_one(docs)
 
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also start earlier; ``n_chars`` follows the text."""
+    cut = substrings.remove_repeats(docs)
+    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
-    clean = decontam.find_hits(docs, _benchmark(spark, sf_dir))
-    return clean.where("size(hit_items) = 0").select("doc_id", "text")
+    return decontam.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document and the digests of its round trip."""
+    return piecebpe.round_trip_digest(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
 
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("substring_dedup", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", encode_pieces),
+]
 
-STAGES = [("decontamination", decontamination)]
+#: SQL cannot express the toxicity model and the tokenizer; tests check the stages by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
