@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, ngramjoin, piecebpe, queries_sql, substrings, tokencount, tokenfiles, toxicity
+from flowlens.llm import decontam, ngramjoin, piecebpe, queries_sql, sharding, substrings, tokencount, tokenfiles, toxicity
+from flowlens.llm.workspace import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, sf_dir, "documents"), 40, new_path(spark, "slot-map"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similar_components(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_ngram_jaccard, op5_substring_dedup, op7_token_files, op8_sentencepiece,
+    return {f.__name__: f for f in (op1_token_counts, op2_virtual_slots, op3_ngram_jaccard, op5_substring_dedup, op7_token_files, op8_sentencepiece,
                                       op9_decontamination, op10_toxicity)}
 
 
