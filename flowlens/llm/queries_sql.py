@@ -48,4 +48,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_
 FROM d LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-ORACLES = {"op3_ngram_jaccard": OP3, "op5_substring_dedup": OP5, "op9_decontamination": OP9}
+OP6 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, host, t, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+             trim(regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS k
+      FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+hosts AS (SELECT host, count(DISTINCT t) AS documents FROM d GROUP BY host),
+f AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT t) AS n FROM l GROUP BY host, k) JOIN hosts USING (host)
+      WHERE n >= 10 AND 100 * n > documents),
+gone AS (SELECT doc_id, sum(n) AS n FROM l JOIN f USING (host, k) GROUP BY doc_id),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE c > 1) GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(CAST(length(array_to_string(w, '')) AS BIGINT), 0) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+             CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+      FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_removed_words >= 50
+       AND 100 * (n_words - n_removed_words) >= 50 * n_words AS kept
+FROM m
+"""
+
+ORACLES = {"op6_line_frequency": OP6, "op3_ngram_jaccard": OP3, "op5_substring_dedup": OP5, "op9_decontamination": OP9}
