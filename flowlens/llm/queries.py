@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, linequality, ngramjoin, piecebpe, queries_sql, sharding, substrings, tokencount, tokenfiles, toxicity
+from flowlens.llm import decontam, htmltext, linequality, ngramjoin, piecebpe, queries_sql, sharding, substrings, tokencount, tokenfiles, toxicity
 from flowlens.llm.workspace import new_path
 
 
@@ -32,6 +32,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similar_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_virtual_slots, op3_ngram_jaccard, op5_substring_dedup, op6_line_frequency, op7_token_files, op8_sentencepiece,
+    return {f.__name__: f for f in (op1_token_counts, op2_virtual_slots, op3_ngram_jaccard, op4_template_removal, op5_substring_dedup, op6_line_frequency, op7_token_files, op8_sentencepiece,
                                       op9_decontamination, op10_toxicity)}
 
 
