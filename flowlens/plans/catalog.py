@@ -169,14 +169,14 @@ def q_event_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_event_paths_reference_graph(spark: SparkSession, sf: str) -> DataFrame:
     """The reference's 17-edge graph over driver events renamed to its event ids."""
-    events = A.app_events_named(spark, sf, DEFAULT_GRAPH.event_ids())
+    events = A.app_events_named(spark, sf, sorted(DEFAULT_GRAPH.event_ids()))
     return event_paths(events, A.users(spark, sf), DEFAULT_GRAPH, covenants=None)
 
 
 def q_event_paths_literal_graph(spark: SparkSession, sf: str) -> DataFrame:
     """Same, with edge 6 on the literal (blocked-button) chain."""
     graph = default_graph(literal_edge6=True)
-    events = A.app_events_named(spark, sf, DEFAULT_GRAPH.event_ids())
+    events = A.app_events_named(spark, sf, sorted(graph.event_ids()))
     return event_paths(events, A.users(spark, sf), graph, covenants=None)
 
 

@@ -2,20 +2,20 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from flowlens.plans import catalog
 from flowlens.plans.inspect import physical_plan
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_no_nested_loop_or_cartesian(spark, key):
-    plan = physical_plan(entry.queries()[key](spark, SF))
+    plan = physical_plan(catalog.queries()[key](spark, SF))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 def test_path_filter_pushed_to_scan(spark):
-    plan = physical_plan(entry.queries()["event_paths"](spark, SF))
+    plan = physical_plan(catalog.queries()["event_paths"](spark, SF))
     scans = [block for block in plan.split("\n\n") if "events.parquet" in block]
     assert len(scans) == 1, "events must be scanned once"
     assert "PushedFilters: [In(event_type" in scans[0]
@@ -23,7 +23,7 @@ def test_path_filter_pushed_to_scan(spark):
 
 
 def test_responsible_scan_reads_only_needed_columns(spark):
-    plan = physical_plan(entry.queries()["stage_responsible"](spark, SF))
+    plan = physical_plan(catalog.queries()["stage_responsible"](spark, SF))
     assert "props" not in plan
 
 
@@ -33,10 +33,10 @@ def _scans_of(plan: str, table: str) -> int:
 
 @pytest.mark.parametrize("key", ["state_durations", "state_periods"])
 def test_durations_read_the_log_once(spark, key):
-    plan = physical_plan(entry.queries()[key](spark, SF))
+    plan = physical_plan(catalog.queries()[key](spark, SF))
     assert _scans_of(plan, "lineitem") == 1
 
 
 def test_funnel_has_no_expand(spark):
-    plan = physical_plan(entry.queries()["daily_funnel"](spark, SF))
+    plan = physical_plan(catalog.queries()["daily_funnel"](spark, SF))
     assert "Expand" not in plan and "NestedLoopJoin" not in plan
