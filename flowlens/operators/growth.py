@@ -18,14 +18,15 @@ Reference semantics kept (SURVEY 2.4, D12-D15):
 * running sums order months ascending with NULL months last.
 
 Plan: every per-entity step is an aggregation (partial aggregation handles a
-hot client or user), and contracts are reduced once to (client, month)
-sums that feed four measures.  Only month-grain tables (at most a few
+hot client or user), and contracts are scanned once and reduced to (client,
+month) sums, from which one window over a client's own months gives all four
+client measures.  Only month-grain tables (at most a few
 hundred rows) reach the running-sum windows and the spine joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.semantics import is_present, month_start, running_total
@@ -96,12 +97,39 @@ def monthly_clients(cm: DataFrame) -> DataFrame:
 
 
 def first_month_commission(cm: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new clients per first month with running total, first-month commission)."""
-    first = cm.groupBy("client_key").agg(F.min("month").alias("month"))
-    new = _counts_by_first_month(first, "client_key", "new_clients")
-    commission = (cm.join(first, ["client_key", "month"])
-                  .groupBy("month").agg(F.sum("commission").alias("first_purchase_commission")))
-    return new, commission
+    """(new clients per first month with running total, first-month commission).
+
+    ``cm`` has one row per (client, month), so the least (month, commission) of a client
+    is its first month together with that month's commission: one aggregation, no join.
+    """
+    per_month = opening_months(cm)
+    new = running_total(per_month.select("month", "new_clients"), "month", "new_clients", "cumulative")
+    return new, per_month.select("month", "first_purchase_commission")
+
+
+def opening_months(cm: DataFrame) -> DataFrame:
+    """Clients and commission per first paying month."""
+    first = cm.groupBy("client_key").agg(F.min(F.struct("month", "commission")).alias("first"))
+    return first.groupBy(F.col("first.month").alias("month")).agg(
+        F.count("client_key").alias("new_clients"), F.sum("first.commission").alias("first_purchase_commission"))
+
+
+def client_measures(cm: DataFrame) -> DataFrame:
+    """All four client measures per month from one pass over (client, month) rows.
+
+    A client's months are put beside its first one by a window over the client's own few
+    rows; every measure is then a conditional sum per month.
+    """
+    own = Window.partitionBy("client_key")
+    opens = F.col("month") == F.min("month").over(own)
+    per_month = (cm.withColumn("_opens", opens).groupBy("month").agg(
+        F.count(F.lit(1)).alias("unique_clients"), F.sum("commission").alias("total_commission"),
+        F.count_if("_opens").alias("new_clients"),
+        F.sum(F.when(F.col("_opens"), F.col("commission"))).alias("first_purchase_commission")))
+    opened = per_month.withColumn("new_clients", F.when(F.col("new_clients") > 0, F.col("new_clients")))
+    # the running number belongs to months with new clients only
+    total = F.sum("new_clients").over(Window.orderBy(F.col("month").asc_nulls_last()))
+    return opened.withColumn("_clients", F.when(F.col("new_clients").isNotNull(), total))
 
 
 def monthly_growth(users: DataFrame, leads: DataFrame, contracts: DataFrame, *,
@@ -110,15 +138,11 @@ def monthly_growth(users: DataFrame, leads: DataFrame, contracts: DataFrame, *,
     cov = new_covenants(users, unknown_covenant).select("month", F.col("cumulative").alias("_cov"))
     qual = qualified_leads(users, leads).select(F.col("month").alias("_qmonth"),
                                                 F.col("cumulative").alias("_qual"))
-    cm = client_months(contracts)
-    new_clients, first_comm = first_month_commission(cm)
-    clients = new_clients.select("month", F.col("cumulative").alias("_clients"), "new_clients")
+    clients = client_measures(client_months(contracts))
 
     out = (spine.join(cov, "month", "left")
            .join(qual, F.col("month") == F.col("_qmonth"), "left")
-           .join(clients, "month", "left")
-           .join(monthly_clients(cm), "month", "left")
-           .join(first_comm, "month", "left"))
+           .join(clients, "month", "left"))
     if since is not None:
         out = out.where(F.col("_qmonth") >= F.lit(since).cast("timestamp_ntz"))
     return out.select(

@@ -3,32 +3,30 @@
 Every completed purchase of a user, labelled 'First-time purchase' for the
 chronologically first one and 'Repeat purchase' otherwise.
 
-Reference semantics kept:
-* purchases: status 'Finalizado', commission >= 0, user id present;
-  seller name by LEFT join on seller id;
-* the user must exist in ``users`` and have a client id; a purchase is
-  repeated once per client id of its user, and ranking happens *after* that
-  join, so a user with two client ids gets one 'First' row and one 'Repeat'
-  row for the first purchase;
-* order: COALESCE(finalized_at, created_at) ascending, NULLS LAST.  The
-  reference orders by time only; we add (followup_id, client_key) as the
-  tie-break so the result is deterministic.
-
-Plan: instead of ROW_NUMBER over a user window (one task per user: a user
-with a third of all purchases would sort a third of the data in one task),
-the first row per user is the ``min`` of a struct, computed with map-side
-partial aggregation, and joined back on user_id (AQE splits a skewed join
-partition).  Exact duplicate client-id rows are counted, not windowed, and
-expanded back in bounded chunks: the first row with multiplicity n gives one
-'First' and n-1 'Repeat' rows, and no array ever exceeds ``COPY_CHUNK``.
+Semantics:
+* purchases: status 'Finalizado', commission >= 0, user id present; seller name by LEFT
+  join on seller id;
+* the user must exist in ``users`` and have a client id.  Every join multiplies: a
+  purchase appears once per user row, client id row and seller row that matches, and the
+  ranking is over those rows, so exactly one row per user is the first;
+* order: COALESCE(finalized_at, created_at) ascending with NULL last, then followup_id,
+  client_key, seller_name and the row's other columns, which makes it total up to copies.
+
+Plan: no user window (a user with a third of all purchases would be sorted in one task).
+Copies of purchases, user rows, client ids and seller names are counted by partial
+aggregation; the least purchase of a user is a ``min`` of a struct over the filtered
+followups alone, the least client key and seller name are taken from their own small
+tables, and the row that is least in all three is the first.  The per-user tables meet
+before they meet the purchases, sellers are joined once at the end, and AQE splits a hot
+partition of either join.  Copies are expanded last, in chunks of ``COPY_CHUNK``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.semantics import assert_unique, first_per_key, is_present, month_start
+from flowlens.functions.semantics import assert_unique, is_present, month_start
 
 COPY_CHUNK = 1024
 
@@ -39,68 +37,61 @@ OUTPUT_COLUMNS = ["month", "user_id", "client_key", "seller", "platform",
                   "purchase_type", "commission", "completion_date", "creation_date"]
 
 
+PURCHASE = ["followup_id", "user_id", "seller_id", "origin_platform", "commission", "finalized_at", "created_at"]
+
+
+def _rank() -> Column:
+    """A purchase's place among those of its user; NULLs last."""
+    moment = F.coalesce("finalized_at", "created_at")
+    rest = [c for c in PURCHASE if c not in ("user_id", "followup_id")]
+    return F.struct(moment.isNull().alias("_late"), moment.alias("_moment"), "followup_id",
+                    *[x for c in rest for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))])
+
+
+def _counted(df: DataFrame, keys: list[str], n: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+
+
 def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame,
                     client_ids: DataFrame, *, done_status: str = "Finalizado",
                     assert_users_unique: bool = False) -> DataFrame:
-    """One row per (completed purchase, client id) with its purchase type.
+    """One row per (completed purchase, user row, client id row, seller row) with its type.
 
-    Users only filter here (a semi-join), so duplicates cannot fan out;
-    ``assert_users_unique`` still checks the key contract on request.
+    ``assert_users_unique`` checks the key contract of ``users`` instead of multiplying.
     """
     if assert_users_unique:
         assert_unique(users, ["user_id"], "users")
     user_type = dict(followups.dtypes)["user_id"]
     present = is_present("user_id") if user_type == "string" else F.col("user_id").isNotNull()
-    purchases = (followups
-                 .where((F.col("status") == done_status) & (F.col("commission") >= 0) & present)
-                 .select("followup_id", "user_id", "seller_id", "origin_platform",
-                         "commission", "finalized_at", "created_at")
-                 .join(users.select("user_id").distinct(), "user_id", "left_semi")
-                 .join(operators.select("seller_id", "seller_name"), "seller_id", "left")
-                 .withColumn("_ts", F.coalesce("finalized_at", "created_at")))
-
-    # Exact duplicate client-id rows ("copies") are counted, then cut into
-    # chunk rows of at most COPY_CHUNK copies: the expansion below never
-    # builds an array longer than COPY_CHUNK, however many copies a key has,
-    # and a key with many copies becomes many join rows that AQE's skew-join
-    # split can spread over tasks.
-    counted = (client_ids.groupBy("user_id", "client_key")
-               .agg(F.count(F.lit(1)).alias("_n")))
-    ids = (counted.withColumn("_chunk", F.explode(F.sequence(
-                F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPY_CHUNK).cast("long"))))
-           .withColumn("_copies", F.least(F.lit(COPY_CHUNK).cast("long"),
-                                          F.col("_n") - F.col("_chunk") * COPY_CHUNK))
-           .drop("_n"))
-
-    # First (purchase, client key) per user: min over the two factors of the
-    # join separately, which equals the min over their product.
-    first_purchase = first_per_key(purchases, ["user_id"],
-                                   [F.col("_ts").isNull(), "_ts", "followup_id"],
-                                   ["followup_id"], prefix="_first_")
-    first_key = counted.groupBy("user_id").agg(
-        F.min(F.struct(F.col("client_key").isNull().alias("_n"),
-                       F.col("client_key").alias("k"))).alias("_fk"))
-    firsts = first_purchase.join(first_key, "user_id").select(
-        "user_id", "_first_followup_id", F.col("_fk.k").alias("_first_key"))
-
-    # The two per-user tables meet first, so the only join touching the big
-    # purchases side is the last operator before the output: AQE may split a
-    # hot user's partition there (it cannot under a second join on user_id).
-    rows = (purchases.join(ids.join(firsts, "user_id"), "user_id")
-            .withColumn("_is_first", (F.col("followup_id") == F.col("_first_followup_id"))
-                        & F.col("client_key").eqNullSafe(F.col("_first_key"))
-                        & (F.col("_chunk") == 0)))
-    # n copies of the first row: only the first copy of chunk 0 is 'First'.
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-
+    purchases = followups.where((F.col("status") == done_status) & (F.col("commission") >= 0) & present).select(*PURCHASE)
+
+    first = purchases.groupBy("user_id").agg(F.min(_rank()).alias("_first"))
+    keys = _counted(client_ids, ["user_id", "client_key"], "_n_keys")
+    first_key = keys.groupBy("user_id").agg(F.min(F.struct(F.col("client_key").isNull().alias("_none"), "client_key")).alias("_first_key"))
+    people = (_counted(users, ["user_id"], "_n_users").join(first, "user_id").join(first_key, "user_id").join(keys, "user_id")
+              .withColumn("_key_first", F.col("client_key").eqNullSafe(F.col("_first_key.client_key"))))
+    sellers = _counted(operators, ["seller_id", "seller_name"], "_n_sellers")
+    first_seller = sellers.groupBy("seller_id").agg(
+        F.min(F.struct(F.col("seller_name").isNull().alias("_none"), "seller_name")).alias("_first_seller"))
+    sellers = (sellers.join(first_seller, "seller_id")
+               .withColumn("_seller_first", F.col("seller_name").eqNullSafe(F.col("_first_seller.seller_name")))
+               .drop("_first_seller"))
+
+    rows = (_counted(purchases, PURCHASE, "_n_rows").join(people, "user_id").join(sellers, "seller_id", "left")
+            .withColumn("_copies", F.col("_n_rows") * F.col("_n_users") * F.col("_n_keys") * F.coalesce("_n_sellers", F.lit(1)))
+            .withColumn("_is_first", (_rank() == F.col("_first")) & F.col("_key_first") & F.coalesce("_seller_first", F.lit(True))))
+    # copies are expanded in chunk rows, so no array is longer than COPY_CHUNK (but for the list of chunks)
+    rows = (rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / COPY_CHUNK))))
+            .withColumn("_copy", F.explode(F.sequence(
+                F.lit(1).cast("long"), F.least(F.lit(COPY_CHUNK).cast("long"), F.col("_copies") - F.col("_chunk") * COPY_CHUNK)))))
+    opens = F.coalesce(F.col("_is_first"), F.lit(False)) & (F.col("_chunk") == 0) & (F.col("_copy") == 1)
     return rows.select(
         F.coalesce(month_start("finalized_at"), month_start("created_at")).alias("month"),
         "user_id",
         "client_key",
         F.col("seller_name").alias("seller"),
         F.col("origin_platform").alias("platform"),
-        F.when(F.col("_is_first") & (F.col("_copy") == 1), F.lit(FIRST))
-        .otherwise(F.lit(REPEAT)).alias("purchase_type"),
+        F.when(opens, F.lit(FIRST)).otherwise(F.lit(REPEAT)).alias("purchase_type"),
         F.col("commission").cast("double").alias("commission"),
         F.col("finalized_at").alias("completion_date"),
         F.col("created_at").alias("creation_date"),

@@ -106,3 +106,60 @@ def test_first_vs_repeat_many_copies_are_chunked(spark):
     got = Counter((r.creation_date, r.purchase_type) for r in out.collect())
     assert got == Counter({(ts("2024-01-01"), FIRST): 1, (ts("2024-01-01"), REPEAT): 2999,
                            (ts("2024-02-01"), REPEAT): 3000})
+
+
+def test_first_vs_repeat_ranks_after_every_fan_out(spark):
+    """Random rows with repeated users, sellers, client ids and purchases: equal to ROW_NUMBER."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    for seed in (1, 2, 3):
+        rng = random.Random(seed)
+        day = lambda: None if rng.random() < 0.15 else f"2024-01-{rng.randrange(1, 6):02d}"
+        sales = [followup(rng.randrange(12), rng.choice(["u1", "u2", "u3", "", None]), day() or "2024-01-03", day(), "Finalizado",
+                          rng.choice([1, 1, 2, -1]), seller=rng.choice([1, 2, 9, None]), platform=rng.choice(["APP", "WEB", None]))
+                 for _ in range(40)]
+        people = [("u1", "A", None, False, None), ("u1", "B", None, False, None), ("u2", "A", None, False, None),
+                  ("u4", "A", None, False, None)]
+        sellers = [(1, "Ann"), (1, "Bob"), (1, "Bob"), (2, None), (2, "Zoe")]
+        ids = [("u1", "K1"), ("u1", "K1"), ("u1", None), ("u2", "K2"), ("u3", "K3")]
+        fu = spark.createDataFrame(sales, FOLLOWUPS_SCHEMA)
+        got = first_vs_repeat(fu, spark.createDataFrame(sellers, "seller_id long, seller_name string"),
+                              spark.createDataFrame(people, USERS_SCHEMA),
+                              spark.createDataFrame(ids, "user_id string, client_key string")).toPandas()
+        s = fu.toPandas()  # noqa: F841
+        p = pd.DataFrame(people, columns=["user_id", "c", "x", "b", "o"])  # noqa: F841
+        o = pd.DataFrame({"seller_id": [a for a, _ in sellers], "seller_name": pd.array([b for _, b in sellers], "string")})  # noqa: F841
+        i = pd.DataFrame({"user_id": [a for a, _ in ids], "client_key": pd.array([b for _, b in ids], "string")})  # noqa: F841
+        want = duckdb.sql("""
+            SELECT s.user_id, client_key, seller_name AS seller, origin_platform AS platform, CAST(commission AS DOUBLE) AS commission,
+                   finalized_at, s.created_at, row_number() OVER (PARTITION BY s.user_id ORDER BY
+                     coalesce(finalized_at, s.created_at) NULLS LAST, followup_id, s.seller_id NULLS LAST,
+                     origin_platform NULLS LAST, commission, finalized_at NULLS LAST, s.created_at, client_key NULLS LAST,
+                     seller_name NULLS LAST) = 1 AS first
+            FROM s JOIN p ON p.user_id = s.user_id JOIN i ON i.user_id = s.user_id LEFT JOIN o ON o.seller_id = s.seller_id
+            WHERE commission >= 0 AND s.user_id <> ''""").df()
+        key = lambda r: tuple("" if pd.isna(v) else str(v) for v in r)
+        a = sorted(key((r.user_id, r.client_key, r.seller, r.platform, r.commission, r.completion_date, r.creation_date,
+                        r.purchase_type == FIRST)) for r in got.itertuples())
+        b = sorted(key((r.user_id, r.client_key, r.seller, r.platform, r.commission, r.finalized_at, r.created_at, r.first))
+                   for r in want.itertuples())
+        assert a == b
+        assert (got[got.purchase_type == FIRST].groupby("user_id").size() == 1).all()
+
+
+def test_growth_reads_contracts_once(spark):
+    from flowlens.plans.inspect import final_plan
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        contracts = spark.range(50).selectExpr("CONCAT('K', id % 7) AS client_key", "CAST('2024-01-01' AS timestamp_ntz) AS paid_at",
+                                               "CAST(id AS decimal(18,2)) AS commission")
+        from flowlens.operators import growth as V4
+        plan = final_plan(V4.client_measures(V4.client_months(contracts)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Range (") == 1
