@@ -8,7 +8,6 @@ native Spark expressions, aggregations, joins and windows.  Sub-packages:
 * ``operators``  - the six analytics (stage responsible, state durations,
                    first vs repeat, monthly growth, daily funnel, event paths)
 * ``plans``      - named query catalog, DuckDB oracle SQL, plan inspection
-* ``streaming``  - intentionally empty (the analytics are batch-only)
 """
 
 from flowlens.operators.durations import state_durations, state_periods  # noqa: E402
@@ -25,11 +24,11 @@ from flowlens.operators.paths import (  # noqa: E402
 )
 from flowlens.operators.purchases import first_vs_repeat  # noqa: E402
 from flowlens.operators.transitions import forward_conversions, stage_responsible  # noqa: E402
-from flowlens.sources.tables import publish, read_table  # noqa: E402
+from flowlens.sources.tables import publish, read_published, read_table  # noqa: E402
 
 __all__ = [
     "DEFAULT_GRAPH", "Edge", "PathGraph", "State", "Transition", "daily_funnel",
     "default_graph", "event_paths", "first_vs_repeat", "forward_conversions",
-    "monthly_growth", "publish", "read_table", "stage_responsible", "state_durations",
+    "monthly_growth", "publish", "read_published", "read_table", "stage_responsible", "state_durations",
     "state_periods",
 ]

@@ -1,14 +1,12 @@
 """Session helpers for tests, the bench and local runs.
 
 Library operators never create sessions; they take DataFrames.  On a cluster
-the session comes from the platform and its settings win: we only fill in
-values that are unset (``spark.checkpoint.dir`` in particular).
+the session comes from the platform and its settings win.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -27,31 +25,15 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "flowlens") -> SparkSession:
+                  app_name: str = "flowlens", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured like the cluster one (tests and bench)."""
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("FLOWLENS_DRIVER_MEMORY", "8g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for key, value in RECOMMENDED_CONF.items():
+    for key, value in (RECOMMENDED_CONF | (extra or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting a scratch one only when unset.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; we never
-    override it.  Only local runs (tests) get a fresh scratch folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    target = configured or tempfile.mkdtemp(prefix="flowlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir() or target

@@ -1,3 +1,3 @@
-from flowlens.sources.tables import publish, read_table
+from flowlens.sources.tables import publish, read_published, read_table
 
-__all__ = ["publish", "read_table"]
+__all__ = ["publish", "read_published", "read_table"]

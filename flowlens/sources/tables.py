@@ -1,51 +1,69 @@
 """Readers and the publish sink.
 
-The reference publishes its analytics as materialized views.  Here an
-analytic is a lazy DataFrame; ``publish`` is the action that writes it as a
-Parquet folder or a catalog table (full recompute, overwrite), which is what
-a refresh of such a view does.
+The source analytics are materialized views.  Here an analytic is a lazy DataFrame;
+``publish`` writes it: a new version beside the old one, then a switch of the name, so a
+refresh that fails leaves the old result readable.
 """
 
 from __future__ import annotations
 
-import weakref
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One reader DataFrame per (session, path).  Creating it lists the files and
-# reads Parquet footers (about 0.1 s each); a query that derives several
-# logical tables from the same driver table would otherwise pay that per
-# use.  DataFrames are immutable, so sharing the object is safe; every
-# action still scans the files.
-_READERS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
+def read_table(spark: SparkSession, source: str, name: str) -> DataFrame:
+    """One base table: ``{source}/{name}.parquet`` in a folder or store, or the catalog
+    table ``{schema}.{name}`` if ``source`` is ``catalog:{schema}``.
+
+    Every call lists the files anew, so appended or rewritten files are seen.
+    """
+    if source.startswith("catalog:"):
+        schema = source.removeprefix("catalog:")
+        return spark.table(f"{schema}.{name}" if schema else name)
+    return spark.read.parquet(f"{source.rstrip('/')}/{name}.parquet")
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the latest complete version below a published folder.
+
+    A version is complete once its ``_SUCCESS`` marker, the last file of the commit, is there.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted((s.getPath().getName() for s in store.listStatus(root)), reverse=True)
+    for name in names:
+        if store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}/_SUCCESS")):
+            return f"{path.rstrip('/')}/{name}"
+    raise FileNotFoundError(f"no published version below {path}")
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet`` (columnar, pushdown-capable)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _READERS.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The latest published version of a folder."""
+    return spark.read.parquet(current_version(spark, path))
 
 
 def publish(df: DataFrame, *, path: str | None = None, table: str | None = None,
-            mode: str = "overwrite", partition_by: Sequence[str] | None = None,
-            fmt: str = "parquet") -> None:
-    """Write an analytic result (a refreshed materialized view).
-
-    Exactly one of ``path`` (files in a shared folder) or ``table`` (catalog
-    table) is required.  ``partition_by`` lets readers prune by e.g. month.
-    The write is a normal Spark job: lost executors are retried by Spark and
-    the overwrite commits atomically per the file committer.
+            partition_by: Sequence[str] | None = None) -> None:
+    """Write an analytic result (a refreshed view); exactly one of ``path`` and ``table``.
+
+    ``path``: the result becomes a new version folder below it; readers go through
+    ``read_published``, which takes the latest complete one.  ``table``: the result becomes
+    a new catalog table, and the view ``table`` is pointed at it last (replacing a view is
+    one catalog change).  Either way a failed refresh leaves the old version in place.
+    Older versions stay until the platform's clean-up removes them.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
-    writer = df.write.mode(mode).format(fmt)
+    version = f"v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path is not None:
-        writer.save(path)
-    else:
-        writer.saveAsTable(table)
+        writer.save(f"{path.rstrip('/')}/{version}")
+        return
+    staged = f"{table}_{version}"
+    writer.saveAsTable(staged)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {staged}")

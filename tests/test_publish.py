@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from flowlens import publish
+from flowlens import publish, read_published, read_table
 from flowlens.functions.semantics import assert_unique
 from flowlens.plans import catalog
 
@@ -16,12 +16,41 @@ def test_publish_parquet_roundtrip(spark):
     df = catalog.q_monthly_growth(spark, SF)
     target = os.path.join(tempfile.mkdtemp(prefix="flowlens-publish-"), "monthly_growth")
     publish(df, path=target)
-    publish(df, path=target)                      # a refresh overwrites
-    back = spark.read.parquet(target)
+    publish(df.limit(3), path=target)             # a refresh
+    assert read_published(spark, target).count() == 3
+    publish(df, path=target)
+    back = read_published(spark, target)
     assert sorted(back.collect()) == sorted(df.collect())
     assert back.columns == df.columns            # names with spaces survive
 
 
+def test_failed_refresh_leaves_the_old_version(spark):
+    target = os.path.join(tempfile.mkdtemp(prefix="flowlens-publish-"), "view")
+    bad = spark.range(10).selectExpr("IF(id = 9, raise_error('broken source'), id) AS n")
+    publish(spark.range(5).selectExpr("id AS n"), path=target)
+    with pytest.raises(Exception, match="broken source"):
+        publish(bad, path=target)
+    assert read_published(spark, target).count() == 5
+    spark.sql("CREATE DATABASE IF NOT EXISTS pub LOCATION '" + tempfile.mkdtemp(prefix="flowlens-db-") + "'")
+    publish(spark.range(5).selectExpr("id AS n"), table="pub.view")
+    with pytest.raises(Exception, match="broken source"):
+        publish(bad, table="pub.view")
+    assert spark.table("pub.view").count() == 5
+    publish(spark.range(7).selectExpr("id AS n"), table="pub.view")
+    assert spark.table("pub.view").count() == 7
+    assert read_table(spark, "catalog:pub", "view").count() == 7
+
+
+def test_readers_see_appended_and_rewritten_files(spark):
+    folder = tempfile.mkdtemp(prefix="flowlens-read-")
+    spark.range(10).write.parquet(f"{folder}/t.parquet")
+    assert read_table(spark, folder, "t").count() == 10
+    spark.range(5).write.mode("append").parquet(f"{folder}/t.parquet")
+    assert read_table(spark, folder, "t").count() == 15
+    spark.range(3).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert read_table(spark, folder, "t").count() == 3
+
+
 def test_publish_needs_one_target(spark):
     with pytest.raises(ValueError):
         publish(spark.range(1), path=None, table=None)
