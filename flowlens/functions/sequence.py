@@ -1,147 +1,88 @@
 """Skew-safe LAG / LEAD over an entity sequence.
 
-``LEAD(v) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` puts every row of a
-key into one task.  If one key holds a third of all rows, that task sorts a
-third of the data.  ``with_neighbor`` gives the same result with bounded
-tasks:
-
-1. count rows per key (partial aggregation, so a hot key costs nothing
-   special) and keep the keys above ``max_group_rows``.  There are at most
-   ``N / max_group_rows`` of them, a proven bound, so that list is broadcast;
-2. normal keys keep one window partition; a hot key is cut into
-   ``ceil(n / max_group_rows)`` contiguous time slices (a monotonic function
-   of the first order column, so each slice is a contiguous run of the
-   sequence);
-3. LAG/LEAD runs per (key, slice); the first/last row of each slice gets its
-   neighbour from the adjacent non-empty slice, found with a window over the
-   per-slice edge rows (at most ``n / max_group_rows`` rows per key), joined
-   back by broadcast (same bound as step 1).
-
-When no key is hot (the usual case) the plan is the plain window.  Deciding
-that costs one aggregation of row counts per key; only a boolean reaches the
-driver.  Open limitation: slices are cut by time, so a hot key whose rows
-nearly all share one timestamp stays in one slice.
+``LEAD(v) OVER (PARTITION BY key ORDER BY order)`` puts every row of a key into one task.
+If one key holds a third of all rows, that task sorts a third of the data.  ``with_neighbor``
+gives the same result with slices of about equal *count*, by one algorithm at every size:
+
+1. Splitters.  A row whose hash of (key, order columns) falls on one in ``slice_rows`` is a
+   splitter of its key.  The choice depends on the row's values only, so it is the same
+   wherever it is computed, and it follows the rows, not the clock: a burst or one wrong
+   timestamp moves no bound.  A key has about ``n / slice_rows`` splitters, usually none.
+2. Slices.  A row's slice is the number of its key's splitters before it, compared as a
+   struct with null flags, which is exactly the window's NULLS LAST order for any column
+   type (no arithmetic on the values, so no overflow).  For LEAD a splitter opens its slice,
+   for LAG it closes it.
+3. LAG/LEAD runs per (key, slice).  The row at the edge of a slice has the splitter itself
+   as its neighbour, whose values travel with the splitters: no stitching join.
+
+No job runs when the DataFrame is defined and no side is broadcast by hint; AQE broadcasts
+the splitters when they are small at run time.  Rows equal in all order columns stay in one
+slice: an order column that tells copies apart (a log id) keeps slices bounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.functions.semantics import epoch_micros
+DEFAULT_SLICE_ROWS = 1_000_000
 
-DEFAULT_MAX_GROUP_ROWS = 4_000_000
-_NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
+def _rank(order: Sequence[str]) -> Column:
+    """The order columns as one struct whose order is the window's, NULLS LAST."""
+    return F.struct(*[c for i, o in enumerate(order) for c in (F.col(o).isNull().alias(f"n{i}"), F.col(o).alias(f"o{i}"))])
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], time_col: str,
-              max_group_rows: int) -> DataFrame:
-    micros = epoch_micros(time_col)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                  F.min(micros).alias("_lo"),
-                                  F.max(micros).alias("_hi"))
-    return (stats.where(F.col("_n") > F.lit(max_group_rows))
-            .withColumn("_nb", F.ceil(F.col("_n") / F.lit(max_group_rows)))
-            .drop("_n"))
 
+def _payload(values: Sequence[str]) -> Column:
+    return F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
 
-def has_hot_keys(df: DataFrame, keys: Sequence[str], time_col: str | None = None,
-                 max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> bool:
-    """True when some key has more than ``max_group_rows`` rows.
 
-    One aggregation of row counts per key (map-side partial counts, so a hot
-    key is cheap); only a boolean reaches the driver.  ``time_col`` is
-    accepted for symmetry with the slicing step and not needed here.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > F.lit(max_group_rows)).limit(1).count() > 0
+def is_splitter(keys: Sequence[str], order: Sequence[str], slice_rows: int) -> Column:
+    """Whether a row cuts its key's sequence."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *order]]), F.lit(slice_rows)) == 0
+
+
+def splitters(order: Sequence[str], values: Sequence[str], when: Column) -> Column:
+    """Aggregate: the sorted splitters of a key, among the rows where ``when`` holds."""
+    return F.sort_array(F.collect_set(F.when(when, F.struct(_rank(order).alias("r"), _payload(values).alias("v")))))
+
+
+def neighbor_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
+                       direction: str, prefix: str) -> DataFrame:
+    """LAG/LEAD of ``df`` whose ``_bounds`` column holds the splitters of the row's key (or NULL)."""
+    ahead = direction == "next"
+    here = _rank(order)
+    before = F.size(F.filter("_bounds", (lambda b: b["r"] <= here) if ahead else (lambda b: b["r"] < here)))
+    at = F.coalesce(F.when(F.col("_bounds").isNotNull(), before), F.lit(0))
+    # the explicit exchange spreads a hot key's slices even where the rows already lie by key
+    rows = df.withColumn("_slice", at).repartition(*[F.col(k) for k in keys], F.col("_slice"))
+    own = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(o).asc_nulls_last() for o in order])
+    inside = (F.lead if ahead else F.lag)(_payload(values)).over(own)
+    edge = F.get(F.col("_bounds"), F.col("_slice") if ahead else F.col("_slice") - 1)["v"]
+    found = rows.withColumn("_found", F.coalesce(inside, edge))
+    out = [F.col(f"_found.v{i}").alias(prefix + v) for i, v in enumerate(values)]
+    return found.select(*[c for c in df.columns if c != "_bounds"], *out)
 
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], direction: str = "next",
-                  prefix: str | None = None,
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-                  stats_from: DataFrame | None = None) -> DataFrame:
+                  prefix: str | None = None, slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
     """Add ``prefix + v`` = value of the previous/next row in the sequence.
 
-    ``order`` is ascending and must be a total order within ``keys`` (pass a
-    tie-break column); its first column is the timestamp used to slice hot
-    keys.  Equivalent to LAG/LEAD over ``PARTITION BY keys ORDER BY order``.
-    ``stats_from`` may be a cheaper superset of ``df`` (same keys and time
-    column, e.g. before a filtering join) to count rows per key on: counts
-    and time ranges of a superset only make the slicing conservative.
+    ``order`` is ascending with NULLs last and must be a total order within ``keys`` (pass a
+    tie-break column).  Equivalent to LAG/LEAD over ``PARTITION BY keys ORDER BY order``; a
+    caller that has no use for rows with a NULL key filters them first, since they are one
+    sequence.
     """
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
     prefix = prefix if prefix is not None else f"{direction}_"
-    shift = F.lead if direction == "next" else F.lag
     keys, order, values = list(keys), list(order), list(values)
-
-    stats = stats_from if stats_from is not None else df
-    if not has_hot_keys(stats, keys, order[0], max_group_rows):
-        w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_last() for o in order])
-        return df.select("*", *[shift(v).over(w).alias(prefix + v) for v in values])
-    hot = _hot_keys(stats, keys, order[0], max_group_rows)
-    micros = epoch_micros(order[0])
-    df = df.withColumn("_t", micros)
-
-    # Hot instants: (key, timestamp) groups of a hot key still above the
-    # limit (at most N / max_group_rows of them, so broadcast).  Their rows
-    # are sub-sliced by the first tie-break column when it is numeric.
-    dtypes = dict(df.dtypes)
-    tb0 = order[1] if len(order) > 1 and dtypes[order[1]] in _NUMERIC else None
-    src = stats if tb0 is None or tb0 in stats.columns else df
-    src_t = src.withColumn("_t", micros) if "_t" not in src.columns else src
-    inst = (src_t.join(F.broadcast(hot.select(*keys)), keys)
-            .groupBy(*keys, "_t")
-            .agg(F.count(F.lit(1)).alias("_tn"),
-                 *([F.min(tb0).alias("_tlo"), F.max(tb0).alias("_thi")] if tb0 else []))
-            .where(F.col("_tn") > F.lit(max_group_rows))
-            .withColumn("_tnb", F.ceil(F.col("_tn") / F.lit(max_group_rows))))
-    marks = inst.groupBy(*keys).agg(F.array_sort(F.collect_list("_t")).alias("_hot_t"))
-    hot = hot.join(marks, keys, "left")
-
-    frac = ((F.col("_t") - F.col("_lo")).cast("double")
-            / (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double"))
-    # Slice id (_b, _m, _s), lexicographically monotone along the order:
-    # _b time bucket (NULL times last); _m position among the key's hot
-    # instants (2k before the k-th, 2k+1 at it); _s tie-break bucket inside
-    # a hot instant (NULL tie-breaks last).
-    sliced = (df.join(F.broadcast(hot), keys, "left")
-              .join(F.broadcast(inst.drop("_tn")), [*keys, "_t"], "left")
-              .withColumn("_b", F.when(F.col("_nb").isNull(), F.lit(0))
-                          .when(F.col("_t").isNull(), F.col("_nb"))
-                          .otherwise(F.floor(frac * F.col("_nb")).cast("long")))
-              .withColumn("_m", F.when(F.col("_hot_t").isNull() | F.col("_t").isNull(), F.lit(0))
-                          .otherwise(F.size(F.filter("_hot_t", lambda x: x < F.col("_t"))) * 2
-                                     + F.when(F.col("_tnb").isNotNull(), F.lit(1)).otherwise(F.lit(0))))
-              .withColumn("_s", F.lit(0).cast("long") if tb0 is None else
-                          F.when(F.col("_tnb").isNull(), F.lit(0).cast("long"))
-                          .when(F.col(tb0).isNull(), F.col("_tnb"))
-                          .otherwise(F.floor((F.col(tb0) - F.col("_tlo")).cast("double")
-                                             / (F.col("_thi") - F.col("_tlo") + F.lit(1)).cast("double")
-                                             * F.col("_tnb")).cast("long"))))
-    slice_cols = ["_b", "_m", "_s"]
-
-    payload = F.struct(*[F.col(v) for v in values])
-    w = Window.partitionBy(*keys, *slice_cols).orderBy(*[F.col(o).asc_nulls_last() for o in order])
-    inner = sliced.withColumn("_in", shift(payload).over(w))
-
-    # Edge row of every slice of a hot key: first row (for "next" of the
-    # previous slice) or last row (for "prev" of the following slice).  The
-    # null flags make struct order equal the window's NULLS LAST order.
-    edge_of = F.min if direction == "next" else F.max
-    edge = F.struct(*[c for i, o in enumerate(order)
-                      for c in (F.col(o).isNull().alias(f"_n{i}"), F.col(o).alias(f"_o{i}"))],
-                    *[F.col(v) for v in values])
-    edges = (sliced.where(F.col("_nb").isNotNull())
-             .groupBy(*keys, *slice_cols).agg(edge_of(edge).alias("_edge")))
-    ws = Window.partitionBy(*keys).orderBy(*slice_cols)
-    edges = edges.select(*keys, *slice_cols, shift(F.col("_edge")).over(ws).alias("_adj"))
-
-    joined = inner.join(F.broadcast(edges), [*keys, *slice_cols], "left")
-    out_cols = [F.when(F.col("_in").isNotNull(), F.col(f"_in.{v}"))
-                .otherwise(F.col(f"_adj.{v}")).alias(prefix + v) for v in values]
-    return joined.select(*[c for c in df.columns if c != "_t"], *out_cols)
+    cuts = df.where(is_splitter(keys, order, slice_rows))
+    bounds = (cuts.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+              .agg(splitters(order, values, F.lit(True)).alias("_bounds")))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    joined = df.join(bounds, same, "left").select(*df.columns, "_bounds")
+    return neighbor_in_slices(joined, keys, order, values, direction, prefix)

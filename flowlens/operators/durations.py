@@ -14,33 +14,29 @@ Reference semantics kept (SURVEY 2.2):
 * states outside ``states`` count nowhere, but still keep the sale's row;
 * attributes come from followups joined (inner) to users.
 
-Plan (no self-joins, no UNION ALL + re-shuffle):
-* usual case, no sale above ``max_group_rows`` log rows: ONE scan, ONE
-  exchange and ONE Window operator over the log.  A single window pass over
-  all log rows of a sale gives the bounds (last log time, first state
-  change, first terminal time: aggregates over a whole-sale frame) and the
-  next state change (LEAD over
-  ``(is_state desc, time, tiebreak)``, so other fields never sit between
-  two state rows).  The per-sale conditional sums (a pivot without Expand)
-  then run on the same hash(followup_id) partitioning, no new exchange;
-* hot sales present: bounds come from a partial aggregation; rows of one
-  sale at one timestamp are collapsed first (only the last one by tie-break
-  can have a non-zero period), then the next state change comes from the
-  sliced, skew-safe LEAD (``with_neighbor``) over distinct timestamps;
-* the initial period is computed per sale next to the attributes.
-Deciding between the two costs one aggregation of row counts per sale;
-``max_group_rows=None`` skips it and always uses the one pass.
+Plan, one for every size (no self-join, no UNION ALL of the log):
+* rows with a NULL sale are dropped at the scan (they match no sale);
+* one partial aggregation per sale gives its bounds (last log time, first state change,
+  first terminal time) and the splitters of its sequence (``functions/sequence``);
+* rows of a sale at one instant collapse, by partial aggregation, to the last state row by
+  tie-break: the others have 0-second periods.  A hot sale or instant, copies included, is
+  merged before the shuffle;
+* the next state change is a skew-safe LEAD over the instants, those with a state change
+  first, so other fields never sit between two of them;
+* per-sale conditional sums form the pivot; the initial period is computed per sale beside
+  the attributes.
+``state_periods`` keeps the state rows and takes the LEAD over them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.semantics import assert_unique, seconds_between
-from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, has_hot_keys, with_neighbor
+from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, is_splitter, neighbor_in_slices, splitters, with_neighbor
 
 # The reference's seven stage names, in the order of its
 # output columns.
@@ -57,22 +53,23 @@ def _attributes(followups: DataFrame, users: DataFrame) -> DataFrame:
                     F.col("commission").cast("double").alias("commission")))
 
 
+def _bound_columns(is_state, terminal_state: str) -> list:
+    return [F.max("log_date").alias("max_log"),
+            F.min(F.when(is_state, F.col("log_date"))).alias("first_change"),
+            F.min(F.when(is_state & (F.col("updated_content") == terminal_state), F.col("log_date"))).alias("done_at")]
+
+
 def _bounds(logs: DataFrame, state_field: str, terminal_state: str) -> DataFrame:
-    is_state = F.col("changed_field") == state_field
-    return logs.groupBy("followup_id").agg(
-        F.max("log_date").alias("max_log"),
-        F.min(F.when(is_state, F.col("log_date"))).alias("first_change"),
-        F.min(F.when(is_state & (F.col("updated_content") == terminal_state),
-                     F.col("log_date"))).alias("done_at"))
+    return logs.groupBy("followup_id").agg(*_bound_columns(F.col("changed_field") == state_field, terminal_state))
 
 
 def _state_rows(logs: DataFrame, state_field: str, tiebreak: Sequence[str],
-                max_group_rows: int) -> DataFrame:
+                slice_rows: int) -> DataFrame:
     rows = (logs.where(F.col("changed_field") == state_field)
             .select("followup_id", "log_date", *tiebreak,
                     F.col("updated_content").alias("state")))
     rows = with_neighbor(rows, ["followup_id"], ["log_date", *tiebreak], ["log_date"],
-                         direction="next", prefix="next_", max_group_rows=max_group_rows)
+                         direction="next", prefix="next_", slice_rows=slice_rows)
     return rows.select("followup_id", "state", F.col("log_date").alias("start_time"),
                        F.col("next_log_date").alias("end_time"))
 
@@ -86,105 +83,44 @@ def _capped(periods: DataFrame) -> DataFrame:
             .withColumn("duration_seconds", seconds_between("start_time", "end_time")))
 
 
-def _one_pass(logs: DataFrame, state_field: str, terminal_state: str,
-              tiebreak: Sequence[str], with_first: bool = False) -> DataFrame:
-    """All log rows with the sale bounds and, for state rows, the next state change
-    (``_first`` marks one row per sale when ``with_first``)."""
-    is_state = F.coalesce(F.col("changed_field") == state_field, F.lit(False))
-    seq = Window.partitionBy("followup_id").orderBy(
-        F.col("_is").desc(), F.col("log_date").asc_nulls_last(),
-        *[F.col(c).asc_nulls_last() for c in tiebreak])
-    # Same partition and order as ``seq`` with a whole-sale frame: Spark
-    # evaluates both in one Window operator over one sort.
-    sale = seq.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = logs.select("followup_id", "log_date", *tiebreak,
-                       F.col("updated_content").alias("state"), is_state.alias("_is"))
-    nxt = {"s": F.lead("_is").over(seq), "t": F.lead("log_date").over(seq)}
-    first = [(F.row_number().over(seq) == 1).alias("_first")] if with_first else []
-    return rows.select(
-        "followup_id", "state", "_is", *first, F.col("log_date").alias("start_time"),
-        F.when(F.col("_is") & nxt["s"], nxt["t"]).alias("end_time"),
-        F.max("log_date").over(sale).alias("max_log"),
-        F.min(F.when(F.col("_is"), F.col("log_date"))).over(sale).alias("first_change"),
-        F.min(F.when(F.col("_is") & (F.col("state") == terminal_state), F.col("log_date")))
-        .over(sale).alias("done_at"))
-
-
 def _per_sale(logs: DataFrame, state_field: str, terminal_state: str, states: Sequence[str],
-              tiebreak: Sequence[str], max_group_rows: int | None) -> DataFrame:
+              tiebreak: Sequence[str], slice_rows: int) -> DataFrame:
     """Per sale: bounds, number of kept state periods and seconds per state."""
-    def sums(kept_rows: DataFrame):
-        return [F.count_if(F.col("_kept")).alias("_kept"),
-                *[F.sum(F.when(F.col("_kept") & (F.col("state") == s), F.col("duration_seconds"))
-                        .otherwise(F.lit(0))).alias(f"_s_{s}") for s in states]]
-
+    is_state = F.coalesce(F.col("changed_field") == state_field, F.lit(False))
+    order, values = ["_other", "log_date"], ["_other", "log_date"]
+    marked = logs.withColumn("_other", ~is_state)
+    cut = is_state & is_splitter(["followup_id"], order, slice_rows)
+    sale = marked.groupBy("followup_id").agg(*_bound_columns(is_state, terminal_state),
+                                             splitters(order, values, cut).alias("_bounds"))
+    # the last state row of an instant by tie-break, NULLs last as in the LEAD's order
+    place = F.struct(*[x for c in tiebreak for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))],
+                     F.col("updated_content").alias("state"))
+    instants = marked.groupBy("followup_id", "log_date").agg(
+        F.min("_other").alias("_other"), F.max(F.when(is_state, place)).alias("_last"),
+        F.count(F.when(is_state, F.col("updated_content"))).alias("_n_kept"))
+    rows = neighbor_in_slices(instants.join(sale, "followup_id"), ["followup_id"], order, values, "next", "next_")
     cap = F.coalesce(F.col("done_at"), F.col("max_log"))
-    if max_group_rows is None or not has_hot_keys(logs, ["followup_id"], "log_date", max_group_rows):
-        rows = _one_pass(logs, state_field, terminal_state, tiebreak)
-        rows = (rows.withColumn("_kept", F.col("_is") & F.col("state").isNotNull()
-                                & (F.col("start_time") <= cap))
-                .withColumn("duration_seconds", seconds_between(
-                    "start_time", F.least(F.coalesce(F.col("end_time"), F.col("max_log")), cap))))
-        return rows.groupBy("followup_id").agg(
-            F.max("max_log").alias("max_log"), F.max("first_change").alias("first_change"),
-            F.max("done_at").alias("done_at"), *sums(rows))
-    # Hot sales.  Rows of one sale at one timestamp are interchangeable but
-    # for the last one by tie-break: the others get 0-second periods, and
-    # only the last row's state receives the gap to the next timestamp.  So
-    # each (sale, timestamp) group is first collapsed by partial aggregation
-    # (a third of all rows at one instant, copies included, become one row)
-    # and the sliced LEAD runs over distinct timestamps.
-    bounds = _bounds(logs, state_field, terminal_state)
-    is_state = F.col("changed_field") == state_field
-    instants = (logs.where(is_state)
-                .groupBy("followup_id", "log_date")
-                .agg(F.max(F.struct(*[F.col(c) for c in tiebreak],
-                                    F.col("updated_content").alias("state"))).alias("_last"),
-                     F.count("updated_content").alias("_n_kept")))
-    instants = with_neighbor(instants, ["followup_id"], ["log_date"], ["log_date"],
-                             direction="next", prefix="next_", max_group_rows=max_group_rows)
-    rows = instants.join(bounds, "followup_id")
-    kept = F.col("log_date") <= cap
-    last_state = F.col("_last.state")
-    secs = seconds_between("log_date", F.least(F.coalesce(F.col("next_log_date"), F.col("max_log")), cap))
-    per_sale = rows.groupBy("followup_id").agg(
-        F.sum(F.when(kept, F.col("_n_kept")).otherwise(F.lit(0))).alias("_kept"),
-        *[F.sum(F.when(kept & (last_state == s), secs).otherwise(F.lit(0))).alias(f"_s_{s}")
+    end = F.coalesce(F.when(~F.col("next__other"), F.col("next_log_date")), F.col("max_log"))
+    rows = (rows.withColumn("_on", ~F.col("_other") & (F.col("log_date") <= cap))
+            .withColumn("_sec", seconds_between("log_date", F.least(end, cap))))
+    return rows.groupBy("followup_id").agg(
+        F.max("max_log").alias("max_log"), F.max("first_change").alias("first_change"), F.max("done_at").alias("done_at"),
+        F.sum(F.when(F.col("_on"), F.col("_n_kept")).otherwise(F.lit(0))).alias("_kept"),
+        *[F.sum(F.when(F.col("_on") & (F.col("_last.state") == s), F.col("_sec")).otherwise(F.lit(0))).alias(f"_s_{s}")
           for s in states])
-    return bounds.join(per_sale, "followup_id", "left")
 
 
 def state_periods(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                   state_field: str = "Sector", initial_state: str = "UNDEFINED",
                   terminal_state: str = "COMPLETED", tiebreak: Sequence[str] = ("log_id",),
-                  max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                  slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
     """One row per kept period: attributes, state, start, capped end, seconds."""
     tiebreak = list(tiebreak)
+    logs = logs.where(F.col("followup_id").isNotNull())
     attrs = _attributes(followups, users)
     bound_cols = ["max_log", "first_change", "done_at"]
-    if max_group_rows is None or not has_hot_keys(logs, ["followup_id"], "log_date", max_group_rows):
-        # One stream: every state row is a period, and the first row of each
-        # sale also carries its initial period (start filled from the sale's
-        # creation after the attribute join) - no second scan, no UNION.
-        rows = _one_pass(logs, state_field, terminal_state, tiebreak, with_first=True)
-        kinds = F.array(
-            F.when(F.col("_is"), F.struct(F.col("state"), F.col("start_time"), F.col("end_time"),
-                                          F.lit(False).alias("_init"))),
-            F.when(F.col("_first"), F.struct(F.lit(initial_state).alias("state"),
-                                             F.lit(None).cast("timestamp_ntz").alias("start_time"),
-                                             F.col("first_change").alias("end_time"),
-                                             F.lit(True).alias("_init"))))
-        periods = (rows.select("followup_id", *bound_cols,
-                               F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("_p"))
-                   .select("followup_id", *bound_cols, "_p.*")
-                   .join(attrs, "followup_id")
-                   .withColumn("start_time", F.when(F.col("_init"), F.col("followup_creation_date"))
-                               .otherwise(F.col("start_time"))))
-        return (_capped(periods)
-                .select("followup_id", *ATTRIBUTES, "state", "start_time", "end_time",
-                        "duration_seconds"))
     bounds = _bounds(logs, state_field, terminal_state)
-    changes = (_state_rows(logs, state_field, tiebreak, max_group_rows)
+    changes = (_state_rows(logs, state_field, tiebreak, slice_rows)
                .join(bounds, "followup_id"))
     initial = (attrs.join(bounds, "followup_id")
                .select("followup_id", F.lit(initial_state).alias("state"),
@@ -201,7 +137,7 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                     state_field: str = "Sector", initial_state: str = "UNDEFINED",
                     terminal_state: str = "COMPLETED", states: Sequence[str] = tuple(STATES),
                     tiebreak: Sequence[str] = ("log_id",),
-                    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
+                    slice_rows: int = DEFAULT_SLICE_ROWS,
                     assert_users_unique: bool = False) -> DataFrame:
     """One row per sale with ``time_<state>`` seconds for each state.
 
@@ -210,7 +146,8 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
     """
     if assert_users_unique:
         assert_unique(users, ["user_id"], "users")
-    per_sale = _per_sale(logs, state_field, terminal_state, states, list(tiebreak), max_group_rows)
+    logs = logs.where(F.col("followup_id").isNotNull())
+    per_sale = _per_sale(logs, state_field, terminal_state, states, list(tiebreak), slice_rows)
 
     # Initial period, one per sale that has any log row.
     cap = F.coalesce(F.col("done_at"), F.col("max_log"))

@@ -14,9 +14,9 @@ Reference semantics kept (SURVEY 2.1):
   stage list leaks as a responsible, exactly as in the reference;
 * the reference orders by log time only; ``tiebreak`` makes it total.
 
-Plan: field filter pushed to the scan; semi-join to the sales created since
-the cutoff (co-partitioned with the LAG's hash(followup_id) exchange);
-skew-safe LAG; keep filter; attributes joined only to the kept rows.
+Plan: field filter pushed to the scan; skew-safe LAG per sale; keep filter; the
+sales created since the cutoff and their attributes are joined once, to the
+kept rows only.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.semantics import assert_unique
-from flowlens.functions.sequence import DEFAULT_MAX_GROUP_ROWS, with_neighbor
+from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, with_neighbor
 
 # Fixed values of the reference: the seven stage names and the five
 # forward steps UNDEFINED -> SALES -> TYPING -> FORMALIZATION -> PROGRESS
@@ -49,7 +49,7 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
                       stage_names: Sequence[str] = tuple(STAGE_NAMES),
                       forward_steps: Sequence[tuple[str, str]] = tuple(FORWARD_STEPS),
                       since: str | None = SINCE, tiebreak: Sequence[str] = ("log_id",),
-                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                      slice_rows: int = DEFAULT_SLICE_ROWS,
                       assert_users_unique: bool = False) -> DataFrame:
     """Kept stage changes with their responsible and the forward-step flag."""
     if assert_users_unique:
@@ -61,14 +61,14 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
     sales = followups
     if since is not None:
         sales = sales.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
-    field_rows = rows
-    rows = rows.join(sales.select("followup_id"), "followup_id", "left_semi")
-
-    # The hot-key count runs on the field-filtered log (a superset of the
-    # joined rows), so it does not repeat the semi-join.
-    rows = with_neighbor(rows, ["followup_id"], ["log_date", *tiebreak], ["updated_content"],
-                         direction="prev", prefix="prev_", max_group_rows=max_group_rows,
-                         stats_from=field_rows.select("followup_id", "log_date"))
+    # The sales side is read once, for the kept rows; LAG never crosses sales, so the
+    # log of other sales may take part in it.
+    attrs = (sales.join(users.select("user_id", "covenant"), "user_id")
+             .select("followup_id", "user_id", "covenant", "operation", "destination_bank",
+                     "origin_platform", F.col("created_at").alias("followup_creation_date"),
+                     "cancellation_reason"))
+    rows = with_neighbor(rows.where(F.col("followup_id").isNotNull()), ["followup_id"], ["log_date", *tiebreak],
+                         ["updated_content"], direction="prev", prefix="prev_", slice_rows=slice_rows)
     prev = F.col("prev_updated_content")
     responsible = F.when(prev.isin(*stage_names), F.lit("")).otherwise(prev)
     kept = (rows.withColumn("stage_responsible", responsible)
@@ -77,10 +77,6 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
     forward = reduce(lambda a, b: a | b,
                      [(F.col("original_content") == a) & (F.col("updated_content") == b)
                       for a, b in forward_steps], F.lit(False))
-    attrs = (sales.join(users.select("user_id", "covenant"), "user_id")
-             .select("followup_id", "user_id", "covenant", "operation", "destination_bank",
-                     "origin_platform", F.col("created_at").alias("followup_creation_date"),
-                     "cancellation_reason"))
     return (kept.join(attrs, "followup_id")
             .select("followup_id", "user_id", "covenant", "operation", "destination_bank",
                     "origin_platform", "followup_creation_date", "log_date",

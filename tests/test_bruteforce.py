@@ -62,8 +62,8 @@ def _brute_durations(logs, created):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("max_group_rows", [None, 4_000_000, 3])
-def test_state_durations_vs_brute_force(spark, seed, max_group_rows):
+@pytest.mark.parametrize("slice_rows", [4_000_000, 3, 1])
+def test_state_durations_vs_brute_force(spark, seed, slice_rows):
     rnd = random.Random(seed)
     logs = _random_logs(rnd, 40)
     created = T0 + dt.timedelta(seconds=30)
@@ -71,7 +71,7 @@ def test_state_durations_vs_brute_force(spark, seed, max_group_rows):
     users = [("u1", "C", T0, False, "APP")]
     out = state_durations(spark.createDataFrame(logs, LOGS_SCHEMA),
                           spark.createDataFrame(fu, FOLLOWUPS_SCHEMA),
-                          spark.createDataFrame(users, USERS_SCHEMA), max_group_rows=max_group_rows)
+                          spark.createDataFrame(users, USERS_SCHEMA), slice_rows=slice_rows)
     got = {r.followup_id: tuple(r[f"time_{s.lower()}"] for s in STATES) for r in out.collect()}
     assert got == _brute_durations(logs, created)
 
@@ -91,15 +91,15 @@ def _brute_responsible(logs):
     return out
 
 
-@pytest.mark.parametrize("max_group_rows", [4_000_000, 2])
-def test_stage_responsible_vs_brute_force(spark, max_group_rows):
+@pytest.mark.parametrize("slice_rows", [4_000_000, 2])
+def test_stage_responsible_vs_brute_force(spark, slice_rows):
     rnd = random.Random(5)
     logs = _random_logs(rnd, 30)
     fu = [followup(f, "u1", "2024-08-01") for f in range(1, 31)]
     users = [("u1", "C", T0, False, "APP")]
     out = stage_responsible(spark.createDataFrame(logs, LOGS_SCHEMA),
                             spark.createDataFrame(fu, FOLLOWUPS_SCHEMA),
-                            spark.createDataFrame(users, USERS_SCHEMA), max_group_rows=max_group_rows)
+                            spark.createDataFrame(users, USERS_SCHEMA), slice_rows=slice_rows)
     got = Counter((r.followup_id, r.log_date, r.updated_content, r.stage_responsible)
                   for r in out.collect())
     assert got == _brute_responsible(logs)

@@ -79,10 +79,10 @@ def inputs(spark):
             spark.createDataFrame(USERS, USERS_SCHEMA))
 
 
-@pytest.mark.parametrize("max_group_rows", [4_000_000, 1, None])
-def test_state_durations_hand_cases(inputs, max_group_rows):
+@pytest.mark.parametrize("slice_rows", [4_000_000, 1])
+def test_state_durations_hand_cases(inputs, slice_rows):
     logs, fu, users = inputs
-    out = state_durations(logs, fu, users, max_group_rows=max_group_rows)
+    out = state_durations(logs, fu, users, slice_rows=slice_rows)
     got = {r.followup_id: tuple(r[c] for c in COLS) for r in out.collect()}
     assert got == EXPECTED
     assert all(r.time_completed == 0 for r in out.collect())  # invariant (SURVEY 5)
@@ -95,9 +95,9 @@ def test_state_durations_output_schema(inputs):
     assert all(t == "bigint" for c, t in out.dtypes if c.startswith("time_"))
 
 
-@pytest.mark.parametrize("max_group_rows", [4_000_000, 1])
-def test_state_periods_sum_to_durations(inputs, max_group_rows):
-    periods = state_periods(*inputs, max_group_rows=max_group_rows)
+@pytest.mark.parametrize("slice_rows", [4_000_000, 1])
+def test_state_periods_sum_to_durations(inputs, slice_rows):
+    periods = state_periods(*inputs, slice_rows=slice_rows)
     sums = {}
     for r in periods.collect():
         if r.state in ("UNDEFINED", "SALES", "TYPING", "FORMALIZATION", "PROGRESS",

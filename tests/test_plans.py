@@ -31,10 +31,15 @@ def _scans_of(plan: str, table: str) -> int:
     return sum(1 for block in plan.split("\n\n") if f"{table}.parquet" in block and "Scan parquet" in block)
 
 
-@pytest.mark.parametrize("key", ["state_durations", "state_periods"])
-def test_durations_read_the_log_once(spark, key):
-    plan = physical_plan(catalog.queries()[key](spark, SF))
-    assert _scans_of(plan, "lineitem") == 1
+def test_durations_read_the_log_twice_and_start_no_job(spark):
+    """Once for the bounds and splitters of a sale, once for its instants; nothing runs at definition."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("definition", "definition")
+    query = catalog.queries()["state_durations"](spark, SF)
+    spark.sparkContext.setJobGroup("other", "other")
+    listing = 8   # one schema job per Parquet reader at most
+    assert len(tracker.getJobIdsForGroup("definition")) <= listing
+    assert _scans_of(physical_plan(query), "lineitem") == 2
 
 
 def test_funnel_has_no_expand(spark):

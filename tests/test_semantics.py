@@ -100,7 +100,7 @@ def test_with_neighbor_split_path_equals_window(spark):
         want = df.withColumn("n_v", fn("v").over(w)).withColumn("n_tb", fn("tb").over(w))
         for limit in (10 ** 9, 37):  # plain path, then hot keys split in slices
             got = with_neighbor(df, ["k"], ["t", "tb"], ["v", "tb"], direction=direction,
-                                prefix="n_", max_group_rows=limit)
+                                prefix="n_", slice_rows=limit)
             assert sorted(got.select("k", "tb", "n_v", "n_tb").collect()) == \
                 sorted(want.select("k", "tb", "n_v", "n_tb").collect())
 
@@ -134,6 +134,57 @@ def test_with_neighbor_hot_instant_and_nulls(spark):
                                 fn("tb").over(w).alias("n_tb")).collect(), key=repr)
         for limit in (10 ** 9, 40, 7):
             got = with_neighbor(df, ["k"], ["t", "tb"], ["v", "tb"], direction=direction,
-                                prefix="n_", max_group_rows=limit)
+                                prefix="n_", slice_rows=limit)
             got = sorted(got.select("k", "tb", "t", "n_v", "n_tb").collect(), key=repr)
             assert got == want, (direction, limit)
+
+
+def _against_window(spark, rows, schema, order, limit, total=None):
+    """with_neighbor equals LAG/LEAD; returns the largest slice of the largest key."""
+    from flowlens.functions import sequence as S
+
+    df = spark.createDataFrame(rows, schema)
+    w = Window.partitionBy("k").orderBy(*[F.col(o).asc_nulls_last() for o in order])
+    for direction, fn in (("next", F.lead), ("prev", F.lag)):
+        want = sorted(df.select("k", *order, fn("v").over(w).alias("n_v")).collect(), key=repr)
+        got = with_neighbor(df, ["k"], order, ["v"], direction=direction, prefix="n_", slice_rows=limit)
+        assert sorted(got.select("k", *order, "n_v").collect(), key=repr) == want, direction
+    cuts = df.where(S.is_splitter(["k"], order, limit)).groupBy(F.col("k").alias("_k")).agg(
+        S.splitters(order, ["v"], F.lit(True)).alias("_bounds"))
+    placed = df.join(cuts, F.col("k").eqNullSafe(F.col("_k")), "left")
+    before = F.size(F.filter("_bounds", lambda b: b["r"] <= S._rank(order)))
+    return placed.groupBy("k", before.alias("s")).count().agg(F.max("count")).first()[0]
+
+
+def test_slices_follow_the_count_not_the_clock(spark):
+    """One row dated 1970 beside a burst, a NULL tie-break and a NULL key group."""
+    base = "2024-01-01 00:00:00"
+    rows = [(0, base, i, f"v{i}") for i in range(2000)] + [(0, "1970-01-01 00:00:00", 5000, "old"), (0, base, None, "last")]
+    rows += [(None, base, i, f"n{i}") for i in range(500)] + [(1, base, 1, "x")]
+    rows = [(k, t, b, v) for k, t, b, v in rows]
+    assert _against_window(spark, rows, "k int, t string, b long, v string", ["t", "b"], 50) < 600
+
+
+def test_slices_of_hash_ids_and_string_tie_breaks(spark):
+    rnd = random.Random(5)
+    ids = [rnd.randrange(-9 * 10 ** 18, 9 * 10 ** 18) for _ in range(1500)] + [9 * 10 ** 18, -9 * 10 ** 18]
+    assert _against_window(spark, [(0, 1, i, str(i)) for i in dict.fromkeys(ids)], "k int, t int, b long, v string", ["t", "b"], 40) < 500
+    names = [(0, 1, f"name {i * 7919 % 1500:05d}", str(i)) for i in range(1500)] + [(0, 1, None, "none")]
+    assert _against_window(spark, names, "k int, t int, b string, v string", ["t", "b"], 40) < 500
+
+
+def test_null_tie_break_sorts_last_at_every_size(spark):
+    """One of two rows of an instant has no id: it is the last one, whatever the slices."""
+    import datetime as dt
+
+    from flowlens import state_durations
+    from tests.conftest import FOLLOWUPS_SCHEMA, LOGS_SCHEMA, USERS_SCHEMA, followup
+
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    logs = spark.createDataFrame([(1, 1, t(1), "Sector", None, "SALES"), (None, 1, t(1), "Sector", None, "TYPING"),
+                                  (3, 1, t(2), "Sector", None, "PROGRESS"), (4, None, t(1), "Sector", None, "SALES")], LOGS_SCHEMA)
+    fu = spark.createDataFrame([followup(1, "u", "2024-01-01")], FOLLOWUPS_SCHEMA)
+    users = spark.createDataFrame([("u", "A", None, False, None)], USERS_SCHEMA)
+    for size in (1, 10 ** 9):
+        row = state_durations(logs, fu, users, slice_rows=size).first()
+        assert (row.time_sales, row.time_typing) == (0, 3600)

@@ -1,6 +1,6 @@
 """Skew: one sale holding a third of all log rows (derived from driver data).
 
-The sliced plan (max_group_rows small, so the hot sale is cut into many
+The sliced plan (slice_rows small, so the hot sale is cut into many
 slices) must give exactly the result of the plain plan, for the stage
 durations (LEAD) and the responsible report (LAG)."""
 
@@ -38,8 +38,8 @@ def test_hot_sale_is_a_third(skewed_logs):
 def test_sliced_durations_equal_plain(spark, skewed_logs):
     fu, users = A.followups(spark, SF), A.users(spark, SF)
     tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
-    plain = state_durations(skewed_logs, fu, users, tiebreak=tb, max_group_rows=None)
-    sliced = state_durations(skewed_logs, fu, users, tiebreak=tb, max_group_rows=1_000)
+    plain = state_durations(skewed_logs, fu, users, tiebreak=tb, slice_rows=10 ** 12)
+    sliced = state_durations(skewed_logs, fu, users, tiebreak=tb, slice_rows=1_000)
     assert sorted(plain.collect()) == sorted(sliced.collect())
 
 
@@ -49,8 +49,8 @@ def test_sliced_responsible_equal_plain(spark, skewed_logs):
         .otherwise(F.col("changed_field")))
     fu, users = A.followups(spark, SF), A.users(spark, SF)
     tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
-    plain = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=10 ** 12)
-    sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=1_000)
+    plain = stage_responsible(logs, fu, users, since=None, tiebreak=tb, slice_rows=10 ** 12)
+    sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, slice_rows=1_000)
     got, want = sorted(sliced.collect()), sorted(plain.collect())
     assert len(want) > 0 and got == want
 
@@ -99,8 +99,8 @@ def test_hot_sale_at_one_instant(spark, skewed_logs):
         .otherwise(F.col("log_date")))
     fu, users = A.followups(spark, SF), A.users(spark, SF)
     tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
-    plain = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=None)
-    sliced = state_durations(logs, fu, users, tiebreak=tb, max_group_rows=1_000)
+    plain = state_durations(logs, fu, users, tiebreak=tb, slice_rows=10 ** 12)
+    sliced = state_durations(logs, fu, users, tiebreak=tb, slice_rows=1_000)
     assert sorted(plain.collect()) == sorted(sliced.collect())
 
 
@@ -140,7 +140,7 @@ def test_responsible_hot_sale_at_one_instant(spark, skewed_logs):
                         .otherwise(F.col("changed_field"))))
     fu, users = A.followups(spark, SF), A.users(spark, SF)
     tb = [*catalog.LINEITEM_TIEBREAK, "log_src"]
-    plain = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=10 ** 12)
-    sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, max_group_rows=1_000)
+    plain = stage_responsible(logs, fu, users, since=None, tiebreak=tb, slice_rows=10 ** 12)
+    sliced = stage_responsible(logs, fu, users, since=None, tiebreak=tb, slice_rows=1_000)
     got, want = sorted(sliced.collect()), sorted(plain.collect())
     assert len(want) > 0 and got == want

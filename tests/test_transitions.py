@@ -49,10 +49,10 @@ def inputs(spark):
             spark.createDataFrame(USERS, USERS_SCHEMA))
 
 
-@pytest.mark.parametrize("max_group_rows", [4_000_000, 2])
-def test_stage_responsible_hand_cases(inputs, max_group_rows):
+@pytest.mark.parametrize("slice_rows", [4_000_000, 2])
+def test_stage_responsible_hand_cases(inputs, slice_rows):
     logs, fu, users = inputs
-    out = stage_responsible(logs, fu, users, max_group_rows=max_group_rows)
+    out = stage_responsible(logs, fu, users, slice_rows=slice_rows)
     ids = {(r.followup_id, r.log_date): r.log_id for r in logs.collect()}
     got = {(r.followup_id, ids[(r.followup_id, r.log_date)]): (r.stage_responsible, r.is_conversion)
            for r in out.collect()}
