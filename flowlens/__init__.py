@@ -18,7 +18,6 @@ from flowlens.operators.paths import (  # noqa: E402
     Edge,
     PathGraph,
     State,
-    Transition,
     default_graph,
     event_paths,
 )
@@ -27,7 +26,7 @@ from flowlens.operators.transitions import forward_conversions, stage_responsibl
 from flowlens.sources.tables import publish, read_published, read_table  # noqa: E402
 
 __all__ = [
-    "DEFAULT_GRAPH", "Edge", "PathGraph", "State", "Transition", "daily_funnel",
+    "DEFAULT_GRAPH", "Edge", "PathGraph", "State", "daily_funnel",
     "default_graph", "event_paths", "first_vs_repeat", "forward_conversions",
     "monthly_growth", "publish", "read_published", "read_table", "stage_responsible", "state_durations",
     "state_periods",

@@ -15,12 +15,10 @@ after the previous step", so an early touch blocks a later one for good;
 equal times fail; a user on two platforms has two registration rows and
 counts twice; only listed covenants and listed event ids are read.
 
-The reference writes 29 single-state scans and 37 self-joins, and names 38
-CTEs that it never defines (D1).  Here the graph is data (``PathGraph``):
-states, transitions (parent + state) and labelled edges, with the name
-resolution of SURVEY 2.6 as ``DEFAULT_GRAPH``.  Edge 6 follows its label
-chain by default (parent = edge 5); ``literal_edge6=True`` gives the
-literal chain (parent = the blocked-button transition), D2.
+Here the graph is data (``PathGraph``): states with their event ids, and each labelled edge
+as the chain of states a user passes.  Edge 6 follows its label chain by default (after edge
+5); ``literal_edge6=True`` gives the chain through the blocked buttons, D2.  ``all_chains``
+has all 37 ways, also the 20 that no edge shows (names resolved as in SURVEY 2.6, D1).
 
 Plan: one filtered scan of events (pushed IN filter), one aggregation per
 (user, platform) holding the registration time and one ``min(when(...))``
@@ -41,8 +39,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-REGISTRATION = "registration"
-
 # The reference's covenant filter (the default of event_paths).
 COVENANTS = ("PREFEITURA DE GOIÂNIA", "GOVERNO DO RIO DE JANEIRO", "GOVERNO DE AMAZONAS",
              "GOVERNO DO PARANÁ")
@@ -54,57 +50,38 @@ class State:
     events: tuple[str, ...]
 
 
-@dataclass(frozen=True)
-class Transition:
-    """``state`` reached after ``parent`` (a transition name or REGISTRATION)."""
-    name: str
-    parent: str
-    state: str
-
-
 @dataclass(frozen=True)
 class Edge:
-    """Emitted edge: label of one transition."""
+    """Emitted edge: a label and the states a user passes, in order, to count for it."""
     step_order: int
     source: str
     target: str
-    transition: str
+    chain: tuple[str, ...]
 
 
 @dataclass(frozen=True)
 class PathGraph:
     registration_events: tuple[str, ...]
     states: tuple[State, ...]
-    transitions: tuple[Transition, ...]
     edges: tuple[Edge, ...]
 
-    def chain(self, transition: str) -> list[str]:
-        """States from the first step down to ``transition``."""
-        by_name = {t.name: t for t in self.transitions}
-        out: list[str] = []
-        node = transition
-        while node != REGISTRATION:
-            t = by_name[node]
-            out.append(t.state)
-            node = t.parent
-        return out[::-1]
-
-    def event_ids(self) -> list[str]:
+    def used_states(self) -> list[State]:
+        used = {s for e in self.edges for s in e.chain}
+        return [s for s in self.states if s.name in used]
+
+    def event_ids(self, states: Sequence[State] | None = None) -> list[str]:
+        """Registration ids and those of the given states (default: those on edges)."""
         ids = list(self.registration_events)
-        for s in self.used_states():
+        for s in self.used_states() if states is None else states:
             ids.extend(s.events)
         return list(dict.fromkeys(ids))
 
-    def used_states(self) -> list[State]:
-        used = {s for e in self.edges for s in self.chain(e.transition)}
-        return [s for s in self.states if s.name in used]
-
 
 def _state_col(name: str) -> str:
     return f"_st_{name}"
 
 
-def first_touch_times(events: DataFrame, graph: PathGraph) -> DataFrame:
+def first_touch_times(events: DataFrame, graph: PathGraph, states: Sequence[State] | None = None) -> DataFrame:
     """One row per (user_id, platform): first registration time on that
     platform (``_reg_at``) and the user's global first touch of every state
     (``_st_<name>``, minimum over all platforms).
@@ -113,8 +90,8 @@ def first_touch_times(events: DataFrame, graph: PathGraph) -> DataFrame:
     minimum is a window over those few rows per user, so registration rows
     and states come from the same pipeline (no second scan of events).
     """
-    states = graph.used_states()
-    ev = events.where(F.col("event_name").isin(*graph.event_ids()))
+    states = graph.used_states() if states is None else states
+    ev = events.where(F.col("event_name").isin(*graph.event_ids(states)))
     reg_time = F.min(F.when(F.col("event_name").isin(*graph.registration_events),
                             F.col("event_at"))).alias("_reg_at")
     per_platform = ev.groupBy("user_id", "platform").agg(
@@ -129,14 +106,14 @@ def first_touch_times(events: DataFrame, graph: PathGraph) -> DataFrame:
 
 def event_states(events: DataFrame, users: DataFrame, graph: PathGraph | None = None, *,
                  covenants: Sequence[str] | None = COVENANTS) -> DataFrame:
-    """Long form of the first-touch pivot: (user_id, state, first_at).
+    """Long form of the first-touch pivot: (user_id, state, first_at) of every state of the graph.
 
     ``graph`` defaults to the reference graph and ``covenants`` to its four
     covenants; ``covenants=None`` reads every user."""
     graph = graph or DEFAULT_GRAPH
     users = _filter_users(users, covenants)
-    states = graph.used_states()
-    pivot = (first_touch_times(events, graph)
+    states = graph.states
+    pivot = (first_touch_times(_of_users(events, users, covenants), graph, states)
              .groupBy("user_id").agg(*[F.min(_state_col(s.name)).alias(_state_col(s.name))
                                        for s in states])
              .join(users.select("user_id").distinct(), "user_id", "left_semi"))
@@ -154,8 +131,13 @@ def _filter_users(users: DataFrame, covenants: Sequence[str] | None) -> DataFram
     return users.where(F.col("covenant").isin(*covenants))
 
 
-def _chain_holds(graph: PathGraph, transition: str) -> Column:
-    times = [F.col("_reg_at")] + [F.col(_state_col(s)) for s in graph.chain(transition)]
+def _of_users(events: DataFrame, users: DataFrame, covenants: Sequence[str] | None) -> DataFrame:
+    """With a covenant filter, only the events of its users are aggregated at all."""
+    return events if covenants is None else events.join(users.select("user_id").distinct(), "user_id", "left_semi")
+
+
+def _chain_holds(chain: Sequence[str]) -> Column:
+    times = [F.col("_reg_at")] + [F.col(_state_col(s)) for s in chain]
     return reduce(lambda a, b: a & b, [a < b for a, b in zip(times, times[1:])])
 
 
@@ -171,7 +153,7 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = N
     # states only matter through its registration rows, which the join to
     # (covenant-filtered) users below restricts.
     states = [_state_col(s.name) for s in graph.used_states()]
-    regs = first_touch_times(events, graph).where(F.col("_reg_at").isNotNull())
+    regs = first_touch_times(_of_users(events, users, covenants), graph).where(F.col("_reg_at").isNotNull())
     # GROUP BY the five registration attributes, as the reference does; the
     # data is already hash-partitioned by user_id here, so no new exchange.
     # Distinct registration attributes first: copies of a user row collapse
@@ -181,7 +163,7 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = N
     rows = (regs.join(attrs, "user_id")
             .groupBy("user_id", "_created", "_origin", "platform", "covenant")
             .agg(F.min("_reg_at").alias("_reg_at"), *[F.first(c).alias(c) for c in states]))
-    matched = F.array(*[F.when(_chain_holds(graph, e.transition),
+    matched = F.array(*[F.when(_chain_holds(e.chain),
                                F.struct(F.lit(e.step_order).alias("step_order"),
                                         F.lit(e.source).alias("source"),
                                         F.lit(e.target).alias("target")))
@@ -194,12 +176,9 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = N
 
 
 # ---------------------------------------------------------------------------
-# The reference's registration event ids and
-# its 29 first-touch states (event ids per state), transitions with the
-# names of SURVEY 2.6 (right-hand names resolved to defined states), and the
-# 17 emitted edge labels.  The reference also filters events to a 66-id
-# list; ids used by no state cannot change any count, so the scan filter is
-# the set of ids the graph uses (``PathGraph.event_ids``).
+# The registration event ids and the 29 first-touch states with their event
+# ids.  The source also filters events to a 66-id list; ids used by no state cannot change
+# any count, so the scan filter is the set of ids in use (``PathGraph.event_ids``).
 REGISTRATION_EVENTS = ("registration_completed", "registration_completed_sms",
                        "registration_completed_email")
 STATES = (
@@ -240,127 +219,78 @@ STATES = (
     State("lead_success_with_password", ("lead_gen_with_psw_success", "lead_generation_success_api")),
     State("lead_failure_with_password", ("lead_gen_with_psw_failed",)),
 )
-TRANSITIONS = (
-    Transition("registration_completed_then_viewed_bank_wheel_no_password", REGISTRATION,
-               "viewed_bank_wheel_no_password"),
-    Transition("viewed_bank_wheel_to_support_click",
-               "registration_completed_then_viewed_bank_wheel_no_password", "support_on_bank_wheel_screen"),
-    Transition("viewed_bank_wheel_to_lead_success_no_password",
-               "registration_completed_then_viewed_bank_wheel_no_password", "lead_success_no_password"),
-    Transition("viewed_bank_wheel_to_lead_failure_no_password",
-               "registration_completed_then_viewed_bank_wheel_no_password", "lead_failure_no_password"),
-    Transition("lead_success_no_password_to_unlinked_screen",
-               "viewed_bank_wheel_to_lead_success_no_password", "no_linked_registry"),
-    Transition("lead_success_no_password_to_blocked_portability",
-               "viewed_bank_wheel_to_lead_success_no_password", "clicked_blocked_buttons"),
-    Transition("lead_success_no_password_to_clicked_new_credit",
-               "viewed_bank_wheel_to_lead_success_no_password", "clicked_new_credit"),
-    Transition("lead_failure_no_password_to_blocked_screen",
-               "viewed_bank_wheel_to_lead_failure_no_password", "blocked_user_screen"),
-    Transition("lead_failure_no_password_to_no_lead_screen",
-               "viewed_bank_wheel_to_lead_failure_no_password", "no_lead_confirmation_screen"),
-    Transition("lead_failure_no_password_to_instability_screen",
-               "viewed_bank_wheel_to_lead_failure_no_password", "instability_screen"),
-    Transition("lead_failure_no_password_to_unavailable_access",
-               "viewed_bank_wheel_to_lead_failure_no_password", "unavailable_access_screen"),
-    Transition("lead_success_no_password_blocked_port_to_credential_screen",
-               "lead_success_no_password_to_blocked_portability", "credentials_screen_after_blocked_buttons"),
-    Transition("lead_success_no_password_blocked_port_to_new_credit_opportunities",
-               "lead_success_no_password_to_blocked_portability", "opened_new_credit_opportunities_screen"),
-    Transition("lead_success_no_password_blocked_port_to_no_new_credit_opportunity",
-               "lead_success_no_password_to_blocked_portability", "no_new_credit_opportunity"),
-    Transition("lead_failure_unavailable_access_to_registration_screen",
-               "lead_failure_no_password_to_unavailable_access", "registries_screen_after_unavailable_access"),
-    Transition("lead_failure_unavailable_access_to_support_click",
-               "lead_failure_no_password_to_unavailable_access", "support_on_unavailable_access_screen"),
-    Transition("credential_screen_after_blocked_port_to_password_given",
-               "lead_success_no_password_blocked_port_to_credential_screen", "gave_password_on_credentials_screen"),
-    Transition("credential_screen_after_blocked_port_to_reset_password",
-               "lead_success_no_password_blocked_port_to_credential_screen",
-               "clicked_reset_password_on_credentials_screen"),
-    Transition("credential_screen_after_blocked_port_to_support_click",
-               "lead_success_no_password_blocked_port_to_credential_screen",
-               "clicked_support_on_credentials_screen"),
-    Transition("lead_success_no_password_blocked_port_to_new_credit_opportunities_to_credential_screen",
-               "lead_success_no_password_blocked_port_to_new_credit_opportunities",
-               "opened_contracting_credentials_screen"),
-    Transition("credential_screen_after_blocked_port_to_password_given_to_bank_wheel",
-               "credential_screen_after_blocked_port_to_password_given", "viewed_bank_wheel_with_password"),
-    Transition("viewed_opportunities_to_credential_screen_to_reset_password",
-               "lead_success_no_password_blocked_port_to_new_credit_opportunities_to_credential_screen",
-               "clicked_reset_password_on_credentials_screen"),
-    Transition("viewed_opportunities_to_credential_screen_to_support_click",
-               "lead_success_no_password_blocked_port_to_new_credit_opportunities_to_credential_screen",
-               "clicked_support_on_credentials_screen"),
-    Transition("viewed_opportunities_to_credential_screen_to_password_given",
-               "lead_success_no_password_blocked_port_to_new_credit_opportunities_to_credential_screen",
-               "gave_password_on_credentials_screen"),
-    Transition("password_given_to_bank_wheel_to_support_click",
-               "credential_screen_after_blocked_port_to_password_given_to_bank_wheel",
-               "support_on_bank_wheel_screen_with_password"),
-    Transition("password_given_to_bank_wheel_to_lead_success",
-               "credential_screen_after_blocked_port_to_password_given_to_bank_wheel", "lead_success_with_password"),
-    Transition("password_given_to_bank_wheel_to_lead_failure",
-               "credential_screen_after_blocked_port_to_password_given_to_bank_wheel", "lead_failure_with_password"),
-    Transition("opportunity_to_credential_to_password_to_bank_wheel",
-               "viewed_opportunities_to_credential_screen_to_password_given", "viewed_bank_wheel_with_password"),
-    Transition("second_bank_wheel_to_lead_success",
-               "opportunity_to_credential_to_password_to_bank_wheel", "lead_success_with_password"),
-    Transition("second_bank_wheel_to_lead_failure",
-               "opportunity_to_credential_to_password_to_bank_wheel", "lead_failure_with_password"),
-    Transition("second_bank_wheel_to_support",
-               "opportunity_to_credential_to_password_to_bank_wheel", "support_on_bank_wheel_screen_with_password"),
-    Transition("bank_wheel_to_lead_success_to_no_link",
-               "password_given_to_bank_wheel_to_lead_success", "no_linked_registry"),
-    Transition("bank_wheel_to_lead_failure_to_user_block",
-               "password_given_to_bank_wheel_to_lead_failure", "blocked_user_screen"),
-    Transition("bank_wheel_to_lead_failure_to_wrong_password",
-               "password_given_to_bank_wheel_to_lead_failure", "wrong_registry_or_password_screen"),
-    Transition("second_bank_wheel_to_lead_success_to_no_link",
-               "second_bank_wheel_to_lead_success", "no_linked_registry"),
-    Transition("second_bank_wheel_to_lead_failure_to_user_block",
-               "second_bank_wheel_to_lead_failure", "blocked_user_screen"),
-    Transition("second_bank_wheel_to_lead_failure_to_wrong_password",
-               "second_bank_wheel_to_lead_failure", "wrong_registry_or_password_screen"),
-)
-EDGES = (
-    Edge(1, "Registration Completed", "Bank Wheel", "registration_completed_then_viewed_bank_wheel_no_password"),
-    Edge(2, "Bank Wheel", "Support - Bank Wheel", "viewed_bank_wheel_to_support_click"),
-    Edge(3, "Bank Wheel", "Lead Without Password", "viewed_bank_wheel_to_lead_success_no_password"),
-    Edge(4, "Lead Without Password", "Unlinked User", "lead_success_no_password_to_unlinked_screen"),
-    Edge(5, "Lead Without Password", "Clicked New Option", "lead_success_no_password_to_clicked_new_credit"),
-    Edge(6, "Clicked New Option", "Viewed New Opportunities Screen",
-         "lead_success_no_password_blocked_port_to_new_credit_opportunities"),
-    Edge(7, "Viewed New Opportunities Screen", "Credential Screen 2",
-         "lead_success_no_password_blocked_port_to_new_credit_opportunities_to_credential_screen"),
-    Edge(8, "Credential Screen 2", "Reset Password 2", "viewed_opportunities_to_credential_screen_to_reset_password"),
-    Edge(9, "Credential Screen 2", "Support 2", "viewed_opportunities_to_credential_screen_to_support_click"),
-    Edge(10, "Credential Screen 2", "Entered Password 2",
-         "viewed_opportunities_to_credential_screen_to_password_given"),
-    Edge(11, "Entered Password 2", "Bank Wheel With Password 2", "opportunity_to_credential_to_password_to_bank_wheel"),
-    Edge(12, "Bank Wheel With Password 2", "Support - Bank Wheel 3", "second_bank_wheel_to_support"),
-    Edge(13, "Bank Wheel With Password 2", "Lead With Password 2", "second_bank_wheel_to_lead_success"),
-    Edge(14, "Lead With Password 2", "Unlinked User 3", "second_bank_wheel_to_lead_success_to_no_link"),
-    Edge(15, "Bank Wheel With Password 2", "Lead With Password Failed 2", "second_bank_wheel_to_lead_failure"),
-    Edge(16, "Lead With Password Failed 2", "User Blocked 3", "second_bank_wheel_to_lead_failure_to_user_block"),
-    Edge(17, "Lead With Password Failed 2", "Wrong Credentials 2",
-         "second_bank_wheel_to_lead_failure_to_wrong_password"),
-)
 # ---------------------------------------------------------------------------
 
-_EDGE6 = "lead_success_no_password_blocked_port_to_new_credit_opportunities"
+
+def _chains(literal_edge6: bool) -> dict[str, tuple[str, ...]]:
+    """The stations on the way, each as the states passed before and at it."""
+    at: dict[str, tuple[str, ...]] = {"start": ()}
+
+    def go(station: str, before: str, state: str) -> None:
+        at[station] = (*at[before], state)
+
+    go("wheel", "start", "viewed_bank_wheel_no_password")
+    go("lead", "wheel", "lead_success_no_password")
+    go("no lead", "wheel", "lead_failure_no_password")
+    go("no access", "no lead", "unavailable_access_screen")
+    go("option", "lead", "clicked_new_credit")
+    go("blocked button", "lead", "clicked_blocked_buttons")
+    go("first login", "blocked button", "credentials_screen_after_blocked_buttons")
+    go("first password", "first login", "gave_password_on_credentials_screen")
+    go("opportunities", "blocked button" if literal_edge6 else "option", "opened_new_credit_opportunities_screen")
+    go("second login", "opportunities", "opened_contracting_credentials_screen")
+    go("second password", "second login", "gave_password_on_credentials_screen")
+    for turn in ("first", "second"):
+        go(f"{turn} wheel", f"{turn} password", "viewed_bank_wheel_with_password")
+        go(f"{turn} lead", f"{turn} wheel", "lead_success_with_password")
+        go(f"{turn} no lead", f"{turn} wheel", "lead_failure_with_password")
+    return at
+
+
+def all_chains(literal_edge6: bool = False) -> list[tuple[str, ...]]:
+    """Every way of the source: the 17 that are emitted and the 20 that are only defined."""
+    at = _chains(literal_edge6)
+    ways = [c for c in at.values() if c]
+    ends = {"wheel": ["support_on_bank_wheel_screen"], "lead": ["no_linked_registry"],
+            "no lead": ["blocked_user_screen", "no_lead_confirmation_screen", "instability_screen"],
+            "no access": ["registries_screen_after_unavailable_access", "support_on_unavailable_access_screen"],
+            "blocked button": ["no_new_credit_opportunity"]}
+    for turn in ("first", "second"):
+        ends[f"{turn} login"] = ["clicked_reset_password_on_credentials_screen", "clicked_support_on_credentials_screen"]
+        ends[f"{turn} wheel"] = ["support_on_bank_wheel_screen_with_password"]
+        ends[f"{turn} lead"] = ["no_linked_registry"]
+        ends[f"{turn} no lead"] = ["blocked_user_screen", "wrong_registry_or_password_screen"]
+    return ways + [(*at[station], state) for station, states in ends.items() for state in states]
 
 
 def default_graph(literal_edge6: bool = False) -> PathGraph:
-    """The reference graph.  Edge 6 (and everything hanging off it) starts
-    from 'Clicked New Option' (edge 5) unless ``literal_edge6``, which keeps
-    the chain through the blocked-button transition as literally written."""
-    transitions = []
-    for t in TRANSITIONS:
-        if t.name == _EDGE6 and not literal_edge6:
-            t = Transition(t.name, "lead_success_no_password_to_clicked_new_credit", t.state)
-        transitions.append(t)
-    return PathGraph(REGISTRATION_EVENTS, STATES, tuple(transitions), EDGES)
+    """The 17 emitted edges.  Edge 6 (and everything behind it) starts from 'Clicked New
+    Option' (edge 5) unless ``literal_edge6``, which keeps the way through the blocked
+    buttons as literally written (D2)."""
+    at = _chains(literal_edge6)
+    # Step, source and target labels; then the station and the state that ends the edge.
+    labels = [
+        (1, "Registration Completed", "Bank Wheel", at["wheel"]),
+        (2, "Bank Wheel", "Support - Bank Wheel", (*at["wheel"], "support_on_bank_wheel_screen")),
+        (3, "Bank Wheel", "Lead Without Password", at["lead"]),
+        (4, "Lead Without Password", "Unlinked User", (*at["lead"], "no_linked_registry")),
+        (5, "Lead Without Password", "Clicked New Option", at["option"]),
+        (6, "Clicked New Option", "Viewed New Opportunities Screen", at["opportunities"]),
+        (7, "Viewed New Opportunities Screen", "Credential Screen 2", at["second login"]),
+        (8, "Credential Screen 2", "Reset Password 2", (*at["second login"], "clicked_reset_password_on_credentials_screen")),
+        (9, "Credential Screen 2", "Support 2", (*at["second login"], "clicked_support_on_credentials_screen")),
+        (10, "Credential Screen 2", "Entered Password 2", at["second password"]),
+        (11, "Entered Password 2", "Bank Wheel With Password 2", at["second wheel"]),
+        (12, "Bank Wheel With Password 2", "Support - Bank Wheel 3",
+         (*at["second wheel"], "support_on_bank_wheel_screen_with_password")),
+        (13, "Bank Wheel With Password 2", "Lead With Password 2", at["second lead"]),
+        (14, "Lead With Password 2", "Unlinked User 3", (*at["second lead"], "no_linked_registry")),
+        (15, "Bank Wheel With Password 2", "Lead With Password Failed 2", at["second no lead"]),
+        (16, "Lead With Password Failed 2", "User Blocked 3", (*at["second no lead"], "blocked_user_screen")),
+        (17, "Lead With Password Failed 2", "Wrong Credentials 2",
+         (*at["second no lead"], "wrong_registry_or_password_screen")),
+    ]
+    return PathGraph(REGISTRATION_EVENTS, STATES, tuple(Edge(*e) for e in labels))
 
 
 DEFAULT_GRAPH = default_graph()

@@ -29,11 +29,9 @@ from flowlens.operators import growth as V4
 from flowlens.operators.durations import state_durations, state_periods
 from flowlens.operators.paths import (
     DEFAULT_GRAPH,
-    REGISTRATION,
     Edge,
     PathGraph,
     State,
-    Transition,
     default_graph,
     event_paths,
     event_states,
@@ -60,17 +58,16 @@ DRIVER_GRAPH = PathGraph(
     registration_events=("signup",),
     states=(State("view", ("view",)), State("click", ("click",)),
             State("error", ("error",)), State("purchase", ("purchase",))),
-    transitions=(Transition("t_view", REGISTRATION, "view"),
-                 Transition("t_view_error", "t_view", "error"),
-                 Transition("t_click", "t_view", "click"),
-                 Transition("t_purchase", "t_click", "purchase"),
-                 Transition("t_purchase_error", "t_purchase", "error")),
-    edges=(Edge(1, "Signup", "View", "t_view"),
-           Edge(2, "View", "Error", "t_view_error"),
-           Edge(3, "View", "Click", "t_click"),
-           Edge(4, "Click", "Purchase", "t_purchase"),
-           Edge(5, "Purchase", "Error", "t_purchase_error")),
+    edges=(Edge(1, "Signup", "View", ("view",)),
+           Edge(2, "View", "Error", ("view", "error")),
+           Edge(3, "View", "Click", ("view", "click")),
+           Edge(4, "Click", "Purchase", ("view", "click", "purchase")),
+           Edge(5, "Purchase", "Error", ("view", "click", "purchase", "error"))),
 )
+# Part of the driver's covenants, and a cut-off inside the creation dates of its sales.
+SOME_COVENANTS = [f"NATION_{n} {m}" for n in (10, 11, 16, 17, 19, 20)
+                  for m in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")]
+RECENT_SINCE = "2024-01-15"
 
 
 def q_first_vs_repeat(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,6 +95,12 @@ def q_stage_responsible(spark: SparkSession, sf: str) -> DataFrame:
                              A.users(spark, sf), since=STAGE_RESPONSIBLE_SINCE)
 
 
+def q_stage_responsible_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """Only sales created since a date inside the data."""
+    return stage_responsible(A.event_logs(spark, sf), A.customer_followups(spark, sf),
+                             A.users(spark, sf), since=RECENT_SINCE)
+
+
 def q_forward_conversions(spark: SparkSession, sf: str) -> DataFrame:
     return forward_conversions(q_stage_responsible(spark, sf))
 
@@ -167,6 +170,11 @@ def q_event_paths(spark: SparkSession, sf: str) -> DataFrame:
     return event_paths(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH, covenants=None)
 
 
+def q_event_paths_covenants(spark: SparkSession, sf: str) -> DataFrame:
+    """Only users of some covenants."""
+    return event_paths(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH, covenants=SOME_COVENANTS)
+
+
 def q_event_paths_reference_graph(spark: SparkSession, sf: str) -> DataFrame:
     """The reference's 17-edge graph over driver events renamed to its event ids."""
     events = A.app_events_named(spark, sf, sorted(DEFAULT_GRAPH.event_ids()))
@@ -237,6 +245,7 @@ def queries() -> dict[str, Query]:
         "state_durations_events": q_state_durations_events,
         "state_periods": q_state_periods,
         "stage_responsible": q_stage_responsible,
+        "stage_responsible_recent": q_stage_responsible_recent,
         "forward_conversions": q_forward_conversions,
         "monthly_growth": q_monthly_growth,
         "first_appearance_month": q_first_appearance_month,
@@ -251,6 +260,7 @@ def queries() -> dict[str, Query]:
         "user_lead_status": q_user_lead_status,
         "canceled_incomplete": q_canceled_incomplete,
         "event_paths": q_event_paths,
+        "event_paths_covenants": q_event_paths_covenants,
         "event_states": q_event_states,
         "event_paths_reference_graph": q_event_paths_reference_graph,
         "event_paths_literal_graph": q_event_paths_literal_graph,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.semantics import day_start, is_present, month_start, seconds_between
 from flowlens.operators.durations import STATES
 from flowlens.operators.funnel import CANCELED_STATUS, INCOMPLETE_STATUSES, record_status
-from flowlens.operators.paths import DEFAULT_GRAPH, REGISTRATION
+from flowlens.operators.paths import DEFAULT_GRAPH
 from flowlens.operators.transitions import FORWARD_STEPS, STAGE_NAMES
 from flowlens.plans import catalog
 from flowlens.sources import adapters as A
@@ -129,18 +129,17 @@ def event_paths(spark: SparkSession, sf: str) -> DataFrame:
     first = Window.partitionBy("user_id").orderBy("event_at")
     touch = {s.name: events.where(F.col("event_name").isin(*s.events)).withColumn("n", F.row_number().over(first))
              .where("n = 1").select("user_id", F.col("event_at").alias("next")) for s in graph.used_states()}
-    by_name, reached = {t.name: t for t in graph.transitions}, {REGISTRATION: start}
+    reached = {(): start}
 
-    def reach(name: str) -> DataFrame:
-        if name not in reached:
-            t = by_name[name]
-            reached[name] = (reach(t.parent).join(touch[t.state], "user_id").where("at < next")
-                             .withColumn("at", F.col("next")).drop("next"))
-        return reached[name]
+    def reach(chain: tuple[str, ...]) -> DataFrame:
+        if chain not in reached:
+            reached[chain] = (reach(chain[:-1]).join(touch[chain[-1]], "user_id").where("at < next")
+                              .withColumn("at", F.col("next")).drop("next"))
+        return reached[chain]
 
     out = None
     for e in graph.edges:
-        rows = reach(e.transition).select(F.lit(e.step_order).alias("step_order"), F.lit(e.source).alias("source"),
+        rows = reach(e.chain).select(F.lit(e.step_order).alias("step_order"), F.lit(e.source).alias("source"),
                                           F.lit(e.target).alias("target"))
         out = rows if out is None else out.union(rows)
     return out.groupBy("step_order", "source", "target").agg(F.count("*").alias("users"))

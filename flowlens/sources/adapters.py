@@ -112,12 +112,13 @@ def followups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_followups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sale per customer, created 2024-01-01 (event family: V1, V2)."""
+    """One sale per customer, created on one of 30 days from 2024-01-01 (event family: V1, V2)."""
     c = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     return c.select(key.alias("followup_id"),
                     _s(key).alias("user_id"),
-                    F.lit(EVENT_FAMILY_CREATED_AT).cast("timestamp_ntz").alias("created_at"),
+                    (F.lit(EVENT_FAMILY_CREATED_AT).cast("timestamp_ntz")
+                     + F.make_dt_interval(days=(key % 30).cast("int"))).alias("created_at"),
                     F.lit(None).cast("timestamp_ntz").alias("finalized_at"),
                     F.lit("Em andamento").alias("status"),
                     _money("c_acctbal").alias("commission"),
@@ -141,7 +142,8 @@ def event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = read_table(spark, sf_dir, "events")
     et = F.col("event_type")
-    field = F.when(et == "error", F.lit("Stage Responsible")).otherwise(F.lit("Sector"))
+    field = (F.when(F.col("event_id") % 11 == 0, F.lit("Comment"))
+             .when(et == "error", F.lit("Stage Responsible")).otherwise(F.lit("Sector")))
     value = (F.when(et == "error", F.concat(F.lit("agent_"), _s(F.col("event_id") % 7)))
              .when(et == "signup", F.lit("SALES"))
              .when(et == "view", F.lit("TYPING"))
@@ -190,8 +192,8 @@ def lineitem_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """'Status' change log of pending orders (V5 canceled-from-incomplete)."""
-    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    """Change log of all orders: 'Status' rows of pending ones, 'Sector' rows of the others (V5)."""
+    o = read_table(spark, sf_dir, "orders")
     okey = F.col("o_orderkey")
     original = (F.when(okey % 3 == 0, F.lit("Incompleto sem interação"))
                 .when(okey % 3 == 1, F.lit("Incompleto em negociação"))
@@ -200,18 +202,18 @@ def status_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.lit("Incompleto em negociação")))
     return o.select(okey.alias("log_id"), okey.alias("followup_id"),
                     F.col("o_orderdate").alias("log_date"),
-                    F.lit("Status").alias("changed_field"),
+                    F.when(F.col("o_orderstatus") == "P", F.lit("Status")).otherwise(F.lit("Sector")).alias("changed_field"),
                     original.alias("original_content"), updated.alias("updated_content"))
 
 
 # --------------------------------------------------------------------- leads
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One lead row per open order; flags derived from the order key."""
-    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O")
+    """One lead row per order, without a lead id unless it is open; flags derived from the order key."""
+    o = read_table(spark, sf_dir, "orders")
     okey = F.col("o_orderkey")
     return o.select(
         _s("o_custkey").alias("user_id"),
-        F.when(okey % 10 == 0, F.lit(None).cast("string"))
+        F.when((okey % 10 == 0) | (F.col("o_orderstatus") != "O"), F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("L"), _s(okey))).alias("lead_id"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("INSS"))
         .otherwise(F.lit("SIAPE")).alias("covenant"),
@@ -230,12 +232,13 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -------------------------------------------------------------------- events
 def proposal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """'user_has_proposals' app events: urgent orders, at noon of the order day."""
-    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    """App events of all orders, at noon of the order day: 'user_has_proposals' for urgent ones."""
+    o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("event_id"),
                     _s("o_custkey").alias("user_id"),
                     (F.col("o_orderdate") + F.make_dt_interval(hours=F.lit(12))).alias("event_at"),
-                    F.lit("user_has_proposals").alias("event_name"),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("user_has_proposals"))
+                    .otherwise(F.lit("opened_app")).alias("event_name"),
                     F.lit("APP").alias("platform"))
 
 
@@ -269,9 +272,9 @@ def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def client_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Opaque client key per user; high-balance customers have a second one."""
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
-    key = F.concat(F.lit("CK"), _s("c_custkey"))
+    """Opaque client key per user (NULL without a balance); high-balance customers have a second one."""
+    c = read_table(spark, sf_dir, "customer")
+    key = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("CK"), _s("c_custkey")))
     first = c.select(_s("c_custkey").alias("user_id"), key.alias("client_key"))
     second = (c.where(F.col("c_acctbal") > 9000)
               .select(_s("c_custkey").alias("user_id"),

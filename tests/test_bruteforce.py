@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 
 from flowlens.operators.durations import STATES, state_durations
-from flowlens.operators.paths import REGISTRATION, Edge, PathGraph, State, Transition, event_paths
+from flowlens.operators.paths import Edge, PathGraph, State, event_paths
 from flowlens.operators.transitions import STAGE_NAMES, stage_responsible
 from tests.conftest import EVENTS_SCHEMA, FOLLOWUPS_SCHEMA, LOGS_SCHEMA, USERS_SCHEMA, followup
 
@@ -109,10 +109,8 @@ def test_event_paths_vs_brute_force(spark):
     rnd = random.Random(9)
     kinds = ["reg", "a", "b", "c"]
     graph = PathGraph(("reg",), (State("A", ("a",)), State("B", ("b", "x")), State("C", ("c", "x"))),
-                      (Transition("ta", REGISTRATION, "A"), Transition("tb", "ta", "B"),
-                       Transition("tc", "tb", "C"), Transition("tc2", "ta", "C")),
-                      (Edge(1, "R", "A", "ta"), Edge(2, "A", "B", "tb"), Edge(3, "B", "C", "tc"),
-                       Edge(4, "A", "C", "tc2")))
+                      (Edge(1, "R", "A", ("A",)), Edge(2, "A", "B", ("A", "B")), Edge(3, "B", "C", ("A", "B", "C")),
+                       Edge(4, "A", "C", ("A", "C"))))
     events, users = [], []
     for u in range(60):
         users.append((f"u{u}", "COV", T0, False, "APP"))

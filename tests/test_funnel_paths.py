@@ -1,7 +1,18 @@
 """V5 daily funnel and V6 event paths on hand-made rows (FIXTURES.md B)."""
 
+import pytest
+
 from flowlens.operators.funnel import daily_funnel, lead_verdict, user_lead_status
-from flowlens.operators.paths import COVENANTS, DEFAULT_GRAPH, default_graph, event_paths
+from flowlens.operators.paths import (
+    COVENANTS,
+    DEFAULT_GRAPH,
+    Edge,
+    PathGraph,
+    all_chains,
+    default_graph,
+    event_paths,
+    event_states,
+)
 from tests.conftest import (
     EVENTS_SCHEMA,
     FOLLOWUPS_SCHEMA,
@@ -128,5 +139,54 @@ def test_event_paths_default_and_literal_graph(spark):
 
 def test_default_graph_resolves_every_edge():
     assert len(DEFAULT_GRAPH.edges) == 17 and len(DEFAULT_GRAPH.states) == 29
-    assert len(DEFAULT_GRAPH.transitions) == 37
-    assert len(DEFAULT_GRAPH.chain(DEFAULT_GRAPH.edges[13].transition)) == 9
+    for literal in (False, True):
+        chains = all_chains(literal)
+        assert len(chains) == 37 == len(set(chains))
+        assert {e.chain for e in default_graph(literal).edges} <= set(chains)
+    assert len(DEFAULT_GRAPH.edges[13].chain) == 9
+
+
+@pytest.mark.parametrize("literal", [False, True])
+def test_every_way_and_every_edge_can_be_walked(spark, literal):
+    """One user per way, with one event of each of its states in order: all 37 ways and 17 edges count."""
+    graph, chains = default_graph(literal), all_chains(literal)
+    ids = {s.name: s.events[0] for s in graph.states}
+    rows = [(100 * u + i, f"u{u:02d}", ts(f"2024-05-01 00:{i:02d}:00"), name, "ios")
+            for u, chain in enumerate(chains)
+            for i, name in enumerate(["registration_completed", *[ids[s] for s in chain]])]
+    events = spark.createDataFrame(rows, EVENTS_SCHEMA)
+    users = spark.createDataFrame([(f"u{u:02d}", "C", ts("2024-04-01"), False, "APP") for u in range(len(chains))], USERS_SCHEMA)
+    every = PathGraph(graph.registration_events, graph.states, tuple(Edge(i, "a", str(i), c) for i, c in enumerate(chains)))
+    walked = {r.step_order: r.users for r in event_paths(events, users, every, covenants=None).collect()}
+    assert set(walked) == set(range(37)) and all(n >= 1 for n in walked.values())
+    edges = {r.step_order: r.users for r in event_paths(events, users, graph, covenants=None).collect()}
+    assert set(edges) == set(range(1, 18))
+    for e in graph.edges:   # a child never has more users than the edge before it on its way
+        for f in graph.edges:
+            if f.chain == e.chain[:-1]:
+                assert edges[e.step_order] <= edges[f.step_order]
+    touched = {r.state for r in event_states(events, users, graph, covenants=None).collect()}
+    assert {s for c in chains for s in c} <= touched
+
+
+def test_event_states_has_all_29_states(spark):
+    rows = [(i, "u", ts("2024-05-01"), e, "ios") for i, e in enumerate(x for s in DEFAULT_GRAPH.states for x in s.events)]
+    users = spark.createDataFrame([("u", "C", ts("2024-04-01"), False, "APP")], USERS_SCHEMA)
+    found = event_states(spark.createDataFrame(rows, EVENTS_SCHEMA), users, DEFAULT_GRAPH, covenants=None)
+    assert {r.state for r in found.collect()} == {s.name for s in DEFAULT_GRAPH.states}
+
+
+def test_funnel_measures_are_ordered_and_growth_only_rises(spark):
+    from flowlens.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    n = lambda v: v or 0
+    for r in catalog.q_daily_funnel(spark, sf).collect():
+        assert n(r.unblocked_users) <= n(r.valid_relationship) <= n(r.total_registered)
+        assert n(r.followups_created_30d) <= n(r.proposal_opportunities) <= n(r.total_registered)
+        assert max(n(r.valid_followups_created_30d), n(r.followups_finalized_30d)) <= n(r.followups_created_30d)
+    rows = sorted(catalog.q_monthly_growth(spark, sf).collect(), key=lambda r: r.month)
+    for name in ("Total Covenants", "User Base", "Qualified Users", "Total Clients"):
+        seen = [r[name] for r in rows if r[name] is not None]
+        assert seen == sorted(seen)
+    assert all((r["New Clients"] or 0) <= (r["Clients This Month"] or 0) for r in rows)

@@ -11,7 +11,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from flowlens.plans import catalog, oracle  # noqa: E402
 from flowlens.plans.check import compare, duckdb_connection  # noqa: E402
 from flowlens.session import local_session  # noqa: E402
 
@@ -20,7 +20,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     con = duckdb_connection(sf_dir)
-    qs, sqls = entry.queries(), entry.oracle_sql()
+    qs, sqls = catalog.queries(), oracle.all_sql()
     bad = 0
     for key in sys.argv[2:] or list(qs):
         t0 = time.time()
