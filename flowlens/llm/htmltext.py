@@ -149,16 +149,23 @@ class Page:
                 or values.get("aria-hidden", "").lower() == "true" or "display:none" in values.get("style", "").lower().replace(" ", ""))
 
     def content(self) -> tuple[list[int], list[bool]]:
-        """Per element its nearest article or main (-1: none), and whether it holds one."""
-        main, holds, gone = [-1], [False] * len(self.tag), [False]
-        for node in range(1, len(self.tag)):
-            up = self.parent[node]
-            gone.append(gone[up] or (self.kind[node] and self.tag[node] not in ("header",)))
-            main.append(main[up] if main[up] >= 0 else node if self.tag[node] in ("article", "main") and not gone[node] else -1)
-            if main[node] == node:
-                while up > 0:
-                    holds[up] = True
-                    up = self.parent[up]
+        """Per element its outermost article or main (-1: none), and whether it holds one.
+
+        An article inside an unwanted element (a reader comment, a teaser) does not count,
+        unless the page has no other and only a class or id speaks against the element.
+        """
+        for unwanted in (self.kind, [k and t in DROPPED for k, t in zip(self.kind, self.tag, strict=True)]):
+            main, holds, gone = [-1], [False] * len(self.tag), [False]
+            for node in range(1, len(self.tag)):
+                up = self.parent[node]
+                gone.append(gone[up] or unwanted[node])
+                main.append(main[up] if main[up] >= 0 else node if self.tag[node] in ("article", "main") and not gone[node] else -1)
+                if main[node] == node:
+                    while up > 0:
+                        holds[up] = True
+                        up = self.parent[up]
+            if any(m >= 0 for m in main):
+                break
         return main, holds
 
     def subtrees(self) -> set[int]:

@@ -112,7 +112,7 @@ def save_map(table: DataFrame, folder: str) -> None:
 
 def load_map(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
     """A version of the map, the latest by default."""
-    table = spark.read.parquet(folder)
+    table = spark.read.schema(MAP_SCHEMA + ", version int").parquet(folder)
     if version is None:
         version = table.agg(F.max("version")).first()[0]
     return table.where(F.col("version") == version)
