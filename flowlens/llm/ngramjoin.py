@@ -17,7 +17,9 @@ per fragment and summed per pair.
    all pairs); the verified links are closed into components.  Then, for what is still
    apart, all pairs of a list from different components.  Size and position bounds prune
    pairs that cannot reach t; no other limit applies, so no link between components is lost.
-4. *Verification.*  The sets of the candidates, cut into fragments, are joined with the
+4. *Screening.*  What two prefixes share, plus what follows the longer remainder, bounds
+   the overlap; a pair below the needed overlap is dropped before any set is fetched.
+5. *Verification.*  The sets of the candidates, cut into fragments, are joined with the
    pairs, partial overlaps are counted per fragment and summed: 100 * overlap >=
    t * union is exact integer arithmetic.
 
@@ -216,8 +218,9 @@ class Join:
         star = (postings.join(pivots, "gram").where(F.col("node") != F.col("pivot.node"))
                 .where(_may_link(self.percent, F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place")))
                 .select(F.col("pivot.node").alias("x"), F.col("pivot.n").alias("nx"), F.col("node").alias("y"), F.col("n").alias("ny")))
+        prefixes = postings.groupBy("node").agg(F.collect_list("gram").alias("grams"))
         tested = stored(self._ordered(star), "pairs")
-        found = stored(self.verify(tested), "links")
+        found = stored(self.verify(stored(self.screened(tested, prefixes), "pairs")), "links")
         roots = components(found)
         placed = (postings.join(roots, postings["node"] == roots["node"], "left")
                   .select(postings["*"], F.coalesce(roots["root"], postings["node"]).alias("root")))
@@ -231,6 +234,7 @@ class Join:
                         & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place")))
                  .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
         rest = stored(self._ordered(cross).join(tested, ["a", "b"], "left_anti"), "pairs")
+        rest = stored(self.screened(rest, prefixes), "pairs")
         if not rest.head(1):
             return found
         return stored(found.unionByName(self.verify(rest)), "links")
@@ -243,6 +247,20 @@ class Join:
                             F.when(turn, F.col("nx")).otherwise(F.col("ny")).alias("na"),
                             F.when(turn, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
 
+    def screened(self, pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+        """Pairs whose prefixes share enough: the overlap is at most what they share and one remainder.
+
+        Common n-grams up to the end of the prefix that ends first in the global order lie in
+        both prefixes; behind it at most that set's n - prefix n-grams follow.
+        """
+        a = prefixes.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
+        b = prefixes.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
+        shared = F.size(F.array_intersect("grams_a", "grams_b"))
+        behind = F.greatest(*[F.ceil(self.percent * F.col(n) / 100) - 1 for n in ("na", "nb")])
+        return (pairs.join(a, "a").join(b, "b")
+                .where((100 + self.percent) * (shared + behind) >= self.percent * (F.col("na") + F.col("nb")))
+                .select("a", "b", "na", "nb"))
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that reach the similarity, by partial overlaps per fragment."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -24,6 +25,16 @@ def process_cache(name: str, make):
     return store[name]
 
 
+def latest_in_process(name: str, key, make):
+    """One object per worker process and name: a new key replaces the old object."""
+    store = process_cache(f"latest {name}", dict)
+    if store.get("key") != key:
+        store.clear()
+        store["value"] = make()
+        store["key"] = key
+    return store["value"]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
@@ -43,11 +54,15 @@ def new_path(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage; a lost executor costs nothing that was written.
+    Cuts the lineage; a lost executor costs nothing that was written.  The shuffle files of
+    the finished query are let go: Spark's cleaner removes them once the driver's garbage
+    collector has seen that nothing refers to them.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
