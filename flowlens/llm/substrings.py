@@ -3,6 +3,10 @@
 Edges are the k-mers (windows of ``window`` words, 64-bit codes), nodes the
 (k-1)-mers two neighbours share.  Only repeated edges matter, so:
 
+0. *Copies.*  Documents of one word sequence are found by its code; all but the first are
+   repeated throughout, and only the first takes part in what follows.  Two fixed-size
+   bitmaps tell the copies apart without a join: one of the copies, one of the other
+   documents that pass it by chance (which therefore still take part).
 1. *Screen.*  Each window has an anchor, the least code of its shorter grams; equal
    windows have equal anchors.  About one anchor in six words is shuffled and
    counted (partial aggregation, so frequent passages are merged on the map side);
@@ -59,11 +63,50 @@ def _windows(code: np.ndarray, doc: np.ndarray, window: int, gram: int):
     return doc[:n] == doc[window - 1:], least, place
 
 
-def _version(words: Words, doc: np.ndarray) -> np.ndarray:
-    """A 32-bit tag of each document's word sequence: tells apart versions of one doc_id."""
+def _sequence(words: Words, doc: np.ndarray) -> np.ndarray:
+    """64-bit code of each document's word sequence."""
     index = np.arange(len(words.code), dtype=np.uint64) - words.first[:-1].astype(np.uint64)[doc]
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.code * (index * np.uint64(2) + np.uint64(1)))])
-    return (mix(total[words.first[1:]] - total[words.first[:-1]]) >> np.uint64(33)).astype(np.int32)
+    return mix(total[words.first[1:]] - total[words.first[:-1]])
+
+
+def _version(sequence: np.ndarray) -> np.ndarray:
+    """A 31-bit tag of the sequence: tells apart versions of one doc_id."""
+    return (sequence >> np.uint64(33)).astype(np.int32)
+
+
+def _member(ids: pa.Array, sequence: np.ndarray) -> np.ndarray:
+    """Bitmap code of a (document, sequence) row."""
+    return mix(_code(ids) ^ sequence)
+
+
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, bounds in blocks(batches):
+        words, doc = _scan(rows, data, bounds)
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(_sequence(words, doc).view(np.int64)),
+                                          pa.array(np.diff(words.first))], ["doc_id", "sequence", "n_words"])
+
+
+def _member_codes(passing: np.ndarray | None):
+    """Member codes of profile rows; with a bitmap, only of those it holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            code = _member(rows.column("doc_id"), rows.column("sequence").to_numpy().view(np.uint64))
+            if passing is not None:
+                code = code[bitmaps.holds(passing, code)]
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64))], ["code"])
+    return run
+
+
+class Copies:
+    """Which rows are left out as copies: in the first bitmap and not in the second."""
+
+    def __init__(self, copies: np.ndarray, chance: np.ndarray):
+        self.copies, self.chance = copies, chance
+
+    def out(self, ids: pa.Array, sequence: np.ndarray) -> np.ndarray:
+        code = _member(ids, sequence)
+        return bitmaps.holds(self.copies, code) & ~bitmaps.holds(self.chance, code)
 
 
 def _scan(rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> tuple[Words, np.ndarray]:
@@ -71,29 +114,31 @@ def _scan(rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> tuple[W
     return words, np.repeat(np.arange(rows.num_rows), np.diff(words.first))
 
 
-def _anchors(window: int, gram: int):
+def _anchors(window: int, gram: int, copies: Copies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
             valid, least, place = _windows(words.code, doc, window, gram)
+            valid &= ~copies.out(rows.column("doc_id"), _sequence(words, doc))[doc[:len(valid)]]
             fresh = valid.copy()
             fresh[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(least[fresh].view(np.int64))], ["anchor"])
     return run
 
 
-def _edges(window: int, gram: int, repeated: np.ndarray):
+def _edges(window: int, gram: int, repeated: np.ndarray, copies: Copies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
             valid, least, _ = _windows(words.code, doc, window, gram)
-            at = np.flatnonzero(valid)
+            sequence = _sequence(words, doc)
+            at = np.flatnonzero(valid & ~copies.out(rows.column("doc_id"), sequence)[doc[:len(valid)]])
             at = at[bitmaps.holds(repeated, least[at])]
             edge = window_codes(words.code, window, seed=23)[at]
             owner = doc[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(edge.view(np.int64)), rows.column("doc_id").take(pa.array(owner)),
-                 pa.array(_version(words, doc)[owner]), pa.array((at - words.first[owner]).astype(np.int32))],
+                 pa.array(_version(sequence)[owner]), pa.array((at - words.first[owner]).astype(np.int32))],
                 ["edge", "doc_id", "version", "start"])
     return run
 
@@ -105,20 +150,35 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
     path also start earlier, from ``source_start`` of ``source_doc`` on.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    anchors = texts.select("text").mapInArrow(_anchors(window, gram), "anchor long")
+    profiles = stored(texts.mapInArrow(_profiles, "doc_id long, sequence long, n_words long").where(F.col("n_words") >= window),
+                      "profiles")
+    shared = (profiles.groupBy("sequence").agg(F.count("*").alias("n"), F.min(F.struct("doc_id")).alias("source")).where("n > 1"))
+    again = (profiles.join(shared, "sequence").where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")))
+             .select("doc_id", "sequence", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
+    again = stored(again, "copies")
+    copied = bitmaps.build(again.mapInArrow(_member_codes(None), "code long"), "code", bits)
+    others = profiles.join(again.select("doc_id", "sequence"), (profiles["sequence"] == again["sequence"])
+                           & profiles["doc_id"].eqNullSafe(again["doc_id"]), "left_anti")
+    copies = Copies(copied, bitmaps.build(others.mapInArrow(_member_codes(copied), "code long"), "code", bits))
+
+    anchors = texts.select("doc_id", "text").mapInArrow(_anchors(window, gram, copies), "anchor long")
     repeated = bitmaps.build(anchors.groupBy("anchor").count().where("count > 1"), "anchor", bits)
-    edges = texts.mapInArrow(_edges(window, gram, repeated), "edge long, doc_id long, version int, start int")
+    edges = texts.mapInArrow(_edges(window, gram, repeated, copies), "edge long, doc_id long, version int, start int")
     sources = (edges.groupBy("edge").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("source"))
                .where("n > 1").select("edge", "source"))
     later = (edges.join(sources, "edge")
              .where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")) | (F.col("source.start") != F.col("start")))
              .select("doc_id", "version", "start", F.col("source.doc_id").alias("source_doc"),
                      (F.col("source.start") - F.col("start")).alias("step")))
+    # rows of one (document, source, step) whose starts follow each other are one path; rows may repeat
     line = Window.partitionBy("doc_id", "version", "source_doc", "step").orderBy("start")
-    return (later.distinct().withColumn("path", F.col("start") - F.row_number().over(line))
-            .groupBy("doc_id", "version", "source_doc", "step", "path")
-            .agg(F.min("start").alias("first"), F.max("start").alias("last"))
-            .select("doc_id", "version", "first", "last", "source_doc", (F.col("first") + F.col("step")).alias("source_start")))
+    paths = (later.withColumn("path", F.col("start") - F.dense_rank().over(line))
+             .groupBy("doc_id", "version", "source_doc", "step", "path")
+             .agg(F.min("start").alias("first"), F.max("start").alias("last"))
+             .select("doc_id", "version", "first", "last", "source_doc", (F.col("first") + F.col("step")).alias("source_start")))
+    whole = again.select("doc_id", F.shiftrightunsigned("sequence", 33).cast("int").alias("version"), F.lit(0).alias("first"),
+                         (F.col("n_words") - window).cast("int").alias("last"), "source_doc", F.lit(0).alias("source_start"))
+    return paths.unionByName(whole)
 
 
 def _code(values: pa.Array) -> np.ndarray:
@@ -156,7 +216,7 @@ def _rewriter(window: int, columns: list[str], paths: str, emit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
-            tags = _version(words, doc)
+            tags = _version(_sequence(words, doc))
             spans = rows.column(paths).to_pylist() if paths in rows.schema.names else [None] * rows.num_rows
             flags = [covered(words, d, [s for s in own or [] if s["version"] == tags[d]], window) for d, own in enumerate(spans)]
             yield emit(rows, data, words, flags, columns)
