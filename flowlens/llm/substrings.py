@@ -45,6 +45,7 @@ from flowlens.llm.workspace import by_value, stored
 
 WINDOW = 20
 GRAM = 10
+COPY_BITS = 24   # of the two bitmaps of copies, 2 MB each
 
 
 def _windows(code: np.ndarray, doc: np.ndarray, window: int, gram: int):
@@ -156,10 +157,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
     again = (profiles.join(shared, "sequence").where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")))
              .select("doc_id", "sequence", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
     again = stored(again, "copies")
-    copied = bitmaps.build(again.mapInArrow(_member_codes(None), "code long"), "code", bits)
+    small = min(bits, COPY_BITS)
+    copied = bitmaps.build(again.mapInArrow(_member_codes(None), "code long"), "code", small)
     others = profiles.join(again.select("doc_id", "sequence"), (profiles["sequence"] == again["sequence"])
                            & profiles["doc_id"].eqNullSafe(again["doc_id"]), "left_anti")
-    copies = Copies(copied, bitmaps.build(others.mapInArrow(_member_codes(copied), "code long"), "code", bits))
+    copies = Copies(copied, bitmaps.build(others.mapInArrow(_member_codes(copied), "code long"), "code", small))
 
     anchors = texts.select("doc_id", "text").mapInArrow(_anchors(window, gram, copies), "anchor long")
     repeated = bitmaps.build(anchors.groupBy("anchor").count().where("count > 1"), "anchor", bits)
@@ -211,10 +213,15 @@ def covered(words: Words, d: int, spans: list, window: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _rewriter(window: int, columns: list[str], paths: str, emit):
-    """Applies the paths to the text of each row; ``emit`` makes the output batch."""
+def _rewriter(window: int, columns: list[str], paths: str, emit, affected: np.ndarray | None = None):
+    """Applies the paths to the text of each row; ``emit`` makes the output batch.
+
+    With a bitmap of affected documents, only rows that are not in it pass.
+    """
+    choose = (lambda batches: batches) if affected is None else _touched(affected, False, "doc_id")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in blocks(batches):
+        for rows, data, bounds in blocks(choose(batches)):
             words, doc = _scan(rows, data, bounds)
             tags = _version(_sequence(words, doc))
             spans = rows.column(paths).to_pylist() if paths in rows.schema.names else [None] * rows.num_rows
@@ -257,7 +264,7 @@ def _apply(docs: DataFrame, window: int, columns: list[str], schema, emit) -> Da
     spans = stored(repeated_spans(docs, window).select("doc_id", "version", "first", "last"), "spans")
     affected = bitmaps.build(spans.select("doc_id").distinct().mapInArrow(_codes, "code long"), "code", 22)
     paths = next(n for n in ("paths", "repeat_paths", "_repeat_paths_") if n not in docs.columns)
-    same = docs.mapInArrow(_touched(affected, False, "doc_id"), docs.schema).mapInArrow(_rewriter(window, columns, paths, emit), schema)
+    same = docs.mapInArrow(_rewriter(window, columns, paths, emit, affected), schema)
     own = (spans.groupBy(F.col("doc_id").cast("long").alias("_span_doc_"))
            .agg(F.collect_list(F.struct("version", "first", "last")).alias(paths)))
     hit = docs.mapInArrow(_touched(affected, True, "doc_id"), docs.schema)
