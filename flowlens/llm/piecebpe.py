@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from flowlens.llm.workspace import by_value, process_cache
 
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 400_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: The first part of a run of space symbols and the word after it.

@@ -1,6 +1,6 @@
 """Toxicity scores: Levenshtein automata run against a lexicon trie, weighed by context.
 
-``train`` learns everything from labelled rows: a lexicon of word beginnings whose
+``train`` learns everything from labelled rows (near copies of a toxic text count once): a lexicon of word beginnings whose
 documents are toxic far more often than others, a weight for their misspellings, and a
 small logistic model.  It uses at most about ``MAX_TRAIN`` labelled documents (chosen by
 a hash of the id), a documented bound; scoring covers every whole text.
@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.workspace import by_value, process_cache, stored
+from flowlens.llm.wordscan import blocks, scan, space_words, window_codes
+from flowlens.llm.workspace import by_value, latest_in_process, stored
 
 MAX_TRAIN = 12_000       # labelled documents used to learn
 MAX_CANDIDATES = 200_000  # word beginnings whose counts are compared
@@ -41,8 +42,12 @@ MIN_DOCUMENTS = 4        # toxic documents an entry needs
 SURER = 0.1              # by which a longer beginning must be surer than an entry it continues
 MIN_PRECISION = 0.5      # lower bound (95 %) of its share of toxic documents
 SHORTEST, LONGEST = 3, 12
+UNSEEN = 0.8             # evidence of a misspelling the sample does not show
+MIN_MISSPELLED = 20      # rows with misspelled evidence from which its weight is learned
+SKETCH, SAME = 8, 2      # least window codes of a text, and how many two copies share
 THRESHOLD = 0.3
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
+MAX_STATES = 20_000      # automaton states kept before they are made anew
 REACH = 6                # words looked at on each side of a match
 QUOTED, REPORTED, ADDRESSED = 0.4, 0.6, 1.25
 QUOTES = "\"“”„«»‘’"
@@ -76,6 +81,10 @@ class LexiconAutomaton:
                 self.limit[node] = max(self.limit[node], k)
             self.entry_at[node] = number
         self.edits = [edits_allowed(e) for e in entries]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drops the states made so far; only the first is made again."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.accepts: list[tuple] = []
@@ -121,6 +130,8 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(entry, edits) of the best entry the word begins with: fewest edits, then the longest read."""
+        if len(self.sets) > MAX_STATES:
+            self._forget()
         state, best = self.start, None
         for c in word:
             following = self.steps[state].get(c)
@@ -224,6 +235,29 @@ def _begin_counts(wanted: frozenset | None):
     return run
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, the least codes of its three-word windows): near copies share several."""
+    for rows, data, bounds in blocks(batches):
+        words = scan(data, bounds, space_words(), fold=True)
+        codes = window_codes(words.code, 3)
+        least = [np.unique(codes[a:max(a, b - 2)])[:SKETCH] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([x.view(np.int64) for x in least], pa.list_(pa.int64()))],
+                                         ["doc_id", "least"])
+
+
+def different_texts(sketches: list[tuple[int, list[int]]]) -> list[int]:
+    """Ids without near copies of an earlier one; the words of a copied text are then counted once."""
+    kept, seen = [], {}
+    for doc_id, least in sorted(sketches):
+        met = Counter(seen[code] for code in least if code in seen)
+        if met and max(met.values()) >= SAME:
+            continue
+        kept.append(doc_id)
+        for code in least:
+            seen.setdefault(code, doc_id)
+    return kept
+
+
 def _lower_bound(p: float, n: float) -> float:
     """Wilson lower bound of p / (p + n)."""
     total = p + n
@@ -271,7 +305,7 @@ def choose_lexicon(counts: dict[str, tuple[int, int]], prior: float) -> tuple[li
 def _hit_rows(model: Model):
     """(toxic, features, entries met misspelled only) of labelled rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorer = latest_in_process("toxicity", model, lambda: Scorer(model))
         for rows in batches:
             features, only = [], []
             for text in rows.column("text").to_pylist():
@@ -313,14 +347,19 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     if not sizes.get(0) or not sizes.get(1):
         return Model([], [], [], [], prior)
     spread = sample.repartition(16)
-    bad = (spread.where("toxic = 1").mapInArrow(_begin_counts(None), "term string, documents long")
+    toxic = spread.where("toxic = 1")
+    names = different_texts([(r.doc_id, r.least) for r in toxic.select("doc_id", "text").mapInArrow(
+        _sketches, "doc_id long, least array<bigint>").collect()])
+    ids = sample.sparkSession.createDataFrame([(i,) for i in names], "kept long")   # at most MAX_TRAIN
+    single = toxic.join(F.broadcast(ids), F.col("doc_id") == F.col("kept")).select("doc_id", "text", "toxic")
+    bad = (single.mapInArrow(_begin_counts(None), "term string, documents long")
            .groupBy("term").agg(F.sum("documents").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
            .orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
     bad = {r.term: r.n for r in bad}
     good = (spread.where("toxic = 0").mapInArrow(_begin_counts(frozenset(bad)), "term string, documents long")
             .groupBy("term").agg(F.sum("documents").alias("n")).collect())
     good = {r.term: r.n for r in good}
-    entries, strength = choose_lexicon({t: (p, good.get(t, 0)) for t, p in bad.items()}, sizes[1] / (sizes[0] + sizes[1]))
+    entries, strength = choose_lexicon({t: (p, good.get(t, 0)) for t, p in bad.items()}, len(names) / (sizes[0] + len(names)))
     if not entries:
         return Model([], [], [], [], prior)
     plain = Model(entries, strength, [0.0] * len(entries), [], prior)
@@ -330,21 +369,21 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
               .groupBy("toxic", "entry").count().collect()):
         only[r.toxic, r.entry] = r["count"]
     rate = only / np.array([[sizes[0]], [sizes[1]]])
-    # evidence of a misspelling: how much more toxic documents have it; unseen ones count half
+    # evidence of a misspelling: how much more toxic documents have it; unseen ones count UNSEEN
     seen = only.sum(axis=0)
-    fuzzy = np.where(seen < 3, 0.5, np.clip((rate[1] - rate[0]) / np.maximum(rate[0] + rate[1], 1e-9), 0, 1))
+    fuzzy = np.where(seen < 3, UNSEEN, np.clip((rate[1] - rate[0]) / np.maximum(rate[0] + rate[1], 1e-9), 0, 1))
     model = Model(entries, strength, fuzzy.tolist(), [], prior)
     rows = spread.mapInArrow(_hit_rows(model), hits).select("toxic", "features").collect()
     x, y = np.array([r.features for r in rows]), np.array([r.toxic for r in rows], float)
     weights = _logistic(x, y)
-    if not only.any() or not x[:, 3].any():
-        weights[3] = max(weights[3], 0.6 * (weights[2] or 0.0))   # no misspelling in the sample: by the exact ones
+    if (x[:, 3] > 0).sum() < MIN_MISSPELLED:
+        weights[3] = max(weights[3], weights[2])   # too few misspellings to learn from: as the exact ones
     return model._replace(weights=weights)
 
 
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = process_cache(f"toxicity {hash(str(model))}", lambda: Scorer(model))
+        scorer = latest_in_process("toxicity", model, lambda: Scorer(model))
         for rows in batches:
             yield rows.append_column("toxic_score", pa.array(list(map(scorer.score, rows.column("text").to_pylist())), pa.float64()))
     return run
