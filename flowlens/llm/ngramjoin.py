@@ -41,12 +41,13 @@ from pyspark.sql import functions as F
 from flowlens.llm import bitmaps
 from flowlens.llm.graph import components
 from flowlens.llm.wordscan import blocks, mix, scan, short_code, space_words, window_codes
-from flowlens.llm.workspace import by_value, stored
+from flowlens.llm.workspace import by_value, release, stored
 
 NGRAM = 5
 PERCENT = 75
-MAX_HEAVY = 1 << 17     # heavy n-grams broadcast at most (1 MB)
+MAX_HEAVY = 1 << 18     # heavy n-grams broadcast at most (2 MB)
 HEAVY_DOCUMENTS = 32    # known count from which an n-gram may be heavy
+HEAVY_PREFIXES = 16     # prefixes holding it from which an n-gram may be heavy
 HEAVY_BLOCK = 1 << 21   # n-grams looked at together for repeats
 FRAGMENTS = 8
 
@@ -201,17 +202,30 @@ class Join:
         self.k, self.percent, self.bits = ngram, percent, bits
         first = stored(self.texts.mapInArrow(_profiles(ngram), "kind int, doc_id long, n long, code long"), "profiles")
         self.profiles = first.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("code").alias("node"))
-        heavy = (first.where("kind = 1").groupBy("code").agg(F.sum("n").alias("df")).where(F.col("df") >= HEAVY_DOCUMENTS)
+        known = (first.where("kind = 1").groupBy("code").agg(F.sum("n").alias("df")).where(F.col("df") >= HEAVY_DOCUMENTS)
                  .orderBy(F.desc("df"), "code").limit(MAX_HEAVY).toArrow())
-        self.heavy = heavy["code"].to_numpy()[::-1].astype(np.int64).view(np.uint64)
+        self.heavy_df = dict(zip(known["code"].to_pylist(), known["df"].to_pylist(), strict=True))
+        # counted exactly where it matters: what many prefixes of this order still hold is heavy too
+        often = (self._scan_prefixes(None, "gram long").groupBy("gram").count().where(F.col("count") >= HEAVY_PREFIXES)
+                 .orderBy(F.desc("count"), "gram").limit(MAX_HEAVY).toArrow())
+        for code, n in zip(often["gram"].to_pylist(), often["count"].to_pylist(), strict=True):
+            self.heavy_df[code] = max(n, self.heavy_df.get(code, 0))
+        release(docs.sparkSession)
+
+    @property
+    def heavy(self) -> np.ndarray:
+        """Heavy n-grams, rarest first; at most MAX_HEAVY."""
+        rarest = sorted(self.heavy_df.items(), key=lambda x: (x[1], x[0]))[-MAX_HEAVY:]
+        return np.array([c for c, _ in rarest], np.int64).view(np.uint64)
+
+    def _scan_prefixes(self, repeated: np.ndarray | None, schema: str) -> DataFrame:
+        return self.texts.mapInArrow(_prefixes(self.k, self.percent, self.heavy, repeated), schema)
 
     def links(self) -> DataFrame:
         """Verified links (a, b) whose closure is that of all links between sets."""
-        scan_prefixes = lambda repeated, schema: self.texts.mapInArrow(
-            _prefixes(self.k, self.percent, self.heavy, repeated), schema)
-        counts = scan_prefixes(None, "gram long").groupBy("gram").count().where("count > 1")
+        counts = self._scan_prefixes(None, "gram long").groupBy("gram").count().where("count > 1")
         repeated = bitmaps.build(counts, "gram", self.bits)
-        postings = stored(scan_prefixes(repeated, "gram long, node long, n int, place int, light int")
+        postings = stored(self._scan_prefixes(repeated, "gram long, node long, n int, place int, light int")
                           .dropDuplicates(["gram", "node"]), "postings")
         pivots = (postings.groupBy("gram").agg(F.min(F.struct("light", "node", "n", "place")).alias("pivot"),
                                                F.count("*").alias("members")).where("members > 1").select("gram", "pivot"))

@@ -51,6 +51,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner see which shuffles no query refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -61,8 +67,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
