@@ -3,8 +3,8 @@
 Edges are the k-mers (windows of ``window`` words, 64-bit codes), nodes the
 (k-1)-mers two neighbours share.  Only repeated edges matter, so:
 
-0. *Copies.*  Documents of one word sequence are found by its code; all but the first are
-   repeated throughout, and only the first takes part in what follows.  Two fixed-size
+0. *Copies.*  Documents of one word sequence are found by the SHA-256 of their joined words;
+   all but the first are repeated throughout, and only the first takes part in what follows.  Two fixed-size
    bitmaps tell the copies apart without a join: one of the copies, one of the other
    documents that pass it by chance (which therefore still take part).
 1. *Screen.*  Each window has an anchor, the least code of its shorter grams; equal
@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm import bitmaps
-from flowlens.llm.wordscan import Words, blocks, mix, scan, space_words, window_codes
+from flowlens.llm.wordscan import SPACES, Words, blocks, mix, scan, space_words, window_codes
 from flowlens.llm.workspace import by_value, stored
 
 WINDOW = 20
 GRAM = 10
 COPY_BITS = 24   # of the two bitmaps of copies, 2 MB each
+TO_SPACE = bytes(0x20 if b in SPACES else b for b in range(256))
 
 
 def _windows(code: np.ndarray, doc: np.ndarray, window: int, gram: int):
@@ -64,11 +65,20 @@ def _windows(code: np.ndarray, doc: np.ndarray, window: int, gram: int):
     return doc[:n] == doc[window - 1:], least, place
 
 
-def _sequence(words: Words, doc: np.ndarray) -> np.ndarray:
-    """64-bit code of each document's word sequence."""
-    index = np.arange(len(words.code), dtype=np.uint64) - words.first[:-1].astype(np.uint64)[doc]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.code * (index * np.uint64(2) + np.uint64(1)))])
-    return mix(total[words.first[1:]] - total[words.first[:-1]])
+def _digests(data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """SHA-256 of each document's words, joined by single spaces."""
+    out = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        text = data[lo:hi].tobytes().translate(TO_SPACE).strip(b" ")
+        while b"  " in text:
+            text = text.replace(b"  ", b" ")
+        out.append(hashlib.sha256(text).digest())
+    return out
+
+
+def _sequence(digests: list[bytes]) -> np.ndarray:
+    """64-bit code of each document's word sequence: the beginning of its digest."""
+    return np.frombuffer(b"".join(digests), np.uint64)[::4]
 
 
 def _version(sequence: np.ndarray) -> np.ndarray:
@@ -83,9 +93,11 @@ def _member(ids: pa.Array, sequence: np.ndarray) -> np.ndarray:
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, bounds in blocks(batches):
-        words, doc = _scan(rows, data, bounds)
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(_sequence(words, doc).view(np.int64)),
-                                          pa.array(np.diff(words.first))], ["doc_id", "sequence", "n_words"])
+        words, _ = _scan(rows, data, bounds)
+        digests = _digests(data, bounds)
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(_sequence(digests).view(np.int64)),
+                                          pa.array(digests, pa.binary()), pa.array(np.diff(words.first))],
+                                         ["doc_id", "sequence", "digest", "n_words"])
 
 
 def _member_codes(passing: np.ndarray | None):
@@ -120,7 +132,7 @@ def _anchors(window: int, gram: int, copies: Copies):
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
             valid, least, place = _windows(words.code, doc, window, gram)
-            valid &= ~copies.out(rows.column("doc_id"), _sequence(words, doc))[doc[:len(valid)]]
+            valid &= ~copies.out(rows.column("doc_id"), _sequence(_digests(data, bounds)))[doc[:len(valid)]]
             fresh = valid.copy()
             fresh[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(least[fresh].view(np.int64))], ["anchor"])
@@ -132,7 +144,7 @@ def _edges(window: int, gram: int, repeated: np.ndarray, copies: Copies):
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
             valid, least, _ = _windows(words.code, doc, window, gram)
-            sequence = _sequence(words, doc)
+            sequence = _sequence(_digests(data, bounds))
             at = np.flatnonzero(valid & ~copies.out(rows.column("doc_id"), sequence)[doc[:len(valid)]])
             at = at[bitmaps.holds(repeated, least[at])]
             edge = window_codes(words.code, window, seed=23)[at]
@@ -151,15 +163,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
     path also start earlier, from ``source_start`` of ``source_doc`` on.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = stored(texts.mapInArrow(_profiles, "doc_id long, sequence long, n_words long").where(F.col("n_words") >= window),
+    profiles = stored(texts.mapInArrow(_profiles, "doc_id long, sequence long, digest binary, n_words long").where(F.col("n_words") >= window),
                       "profiles")
-    shared = (profiles.groupBy("sequence").agg(F.count("*").alias("n"), F.min(F.struct("doc_id")).alias("source")).where("n > 1"))
-    again = (profiles.join(shared, "sequence").where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")))
-             .select("doc_id", "sequence", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
+    shared = (profiles.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id")).alias("source")).where("n > 1"))
+    again = (profiles.join(shared, "digest").where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")))
+             .select("doc_id", "sequence", "digest", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
     again = stored(again, "copies")
     small = min(bits, COPY_BITS)
     copied = bitmaps.build(again.mapInArrow(_member_codes(None), "code long"), "code", small)
-    others = profiles.join(again.select("doc_id", "sequence"), (profiles["sequence"] == again["sequence"])
+    others = profiles.join(again.select("doc_id", "digest"), (profiles["digest"] == again["digest"])
                            & profiles["doc_id"].eqNullSafe(again["doc_id"]), "left_anti")
     copies = Copies(copied, bitmaps.build(others.mapInArrow(_member_codes(copied), "code long"), "code", small))
 
@@ -222,8 +234,8 @@ def _rewriter(window: int, columns: list[str], paths: str, emit, affected: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(choose(batches)):
-            words, doc = _scan(rows, data, bounds)
-            tags = _version(_sequence(words, doc))
+            words, _ = _scan(rows, data, bounds)
+            tags = _version(_sequence(_digests(data, bounds)))
             spans = rows.column(paths).to_pylist() if paths in rows.schema.names else [None] * rows.num_rows
             flags = [covered(words, d, [s for s in own or [] if s["version"] == tags[d]], window) for d, own in enumerate(spans)]
             yield emit(rows, data, words, flags, columns)

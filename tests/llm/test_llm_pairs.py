@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import llm_brute as brute
 import pytest
@@ -78,6 +79,19 @@ def test_removals_of_odd_rows(spark):
     assert substrings.removal_digest(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_texts_of_the_same_words_in_another_order_are_no_copies(spark):
+    """Equal words and equal sums of positions per word: the order alone tells such texts apart."""
+    tail = " ".join(f"t{i}" for i in range(15))
+    pairs = [(1, f"a b b a {tail} u0 u1 u2"), (2, f"b a a b {tail} u0 u1 u2"), (3, "\t" + f"b a a b  {tail}\nu0 u1 u2 ")]
+    rng = random.Random(8)
+    pairs += [(10 + i, " ".join(rng.choice("01") for _ in range(24))) for i in range(3000)]
+    pairs += [(4000, pairs[5][1]), (4001, "0 1 " + pairs[5][1]), (4002, pairs[7][1].replace(" ", "  "))]
+    want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in brute.removals(pairs)]
+    got = rows(substrings.removal_digest(spark.createDataFrame(pairs, DOCS).repartition(3)))
+    assert got == want
+    assert [r[2] for r in want[:3]] == [0, 0, 22]
+
+
 def test_decontamination_equals_brute_force_in_one_block_or_many(spark, docs):
     texts = [t for _, t in brute.corpus() if t]
     items = [(1, " ".join(brute.words(texts[20])[5:40])), (2, "One"), (3, None), (4, "two, WORDS"), (10, "x y x y"), (None, "É w5"),
