@@ -2,10 +2,10 @@
 
 1. *Subtrees.*  Each page is parsed once (a tolerant tag scanner) and every container
    element outside its article gives the hash of its subtree: tag, text and children.
-2. *Counts.*  Per host, the distinct pages (by their whole content, so copies of a page
-   are one) that hold a subtree are counted with partial aggregations: a hot host is many
-   (host, subtree) keys.  Those on ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's
-   pages are its template.
+2. *Counts.*  Per host, the distinct main contents (see ``Page.vote``: copies and near
+   copies of a page are about one) whose pages hold a subtree are counted with partial
+   aggregations: a hot host is many (host, subtree) keys.  Those with ``MIN_PAGES`` contents
+   and ``MIN_SHARE`` of the host's are its template.
 3. *Deletion.*  Template subtrees are deleted.  What a template cannot show (a host with
    few pages) is decided by kind: menus, headers, footers, sidebars, notices, adverts,
    forms, scripts and reader comments by tag, role and the words of class and id.
@@ -22,8 +22,10 @@ end where they end (an unfinished tag or comment is dropped).
 from __future__ import annotations
 
 import hashlib
+import heapq
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from flowlens.llm.workspace import by_value, stored
 
 MIN_PAGES = 5
-MIN_SHARE = 0.001
+MIN_SHARE = 0.3
+SHINGLE = 3                  # words of a piece of a page's main content
 MAX_BROADCAST = 1 << 19      # template hashes, 4 MB
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -196,6 +199,17 @@ class Page:
         return "\n\n".join(blocks)
 
 
+    def vote(self) -> int:
+        """Code of the main content: its text without what kind decides, by the two least of its
+        word shingles' codes.  Near copies share nearly all shingles, so nearly always these;
+        pages that share a template only differ in them as far as the rest is their own.
+        """
+        words = self.text(frozenset()).split()
+        codes = {zlib.crc32(" ".join(words[i:i + SHINGLE]).encode("utf-8", "surrogatepass"))
+                 for i in range(max(1, len(words) - SHINGLE + 1))}
+        return _content_key(" ".join(map(str, heapq.nsmallest(2, codes))))
+
+
 def host_of(url: str | None) -> str:
     """Lower-case host of a url, without user and port."""
     found = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\\]*)", url or "")
@@ -212,21 +226,24 @@ def _content_key(source: str) -> int:
 
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, subtree, vote, page) of every page: its main content's code and that of its html."""
     for rows in batches:
-        hosts, pages, keys = [], [], []
+        hosts, votes, pages, keys = [], [], [], []
         for url, source in zip(rows.column("url").to_pylist(), rows.column("html").to_pylist(), strict=True):
-            host, page = host_of(url), _content_key(source or "")
-            own = [_key(host, d) for d in Page(source or "").subtrees()] + [_key(host, 0)]   # 0 stands for the page itself
+            host, page = host_of(url), Page(source or "")
+            own = [_key(host, d) for d in page.subtrees()] + [_key(host, 0)]   # 0 stands for the page itself
             hosts += [_key(host, 0)] * len(own)
-            pages += [page] * len(own)
+            votes += [page.vote()] * len(own)
+            pages += [_content_key(source or "")] * len(own)
             keys += own
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hosts, keys, pages)], ["host", "subtree", "page"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hosts, keys, votes, pages)],
+                                         ["host", "subtree", "vote", "page"])
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(subtree): keys of the (host, subtree) pairs that recur across the host's pages."""
-    rows = pages.select("url", "html").mapInArrow(_subtree_rows, "host long, subtree long, page long")
-    counts = rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    """(subtree): keys of the (host, subtree) pairs that recur across the host's main contents."""
+    rows = pages.select("url", "html").mapInArrow(_subtree_rows, "host long, subtree long, vote long, page long")
+    counts = rows.select("host", "subtree", "vote").distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     total = counts.where("host = subtree").select("host", F.col("pages").alias("total"))
     return (counts.where("host <> subtree").join(total, "host")
             .where(F.col("pages") >= min_share * F.col("total")).select("subtree"))

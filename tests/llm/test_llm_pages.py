@@ -70,6 +70,19 @@ def test_templates_are_deleted_and_articles_kept(spark):
     assert htmltext.extract(df.where("false")).collect() == []
 
 
+def test_text_of_near_copies_and_common_sentences_stay(spark):
+    """Pages without article: a story in near copies and a sentence of few pages are no template."""
+    story = "".join(f"<p>Paragraph {k} of the story tells {' '.join(f'w{k}x{j}' for j in range(30))}.</p>" for k in range(4))
+    rows = [page(i, f"<div>{story}<p>Printed on day {i}.</p></div>", f"<nav><a href=x>Link {i}</a></nav>") for i in range(12)]
+    rows += [page(100 + i, f"<p>Own text {' '.join(f'v{i}y{j}' for j in range(20))}.</p>{'<p>No comment.</p>' * (i < 6)}") for i in range(300)]
+    small = [(1000 + i, f"https://small.example/{i}", f"<div>{story}<p>Seen {i} times</p></div>") for i in range(6)]
+    small += [(1100 + i, f"https://small.example/o{i}", f"<p>Other {' '.join(f'z{i}y{j}' for j in range(20))}</p>") for i in range(4)]
+    df = spark.createDataFrame(rows + small, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    assert all(got[i].count("of the story tells") == 4 for i in [*range(12), *range(1000, 1006)])
+    assert all(got[100 + i].endswith("No comment.") for i in range(6))
+
+
 @pytest.mark.parametrize("source, text", [
     ("<p>a<br>b</p>", "a b"),
     ("<p>a <b>bo</b>ld</p><p>c", "a bold\n\nc"),
