@@ -1,7 +1,8 @@
 """Main text of web pages by site template removal.
 
 1. *Subtrees.*  Each page is parsed once (a tolerant tag scanner) and every container
-   element outside its article gives the hash of its subtree: tag, text and children.
+   element gives the hash of its subtree: tag, text and children.  Those inside an article
+   or main element count apart from the others, among the host's pages with such an element.
 2. *Counts.*  Per host, the distinct main contents (see ``Page.vote``: copies and near
    copies of a page are about one) whose pages hold a subtree are counted with partial
    aggregations: a hot host is many (host, subtree) keys.  Those with ``MIN_PAGES`` contents
@@ -13,8 +14,10 @@
 The templates are broadcast if they are at most ``MAX_BROADCAST`` hashes (counted first);
 beyond that each page is joined with the hashes of its own subtrees that are template.
 
-An article repeated on many pages is a copy, not a template: ``article``, ``main`` and
-what is inside them are never counted.  Defined results: null and empty pages give the
+An article repeated on many pages is a copy, not a template: ``article`` and ``main``
+themselves are never counted, and the copies have one main content, so one vote for what is
+inside.  On a page with such an element the text outside it is left out whatever the counts
+say; inside, the counts and the kinds decide.  Defined results: null and empty pages give the
 empty text; a null url is a host of its own; repeated ids give a row each; cut-off pages
 end where they end (an unfinished tag or comment is dropped).
 """
@@ -171,21 +174,21 @@ class Page:
                 break
         return main, holds
 
-    def subtrees(self) -> set[int]:
-        """Hashes of the container subtrees that may be template."""
+    def subtrees(self) -> set[tuple[int, bool]]:
+        """(hash, inside an article or main) of the container subtrees that may be template."""
         main, holds = self.content()
-        return {self.digest[n] for n in range(1, len(self.tag))
-                if self.tag[n] in CONTAINERS and main[n] < 0 and not holds[n] and self.digest[n]}
+        return {(self.digest[n], main[n] >= 0) for n in range(1, len(self.tag))
+                if self.tag[n] in CONTAINERS and not holds[n] and main[n] != n and self.digest[n]}
 
     def text(self, template) -> str:
-        """The blocks that are left, joined by an empty line; ``template``: hashes to delete."""
+        """The blocks that are left, joined by an empty line; ``template``: (hash, inside) to delete."""
         main, holds = self.content()
         has_main = any(m >= 0 for m in main)
         gone = [False]
         for n in range(1, len(self.tag)):
             inside, name = main[n] >= 0, self.tag[n]
             kind = (self.kind[n] and not holds[n]) or (name == "header" and not inside and not holds[n])
-            own = kind or (not inside and not holds[n] and self.digest[n] in template)
+            own = kind or (not holds[n] and (self.digest[n], inside) in template)
             gone.append(gone[self.parent[n]] or (own and main[n] != n))
         blocks, parts = [], []
         for node, piece in [*self.pieces, (0, None)]:
@@ -216,9 +219,9 @@ def host_of(url: str | None) -> str:
     return found[1].rpartition("@")[2].partition(":")[0].lower() if found else ""
 
 
-def _key(host: str, digest: int) -> int:
-    """64-bit key of a subtree on a host."""
-    return int.from_bytes(hashlib.blake2b(f"{host}\x1f{digest}".encode(), digest_size=8).digest(), "little", signed=True)
+def _key(host: str, digest: int, inside: bool = False) -> int:
+    """64-bit key of a subtree on a host, inside or outside its articles."""
+    return int.from_bytes(hashlib.blake2b(f"{host}\x1f{digest}{'a' * inside}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _content_key(source: str) -> int:
@@ -226,37 +229,42 @@ def _content_key(source: str) -> int:
 
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, subtree, vote, page) of every page: its main content's code and that of its html."""
+    """(space, subtree, vote, host, page) of every page: the host outside or inside its articles,
+    the subtree, the main content's code, the host and the html's code."""
     for rows in batches:
-        hosts, votes, pages, keys = [], [], [], []
+        spaces, keys, votes, hosts, pages = [], [], [], [], []
         for url, source in zip(rows.column("url").to_pylist(), rows.column("html").to_pylist(), strict=True):
             host, page = host_of(url), Page(source or "")
-            own = [_key(host, d) for d in page.subtrees()] + [_key(host, 0)]   # 0 stands for the page itself
-            hosts += [_key(host, 0)] * len(own)
+            space = [_key(host, 0), _key(host, 0, True)]    # 0 stands for the page itself
+            own = [(space[inside], _key(host, d, inside)) for d, inside in page.subtrees()]
+            own += [(x, x) for x in space[:1 + any(m >= 0 for m in page.content()[0])]]
+            spaces += [x for x, _ in own]
+            keys += [x for _, x in own]
             votes += [page.vote()] * len(own)
+            hosts += space[:1] * len(own)
             pages += [_content_key(source or "")] * len(own)
-            keys += own
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hosts, keys, votes, pages)],
-                                         ["host", "subtree", "vote", "page"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (spaces, keys, votes, hosts, pages)],
+                                         ["space", "subtree", "vote", "host", "page"])
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(subtree): keys of the (host, subtree) pairs that recur across the host's main contents."""
-    rows = pages.select("url", "html").mapInArrow(_subtree_rows, "host long, subtree long, vote long, page long")
-    counts = rows.select("host", "subtree", "vote").distinct().groupBy("host", "subtree").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    total = counts.where("host = subtree").select("host", F.col("pages").alias("total"))
-    return (counts.where("host <> subtree").join(total, "host")
+    rows = pages.select("url", "html").mapInArrow(_subtree_rows, "space long, subtree long, vote long, host long, page long")
+    counts = (rows.select("space", "subtree", "vote").distinct().groupBy("space", "subtree").agg(F.count("*").alias("pages"))
+              .where(F.col("pages") >= min_pages))
+    total = counts.where("space = subtree").select("space", F.col("pages").alias("total"))
+    return (counts.where("space <> subtree").join(total, "space")
             .where(F.col("pages") >= min_share * F.col("total")).select("subtree"))
 
 
 class _OnHost:
-    """Template test of one page: is a subtree hash template on its host?"""
+    """Template test of one page: is a (hash, inside) template on its host?"""
 
     def __init__(self, host: str, keys):
         self.host, self.keys = host, keys
 
-    def __contains__(self, digest: int) -> bool:
-        return bool(self.keys) and _key(self.host, digest) in self.keys
+    def __contains__(self, subtree: tuple[int, bool]) -> bool:
+        return bool(self.keys) and _key(self.host, *subtree) in self.keys
 
 
 def _extractor(shared: frozenset | None):

@@ -70,6 +70,21 @@ def test_templates_are_deleted_and_articles_kept(spark):
     assert htmltext.extract(df.where("false")).collect() == []
 
 
+def test_templates_inside_articles_are_deleted(spark):
+    """What most articles of a host hold goes, what copies of one article hold stays."""
+    block = "<div>Read this <span>in our app</span> today</div>"     # no telling tag or class
+    own = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(30)]
+    rows = [page(i, f"<article><p>{own[i]}</p>{block}</article>") for i in range(20)]
+    rows += [page(50 + i, f"<main><h1>Copied</h1><p>The same long story on every page</p></main><p>{i}</p>") for i in range(40)]
+    rows += [page(100 + i, f"<p>{own[20 + i]}</p>{block}") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    assert all(got[i] == own[i] for i in range(20))
+    assert all(got[50 + i] == "Copied\n\nThe same long story on every page" for i in range(40))
+    assert all(got[100 + i] == f"{own[20 + i]}\n\nRead this in our app today" for i in range(2))
+    assert {r.page_id: r.text for r in htmltext.extract(df, max_broadcast=0).collect()} == got
+
+
 def test_text_of_near_copies_and_common_sentences_stay(spark):
     """Pages without article: a story in near copies and a sentence of few pages are no template."""
     story = "".join(f"<p>Paragraph {k} of the story tells {' '.join(f'w{k}x{j}' for j in range(30))}.</p>" for k in range(4))
