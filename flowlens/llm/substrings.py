@@ -1,7 +1,7 @@
-"""Substring deduplication over a de Bruijn graph of word k-mers.
+"""Substring deduplication by the repeated edges of a de Bruijn graph of word k-mers.
 
-Edges are the k-mers (windows of ``window`` words, 64-bit codes), nodes the
-(k-1)-mers two neighbours share.  Only repeated edges matter, so:
+Edges are the k-mers (windows of ``window`` words, 64-bit codes).  Only repeated edges
+matter, and runs of coordinates replace the graph: no node is made, no degree counted.
 
 0. *Copies.*  Documents of one word sequence are found by the SHA-256 of their joined words;
    all but the first are repeated throughout, and only the first takes part in what follows.  Two fixed-size
@@ -16,7 +16,7 @@ Edges are the k-mers (windows of ``window`` words, 64-bit codes), nodes the
    and a join brings that to all its occurrences.  AQE splits a hot edge's join.
 3. *Paths.*  In a document an edge continues the path of the edge before it when its
    own and its source coordinates both advance by one.  A branch, or a source that
-   does not go on in step, ends the path: the coordinates verify the whole span.
+   does not go on in step, ends the path.  Coordinates are compared, the words at them are not.
    Each path becomes one row: (document, words from, to, source document, source start).
 4. *Removal.*  A word covered by an edge that also starts earlier is removed.  A
    bitmap of the affected documents lets all others pass by without a shuffle.
