@@ -252,6 +252,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     rows = pages.select("url", "html").mapInArrow(_subtree_rows, "space long, subtree long, vote long, host long, page long")
     counts = (rows.select("space", "subtree", "vote").distinct().groupBy("space", "subtree").agg(F.count("*").alias("pages"))
               .where(F.col("pages") >= min_pages))
+    counts = stored(counts, "subtree-counts")    # both uses below read it: the pages are parsed once
     total = counts.where("space = subtree").select("space", F.col("pages").alias("total"))
     return (counts.where("space <> subtree").join(total, "space")
             .where(F.col("pages") >= min_share * F.col("total")).select("subtree"))
