@@ -1,3 +1,4 @@
+from flowlens.functions.carry import carry, quantiles, ranked
 from flowlens.functions.semantics import (
     assert_unique,
     day_start,
@@ -7,15 +8,18 @@ from flowlens.functions.semantics import (
     is_present,
     latest_per_key,
     month_start,
+    newest_per_key,
     null_if_zero,
     plus_days,
     running_total,
     seconds_between,
+    unique_or_fail,
 )
 from flowlens.functions.sequence import with_neighbor
 
 __all__ = [
     "assert_unique",
+    "carry",
     "day_start",
     "epoch_micros",
     "epoch_second_floor",
@@ -23,9 +27,13 @@ __all__ = [
     "is_present",
     "latest_per_key",
     "month_start",
+    "newest_per_key",
     "null_if_zero",
     "plus_days",
     "running_total",
+    "quantiles",
+    "ranked",
     "seconds_between",
+    "unique_or_fail",
     "with_neighbor",
 ]

@@ -120,6 +120,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return out.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:
+    """The k first rows per key in ``order``, numbered from 1 (QUALIFY ROW_NUMBER() <= k).
+
+    Spark turns the ranked filter into a group limit that also runs before the exchange: every map task
+    sends at most ``k`` rows a key, so a key with a third of all rows costs its reducer ``k`` rows a task.
+    """
+    ranked = df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(out) <= k)
+
+
+def unique_or_fail(df: DataFrame, keys: Sequence[str], name: str = "table") -> DataFrame:
+    """``df`` with one row per key; a repeated key fails the query that reads it and names the key.
+
+    The contract check happens in the aggregation itself: no job runs when the DataFrame is defined.
+    """
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    fault = F.raise_error(F.concat(F.lit(f"{name}: key {keys} is not unique: "), shown))
+    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *rest)).alias("_row"))
+    # the struct depends on the check, so no column can be read without it
+    checked = held.select(*keys, F.when(F.col("_n") == 1, F.col("_row")).otherwise(fault.cast(held.schema["_row"].dataType)).alias("_row"))
+    return checked.where(F.col("_row._one") == 1).select(*[k if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns])
+
+
 def assert_unique(df: DataFrame, keys: Iterable[str], name: str = "table") -> None:
     """Eager contract check: fail if ``keys`` repeat (runs one aggregation).
 

@@ -35,6 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions.carry import quantiles
 from flowlens.functions.semantics import assert_unique, seconds_between
 from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, is_splitter, neighbor_in_slices, splitters, with_neighbor
 
@@ -165,3 +166,18 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
         return sector.cast("long").alias(f"time_{s.lower()}")
 
     return rows.select("followup_id", *ATTRIBUTES, *[total(s) for s in states])
+
+
+def sla_summary(periods: DataFrame, by: Sequence[str] = ("covenant", "state"), *, percents: Sequence[int] = (50, 90, 95),
+                per_sale: bool = True, slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """Service levels of the stages: number, average, exact percentiles and maximum of the seconds per ``by``.
+
+    ``periods`` is the output of ``state_periods``.  With ``per_sale`` a sale's periods in one stage count as
+    one stay of their total length, else every period counts by itself.  Percentiles are discrete (a duration
+    that occurs); see ``functions.carry.quantiles`` for how a stage with most of all rows is handled.
+    """
+    by = list(by)
+    if per_sale:
+        keys = list(dict.fromkeys(["followup_id", *by]))
+        periods = periods.groupBy(*keys).agg(F.sum("duration_seconds").alias("duration_seconds"))
+    return quantiles(periods, by, "duration_seconds", percents, slice_rows=slice_rows)

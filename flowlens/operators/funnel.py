@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.semantics import (
     day_start,
     latest_per_key,
+    newest_per_key,
     month_start,
     null_if_zero,
     plus_days,
@@ -90,6 +91,13 @@ def lead_verdict(leads: DataFrame, users: DataFrame, *, inss: str = INSS) -> Dat
         .otherwise(F.lit("false")).alias("lead_valid"))
 
 
+def newest_leads(leads: DataFrame, k: int = 3) -> DataFrame:
+    """The ``k`` newest lead rows per (user, registry): created DESC NULLS FIRST, then sequence (QUALIFY with k > 1)."""
+    order = [F.col("created_at").desc_nulls_first(), F.col("created_seq").desc(), F.col("lead_id").desc()]
+    return (newest_per_key(leads.where(F.col("lead_id").isNotNull()), ["user_id", "registry_no"], order, k)
+            .select("user_id", "registry_no", "rank", "lead_id", "created_at"))
+
+
 def user_lead_status(users: DataFrame, leads: DataFrame, *, inss: str = INSS) -> DataFrame:
     """Per user row: Blocked / Valid lead / Ineligible / Not a lead."""
     lv = F.col("lead_valid")

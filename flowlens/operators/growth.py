@@ -26,10 +26,14 @@ hundred rows) reach the running-sum windows and the spine joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.functions.carry import carry
 from flowlens.functions.semantics import is_present, month_start, running_total
+from flowlens.functions.sequence import DEFAULT_SLICE_ROWS
 
 SINCE = "2022-01-01"
 UNKNOWN_COVENANT = "desconhecido"
@@ -156,3 +160,21 @@ def monthly_growth(users: DataFrame, leads: DataFrame, contracts: DataFrame, *,
         F.col("new_clients").alias("New Clients"),
         F.col("first_purchase_commission").cast("double").alias("First Purchase Commission"),
     )
+
+
+def cumulative_commission(contracts: DataFrame, *, order: Sequence[str] = ("paid_at", "contract_id"),
+                          slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """Every valid paid contract with the company's and its client's commission up to it.
+
+    Running sums over contracts, not months: the company's has no key, so it is cut at the days of payment (and
+    inside a day at splitters), and only a row per day meets in one task; the client's is cut the same
+    way where a client has very many contracts.
+    """
+    order = list(order)
+    valid = contracts.where(is_present("client_key") & F.col("paid_at").isNotNull() & (F.col("commission") >= 0)).select(
+        "client_key", "commission", *order)
+    total = carry(valid, [], order, rank="contract_number", sums={"_total": "commission"}, period=F.to_date("paid_at"), slice_rows=slice_rows)
+    both = carry(total, ["client_key"], order, sums={"_client": "commission"}, slice_rows=slice_rows)
+    return both.select(*order, "client_key", F.col("commission").cast("double").alias("commission"), "contract_number",
+                       F.col("_total").cast("double").alias("cumulative_commission"),
+                       F.col("_client").cast("double").alias("client_commission"))

@@ -26,7 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions.carry import carry
 from flowlens.functions.semantics import assert_unique, is_present, month_start
+from flowlens.functions.sequence import DEFAULT_SLICE_ROWS
 
 COPY_CHUNK = 1024
 
@@ -52,6 +54,13 @@ def _counted(df: DataFrame, keys: list[str], n: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
 
 
+def _completed(followups: DataFrame, done_status: str) -> DataFrame:
+    """Completed purchases of a present user."""
+    user_type = dict(followups.dtypes)["user_id"]
+    present = is_present("user_id") if user_type == "string" else F.col("user_id").isNotNull()
+    return followups.where((F.col("status") == done_status) & (F.col("commission") >= 0) & present).select(*PURCHASE)
+
+
 def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame,
                     client_ids: DataFrame, *, done_status: str = "Finalizado",
                     assert_users_unique: bool = False) -> DataFrame:
@@ -61,9 +70,7 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
     """
     if assert_users_unique:
         assert_unique(users, ["user_id"], "users")
-    user_type = dict(followups.dtypes)["user_id"]
-    present = is_present("user_id") if user_type == "string" else F.col("user_id").isNotNull()
-    purchases = followups.where((F.col("status") == done_status) & (F.col("commission") >= 0) & present).select(*PURCHASE)
+    purchases = _completed(followups, done_status)
 
     first = purchases.groupBy("user_id").agg(F.min(_rank()).alias("_first"))
     keys = _counted(client_ids, ["user_id", "client_key"], "_n_keys")
@@ -96,3 +103,23 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
         F.col("finalized_at").alias("completion_date"),
         F.col("created_at").alias("creation_date"),
     )
+
+
+def purchase_numbers(followups: DataFrame, *, done_status: str = "Finalizado", slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """Every completed purchase with its number among its user's and the user's commission up to it.
+
+    The full rank behind ``first_vs_repeat``: ROW_NUMBER and running SUM per user by completion (else creation)
+    time, NULLs last, then followup_id.  A user with a third of all purchases is cut into slices that are
+    numbered apart (``functions/carry``); copies of a purchase are numbered one after the other.
+    """
+    rows = _completed(followups, done_status).withColumn("_moment", F.coalesce("finalized_at", "created_at"))
+    order = ["_moment", "followup_id", "seller_id", "origin_platform", "commission", "created_at"]
+    numbered = carry(rows, ["user_id"], order, rank="purchase_number", sums={"user_commission": "commission"}, slice_rows=slice_rows)
+    return numbered.select("user_id", "followup_id", F.col("_moment").alias("completion_date"), "purchase_number",
+                           F.col("commission").cast("double").alias("commission"),
+                           F.col("user_commission").cast("double").alias("user_commission"))
+
+
+def purchases_by_number(numbered: DataFrame) -> DataFrame:
+    """Purchases, users and commission per purchase number (how many users buy an n-th time)."""
+    return numbered.groupBy("purchase_number").agg(F.count(F.lit(1)).alias("users"))

@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions.carry import carry
 from flowlens.functions.semantics import assert_unique
 from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, with_neighbor
 
@@ -90,3 +91,39 @@ def forward_conversions(responsible_rows: DataFrame) -> DataFrame:
     return responsible_rows.groupBy("stage_responsible").agg(
         F.count(F.lit(1)).alias("stage_changes"),
         F.sum("is_conversion").cast("long").alias("conversions"))
+
+
+def responsible_as_of(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
+                      stage_field: str = "Sector", responsible_field: str = "Stage Responsible",
+                      forward_steps: Sequence[tuple[str, str]] = tuple(FORWARD_STEPS),
+                      since: str | None = SINCE, tiebreak: Sequence[str] = ("log_id",),
+                      slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+    """Every stage change with the responsible in office: the last one named at or before it.
+
+    ``stage_responsible`` looks at the row just before a change only (D8), so it loses the changes that follow
+    another change.  Here each change of a sale created since the cut-off stays, with the newest
+    non-null responsible at or before its time (``responsible_since`` is when that was set; both NULL
+    if none was), by ``tiebreak`` among equal times; a responsible set at the same instant counts.
+
+    Plan: the log is cut to the two fields and the recent sales before anything is ordered; the last
+    known value is carried along a sale's rows by ``functions/carry``, across slices of a hot sale; attributes are
+    joined once.
+    """
+    tiebreak = list(tiebreak)
+    sales = followups if since is None else followups.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
+    attrs = (sales.join(users.select("user_id", "covenant"), "user_id")
+             .select("followup_id", "user_id", "covenant", "operation", F.col("created_at").alias("followup_creation_date")))
+    rows = (logs.where(F.col("changed_field").isin(stage_field, responsible_field) & F.col("followup_id").isNotNull())
+            .select("followup_id", "log_date", *tiebreak, "changed_field", "original_content", "updated_content")
+            .join(sales.select("followup_id"), "followup_id", "left_semi")
+            .withColumn("_change", (F.col("changed_field") == stage_field).cast("int")))
+    named = F.when((F.col("_change") == 0) & F.col("updated_content").isNotNull(),
+                   F.struct(F.col("updated_content").alias("name"), F.col("log_date").alias("at")))
+    known = carry(rows, ["followup_id"], ["log_date", "_change", *tiebreak], known={"_in_office": named}, slice_rows=slice_rows)
+    forward = reduce(lambda a, b: a | b, [(F.col("original_content") == a) & (F.col("updated_content") == b)
+                                          for a, b in forward_steps], F.lit(False))
+    return (known.where("_change = 1").join(attrs, "followup_id")
+            .select("followup_id", "user_id", "covenant", "operation", "followup_creation_date", "log_date", *tiebreak,
+                    "original_content", "updated_content", F.col("_in_office.name").alias("stage_responsible"),
+                    F.col("_in_office.at").alias("responsible_since"),
+                    F.when(forward, F.lit(1)).otherwise(F.lit(0)).alias("is_conversion")))

@@ -26,18 +26,20 @@ from flowlens.functions.semantics import (
 from flowlens.functions.sequence import with_neighbor
 from flowlens.operators import funnel as V5
 from flowlens.operators import growth as V4
-from flowlens.operators.durations import state_durations, state_periods
+from flowlens.operators.durations import sla_summary, state_durations, state_periods
 from flowlens.operators.paths import (
     DEFAULT_GRAPH,
     Edge,
     PathGraph,
     State,
+    all_chains,
     default_graph,
     event_paths,
     event_states,
 )
-from flowlens.operators.purchases import first_vs_repeat
-from flowlens.operators.transitions import forward_conversions, stage_responsible
+from flowlens.operators.purchases import first_vs_repeat, purchase_numbers, purchases_by_number
+from flowlens.operators.sequences import ordered_paths, ordered_steps
+from flowlens.operators.transitions import forward_conversions, responsible_as_of, stage_responsible
 from flowlens.sources import adapters as A
 from flowlens.sources.tables import read_table
 
@@ -70,6 +72,30 @@ SOME_COVENANTS = [f"NATION_{n} {m}" for n in (10, 11, 16, 17, 19, 20)
 RECENT_SINCE = "2024-01-15"
 
 
+# Ordered paths over the driver's event types; a kind may come again and a step may have several.
+ORDERED_PATHS = {
+    "buy": [["signup"], ["view"], ["click"], ["purchase"]],
+    "retry": [["view"], ["error"], ["view"], ["error"], ["view"]],
+    "again": [["signup", "view"], ["click", "error"], ["purchase"], ["purchase"]],
+}
+
+
+def _walks(literal_edge6: bool) -> list[list[str]]:
+    """All 37 ways of the reference graph, and a way to each state on none, as event names: a registration, then each state's first event."""
+    events = {s.name: s.events[0] for s in DEFAULT_GRAPH.states}
+    registered = DEFAULT_GRAPH.registration_events
+    ways = all_chains(literal_edge6)
+    ways += [(s,) for s in events if all(s not in way for way in ways)]
+    return [[registered[i % len(registered)], *[events[s] for s in way]] for i, way in enumerate(ways)]
+
+
+def _ways_graph() -> PathGraph:
+    """Every way of the reference graph as an edge of its own, also the 20 that the report leaves out."""
+    ways = sorted(all_chains())
+    return PathGraph(DEFAULT_GRAPH.registration_events, DEFAULT_GRAPH.states,
+                     tuple(Edge(i, "Registration", " > ".join(chain), chain) for i, chain in enumerate(ways, 1)))
+
+
 def q_first_vs_repeat(spark: SparkSession, sf: str) -> DataFrame:
     return first_vs_repeat(A.followups(spark, sf), A.operators(spark, sf),
                            A.users(spark, sf), A.client_ids(spark, sf))
@@ -105,6 +131,33 @@ def q_forward_conversions(spark: SparkSession, sf: str) -> DataFrame:
     return forward_conversions(q_stage_responsible(spark, sf))
 
 
+def q_responsible_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stage change with the responsible in office."""
+    return responsible_as_of(A.event_logs(spark, sf), A.customer_followups(spark, sf), A.users(spark, sf), since=RECENT_SINCE)
+
+
+def q_sla_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Service levels per covenant and stage, a sale's time in a stage as one stay."""
+    return sla_summary(q_state_periods(spark, sf))
+
+
+def q_sla_by_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """Service levels per stage over single periods."""
+    return sla_summary(q_state_periods(spark, sf), ["state"], per_sale=False)
+
+
+def q_purchase_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    return purchase_numbers(A.followups(spark, sf))
+
+
+def q_purchases_by_number(spark: SparkSession, sf: str) -> DataFrame:
+    return purchases_by_number(q_purchase_numbers(spark, sf))
+
+
+def q_cumulative_commission(spark: SparkSession, sf: str) -> DataFrame:
+    return V4.cumulative_commission(A.contracts(spark, sf))
+
+
 # ------------------------------------------------------------------- V4
 def q_monthly_growth(spark: SparkSession, sf: str) -> DataFrame:
     return V4.monthly_growth(A.users(spark, sf), A.leads(spark, sf), A.contracts(spark, sf),
@@ -161,6 +214,10 @@ def q_user_lead_status(spark: SparkSession, sf: str) -> DataFrame:
     return V5.user_lead_status(A.users(spark, sf), A.leads(spark, sf))
 
 
+def q_newest_leads(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.newest_leads(A.leads(spark, sf))
+
+
 def q_canceled_incomplete(spark: SparkSession, sf: str) -> DataFrame:
     return V5.canceled_incomplete(A.status_logs(spark, sf))
 
@@ -192,6 +249,36 @@ def q_event_states(spark: SparkSession, sf: str) -> DataFrame:
     return event_states(A.app_events(spark, sf), A.users(spark, sf), DRIVER_GRAPH, covenants=None)
 
 
+def q_ordered_paths(spark: SparkSession, sf: str) -> DataFrame:
+    return ordered_paths(A.app_events(spark, sf), A.users(spark, sf), ORDERED_PATHS)
+
+
+def q_ordered_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Per user and path: steps made and when the last one was."""
+    steps = ordered_steps(A.app_events(spark, sf), ORDERED_PATHS)
+    return steps.select("user_id", "path", F.size("times").cast("long").alias("steps"), F.element_at("times", -1).alias("last_at"))
+
+
+def q_event_paths_walks(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference graph over users who walk all its ways: every edge has users."""
+    return event_paths(A.app_events_walking(spark, sf, _walks(False)), A.users(spark, sf), DEFAULT_GRAPH, covenants=None)
+
+
+def q_event_paths_walks_literal(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with edge 6, and everything behind it, on the literal chain."""
+    return event_paths(A.app_events_walking(spark, sf, _walks(True)), A.users(spark, sf), default_graph(literal_edge6=True), covenants=None)
+
+
+def q_event_states_walks(spark: SparkSession, sf: str) -> DataFrame:
+    """First touch of all 29 states."""
+    return event_states(A.app_events_walking(spark, sf, _walks(False)), A.users(spark, sf), DEFAULT_GRAPH, covenants=None)
+
+
+def q_path_ways(spark: SparkSession, sf: str) -> DataFrame:
+    """Users on each of the 37 ways, also those that no edge shows."""
+    return event_paths(A.app_events_walking(spark, sf, _walks(False)), A.users(spark, sf), _ways_graph(), covenants=None)
+
+
 # ------------------------------------------------- shared building blocks
 def q_seconds_between(spark: SparkSession, sf: str) -> DataFrame:
     """Second-boundary gap from each event to the user's next event."""
@@ -270,4 +357,17 @@ def queries() -> dict[str, Query]:
         "dedupe_latest": q_dedupe_latest,
         "first_touch": q_first_touch,
         "running_total": q_running_total,
+        "sla_summary": q_sla_summary,
+        "sla_by_stage": q_sla_by_stage,
+        "purchase_numbers": q_purchase_numbers,
+        "purchases_by_number": q_purchases_by_number,
+        "cumulative_commission": q_cumulative_commission,
+        "responsible_as_of": q_responsible_as_of,
+        "newest_leads": q_newest_leads,
+        "ordered_paths": q_ordered_paths,
+        "ordered_steps": q_ordered_steps,
+        "event_paths_walks": q_event_paths_walks,
+        "event_paths_walks_literal": q_event_paths_walks_literal,
+        "event_states_walks": q_event_states_walks,
+        "path_ways": q_path_ways,
     }

@@ -21,7 +21,7 @@ leads          user_id, lead_id, covenant, link_type, eligible, released,
 events         event_id, user_id, event_at, event_name, platform
 operators      seller_id, seller_name
 client_ids     user_id, client_key
-contracts      client_key, paid_at, commission
+contracts      client_key, paid_at, commission, contract_id
 """
 
 from __future__ import annotations
@@ -265,6 +265,25 @@ def app_events_named(spark: SparkSession, sf_dir: str, names: list[str]) -> Data
     return e.withColumn("event_name", name)
 
 
+def app_events_walking(spark: SparkSession, sf_dir: str, walks: list[list[str]]) -> DataFrame:
+    """Driver events in which every signup walks one way of a path graph.
+
+    A signup becomes the events of ``walks[event_id % len(walks)]``, a minute apart from the signup on; for
+    every fifth event id the minutes count backwards and for every seventh all events fall on one minute, so
+    strict time order fails.  Other events stay, as 'opened_app'.
+    """
+    e = read_table(spark, sf_dir, "events")
+    number = F.col("event_id")
+    ways = F.array(*[F.array(*[F.lit(n) for n in walk]) for walk in walks])
+    way = F.when(F.col("event_type") == "signup", F.element_at(ways, (number % len(walks) + 1).cast("int"))).otherwise(
+        F.array(F.lit("opened_app")))
+    rows = e.select("event_id", "user_id", "ts", "value", F.size(way).alias("n"), F.posexplode(way).alias("i", "event_name"))
+    minute = F.when(number % 7 == 0, F.lit(0)).when(number % 5 == 0, F.col("n") - F.col("i")).otherwise(F.col("i"))
+    return rows.select((number * 64 + F.col("i")).alias("event_id"), _s("user_id").alias("user_id"),
+                       (F.col("ts") + F.make_dt_interval(mins=minute.cast("int"))).alias("event_at"), "event_name",
+                       F.when(F.col("value") < 50, F.lit("ios")).otherwise(F.lit("android")).alias("platform"))
+
+
 # ---------------------------------------------------- sellers, ids, contracts
 def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
@@ -290,4 +309,5 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("CK"), _s("o_custkey"))).alias("client_key"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.col("o_orderdate")).alias("paid_at"),
-        (_money("o_totalprice") - F.lit(50000).cast(MONEY)).cast(MONEY).alias("commission"))
+        (_money("o_totalprice") - F.lit(50000).cast(MONEY)).cast(MONEY).alias("commission"),
+        F.col("o_orderkey").alias("contract_id"))
