@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from flowlens.functions.semantics import running_total
 from flowlens.llm.workspace import by_value, stored
 
-GROUP_ROWS = 8192
+GROUP_ROWS = 2048
 BLOCK_ANCHORS = 2048
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 512
 FOCUS = 6
 SLACK = 1e-6
 SCALE = 256
