@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.carry import quantiles
-from flowlens.functions.semantics import assert_unique, seconds_between
+from flowlens.functions.semantics import seconds_between, unique_or_fail
 from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, is_splitter, neighbor_in_slices, splitters, with_neighbor
 
 # The reference's seven stage names, in the order of its
@@ -118,20 +118,13 @@ def state_periods(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
     """One row per kept period: attributes, state, start, capped end, seconds."""
     tiebreak = list(tiebreak)
     logs = logs.where(F.col("followup_id").isNotNull())
-    attrs = _attributes(followups, users)
-    bound_cols = ["max_log", "first_change", "done_at"]
-    bounds = _bounds(logs, state_field, terminal_state)
-    changes = (_state_rows(logs, state_field, tiebreak, slice_rows)
-               .join(bounds, "followup_id"))
-    initial = (attrs.join(bounds, "followup_id")
-               .select("followup_id", F.lit(initial_state).alias("state"),
-                       F.col("followup_creation_date").alias("start_time"),
-                       F.col("first_change").alias("end_time"), *bound_cols))
-    periods = (changes.join(attrs.select("followup_id"), "followup_id", "left_semi")
-               .unionByName(initial))
-    return (_capped(periods).join(attrs, "followup_id")
-            .select("followup_id", *ATTRIBUTES, "state", "start_time", "end_time",
-                    "duration_seconds"))
+    # one row per sale with its attributes and bounds: joined to the changes, and itself the initial period
+    sales = _attributes(followups, users).join(_bounds(logs, state_field, terminal_state), "followup_id")
+    changes = _state_rows(logs, state_field, tiebreak, slice_rows).join(sales, "followup_id")
+    initial = sales.select("*", F.lit(initial_state).alias("state"), F.col("followup_creation_date").alias("start_time"),
+                           F.col("first_change").alias("end_time"))
+    return _capped(changes.unionByName(initial)).select(
+        "followup_id", *ATTRIBUTES, "state", "start_time", "end_time", "duration_seconds")
 
 
 def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
@@ -142,11 +135,11 @@ def state_durations(logs: DataFrame, followups: DataFrame, users: DataFrame, *,
                     assert_users_unique: bool = False) -> DataFrame:
     """One row per sale with ``time_<state>`` seconds for each state.
 
-    ``assert_users_unique`` checks the contract that ``users.user_id`` is a
-    key (D21: a duplicate would double every duration) with one aggregation.
+    ``assert_users_unique`` checks the contract that ``users.user_id`` is a key (D21: a
+    duplicate would double every duration) while the users are read; no job runs before.
     """
     if assert_users_unique:
-        assert_unique(users, ["user_id"], "users")
+        users = unique_or_fail(users, ["user_id"], "users")
     logs = logs.where(F.col("followup_id").isNotNull())
     per_sale = _per_sale(logs, state_field, terminal_state, states, list(tiebreak), slice_rows)
 

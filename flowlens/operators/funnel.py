@@ -35,10 +35,13 @@ one aggregation over a union, with no join on nullable group keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.functions.distinct import dense_ids, distinct_bitmaps, roll_up
+from flowlens.functions.intervals import day_interval_join
 from flowlens.functions.semantics import (
     day_start,
     latest_per_key,
@@ -226,3 +229,53 @@ def daily_funnel(users: DataFrame, leads: DataFrame, events: DataFrame,
         F.count_if(F.col("_valid_created_30d")).alias("valid_followups_created_30d"),
         F.count_if(F.col("_finalized_30d")).alias("followups_finalized_30d"))
     return out.select(*GROUP, *[null_if_zero(m).alias(m) for m in MEASURES])
+
+
+USER_MEASURES = ["total_registered", "valid_relationship", "unblocked_users", "proposal_opportunities",
+                 "followups_created_30d", "valid_followups_created_30d", "followups_finalized_30d"]
+_FLAGS = ["valid_relationship", "unblocked", "has_proposal", "created_30d", "valid_created_30d", "finalized_30d"]
+
+
+def funnel_bitmaps(flags: DataFrame) -> DataFrame:
+    """The funnel's users per (day, covenant, platform) as exact bitmaps (``flags``: ``funnel_user_flags``).
+
+    Users are numbered by first registration day, so a day's users fill few blocks.  Store the result: any coarser
+    report is a merge of it.
+    """
+    ids = dense_ids(flags, "user_id", at="day")
+    measures = {"total_registered": F.lit(True)} | dict(zip(USER_MEASURES[1:], _FLAGS, strict=True))
+    return distinct_bitmaps(flags.join(ids, "user_id"), GROUP, "dense_id", measures)
+
+
+def funnel_rollup(bitmaps: DataFrame, grain: str = "month", by: Sequence[str] = ("covenant",)) -> DataFrame:
+    """Distinct users per ``grain`` (day, week, month, quarter or year) and ``by``, merged from the days' bitmaps."""
+    start = F.to_date("day") if grain == "day" else F.trunc(F.to_date("day"), grain)
+    counts = roll_up(bitmaps, [start.cast("timestamp_ntz").alias(grain), *by], USER_MEASURES)
+    return counts.select(grain, *by, *[null_if_zero(m).alias(m) for m in USER_MEASURES])
+
+
+def active_users(events: DataFrame, grains: Sequence[str] = ("day", "week", "month"), by: Sequence[str] = ("event_name",)) -> DataFrame:
+    """(grain, period, by, users): distinct active users, the coarser grains merged from the days' bitmaps."""
+    by = list(by)
+    rows = events.where(F.col("event_at").isNotNull()).select("user_id", F.to_date("event_at").alias("day"), *by)
+    bitmaps = distinct_bitmaps(rows.join(dense_ids(events, "user_id", at="event_at"), "user_id"), ["day", *by], "dense_id", {"users": F.lit(True)})
+    parts = []
+    for grain in grains:
+        start = F.col("day") if grain == "day" else F.trunc("day", grain)
+        parts.append(roll_up(bitmaps, [start.cast("timestamp_ntz").alias("period"), *by], ["users"])
+                     .select(F.lit(grain).alias("grain"), "period", *by, "users"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sales_after_registration(users: DataFrame, followups: DataFrame, *, horizon_days: int = HORIZON_DAYS) -> DataFrame:
+    """Every sale of a user in the ``horizon_days`` days after a registration: the rows behind the funnel's 30-day flags.
+
+    ``daily_funnel`` needs flags only and reduces sales to days first; here each pair is a row.  Registrations and
+    sales of a user meet per bin of days (``functions/intervals``), so a user with a third of all sales is
+    spread over the bins.  A burst of them inside one bin is left to AQE's skew-join splitting, as no
+    aggregation on these keys follows.
+    """
+    registered = users.select("user_id", F.col("created_at").alias("registered_at")).distinct()
+    sales = followups.select("user_id", "followup_id", F.col("created_at").alias("sold_at"), "status")
+    return (day_interval_join(registered, sales, ["user_id"], "registered_at", "sold_at", horizon_days)
+            .select("user_id", "registered_at", "followup_id", "sold_at", "status", "days_after"))

@@ -27,6 +27,7 @@ hundred rows) reach the running-sum windows and the spine joins.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,18 +138,46 @@ def client_measures(cm: DataFrame) -> DataFrame:
 
 
 def monthly_growth(users: DataFrame, leads: DataFrame, contracts: DataFrame, *,
-                   since: str | None = SINCE, unknown_covenant: str = UNKNOWN_COVENANT) -> DataFrame:
+                   since: str | None = SINCE, unknown_covenant: str = UNKNOWN_COVENANT,
+                   dense: bool = False) -> DataFrame:
+    """The KPIs per month.
+
+    By default the spine is the source's: months with new users and qualified leads, NULL where a table has no
+    row.  With ``dense`` every calendar month from the first to the last of any table has a row: cumulative
+    columns carry the last value on, the others stay NULL in a month without rows; ``since`` filters the month.
+    """
     spine = new_users(users).select("month", F.col("cumulative").alias("_users"))
     cov = new_covenants(users, unknown_covenant).select("month", F.col("cumulative").alias("_cov"))
     qual = qualified_leads(users, leads).select(F.col("month").alias("_qmonth"),
                                                 F.col("cumulative").alias("_qual"))
     clients = client_measures(client_months(contracts))
+    if dense:
+        return _growth_columns(_dense(spine, cov, qual.withColumn("month", F.col("_qmonth")), clients, since))
 
     out = (spine.join(cov, "month", "left")
            .join(qual, F.col("month") == F.col("_qmonth"), "left")
            .join(clients, "month", "left"))
     if since is not None:
         out = out.where(F.col("_qmonth") >= F.lit(since).cast("timestamp_ntz"))
+    return _growth_columns(out)
+
+
+def _dense(spine: DataFrame, cov: DataFrame, qual: DataFrame, clients: DataFrame, since: str | None) -> DataFrame:
+    """All four tables on a calendar without holes; a table of months, so one small window carries the values."""
+    months = reduce(DataFrame.unionByName, [t.select("month") for t in (spine, cov, qual, clients)])
+    ends = months.agg(F.min("month").alias("lo"), F.max("month").alias("hi")).where("lo IS NOT NULL")
+    days = ends.select(F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("INTERVAL 1 MONTH"))).alias("day"))
+    calendar = days.select(F.col("day").cast("timestamp_ntz").alias("month"))
+    found = calendar
+    for table in (spine, cov, qual.drop("_qmonth"), clients):
+        found = found.join(table, "month", "left")
+    running = ["_users", "_cov", "_qual", "_clients"]
+    filled = carry(found, [], ["month"], known={f"{c}_on": F.col(c) for c in running}, period=F.year("month"))
+    out = filled.withColumns({c: F.col(f"{c}_on") for c in running}).withColumn("_qmonth", F.col("month"))
+    return out if since is None else out.where(F.col("month") >= F.lit(since).cast("timestamp_ntz"))
+
+
+def _growth_columns(out: DataFrame) -> DataFrame:
     return out.select(
         F.col("_qmonth").alias("month"),
         F.col("_cov").alias("Total Covenants"),

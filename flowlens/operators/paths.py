@@ -113,7 +113,7 @@ def event_states(events: DataFrame, users: DataFrame, graph: PathGraph | None =
     graph = graph or DEFAULT_GRAPH
     users = _filter_users(users, covenants)
     states = graph.states
-    pivot = (first_touch_times(_of_users(events, users, covenants), graph, states)
+    pivot = (first_touch_times(events, graph, states)
              .groupBy("user_id").agg(*[F.min(_state_col(s.name)).alias(_state_col(s.name))
                                        for s in states])
              .join(users.select("user_id").distinct(), "user_id", "left_semi"))
@@ -131,11 +131,6 @@ def _filter_users(users: DataFrame, covenants: Sequence[str] | None) -> DataFram
     return users.where(F.col("covenant").isin(*covenants))
 
 
-def _of_users(events: DataFrame, users: DataFrame, covenants: Sequence[str] | None) -> DataFrame:
-    """With a covenant filter, only the events of its users are aggregated at all."""
-    return events if covenants is None else events.join(users.select("user_id").distinct(), "user_id", "left_semi")
-
-
 def _chain_holds(chain: Sequence[str]) -> Column:
     times = [F.col("_reg_at")] + [F.col(_state_col(s)) for s in chain]
     return reduce(lambda a, b: a & b, [a < b for a, b in zip(times, times[1:])])
@@ -149,11 +144,11 @@ def event_paths(events: DataFrame, users: DataFrame, graph: PathGraph | None = N
     covenants; ``covenants=None`` reads every user."""
     graph = graph or DEFAULT_GRAPH
     users = _filter_users(users, covenants)
-    # Events are reduced per (user, platform) before any join: a user's
-    # states only matter through its registration rows, which the join to
-    # (covenant-filtered) users below restricts.
+    # Events are reduced per (user, platform) before any join, also with a covenant
+    # filter: a semi-join before would shuffle raw events, the partial aggregates are
+    # a row per (task, user, platform).
     states = [_state_col(s.name) for s in graph.used_states()]
-    regs = first_touch_times(_of_users(events, users, covenants), graph).where(F.col("_reg_at").isNotNull())
+    regs = first_touch_times(events, graph).where(F.col("_reg_at").isNotNull())
     # GROUP BY the five registration attributes, as the reference does; the
     # data is already hash-partitioned by user_id here, so no new exchange.
     # Distinct registration attributes first: copies of a user row collapse

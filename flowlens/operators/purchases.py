@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.carry import carry
-from flowlens.functions.semantics import assert_unique, is_present, month_start
+from flowlens.functions.semantics import is_present, month_start, unique_or_fail
 from flowlens.functions.sequence import DEFAULT_SLICE_ROWS
 
 COPY_CHUNK = 1024
@@ -69,7 +69,7 @@ def first_vs_repeat(followups: DataFrame, operators: DataFrame, users: DataFrame
     ``assert_users_unique`` checks the key contract of ``users`` instead of multiplying.
     """
     if assert_users_unique:
-        assert_unique(users, ["user_id"], "users")
+        users = unique_or_fail(users, ["user_id"], "users")
     purchases = _completed(followups, done_status)
 
     first = purchases.groupBy("user_id").agg(F.min(_rank()).alias("_first"))

@@ -14,9 +14,9 @@ Reference semantics kept (SURVEY 2.1):
   stage list leaks as a responsible, exactly as in the reference;
 * the reference orders by log time only; ``tiebreak`` makes it total.
 
-Plan: field filter pushed to the scan; skew-safe LAG per sale; keep filter; the
-sales created since the cutoff and their attributes are joined once, to the
-kept rows only.
+Plan: field filter pushed to the scan; only the log of sales created since the
+cutoff goes on; skew-safe LAG per sale; keep filter; attributes are joined once, to
+the kept rows only.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.carry import carry
-from flowlens.functions.semantics import assert_unique
+from flowlens.functions.semantics import unique_or_fail
 from flowlens.functions.sequence import DEFAULT_SLICE_ROWS, with_neighbor
 
 # Fixed values of the reference: the seven stage names and the five
@@ -54,7 +54,7 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
                       assert_users_unique: bool = False) -> DataFrame:
     """Kept stage changes with their responsible and the forward-step flag."""
     if assert_users_unique:
-        assert_unique(users, ["user_id"], "users")
+        users = unique_or_fail(users, ["user_id"], "users")
     tiebreak = list(tiebreak)
     rows = (logs.where(F.col("changed_field").isin(stage_field, responsible_field))
             .select("followup_id", "log_date", *tiebreak, "changed_field",
@@ -62,8 +62,8 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
     sales = followups
     if since is not None:
         sales = sales.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
-    # The sales side is read once, for the kept rows; LAG never crosses sales, so the
-    # log of other sales may take part in it.
+        # LAG never crosses sales: the log of older ones is dropped before anything is ordered
+        rows = rows.join(sales.select("followup_id"), "followup_id", "left_semi")
     attrs = (sales.join(users.select("user_id", "covenant"), "user_id")
              .select("followup_id", "user_id", "covenant", "operation", "destination_bank",
                      "origin_platform", F.col("created_at").alias("followup_creation_date"),

@@ -164,6 +164,11 @@ def q_monthly_growth(spark: SparkSession, sf: str) -> DataFrame:
                              since=GROWTH_SINCE)
 
 
+def q_monthly_growth_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Every calendar month, cumulative columns carried on."""
+    return V4.monthly_growth(A.users(spark, sf), A.leads(spark, sf), A.contracts(spark, sf), since=GROWTH_SINCE, dense=True)
+
+
 def q_first_appearance_month(spark: SparkSession, sf: str) -> DataFrame:
     return V4.first_appearance_month(A.users(spark, sf), "user_id", "created_at")
 
@@ -214,6 +219,24 @@ def q_user_lead_status(spark: SparkSession, sf: str) -> DataFrame:
     return V5.user_lead_status(A.users(spark, sf), A.leads(spark, sf))
 
 
+def q_funnel_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """The funnel's distinct users per month and covenant, merged from the days' bitmaps."""
+    return V5.funnel_rollup(V5.funnel_bitmaps(q_funnel_user_flags(spark, sf)))
+
+
+def q_funnel_by_week(spark: SparkSession, sf: str) -> DataFrame:
+    """The same per week and platform."""
+    return V5.funnel_rollup(V5.funnel_bitmaps(q_funnel_user_flags(spark, sf)), "week", ["platform"])
+
+
+def q_active_users(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.active_users(A.app_events(spark, sf))
+
+
+def q_sales_after_registration(spark: SparkSession, sf: str) -> DataFrame:
+    return V5.sales_after_registration(A.users(spark, sf), A.followups(spark, sf))
+
+
 def q_newest_leads(spark: SparkSession, sf: str) -> DataFrame:
     return V5.newest_leads(A.leads(spark, sf))
 
@@ -364,6 +387,11 @@ def queries() -> dict[str, Query]:
         "cumulative_commission": q_cumulative_commission,
         "responsible_as_of": q_responsible_as_of,
         "newest_leads": q_newest_leads,
+        "monthly_growth_dense": q_monthly_growth_dense,
+        "funnel_by_month": q_funnel_by_month,
+        "funnel_by_week": q_funnel_by_week,
+        "active_users": q_active_users,
+        "sales_after_registration": q_sales_after_registration,
         "ordered_paths": q_ordered_paths,
         "ordered_steps": q_ordered_steps,
         "event_paths_walks": q_event_paths_walks,
