@@ -24,7 +24,8 @@ matter, and runs of coordinates replace the graph: no node is made, no degree co
 Defined results: null and short texts have no window and keep all words.  A null
 ``doc_id`` sorts before all others.  Rows that share a ``doc_id`` are versions of
 one document: the same window at the same start counts as one occurrence, and a
-version loses its own repeated words only.  An empty table gives an empty result.
+version (128 bits of the digest of its words, with the id) loses its own repeated words
+only; rows with a null id are told apart the same way.  An empty table gives an empty result.
 Codes are 64-bit: two different windows agree with a chance of 2**-64 a pair, and a
 chance agreement would have to advance in step to make more than a one-edge path.
 """
@@ -40,8 +41,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm import bitmaps
-from flowlens.llm.wordscan import SPACES, Words, blocks, mix, scan, space_words, window_codes
-from flowlens.llm.workspace import by_value, stored
+from flowlens.llm.wordscan import SPACES, Words, blocks, mix, scan, space_words, text_buffer, window_codes
+from flowlens.llm.workspace import by_value, free_names, stored
 
 WINDOW = 20
 GRAM = 10
@@ -81,9 +82,9 @@ def _sequence(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), np.uint64)[::4]
 
 
-def _version(sequence: np.ndarray) -> np.ndarray:
-    """A 31-bit tag of the sequence: tells apart versions of one doc_id."""
-    return (sequence >> np.uint64(33)).astype(np.int32)
+def _rest(digests: list[bytes]) -> np.ndarray:
+    """The next 64 bits of the digests; with ``_sequence`` they tell apart versions of one doc_id."""
+    return np.frombuffer(b"".join(digests), np.uint64)[1::4]
 
 
 def _member(ids: pa.Array, sequence: np.ndarray) -> np.ndarray:
@@ -95,9 +96,10 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, bounds in blocks(batches):
         words, _ = _scan(rows, data, bounds)
         digests = _digests(data, bounds)
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(_sequence(digests).view(np.int64)),
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(_sequence(digests).astype(np.uint64).view(np.int64)),
+                                          pa.array(_rest(digests).astype(np.uint64).view(np.int64)),
                                           pa.array(digests, pa.binary()), pa.array(np.diff(words.first))],
-                                         ["doc_id", "sequence", "digest", "n_words"])
+                                         ["doc_id", "sequence", "rest", "digest", "n_words"])
 
 
 def _member_codes(passing: np.ndarray | None):
@@ -144,30 +146,34 @@ def _edges(window: int, gram: int, repeated: np.ndarray, copies: Copies):
         for rows, data, bounds in blocks(batches):
             words, doc = _scan(rows, data, bounds)
             valid, least, _ = _windows(words.code, doc, window, gram)
-            sequence = _sequence(_digests(data, bounds))
+            digests = _digests(data, bounds)
+            sequence = _sequence(digests)
             at = np.flatnonzero(valid & ~copies.out(rows.column("doc_id"), sequence)[doc[:len(valid)]])
             at = at[bitmaps.holds(repeated, least[at])]
             edge = window_codes(words.code, window, seed=23)[at]
             owner = doc[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(edge.view(np.int64)), rows.column("doc_id").take(pa.array(owner)),
-                 pa.array(_version(sequence)[owner]), pa.array((at - words.first[owner]).astype(np.int32))],
-                ["edge", "doc_id", "version", "start"])
+                 pa.array(sequence[owner].view(np.int64)), pa.array(_rest(digests)[owner].view(np.int64)),
+                 pa.array((at - words.first[owner]).astype(np.int32))],
+                ["edge", "doc_id", "sequence", "rest", "start"])
     return run
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = bitmaps.BITS) -> DataFrame:
-    """Paths of repeated windows: (doc_id, version, first, last, source_doc, source_start).
+    """Paths of repeated windows: (doc_id, sequence, rest, first, last, source_doc, source_start).
+
+    ``sequence`` and ``rest`` are 128 bits of the digest of the document's words: the version of the doc_id.
 
     ``first`` and ``last`` are window starts in the document; all windows of the
     path also start earlier, from ``source_start`` of ``source_doc`` on.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = stored(texts.mapInArrow(_profiles, "doc_id long, sequence long, digest binary, n_words long").where(F.col("n_words") >= window),
+    profiles = stored(texts.mapInArrow(_profiles, "doc_id long, sequence long, rest long, digest binary, n_words long").where(F.col("n_words") >= window),
                       "profiles")
     shared = (profiles.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id")).alias("source")).where("n > 1"))
     again = (profiles.join(shared, "digest").where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")))
-             .select("doc_id", "sequence", "digest", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
+             .select("doc_id", "sequence", "rest", "digest", "n_words", F.col("source.doc_id").alias("source_doc")).distinct())
     again = stored(again, "copies")
     small = min(bits, COPY_BITS)
     copied = bitmaps.build(again.mapInArrow(_member_codes(None), "code long"), "code", small)
@@ -177,20 +183,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits
 
     anchors = texts.select("doc_id", "text").mapInArrow(_anchors(window, gram, copies), "anchor long")
     repeated = bitmaps.build(anchors.groupBy("anchor").count().where("count > 1"), "anchor", bits)
-    edges = texts.mapInArrow(_edges(window, gram, repeated, copies), "edge long, doc_id long, version int, start int")
+    edges = texts.mapInArrow(_edges(window, gram, repeated, copies), "edge long, doc_id long, sequence long, rest long, start int")
     sources = (edges.groupBy("edge").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("source"))
                .where("n > 1").select("edge", "source"))
     later = (edges.join(sources, "edge")
              .where(~F.col("source.doc_id").eqNullSafe(F.col("doc_id")) | (F.col("source.start") != F.col("start")))
-             .select("doc_id", "version", "start", F.col("source.doc_id").alias("source_doc"),
+             .select("doc_id", "sequence", "rest", "start", F.col("source.doc_id").alias("source_doc"),
                      (F.col("source.start") - F.col("start")).alias("step")))
     # rows of one (document, source, step) whose starts follow each other are one path; rows may repeat
-    line = Window.partitionBy("doc_id", "version", "source_doc", "step").orderBy("start")
+    line = Window.partitionBy("doc_id", "sequence", "rest", "source_doc", "step").orderBy("start")
     paths = (later.withColumn("path", F.col("start") - F.dense_rank().over(line))
-             .groupBy("doc_id", "version", "source_doc", "step", "path")
+             .groupBy("doc_id", "sequence", "rest", "source_doc", "step", "path")
              .agg(F.min("start").alias("first"), F.max("start").alias("last"))
-             .select("doc_id", "version", "first", "last", "source_doc", (F.col("first") + F.col("step")).alias("source_start")))
-    whole = again.select("doc_id", F.shiftrightunsigned("sequence", 33).cast("int").alias("version"), F.lit(0).alias("first"),
+             .select("doc_id", "sequence", "rest", "first", "last", "source_doc", (F.col("first") + F.col("step")).alias("source_start")))
+    whole = again.select("doc_id", "sequence", "rest", F.lit(0).alias("first"),
                          (F.col("n_words") - window).cast("int").alias("last"), "source_doc", F.lit(0).alias("source_start"))
     return paths.unionByName(whole)
 
@@ -200,18 +206,39 @@ def _code(values: pa.Array) -> np.ndarray:
     return mix(values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + np.uint64(77))
 
 
-def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _span_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmap codes of the ids and of the (document, sequence) rows that have spans."""
     for rows in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(_code(rows.column(0)).view(np.int64))], ["code"])
+        ids = rows.column("doc_id")
+        yield pa.RecordBatch.from_arrays([pa.array(_code(ids).view(np.int64)),
+                                          pa.array(_member(ids, rows.column("sequence").to_numpy().view(np.uint64)).view(np.int64))],
+                                         ["id_code", "code"])
+
+
+class Affected:
+    """Which rows may have spans: by id first, then by the words as well (only then digests are made)."""
+
+    def __init__(self, ids: np.ndarray, members: np.ndarray):
+        self.ids, self.members = ids, members
+
+    def holds(self, rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        ids = rows.column("doc_id").cast(pa.int64())
+        found = bitmaps.holds(self.ids, _code(ids))
+        for d in np.flatnonzero(found).tolist():
+            sequence = _sequence(_digests(data, bounds[d:d + 2]))
+            found[d] = bitmaps.holds(self.members, _member(ids.slice(d, 1), sequence))[0]
+        return found
 
 
-def _touched(affected: np.ndarray, wanted: bool, id_column: str):
-    """Rows whose document is (not) in the bitmap of affected documents."""
+def _touched(affected: Affected, columns: list[str]):
+    """Rows that may have spans, with the version of their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            ids = rows.column(id_column)
-            found = bitmaps.holds(affected, _code(ids))
-            yield rows.filter(pa.array(found if wanted else ~found))
+        for rows, data, bounds in blocks(batches):
+            at = np.flatnonzero(affected.holds(rows, data, bounds))
+            digests = [_digests(data, bounds[d:d + 2])[0] for d in at.tolist()]
+            own = rows.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(_sequence(digests).view(np.int64)),
+                                              pa.array(_rest(digests).view(np.int64))], columns)
     return run
 
 
@@ -225,20 +252,19 @@ def covered(words: Words, d: int, spans: list, window: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _rewriter(window: int, columns: list[str], paths: str, emit, affected: np.ndarray | None = None):
+def _rewriter(window: int, columns: list[str], paths: str, emit, affected: Affected | None = None):
     """Applies the paths to the text of each row; ``emit`` makes the output batch.
 
-    With a bitmap of affected documents, only rows that are not in it pass.
+    With a bitmap of affected documents, only rows that are not in it pass, unchanged.
     """
-    choose = (lambda batches: batches) if affected is None else _touched(affected, False, "doc_id")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in blocks(choose(batches)):
+        for rows, data, bounds in blocks(batches):
+            if affected is not None:
+                rows = rows.filter(pa.array(~affected.holds(rows, data, bounds)))
+                data, bounds = text_buffer(rows.column("text"))
             words, _ = _scan(rows, data, bounds)
-            tags = _version(_sequence(_digests(data, bounds)))
-            spans = rows.column(paths).to_pylist() if paths in rows.schema.names else [None] * rows.num_rows
-            flags = [covered(words, d, [s for s in own or [] if s["version"] == tags[d]], window) for d, own in enumerate(spans)]
-            yield emit(rows, data, words, flags, columns)
+            spans = rows.column(paths).to_pylist() if affected is None else [None] * rows.num_rows
+            yield emit(rows, data, words, [covered(words, d, own or [], window) for d, own in enumerate(spans)], columns)
     return run
 
 
@@ -272,15 +298,19 @@ def _digest(rows: pa.RecordBatch, data: np.ndarray, words: Words, flags: list, c
 
 
 def _apply(docs: DataFrame, window: int, columns: list[str], schema, emit) -> DataFrame:
-    """Find the paths, then rewrite: only documents in the bitmap are joined with their paths."""
-    spans = stored(repeated_spans(docs, window).select("doc_id", "version", "first", "last"), "spans")
-    affected = bitmaps.build(spans.select("doc_id").distinct().mapInArrow(_codes, "code long"), "code", 22)
-    paths = next(n for n in ("paths", "repeat_paths", "_repeat_paths_") if n not in docs.columns)
+    """Find the paths, then rewrite: only rows in the bitmap are joined with the paths of their version."""
+    spans = stored(repeated_spans(docs, window).select("doc_id", "sequence", "rest", "first", "last"), "spans")
+    codes = spans.select("doc_id", "sequence").distinct().mapInArrow(_span_codes, "id_code long, code long")
+    affected = Affected(bitmaps.build(codes.select(F.col("id_code").alias("code")), "code", 22), bitmaps.build(codes, "code", 22))
+    paths, owner, sequence, rest, own_sequence, own_rest = free_names(
+        ["paths", "owner", "sequence", "rest", "own_sequence", "own_rest"], docs.columns)
     same = docs.mapInArrow(_rewriter(window, columns, paths, emit, affected), schema)
-    own = (spans.groupBy(F.col("doc_id").cast("long").alias("_span_doc_"))
-           .agg(F.collect_list(F.struct("version", "first", "last")).alias(paths)))
-    hit = docs.mapInArrow(_touched(affected, True, "doc_id"), docs.schema)
-    joined = hit.join(own, hit["doc_id"].cast("long").eqNullSafe(own["_span_doc_"]), "left").drop("_span_doc_")
+    own = (spans.groupBy(F.col("doc_id").cast("long").alias(owner), F.col("sequence").alias(own_sequence), F.col("rest").alias(own_rest))
+           .agg(F.collect_list(F.struct("first", "last")).alias(paths)))
+    hit = docs.mapInArrow(_touched(affected, [*docs.columns, sequence, rest]),
+                          docs.select("*", *[F.lit(0).cast("long").alias(c) for c in (sequence, rest)]).schema)
+    joined = hit.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col(owner)) & (F.col(sequence) == F.col(own_sequence))
+                      & (F.col(rest) == F.col(own_rest)), "left").drop(owner, sequence, rest, own_sequence, own_rest)
     return same.unionByName(joined.mapInArrow(_rewriter(window, columns, paths, emit), schema))
 
 
