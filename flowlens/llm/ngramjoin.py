@@ -15,8 +15,9 @@ per fragment and summed per pair.
    fill a fixed-size bitmap, and only their (n-gram, set, size, position) are shuffled.
 3. *Candidates.*  First every set meets only the cleanest member of its lists (a star, not
    all pairs); the verified links are closed into components.  Then, for what is still
-   apart, all pairs of a list from different components.  Size and position bounds prune
-   pairs that cannot reach t; no other limit applies, so no link between components is lost.
+   apart, the other pairs of a list from different components.  Size and position bounds and, in
+   the second round, bit sketches of the prefixes prune pairs that cannot reach t; no
+   other limit applies, so no link between components is lost.
 4. *Screening.*  What two prefixes share, plus what follows the longer remainder, bounds
    the overlap; a pair below the needed overlap is dropped before any set is fetched.
 5. *Verification.*  The sets of the candidates, cut into fragments, are joined with the
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from flowlens.llm import bitmaps
 from flowlens.llm.graph import components
 from flowlens.llm.wordscan import blocks, mix, scan, short_code, space_words, window_codes
-from flowlens.llm.workspace import by_value, release, stored
+from flowlens.llm.workspace import by_value, free_names, release, stored
 
 NGRAM = 5
 PERCENT = 75
@@ -194,6 +195,19 @@ def _may_link(percent: int, n1: Column, p1: Column, n2: Column, p2: Column) -> C
             & ((100 + percent) * F.least(n1 - p1, n2 - p2) >= percent * (n1 + n2)))
 
 
+def _may_share(percent: int, a: str, b: str) -> Column:
+    """Whether two prefixes can share as much as ``Join.screened`` asks for, by their sketches.
+
+    Every bit that only one sketch has stands for at least one n-gram that only its prefix has.
+    """
+    def common(x: str, y: str) -> Column:
+        own = [F.bit_count(F.col(f"{x}.s{i}").bitwiseAND(F.bitwise_not(F.col(f"{y}.s{i}")))) for i in range(4)]
+        return F.col(f"{x}.held") - (own[0] + own[1] + own[2] + own[3])
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    behind = F.greatest(*[F.ceil(percent * c / 100) - 1 for c in (n, m)])
+    return (100 + percent) * (F.least(common(a, b), common(b, a)) + behind) >= percent * (n + m)
+
+
 class Join:
     """The self-join of ``docs`` (doc_id, text); the tables it makes lie in the shared folder."""
 
@@ -238,14 +252,17 @@ class Join:
         roots = components(found)
         placed = (postings.join(roots, postings["node"] == roots["node"], "left")
                   .select(postings["*"], F.coalesce(roots["root"], postings["node"]).alias("root")))
-        # lists whose members are not all in one component, and those outside the component of the cleanest
-        main = (placed.groupBy("gram").agg(F.min(F.struct("light", "node", "root")).alias("main"),
+        # lists whose members are not all in one component, and those outside the component of the cleanest;
+        # every pair with the cleanest itself was met in the star, so lists of two have nothing left
+        main = (placed.groupBy("gram").agg(F.min(F.struct("light", "node", "root")).alias("main"), F.count("*").alias("members"),
                                            F.min("root").alias("low"), F.max("root").alias("high"))
-                .where("low != high").select("gram", F.col("main.root").alias("main")))
-        mixed = stored(placed.join(main, "gram"), "mixed")
+                .where("low != high AND members > 2").select("gram", F.col("main.root").alias("main"), F.col("main.node").alias("met")))
+        rest = placed.join(main, "gram").where("node != met").select("gram", "node", "n", "place", "root", "main")
+        mixed = stored(rest.join(self._sketches(postings), "node"), "mixed")
         m, o = mixed.where("root != main").alias("m"), mixed.alias("o")
         cross = (m.join(o, (F.col("m.gram") == F.col("o.gram")) & (F.col("m.root") != F.col("o.root"))
-                        & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place")))
+                        & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
+                        & _may_share(self.percent, "m", "o"))
                  .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
         rest = stored(self._ordered(cross).join(tested, ["a", "b"], "left_anti"), "pairs")
         rest = stored(self.screened(rest, prefixes), "pairs")
@@ -253,6 +270,13 @@ class Join:
             return found
         return stored(found.unionByName(self.verify(rest)), "links")
 
+    @staticmethod
+    def _sketches(postings: DataFrame) -> DataFrame:
+        """(node, held, s0..s3): number of a node's prefix n-grams and their bits in a sketch of 256."""
+        bit = "CASE WHEN (gram & 192) = {} THEN shiftleft(1L, cast(gram & 63 AS int)) ELSE 0L END"
+        return postings.groupBy("node").agg(F.count("*").alias("held"), *[
+            F.expr(f"bit_or({bit.format(64 * i)})").alias(f"s{i}") for i in range(4)])
+
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:
         """Distinct pairs with a < b and their set sizes."""
@@ -307,10 +331,10 @@ def similar_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
             .select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
-def _affected(k: int, affected: np.ndarray, wanted: bool, columns: list[str], text: str):
+def _affected(k: int, affected: np.ndarray, wanted: bool, columns: list[str], node_name: str):
     """Rows (not) in the bitmap; those in it with their set's signature and size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in blocks(batches, text):
+        for rows, data, bounds in blocks(batches):
             sets = _sets(rows, data, bounds, k)
             node = np.array([_signature(s) for s in sets], np.int64)
             found = bitmaps.holds(affected, _member_code(rows.column("doc_id"), node))
@@ -319,7 +343,7 @@ def _affected(k: int, affected: np.ndarray, wanted: bool, columns: list[str], te
             names = list(columns)
             if wanted:
                 out.append(pa.array(node))
-                names.append("_node_")
+                names.append(node_name)
             yield pa.RecordBatch.from_arrays(out, names).filter(keep)
     return run
 
@@ -335,15 +359,15 @@ def keep_one(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> Dat
     groups = stored(groups, "groups")
     crowded = members.join(groups.select("root"), "root").select("doc_id", "node").distinct()
     affected = bitmaps.build(crowded.mapInArrow(_member_codes, "code long"), "code")
-    columns = docs.columns
-    alone = docs.mapInArrow(_affected(ngram, affected, False, columns, "text"), docs.schema)
-    schema = docs.select("*", F.lit(0).cast("long").alias("_node_")).schema
-    several = docs.mapInArrow(_affected(ngram, affected, True, columns, "text"), schema)
-    named = crowded.select(F.col("doc_id").alias("_doc_"), "node")
-    kept = groups.select(F.col("kept.doc_id").alias("_doc_"), F.col("kept.node").alias("node"))
-    drop = named.join(kept, named["_doc_"].eqNullSafe(kept["_doc_"]) & (named["node"] == kept["node"]), "left_anti")
-    stay = several.join(drop, several["doc_id"].eqNullSafe(drop["_doc_"]) & (several["_node_"] == drop["node"]), "left_anti")
-    return alone.unionByName(stay.dropDuplicates(["doc_id", "_node_"]).drop("_node_"))
+    columns, node, owner, other = docs.columns, *free_names(["node", "owner", "other"], docs.columns)
+    alone = docs.mapInArrow(_affected(ngram, affected, False, columns, node), docs.schema)
+    schema = docs.select("*", F.lit(0).cast("long").alias(node)).schema
+    several = docs.mapInArrow(_affected(ngram, affected, True, columns, node), schema)
+    named = crowded.select(F.col("doc_id").alias(owner), F.col("node").alias(other))
+    kept = groups.select(F.col("kept.doc_id").alias("kept_doc"), F.col("kept.node").alias("kept_node"))
+    drop = named.join(kept, F.col(owner).eqNullSafe(F.col("kept_doc")) & (F.col(other) == F.col("kept_node")), "left_anti")
+    stay = several.join(drop, F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col(node) == F.col(other)), "left_anti")
+    return alone.unionByName(stay.dropDuplicates(["doc_id", node]).drop(node))
 
 
 by_value(__name__)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import sys
 import tempfile
@@ -11,6 +12,8 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = 2000   # texts handed to Python at once by the jobs that write intermediate tables
+
 
 def by_value(module_name: str) -> None:
     """Ship a module's functions inside the task, not by module name."""
@@ -35,13 +38,26 @@ def latest_in_process(name: str, key, make):
     return store["value"]
 
 
+def free_names(wanted: list[str], taken: list[str]) -> list[str]:
+    """``wanted`` column names, with underscores appended until none clashes (in any case) with ``taken`` or each other."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (local tests) is a scratch folder chosen.
+    Only where it is unset and the master is local (tests) is a scratch folder chosen.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + process_cache("scratch", lambda: tempfile.mkdtemp(prefix="flowlens-"))
     return root.rstrip("/")
 
@@ -57,6 +73,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Within it, jobs hand Python at most ``BATCH_ROWS`` rows at once: less memory in the JVM and in the workers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(old)) if int(old) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -66,7 +94,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
