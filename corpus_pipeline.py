@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import decontam, ngramjoin, piecebpe, substrings, toxicity
-from flowlens.llm.workspace import stored
+from flowlens.llm.workspace import free_names, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the toxicity threshold."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxic_score") < toxicity.THRESHOLD).drop("toxic_score")
+    (name,) = free_names(["toxic_score"], docs.columns)
+    return toxicity.score(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -381,18 +381,20 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     return model._replace(weights=weights)
 
 
-def _scores(model: Model):
+def _scores(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = latest_in_process("toxicity", model, lambda: Scorer(model))
         for rows in batches:
-            yield rows.append_column("toxic_score", pa.array(list(map(scorer.score, rows.column("text").to_pylist())), pa.float64()))
+            yield rows.append_column(name, pa.array(list(map(scorer.score, rows.column("text").to_pylist())), pa.float64()))
     return run
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``toxic_score`` (0 to 1) appended; ``docs`` needs a ``text`` column."""
-    schema = docs.withColumn("toxic_score", F.lit(0.0)).schema
-    return docs.mapInArrow(_scores(model), schema)
+def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
+    """``docs`` with the score (0 to 1) appended as ``name``; ``docs`` needs a ``text`` column."""
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs has a column {name}: give another name")
+    schema = docs.withColumn(name, F.lit(0.0)).schema
+    return docs.mapInArrow(_scores(model, name), schema)
 
 
 by_value(__name__)
