@@ -48,7 +48,7 @@ NGRAM = 5
 PERCENT = 75
 MAX_HEAVY = 1 << 18     # heavy n-grams broadcast at most (2 MB)
 HEAVY_DOCUMENTS = 32    # known count from which an n-gram may be heavy
-HEAVY_PREFIXES = 16     # prefixes holding it from which an n-gram may be heavy
+HEAVY_PREFIXES = 4      # prefixes holding it from which an n-gram may be heavy
 HEAVY_BLOCK = 1 << 19   # n-grams looked at together for repeats
 FRAGMENTS = 8
 
