@@ -47,9 +47,9 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object select".split())
+RAW = frozenset("script style title textarea noscript template iframe svg object select".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-                   "strong sub sup time tt u var".split())
+                   "strong sub sup time tt u var math mi mn mo mrow mfrac msub msup msqrt mtext mstyle semantics".split())
 ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure figcaption footer form h1 h2 h3 "
                    "h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -62,6 +62,11 @@ KINDS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "gdpr notice notification newsletter subscribe signup login popup modal overlay sidebar widget menu nav navbar "
                   "navigation breadcrumb breadcrumbs footer header masthead comment comments respond disqus share sharing social "
                   "related recommended".split())
+#: Parts of a class name that add nothing to a telling one ("main-nav", "comments-area").
+PLAIN = frozenset("site main page top bottom left right box bar wrapper wrap container block area section list links inner outer "
+                  "primary secondary global sticky message text item items form posts articles menu button buttons".split())
+#: Kinds that stay unwanted however much of the page they fill.
+READERS = frozenset("comment comments respond disqus".split())
 
 
 class Page:
@@ -69,12 +74,14 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.kind = [-1], ["body"], [False]
+        self.named: list[frozenset] = [frozenset()]      # the telling words of class and id
         self.digest: list[int] = [0]
         self.pieces: list[tuple[int, str | None]] = []   # (element, text), None: a block boundary
         self.parse(source)
 
     def parse(self, source: str) -> None:
         stack, inner = [0], [[]]
+        opened: dict[str, int] = {}      # open elements by name
         at = 0
 
         def text(piece: str) -> None:
@@ -85,6 +92,7 @@ class Page:
 
         def close() -> None:
             node, parts = stack.pop(), inner.pop()
+            opened[self.tag[node]] -= 1
             body = "\x1f".join([self.tag[node], *parts])
             digest = hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest()
             self.digest[node] = int.from_bytes(digest, "little", signed=True)
@@ -94,6 +102,8 @@ class Page:
                 self.pieces.append((node, None))
 
         def close_to(names: set, stop: frozenset) -> None:
+            if not any(opened.get(n) for n in names):
+                return
             for depth in range(len(stack) - 1, 0, -1):
                 name = self.tag[stack[depth]]
                 if name in names:
@@ -113,8 +123,7 @@ class Page:
             if not name:
                 continue
             if found["end"]:
-                if name in self.tag:
-                    close_to({name}, frozenset() if name in ENDS_P and name != "p" else frozenset(("article", "main")))
+                close_to({name}, frozenset() if name in ENDS_P and name != "p" else frozenset(("article", "main")))
                 continue
             if name == "br":
                 text(" ")
@@ -128,7 +137,9 @@ class Page:
             node = len(self.tag)
             self.parent.append(stack[-1])
             self.tag.append(name)
-            self.kind.append(self.unwanted(name, found["attrs"] or ""))
+            unwanted, telling = self.unwanted(name, found["attrs"] or "")
+            self.kind.append(unwanted)
+            self.named.append(telling)
             self.digest.append(0)
             if name not in INLINE:
                 self.pieces.append((node, None))
@@ -140,19 +151,50 @@ class Page:
                 continue
             stack.append(node)
             inner.append([])
+            opened[name] = opened.get(name, 0) + 1
         while len(stack) > 1:
             close()
+        self.judge_names()
 
-    def unwanted(self, name: str, attrs: str) -> bool:
-        """Whether the element's tag, role, class or id says it is no content."""
+    def unwanted(self, name: str, attrs: str) -> tuple[bool, frozenset]:
+        """Whether the element's tag, role or state says it is no content; and the telling words of its class and id.
+
+        A class or id name tells only if all its parts do or add nothing: "cookie-notice" and "main-nav", but
+        not "entry-header", "has-sidebar" or "notice-period".
+        """
         if name in DROPPED:
-            return True
+            return True, frozenset()
         if not attrs.strip():
-            return False
+            return False, frozenset()
         values = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(attrs)}
-        words = set(re.split(r"[^a-z0-9]+", f"{values.get('class', '')} {values.get('id', '')}".lower()))
-        return (bool(words & KINDS) or values.get("role", "").lower() in ROLES or "hidden" in values
-                or values.get("aria-hidden", "").lower() == "true" or "display:none" in values.get("style", "").lower().replace(" ", ""))
+        telling = set()
+        for token in f"{values.get('class', '')} {values.get('id', '')}".lower().split():
+            parts = [x for x in re.split(r"[^a-z]+", token) if x]
+            if all(x in KINDS or x in PLAIN for x in parts):
+                telling |= KINDS.intersection(parts)
+            elif READERS.intersection(parts):
+                telling.add("perhaps comments")     # "post-comments", but also "has-comments" on a whole page
+        return (values.get("role", "").lower() in ROLES or "hidden" in values or values.get("aria-hidden", "").lower() == "true"
+                or "display:none" in values.get("style", "").lower().replace(" ", "")), frozenset(telling)
+
+    def judge_names(self) -> None:
+        """Let telling names decide, but never on an element with the page's heading or most of its text.
+
+        Reader comments may be most of the text, and menus may hold a heading's link: comments and
+        elements unwanted by tag stay so.
+        """
+        size, heading = [0] * len(self.tag), [t == "h1" for t in self.tag]
+        for node, piece in self.pieces:
+            if piece and not self.kind[node]:
+                size[node] += len(piece.strip())
+        for node in range(len(self.tag) - 1, 0, -1):
+            up = self.parent[node]
+            if not self.kind[node]:
+                size[up] += size[node]
+                heading[up] |= heading[node]
+        for node, words in enumerate(self.named):
+            if words and (words & READERS or not (heading[node] or 2 * size[node] > size[0])):
+                self.kind[node] = True
 
     def content(self) -> tuple[list[int], list[bool]]:
         """Per element its outermost article or main (-1: none), and whether it holds one.
@@ -167,7 +209,7 @@ class Page:
                 gone.append(gone[up] or unwanted[node])
                 main.append(main[up] if main[up] >= 0 else node if self.tag[node] in ("article", "main") and not gone[node] else -1)
                 if main[node] == node:
-                    while up > 0:
+                    while up > 0 and not holds[up]:
                         holds[up] = True
                         up = self.parent[up]
             if any(m >= 0 for m in main):
