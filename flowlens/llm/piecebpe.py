@@ -20,6 +20,7 @@ a space symbol inside the text decodes to a space, as the library does.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from flowlens.llm.workspace import by_value, process_cache
 
 CACHE_ENTRIES = 400_000
+LONG_WORD = 1024         # symbols from which a word keeps its pair ranks between rounds
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: The first part of a run of space symbols and the word after it.
@@ -163,6 +165,86 @@ def encode_words(vocab: Vocabulary, words: list[str]) -> list[np.ndarray]:
     return out
 
 
+def encode_long(vocab: Vocabulary, word: str) -> np.ndarray:
+    """Ids of one long word by the same merge rounds, each at the cost of what it changes.
+
+    The symbols are a linked list; the ranks of the pairs stay between the rounds, and the positions of each rank lie
+    in a bucket.  A round takes the least rank's bucket, drops the positions whose pair has changed, merges
+    the others simultaneously from the left and ranks only the pairs beside the merged ones anew.
+    """
+    n = len(word)
+    symbol = np.array([vocab.chars.get(c, -1) for c in word], np.int64)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    alive = np.ones(n, bool)
+    current = np.full(n, NO_RANK, np.int64)      # rank of the pair that begins at a position
+    buckets: dict[int, list[np.ndarray]] = {}
+    ranks: list[int] = []
+
+    def rank_pairs(at: np.ndarray) -> None:
+        right = after[at]
+        ends = right >= n
+        left, right = symbol[at], symbol[np.where(ends, 0, right)]
+        key = left * vocab.size + right
+        place = np.minimum(np.searchsorted(vocab.pair_key, key), len(vocab.pair_key) - 1)
+        good = (vocab.pair_key[place] == key) & ~ends & (left >= 0) & (right >= 0)
+        current[at] = np.where(good, vocab.pair_rank[place], NO_RANK)
+        piece_at[at] = np.where(good, vocab.pair_piece[place], -1)
+        keep(at[good])
+
+    def keep(at: np.ndarray) -> None:
+        """Put positions into the buckets of their ranks."""
+        if not len(at):
+            return
+        at = at[np.argsort(current[at], kind="stable")]
+        rank = current[at]
+        cuts = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])).tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
+            r = int(rank[lo])
+            if r not in buckets:
+                buckets[r] = []
+                heapq.heappush(ranks, r)
+            buckets[r].append(at[lo:hi])
+
+    def join(at: np.ndarray) -> None:
+        """Merge the pairs at these positions, none of which overlap."""
+        gone = after[at]
+        symbol[at] = piece_at[at]
+        alive[gone] = False
+        after[at] = after[gone]
+        follows = after[at] < n
+        before[after[at][follows]] = at[follows]
+        left = before[at]
+        rank_pairs(np.unique(np.concatenate([at, left[left >= 0]])))
+
+    piece_at = np.full(n, -1, np.int64)
+    rank_pairs(np.arange(n))
+    while ranks:
+        least = heapq.heappop(ranks)
+        at = np.unique(np.concatenate(buckets.pop(least)))
+        at = at[alive[at] & (current[at] == least)]
+        if not len(at):
+            continue
+        chain = np.concatenate([[True], at[1:] != after[at[:-1]]])
+        first = np.flatnonzero(chain)
+        order = np.arange(len(at)) - np.repeat(first, np.diff(np.concatenate([first, [len(at)]])))
+        merge = order % 2 == 0
+        if not vocab.alone[piece_at[at]].any():
+            join(at[merge])
+            continue
+        for i, p in enumerate(at.tolist()):      # order matters: one after the other, until a new pair comes first
+            if alive[p] and current[p] == least:
+                join(at[i:i + 1])
+                if ranks and ranks[0] <= least:
+                    keep(at[i + 1:])
+                    break
+    at = np.flatnonzero(alive)
+    ids = symbol[at]
+    if (ids >= 0).all():
+        return ids
+    out = [[i] if i >= 0 else vocab.bytes[list(word[p].encode("utf-8"))].tolist() for i, p in zip(ids.tolist(), at.tolist(), strict=True)]
+    return np.array([i for part in out for i in part], np.int64)
+
+
 class Codec:
     """Encoder and decoder with a bounded memory of words."""
 
@@ -189,9 +271,12 @@ class Codec:
         known, long = self.known, {}
         new = {w for words in split for w in words if w not in known}
         if new:
-            new = list(new)
-            codes = encode_words(self.vocab, [w if w[0] == SPACE else SPACE + w for w in new])
-            for w, c in zip(new, codes, strict=True):
+            marked = {w: w if w[0] == SPACE else SPACE + w for w in new}
+            new = [w for w in new if len(w) < LONG_WORD]
+            codes = encode_words(self.vocab, [marked[w] for w in new])
+            far = [w for w in marked if len(w) >= LONG_WORD]
+            codes += [encode_long(self.vocab, marked[w]) for w in far]
+            for w, c in zip([*new, *far], codes, strict=True):
                 (known if len(w) < 64 else long)[w] = c.astype(np.int32).tobytes()
         if long:
             return [np.frombuffer(b"".join([known[w] if w in known else long[w] for w in words]), np.int32) for words in split]
