@@ -1,11 +1,14 @@
 """Benchmark decontamination: a broadcast hash set of test n-grams over training windows.
 
-The benchmark's normalised word windows are collected to the driver in blocks of
-at most ``max_windows`` and shipped with the tasks (about 100 bytes a window, so
-the broadcast is bounded whatever the benchmark's size; a larger benchmark adds
-further blocks, that is further narrow passes over the same rows, and never a
-larger one).  Documents are not shuffled: each task scans the word windows of its
-rows, looks their codes up and verifies every hit word by word.
+The benchmark's normalised word windows are counted first.  Up to ``max_windows`` (window, item)
+pairs they are collected and shipped with the tasks, a broadcast of bounded size: documents are
+not shuffled, each task scans the word windows of its rows, looks their codes up and verifies
+every hit word by word.
+
+A larger benchmark never leaves Spark: a fixed-size bitmap of its window codes goes to the tasks
+instead, the document windows that pass it are joined with the benchmark's windows by length, code and
+words (which verifies them), and the hits return to their rows.  The rows are written once, with a number,
+for that.  Both ways give the same rows, spans included.
 
 Defined results: a null or wordless text has no words and no hits; a benchmark
 item without words has no window; items that repeat an id are one item, a null id
@@ -23,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm import bitmaps
 from flowlens.llm.wordscan import Words, alnum_words, blocks, scan, window_codes
-from flowlens.llm.workspace import by_value
+from flowlens.llm.workspace import by_value, stored
 
 NGRAM = 10
-MAX_WINDOWS = 1 << 20
+MAX_WINDOWS = 1 << 17     # (window, item) pairs that are shipped with the tasks
 FILTER_BITS = 22
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 WINDOW_SCHEMA = "item string, length int, code long, words binary"
@@ -58,26 +62,33 @@ def _item_windows(ngram: int):
     return windows
 
 
-def benchmark_blocks(benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> list[dict]:
-    """The benchmark's windows as lookup tables of at most about ``max_windows`` windows each.
-
-    A table maps a window length to (sorted codes, code -> [(words, items)]).
-    Copies of one window are merged before they are collected.
-    """
+def benchmark_windows(benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
+    """(length, code, words, items): the benchmark's different windows with the sorted ids of their items."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    windows = (items.mapInArrow(_item_windows(ngram), WINDOW_SCHEMA)
-               .groupBy("length", "code", "words").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    total = windows.count()
-    n_blocks = max(1, -(-total // max_windows))
-    tables = []
-    for block in range(n_blocks):
-        part = windows.where(F.pmod(F.col("code"), F.lit(n_blocks)) == block) if n_blocks > 1 else windows
-        table: dict[int, dict] = {}
-        for row in part.collect():
-            table.setdefault(row.length, {}).setdefault(row.code, []).append((bytes(row.words), row.items))
-        if table:
-            tables.append(table)
-    return tables
+    return (items.mapInArrow(_item_windows(ngram), WINDOW_SCHEMA)
+            .groupBy("length", "code", "words").agg(F.sort_array(F.collect_set("item")).alias("items")))
+
+
+def _table(windows: DataFrame) -> dict[int, dict]:
+    """Windows as a lookup: length -> code -> [(words, items)]."""
+    table: dict[int, dict] = {}
+    for row in windows.toLocalIterator():
+        table.setdefault(row.length, {}).setdefault(row.code, []).append((bytes(row.words), row.items))
+    return table
+
+
+def _runs(change: np.ndarray, doc: np.ndarray, words: Words, n_rows: int) -> list[list]:
+    """Per row the longest stretches of words inside some hit window; ``change`` opens and closes windows."""
+    n = len(doc)
+    hit = np.cumsum(change)[:n] > 0
+    edge = np.concatenate([[True], doc[1:] != doc[:-1], [True]]) if n else np.ones(1, bool)
+    opens = np.flatnonzero(hit & (edge[:-1] | ~np.concatenate([[False], hit[:-1]]))) if n else np.empty(0, int)
+    closes = np.flatnonzero(hit & (edge[1:] | ~np.concatenate([hit[1:], [False]]))) + 1 if n else np.empty(0, int)
+    spans: list[list] = [[] for _ in range(n_rows)]
+    for s, e in zip(opens.tolist(), closes.tolist(), strict=True):
+        base = words.first[doc[s]]
+        spans[doc[s]].append({"start": int(s - base), "end": int(e - base)})
+    return spans
 
 
 def _scanner(table: dict[int, dict], keep: list[str]):
@@ -108,20 +119,10 @@ def _scanner(table: dict[int, dict], keep: list[str]):
                             change[i] += 1
                             change[i + length] -= 1
                             items[doc[i]].update(names)
-            hit = np.cumsum(change)[:n] > 0
-            opens = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1]]) | (hit & np.concatenate([[False], doc[1:] != doc[:-1]])) if n else np.empty(0, bool))
-            closes = np.flatnonzero(hit & ~np.concatenate([hit[1:], [False]]) | (hit & np.concatenate([doc[1:] != doc[:-1], [False]])) if n else np.empty(0, bool)) + 1
-            spans = [[] for _ in range(rows.num_rows)]
-            for s, e in zip(opens.tolist(), closes.tolist(), strict=True):
-                base = words.first[doc[s]]
-                spans[doc[s]].append({"start": int(s - base), "end": int(e - base)})
-            old_spans, old_items = rows.column("hit_spans").to_pylist(), rows.column("hit_items").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [rows.column(c) for c in keep] + [
-                    pa.array(np.diff(words.first), pa.int64()),
-                    pa.array([a + b for a, b in zip(old_spans, spans, strict=True)], SPANS),
-                    pa.array([sorted({*a, *b}) for a, b in zip(old_items, items, strict=True)], pa.list_(pa.string()))],
-                [*keep, "n_words", "hit_spans", "hit_items"])
+                    pa.array(np.diff(words.first), pa.int64()), pa.array(_runs(change, doc, words, rows.num_rows), SPANS),
+                    pa.array([sorted(x) for x in items], pa.list_(pa.string()))], [*keep, "n_words", "hit_spans", "hit_items"])
     return lookup
 
 
@@ -129,23 +130,79 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 SPANS_DDL = "array<struct<start: bigint, end: bigint>>"
 
 
+def _candidates(lengths: list[int], bitmap: np.ndarray):
+    """Document windows whose code passes the bitmap: (number, start, length, code, words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in blocks(batches):
+            words = scan(data, bounds, alnum_words(), fold=True)
+            doc = np.repeat(np.arange(rows.num_rows), np.diff(words.first))
+            parts = [[], [], [], [], []]
+            for length in lengths:
+                codes = window_codes(words.code, length)
+                at = np.flatnonzero(bitmaps.holds(bitmap, codes)) if len(codes) else np.empty(0, int)
+                at = at[doc[at] == doc[at + length - 1]]
+                parts[0] += doc[at].tolist()
+                parts[1] += (at - words.first[doc[at]]).tolist()
+                parts[2] += [length] * len(at)
+                parts[3] += codes[at].view(np.int64).tolist()
+                parts[4] += [_key(data, words, i, length) for i in at.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("number").take(pa.array(parts[0], pa.int64())), pa.array(parts[1], pa.int64()), pa.array(parts[2], pa.int32()),
+                 pa.array(parts[3], pa.int64()), pa.array(parts[4], pa.binary())], ["number", "start", "length", "code", "words"])
+    return run
+
+
+def _marker(keep: list[str]):
+    """Rows with the (start, length) of their hits -> number of words and canonical spans."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in blocks(batches):
+            words = scan(data, bounds, alnum_words(), fold=True)
+            doc = np.repeat(np.arange(rows.num_rows), np.diff(words.first))
+            change = np.zeros(len(words.code) + 1, np.int64)
+            for d, hits in enumerate(rows.column("hits").to_pylist()):
+                for hit in hits or []:
+                    change[words.first[d] + hit["start"]] += 1
+                    change[words.first[d] + hit["start"] + hit["length"]] -= 1
+            items = [x or [] for x in rows.column("found_items").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(c) for c in keep] + [
+                    pa.array(np.diff(words.first), pa.int64()), pa.array(_runs(change, doc, words, rows.num_rows), SPANS),
+                    pa.array(items, pa.list_(pa.string()))], [*keep, "n_words", "hit_spans", "hit_items"])
+    return run
+
+
+def _joined_hits(rows: DataFrame, windows: DataFrame, keep: list[str], schema) -> DataFrame:
+    """Hits of a benchmark of any size: windows that pass a bitmap are joined with the benchmark's."""
+    windows = stored(windows, "benchmark-windows")
+    lengths = sorted(r.length for r in windows.select("length").distinct().collect())   # at most the n-gram's length many
+    bitmap = bitmaps.build(windows, "code")
+    numbered = stored(rows.withColumn("number", F.monotonically_increasing_id()), "decontamination-rows")
+    found = (numbered.select("number", "text").mapInArrow(_candidates(lengths, bitmap), "number long, start long, length int, code long, words binary")
+             .join(windows, ["length", "code", "words"]).select("number", "start", "length", "items"))
+    found = stored(found, "decontamination-hits")
+    own = (found.groupBy("number").agg(F.collect_list(F.struct("start", "length")).alias("hits"))
+           .join(found.select("number", F.explode("items").alias("item")).distinct()
+                 .groupBy("number").agg(F.sort_array(F.collect_list("item")).alias("found_items")), "number"))
+    return numbered.join(own, "number", "left").drop("number").mapInArrow(_marker(keep), schema)
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """(doc_id, text, n_words, hit_spans, hit_items) per row of ``docs``; other columns go into ``row``.
 
-    ``hit_spans`` are word ranges [start, end) inside some benchmark window (they
-    may overlap when the benchmark came in several blocks); ``hit_items`` the
-    sorted ids of the items whose windows occur.
+    ``hit_spans`` are the longest word ranges [start, end) whose words all lie in some benchmark window;
+    ``hit_items`` the sorted ids of the items whose windows occur.
     """
     keep = ["doc_id", "text", "row"]
     others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
     row = F.struct(*others) if others else F.lit(None).cast("string")
-    start = docs.select("doc_id", "text", row.alias("row"), F.lit(0).cast("long").alias("n_words"),
-                        F.array().cast(SPANS_DDL).alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"))
-    schema = start.schema
-    tables = benchmark_blocks(benchmark, ngram, max_windows) or [{}]
-    for table in tables:
-        start = start.mapInArrow(_scanner(table, keep), schema)
-    return start
+    rows = docs.select("doc_id", "text", row.alias("row"))
+    schema = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS_DDL).alias("hit_spans"),
+                         F.array().cast("array<string>").alias("hit_items")).schema
+    windows = benchmark_windows(benchmark, ngram)
+    pairs = windows.agg(F.sum(F.size("items"))).head()[0] or 0
+    if pairs > max_windows:
+        return _joined_hits(rows, windows, keep, schema)
+    return rows.mapInArrow(_scanner(_table(windows), keep), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM) -> DataFrame:
