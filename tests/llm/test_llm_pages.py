@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import corpus_pipeline
@@ -109,11 +110,34 @@ def test_text_of_near_copies_and_common_sentences_stay(spark):
     ("<ul><li>one<li>two</ul><!-- no <p>x</p> -->3 < 4", "one\n\ntwo\n\n3 < 4"),
     ("<p>cut <a href='x", "cut"),
     ("<div class='banner'><article>in</article></div>", "in"),
+    ('<article><header class="entry-header"><h1>Title</h1></header><p>Body</p></article>', "Title\n\nBody"),
+    ('<div class="content has-sidebar"><p>hello world</p></div>', "hello world"),
+    ('<article><p>a</p><section class="social-policy"><p>kept</p></section><p id="notice-period">too</p></article>', "a\n\nkept\n\ntoo"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", "so x=2 holds"),
+    ('<article><div class="header"><h1>Head</h1></div><p>long body of the page</p><div class="main-nav">menu</div></article>',
+     "Head\n\nlong body of the page"),
+    ('<div class="widget"><p>most of the text of the page is in here</p></div><div class="widget">x</div>', "most of the text of the page is in here"),
+    ('<article>a long text of the author<div class="post-comments"><p>reader</p></div></article>', "a long text of the author"),
+    ('<body><div class="has-comments"><p>the page</p></div></body>', "the page"),
+    ('<article>a<div class="comments-area"><p>readers write more than the author ever did</p></div></article>', "a"),
 ])
 def test_page_rules(source, text):
     assert htmltext.Page(source).text(frozenset()) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("</div>" * 100_000 + "<p>x", "x"),
+    ("<div>" * 20_000 + "x" + "</b>" * 20_000, "x"),
+    ("<p>" + "<b>" * 20_000 + "x</p><p>y", "x\n\ny"),
+    ("<li>x" * 20_000, "\n\n".join(["x"] * 20_000)),
+    ("<article>" * 5_000 + "x", "x"),
+])
+def test_odd_pages_take_linear_time(source, text):
+    began = time.process_time()
+    assert htmltext.Page(source).text(frozenset()) == text
+    assert time.process_time() - began < 10
+
+
 def test_pages_of_the_test_data_equal_their_articles(spark):
     import html
     import re

@@ -9,7 +9,8 @@ import llm_brute as brute
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, linequality, ngramjoin, substrings
+from flowlens.llm import decontam, linequality, ngramjoin, substrings, toxicity
+from flowlens.llm.workspace import free_names
 
 DOCS = "doc_id long, text string"
 
@@ -79,6 +80,53 @@ def test_removals_of_odd_rows(spark):
     assert substrings.removal_digest(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_a_thousand_rows_without_id_equal_brute_force(spark):
+    """Rows with a null id are versions of one document: windows count by (null, start), each row loses its own words."""
+    rng = random.Random(12)
+    passages = [" ".join(f"p{i}_{j}" for j in range(30)) for i in range(6)]
+    texts = []
+    for i in range(1000):
+        body = [f"u{i}_{j}" for j in range(rng.randrange(0, 12))] + [rng.choice(passages)] * rng.randrange(0, 3) + [f"v{i}"]
+        texts.append(" ".join(body))
+    docs = [(None, t) for t in texts] + [(5, texts[3]), (6, passages[0] + " " + passages[1])]
+    first = {}
+    for d, t in docs:
+        w = brute.words(t)
+        for i in range(len(w) - 19):
+            key = tuple(w[i:i + 20])
+            first[key] = min(first.get(key, (99, 0)), (-1 if d is None else d, i))
+    want = []
+    for d, t in docs:
+        w, gone = brute.words(t), set()
+        for i in range(len(w) - 19):
+            if first[tuple(w[i:i + 20])] != (-1 if d is None else d, i):
+                gone.update(range(i, i + 20))
+        want.append((d, len(w), len(gone), hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in gone).encode()).hexdigest()))
+    got = [tuple(r) for r in substrings.removal_digest(spark.createDataFrame(docs, DOCS).repartition(4)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(r[2] for r in want) > 5000
+
+
+def test_stages_keep_columns_of_clashing_names(spark, docs):
+    """Names that the operators use themselves, in any case, and empty tables."""
+    names = ["_node_", "node", "owner", "other", "Toxic_Score", "toxic_score_", "paths", "sequence", "rest", "_span_doc_", "number", "hits", "row",
+             "n_words", "hit_spans", "kept_doc", "root"]
+    wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    bench = spark.createDataFrame([(1, "x y x y")], "item_id int, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    stages = [ngramjoin.keep_one, substrings.remove_repeats, lambda d: decontam.decontaminate(d, bench)]
+    for stage in stages:
+        got = stage(wide)
+        assert got.columns == wide.columns
+        rows_ = got.collect()
+        assert rows_ and all(r[n] == f"{n}{r.doc_id}" for r in rows_ for n in names)
+        assert stage(wide.limit(0)).collect() == []
+    model = toxicity.train(wide, labels)
+    (name,) = free_names(["toxic_score"], wide.columns)
+    assert name == "toxic_score__" and toxicity.score(wide, model, name).columns == [*wide.columns, name]
+    with pytest.raises(ValueError, match="toxic_score"):
+        toxicity.score(wide, model)
+
+
 def test_texts_of_the_same_words_in_another_order_are_no_copies(spark):
     """Equal words and equal sums of positions per word: the order alone tells such texts apart."""
     tail = " ".join(f"t{i}" for i in range(15))
@@ -99,9 +147,11 @@ def test_decontamination_equals_brute_force_in_one_block_or_many(spark, docs):
     bench = spark.createDataFrame(items, "item_id int, text string")
     want = sorted(brute.contamination(brute.corpus(), items))
     assert rows(decontam.hit_digest(docs, bench)) == want
-    found = decontam.find_hits(docs, bench, max_windows=7).drop("text", "row")
-    assert {r.doc_id: r.hit_items for r in found.collect()} == {
-        r.doc_id: r.hit_items for r in decontam.find_hits(docs, bench).collect()}
+    wide = docs.withColumn("number", F.col("doc_id") + 1).withColumn("hits", F.lit("x"))
+    shipped, joined = (sorted(map(str, decontam.find_hits(wide, bench, max_windows=n).collect())) for n in (1 << 17, 7))
+    assert shipped == joined and any("hit_spans=[Row" in r for r in shipped)
+    twice = docs.unionByName(docs)
+    assert len(decontam.find_hits(twice, bench, max_windows=7).collect()) == 2 * len(shipped)
     clean = decontam.decontaminate(docs.withColumn("item", F.lit(1)), bench)
     assert clean.columns == ["doc_id", "text", "item"]
     assert sorted(r.doc_id for r in clean.collect()) == [r[0] for r in want if not r[5]]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
 from flowlens.llm import piecebpe, tokencount, tokenfiles
@@ -76,6 +78,15 @@ def test_token_files_round_trip(spark, docs, texts):
     assert total == start
 
 
+def test_one_task_reads_one_file(spark, docs):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    manifest = tokenfiles.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), tokenfiles.token_file_folder(spark))
+    spark.conf.unset(key)
+    assert manifest.count() > 1
+    assert tokenfiles.read_documents(manifest).groupBy(spark_partition_id()).count().count() == manifest.count()
+
+
 def test_token_files_of_odd_rows(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     empty = tokenfiles.write_tokens(spark.createDataFrame([], DOCS), path, tokenfiles.token_file_folder(spark))
@@ -100,6 +111,22 @@ def test_pieces_equal_the_library(spark, docs, texts):
     assert piecebpe.round_trip_digest(docs.where("false"), path).collect() == []
 
 
+def test_long_words_equal_the_library_in_linear_time():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, codec, rng = sentencepiece.SentencePieceProcessor(model_file=path), piecebpe.Codec(path), random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    makers = [lambda n: "".join(rng.choice(letters) for _ in range(n)), lambda n: "".join(rng.choice("ACGT") for _ in range(n)),
+              lambda n: "a" * n, lambda n: "".join(rng.choice(["the", "ing", "é", "漢", "😀", "er"]) for _ in range(n)),
+              lambda n: "▁" * 3 + "-" * n + "=" * 50]
+    for make in makers:
+        for n in (1024, 1500, 4000):
+            word = make(n)
+            assert codec.encode([f"x {word} y"])[0].tolist() == library.encode(f"x {word} y")
+    began = time.process_time()
+    word = makers[0](200_000)
+    assert codec.encode([word])[0].tolist() == library.encode(word) and time.process_time() - began < 30
+
+
 def test_decoding_any_ids_equals_the_library():
     path = public_tokenizers.path("piece_bpe_32k.model")
     library, codec, rng = sentencepiece.SentencePieceProcessor(model_file=path), piecebpe.Codec(path), random.Random(5)
