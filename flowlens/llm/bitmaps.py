@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.workspace import by_value
+from flowlens.llm.workspace import by_value, small_batches
 
 BITS = 26   # 8 MB
 
@@ -28,9 +28,11 @@ def build(df: DataFrame, code: str | Column, bits: int = BITS) -> np.ndarray:
     value = F.col(code) if isinstance(code, str) else code
     low = F.lit((1 << bits) - 1)
     place = F.explode(F.array(value.bitwiseAND(low), F.shiftrightunsigned(value, 64 - bits)))
-    words = (df.select(place.alias("place"))
-             .groupBy(F.shiftright("place", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits")).toArrow())
+    merged = (df.select(place.alias("place"))
+              .groupBy(F.shiftright("place", 6).alias("word"))
+              .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits")))
+    with small_batches(df.sparkSession):
+        words = merged.toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from flowlens.llm import bitmaps
 from flowlens.llm.graph import components
 from flowlens.llm.wordscan import blocks, mix, scan, short_code, space_words, window_codes
-from flowlens.llm.workspace import by_value, free_names, release, stored
+from flowlens.llm.workspace import by_value, free_names, release, small_batches, stored
 
 NGRAM = 5
 PERCENT = 75
@@ -220,8 +220,10 @@ class Join:
                  .orderBy(F.desc("df"), "code").limit(MAX_HEAVY).toArrow())
         self.heavy_df = dict(zip(known["code"].to_pylist(), known["df"].to_pylist(), strict=True))
         # counted exactly where it matters: what many prefixes of this order still hold is heavy too
-        often = (self._scan_prefixes(None, "gram long").groupBy("gram").count().where(F.col("count") >= HEAVY_PREFIXES)
-                 .orderBy(F.desc("count"), "gram").limit(MAX_HEAVY).toArrow())
+        crowded = (self._scan_prefixes(None, "gram long").groupBy("gram").count().where(F.col("count") >= HEAVY_PREFIXES)
+                   .orderBy(F.desc("count"), "gram").limit(MAX_HEAVY))
+        with small_batches(docs.sparkSession):
+            often = crowded.toArrow()
         for code, n in zip(often["gram"].to_pylist(), often["count"].to_pylist(), strict=True):
             self.heavy_df[code] = max(n, self.heavy_df.get(code, 0))
         release(docs.sparkSession)

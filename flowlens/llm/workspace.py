@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import sys
 import tempfile
@@ -49,6 +50,23 @@ def free_names(wanted: list[str], taken: list[str]) -> list[str]:
     return out
 
 
+def give_back() -> None:
+    """Return this worker's unused memory to the system: what a scan needed is not kept by an idle worker."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):   # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def forget_latest(name: str) -> None:
+    """Drop what other operators keep in this worker by ``latest_in_process``, all but ``name``."""
+    store = sys.modules.get("_flowlens_process")
+    for key, value in (store.__dict__ if store else {}).items():
+        if key.startswith("latest ") and key != f"latest {name}":
+            value.clear()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session.
 
