@@ -68,13 +68,14 @@ def neighbor_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], direction: str = "next",
-                  prefix: str | None = None, slice_rows: int = DEFAULT_SLICE_ROWS) -> DataFrame:
+                  prefix: str | None = None, slice_rows: int = DEFAULT_SLICE_ROWS, null_keys: bool = True) -> DataFrame:
     """Add ``prefix + v`` = value of the previous/next row in the sequence.
 
     ``order`` is ascending with NULLs last and must be a total order within ``keys`` (pass a
     tie-break column).  Equivalent to LAG/LEAD over ``PARTITION BY keys ORDER BY order``; a
     caller that has no use for rows with a NULL key filters them first, since they are one
-    sequence.
+    sequence, and says ``null_keys=False``: the splitters are then joined by plain equality, which
+    needs no exchange where the rows already lie by key.
     """
     if direction not in ("next", "prev"):
         raise ValueError("direction must be 'next' or 'prev'")
@@ -83,6 +84,6 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     cuts = df.where(is_splitter(keys, order, slice_rows))
     bounds = (cuts.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
               .agg(splitters(order, values, F.lit(True)).alias("_bounds")))
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) if null_keys else F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
     joined = df.join(bounds, same, "left").select(*df.columns, "_bounds")
     return neighbor_in_slices(joined, keys, order, values, direction, prefix)

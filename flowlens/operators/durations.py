@@ -70,7 +70,7 @@ def _state_rows(logs: DataFrame, state_field: str, tiebreak: Sequence[str],
             .select("followup_id", "log_date", *tiebreak,
                     F.col("updated_content").alias("state")))
     rows = with_neighbor(rows, ["followup_id"], ["log_date", *tiebreak], ["log_date"],
-                         direction="next", prefix="next_", slice_rows=slice_rows)
+                         direction="next", prefix="next_", slice_rows=slice_rows, null_keys=False)
     return rows.select("followup_id", "state", F.col("log_date").alias("start_time"),
                        F.col("next_log_date").alias("end_time"))
 

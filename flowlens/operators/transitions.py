@@ -69,7 +69,7 @@ def stage_responsible(logs: DataFrame, followups: DataFrame, users: DataFrame, *
                      "origin_platform", F.col("created_at").alias("followup_creation_date"),
                      "cancellation_reason"))
     rows = with_neighbor(rows.where(F.col("followup_id").isNotNull()), ["followup_id"], ["log_date", *tiebreak],
-                         ["updated_content"], direction="prev", prefix="prev_", slice_rows=slice_rows)
+                         ["updated_content"], direction="prev", prefix="prev_", slice_rows=slice_rows, null_keys=False)
     prev = F.col("prev_updated_content")
     responsible = F.when(prev.isin(*stage_names), F.lit("")).otherwise(prev)
     kept = (rows.withColumn("stage_responsible", responsible)
