@@ -2,6 +2,12 @@
 
 A stage gets what its predecessor kept.  All stages but the last return the columns of
 the documents they got; ``run`` writes each result to the shared folder and reads it back.
+
+Defined results: null and empty texts pass every stage but the removal of toxic ones (they score
+like a text without a match) and end with no ids; a null id is an id like others, but never
+names a group of near copies that has another; repeated rows of one text are near copies, of which
+one stays; further columns, whatever their names, are carried through to the last stage; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@
    and ``MIN_SHARE`` of the host's are its template.
 3. *Deletion.*  Template subtrees are deleted.  What a template cannot show (a host with
    few pages) is decided by kind: menus, headers, footers, sidebars, notices, adverts,
-   forms, scripts and reader comments by tag, role and the words of class and id.
+   forms, scripts and reader comments by tag, role and whole names in class and id; names
+   never decide on an element with the page's heading or most of its text.
 
 The templates are broadcast if they are at most ``MAX_BROADCAST`` hashes (counted first);
 beyond that each page is joined with the hashes of its own subtrees that are template.
@@ -19,7 +20,8 @@ themselves are never counted, and the copies have one main content, so one vote
 inside.  On a page with such an element the text outside it is left out whatever the counts
 say; inside, the counts and the kinds decide.  Defined results: null and empty pages give the
 empty text; a null url is a host of its own; repeated ids give a row each; cut-off pages
-end where they end (an unfinished tag or comment is dropped).
+end where they end (an unfinished tag or comment is dropped); an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

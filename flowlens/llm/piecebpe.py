@@ -12,8 +12,11 @@ occurrence at once equals the one-by-one order only if no pair with the merged
 piece has a rank as good; ``Vocabulary.alone`` marks the pieces where that is not
 so, and for them only the leftmost occurrence is merged in a round.
 
-No shuffle.  Defined results: null and empty texts have no ids and decode to the
-empty text; characters outside the vocabulary become their UTF-8 byte pieces;
+``encode_long`` does the same for one long word at the cost of what each round changes.
+
+No shuffle.  Defined results: every row is encoded by itself, so repeated rows, ties
+and null ids simply repeat their ids, and an empty table gives an empty result; null and
+empty texts have no ids and decode to the empty text; characters outside the vocabulary become their UTF-8 byte pieces;
 a space symbol inside the text decodes to a space, as the library does.
 """
 

@@ -8,8 +8,12 @@ spaces never share a pre-token, so a piece's count is kept and reused; the
 memory of that is bounded by ``CACHE_ENTRIES`` (a full cache is emptied, which
 only costs time).  No shuffle.
 
+A piece with a character above ``LAST_COMMON`` goes to the library as a whole.
+
 Defined results: null and empty texts have no tokens; special strings inside a
-text are one token each, the library's default.
+text are one token each, the library's default; every row is counted by itself, so
+repeated rows, ties and null ids simply repeat their count; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

@@ -28,13 +28,26 @@ def test_shards_have_near_equal_bytes_and_gapless_slots(spark):
     assert max(load) <= 1.02 * min(load)
     for s in range(7):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
-    for r in got[:50]:
-        text = dict(rows)[r.doc_id] or "" if r.doc_id not in (5, None) else None
-        if text is not None:
-            assert (r["size"], r.text_crc32) == (len(text.encode()) + 16, zlib.crc32(text.encode()))
+    want = sorted((str(i), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32) for r in got) == want
     assert sharding.shard_documents(df.where("false"), 3, new_path(spark, "map")).collect() == []
 
 
+def test_query_of_shards_follows_its_law(spark):
+    """Every column of the registered query, for every row."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.op2_virtual_slots(spark, SMALL).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    shards = {}
+    for r in got:
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(docs[r.doc_id].encode()) + 16, zlib.crc32(docs[r.doc_id].encode()), "bytes", None)
+        shards.setdefault(r.shard, []).append(r)
+    assert sorted(shards) == list(range(40))
+    loads = [sum(r["size"] for r in own) for own in shards.values()]
+    assert max(loads) <= 1.02 * min(loads)
+    assert all(sorted(r.slot for r in own) == list(range(len(own))) for own in shards.values())
+
+
 def test_map_versions_and_rebalancing(spark):
     rng = random.Random(2)
     totals = [(slot, rng.randrange(100, 1000), 3) for slot in range(2000)]
@@ -208,6 +221,26 @@ def test_toxicity_without_labels(spark):
     assert len(got) == 3 and len({r.toxic_score for r in got}) == 1 and got[0].toxic_score < toxicity.THRESHOLD
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and clashing names through all stages; then no row at all."""
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, text), (2, text), (2, text), (None, "alone " + " ".join(f"n{i}" for i in range(30))), (3, None), (4, ""), (5, "short"),
+            (6, " ".join(f"b{i}" for i in range(12)))]
+    names = ["node", "toxic_score", "sequence", "rest", "paths", "owner", "row", "hit_spans", "number"]
+    docs = spark.createDataFrame(rows, DOCS).select("doc_id", "text", *[F.lit(7).alias(n) for n in names])
+    spark.createDataFrame([(9, " ".join(f"b{i}" for i in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(got) == {1, None, 3, 4, 5} and got[3] == got[4] == 0 < got[5]
+    stage = docs
+    for _, run in corpus_pipeline.STAGES[:-1]:
+        stage = stored(run(spark, stage, str(tmp_path)), "odd")
+        assert stage.columns == docs.columns and all(r[n] == 7 for r in stage.collect() for n in names)
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_pipeline_stages_take_effect(spark):
     """Every stage's result equals brute force on what its predecessor kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

@@ -44,6 +44,14 @@ def test_counts_equal_the_library(docs, texts):
     assert [got[i].n_bytes for i in range(len(texts))] == [len((t or "").encode()) for t in texts]
 
 
+def test_counts_of_odd_tables(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, None)], DOCS)
+    got = [(r.doc_id, r.n_bytes, r.n_tokens) for r in tokencount.token_counts(twice, path, public_tokenizers.PATTERN).collect()]
+    assert sorted(got, key=str) == [(1, 3, 2), (1, 3, 2), (2, 0, 0), (None, 3, 2)]
+    assert tokencount.token_counts(twice.where("false"), path, public_tokenizers.PATTERN).collect() == []
+
+
 def test_proven_tokens_encode_alone():
     path = public_tokenizers.path("byte_bpe_50k.json")
     whole, library = tokencount.whole_tokens(path), Tokenizer.from_file(path)
