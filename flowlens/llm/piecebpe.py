@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowlens.llm.workspace import by_value, process_cache
+from flowlens.llm.workspace import by_value, forget_others, process_cache
 
 CACHE_ENTRIES = 400_000
 LONG_WORD = 1024         # symbols from which a word keeps its pair ranks between rounds
@@ -326,6 +326,7 @@ def _repair(run: bytes) -> str:
 
 
 def _codec(model_path: str) -> Codec:
+    forget_others(f"codec {model_path}", f"names {model_path}")
     return process_cache(f"codec {model_path}", lambda: Codec(model_path))
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.wordscan import blocks, scan, space_words, window_codes
-from flowlens.llm.workspace import by_value, latest_in_process, stored
+from flowlens.llm.workspace import by_value, forget_others, give_back, latest_in_process, stored
 
 MAX_TRAIN = 12_000       # labelled documents used to learn
 MAX_CANDIDATES = 200_000  # word beginnings whose counts are compared
@@ -305,6 +305,7 @@ def choose_lexicon(counts: dict[str, tuple[int, int]], prior: float) -> tuple[li
 def _hit_rows(model: Model):
     """(toxic, features, entries met misspelled only) of labelled rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("latest toxicity")
         scorer = latest_in_process("toxicity", model, lambda: Scorer(model))
         for rows in batches:
             features, only = [], []
@@ -383,9 +384,11 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
 
 def _scores(model: Model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("latest toxicity")
         scorer = latest_in_process("toxicity", model, lambda: Scorer(model))
         for rows in batches:
             yield rows.append_column(name, pa.array(list(map(scorer.score, rows.column("text").to_pylist())), pa.float64()))
+        give_back()
     return run
 
 

@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-from flowlens.llm.workspace import by_value, forget_latest, give_back, process_cache
+from flowlens.llm.workspace import by_value, forget_others, give_back, process_cache
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 PIECE_BYTES = 1 << 17   # bytes scanned at once
@@ -148,7 +148,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Row slices of at most BLOCK_BYTES of text (or one longer document) with their text buffer."""
-    forget_latest("")
+    forget_others()
     for batch in batches:
         data, bounds = text_buffer(batch.column(batch.schema.get_field_index(text)))
         lo = 0

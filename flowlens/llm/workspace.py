@@ -13,6 +13,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+LARGE = ("latest ", "codec ", "names ", "count ", "encode ")   # caches that one operator's tasks keep for each other
 BATCH_ROWS = 2000   # texts handed to Python at once by the jobs that write intermediate tables
 
 
@@ -59,12 +60,11 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def forget_latest(name: str) -> None:
-    """Drop what other operators keep in this worker by ``latest_in_process``, all but ``name``."""
+def forget_others(*keep: str) -> None:
+    """Drop the models and remembered words that other operators keep in this worker, all but the names in ``keep``."""
     store = sys.modules.get("_flowlens_process")
-    for key, value in (store.__dict__ if store else {}).items():
-        if key.startswith("latest ") and key != f"latest {name}":
-            value.clear()
+    for key in [k for k in (store.__dict__ if store else {}) if k.startswith(LARGE) and k not in keep]:
+        del store.__dict__[key]
 
 
 def shared_dir(spark: SparkSession) -> str:
