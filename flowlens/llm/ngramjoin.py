@@ -14,10 +14,11 @@ per fragment and summed per pair.
    its first n - ceil(t n) + 1.  Those prefixes are counted by n-gram; the repeated ones
    fill a fixed-size bitmap, and only their (n-gram, set, size, position) are shuffled.
 3. *Candidates.*  First every set meets only the cleanest member of its lists (a star, not
-   all pairs); the verified links are closed into components.  Then, for what is still
-   apart, the other pairs of a list from different components.  Size and position bounds and, in
-   the second round, bit sketches of the prefixes prune pairs that cannot reach t; no
-   other limit applies, so no link between components is lost.
+   all pairs); the verified links are closed into components.  A second star has the cleanest
+   member outside the first one's component.  Then, for what is still apart, the other pairs of
+   a list from different components.  Size and position bounds and, after the first star, bit
+   sketches of the prefixes prune pairs that cannot reach t; no other limit applies, so no
+   link between components is lost.
 4. *Screening.*  What two prefixes share, plus what follows the longer remainder, bounds
    the overlap; a pair below the needed overlap is dropped before any set is fetched.
 5. *Verification.*  The sets of the candidates, cut into fragments, are joined with the
@@ -51,6 +52,7 @@ HEAVY_DOCUMENTS = 32    # known count from which an n-gram may be heavy
 HEAVY_PREFIXES = 4      # prefixes holding it from which an n-gram may be heavy
 HEAVY_BLOCK = 1 << 19   # n-grams looked at together for repeats
 FRAGMENTS = 8
+SKETCH = ["s0", "s1", "s2", "s3"]
 
 
 def _sets(rows: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray, k: int) -> list[np.ndarray]:
@@ -251,26 +253,58 @@ class Join:
         prefixes = postings.groupBy("node").agg(F.collect_list("gram").alias("grams"))
         tested = stored(self._ordered(star), "pairs")
         found = stored(self.verify(stored(self.screened(tested, prefixes), "pairs")), "links")
+        # a second star: the cleanest member outside the component of the first one's, met by all of other components
+        sketches = stored(self._sketches(postings), "sketches")
+        placed = self._placed(postings, components(found), sketches)
+        first = self._mixed_lists(placed).withColumnRenamed("cleanest", "met")
+        mixed = stored(placed.join(first, "gram").where("node != met"), "mixed")
+        second = (mixed.where("root != main").groupBy("gram")
+                  .agg(F.min(F.struct("light", "node", "n", "place", "root", "held", *SKETCH)).alias("o")))
+        again = (mixed.alias("m").join(second, "gram").where((F.col("m.root") != F.col("o.root"))
+                 & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
+                 & _may_share(self.percent, "m", "o"))
+                 .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
+        more = stored(self._ordered(again).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = self._with_links(found, more, prefixes)
+        tested = stored(tested.unionByName(more), "tested")
+        # then all pairs that are still apart; both cleanest members have met everyone
+        met = second.select("gram", F.col("o.node").alias("met_too"))
         roots = components(found)
-        placed = (postings.join(roots, postings["node"] == roots["node"], "left")
-                  .select(postings["*"], F.coalesce(roots["root"], postings["node"]).alias("root")))
-        # lists whose members are not all in one component, and those outside the component of the cleanest;
-        # every pair with the cleanest itself was met in the star, so lists of two have nothing left
-        main = (placed.groupBy("gram").agg(F.min(F.struct("light", "node", "root")).alias("main"), F.count("*").alias("members"),
-                                           F.min("root").alias("low"), F.max("root").alias("high"))
-                .where("low != high AND members > 2").select("gram", F.col("main.root").alias("main"), F.col("main.node").alias("met")))
-        rest = placed.join(main, "gram").where("node != met").select("gram", "node", "n", "place", "root", "main")
-        mixed = stored(rest.join(self._sketches(postings), "node"), "mixed")
-        m, o = mixed.where("root != main").alias("m"), mixed.alias("o")
+        apart = self._placed(mixed.drop("root"), roots).join(met, "gram").where("node != met_too")
+        lists = self._mixed_lists(apart, least=2).select("gram", F.col("main").alias("own"))
+        rest = stored(apart.join(lists, "gram"), "mixed")
+        m, o = rest.where("root != own").alias("m"), rest.alias("o")
         cross = (m.join(o, (F.col("m.gram") == F.col("o.gram")) & (F.col("m.root") != F.col("o.root"))
                         & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
                         & _may_share(self.percent, "m", "o"))
                  .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
-        rest = stored(self._ordered(cross).join(tested, ["a", "b"], "left_anti"), "pairs")
-        rest = stored(self.screened(rest, prefixes), "pairs")
-        if not rest.head(1):
+        return self._with_links(found, stored(self._ordered(cross).join(tested, ["a", "b"], "left_anti"), "pairs"), prefixes)
+
+    def _with_links(self, found: DataFrame, pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+        """``found`` and the links among further pairs."""
+        pairs = stored(self.screened(pairs, prefixes), "pairs")
+        if not pairs.head(1):
             return found
-        return stored(found.unionByName(self.verify(rest)), "links")
+        return stored(found.unionByName(self.verify(pairs)), "links")
+
+    @staticmethod
+    def _placed(postings: DataFrame, roots: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
+        """Postings with the component of their set, and its sketch."""
+        named = roots.select(F.col("node").alias("known"), F.col("root").alias("known_root"))
+        placed = (postings.join(named, F.col("node") == F.col("known"), "left")
+                  .withColumn("root", F.coalesce("known_root", "node")).drop("known", "known_root"))
+        return placed if sketches is None else placed.join(sketches, "node")
+
+    @staticmethod
+    def _mixed_lists(placed: DataFrame, least: int = 3) -> DataFrame:
+        """(gram, main, cleanest) of the lists of several components: the cleanest member and its component.
+
+        Every pair with the cleanest was met in the first star, so lists of two have nothing left.
+        """
+        return (placed.groupBy("gram").agg(F.min(F.struct("light", "node", "root")).alias("main"), F.count("*").alias("members"),
+                                           F.min("root").alias("low"), F.max("root").alias("high"))
+                .where((F.col("low") != F.col("high")) & (F.col("members") >= least))
+                .select("gram", F.col("main.root").alias("main"), F.col("main.node").alias("cleanest")))
 
     @staticmethod
     def _sketches(postings: DataFrame) -> DataFrame:
