@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.workspace import by_value, small_batches
+from flowlens.llm.workspace import by_value, release, small_batches
 
 BITS = 26   # 8 MB
 
@@ -33,6 +33,8 @@ def build(df: DataFrame, code: str | Column, bits: int = BITS) -> np.ndarray:
               .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits")))
     with small_batches(df.sparkSession):
         words = merged.toArrow()
+    del merged
+    release(df.sparkSession)   # the shuffles behind the counted codes are no longer needed
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out

@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.llm import bitmaps
@@ -124,13 +124,16 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _prefixes(k: int, percent: int, heavy: np.ndarray, repeated: np.ndarray | None):
-    """Prefix n-grams; with a bitmap of repeated ones, their postings instead."""
+def _prefixes(k: int, percent: int, heavy: np.ndarray, chosen: np.ndarray, repeated: np.ndarray | None):
+    """Prefix n-grams of the rows in the bitmap ``chosen``; with a bitmap of repeated ones, their postings instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Order(heavy)
         for rows, data, bounds in blocks(batches):
             grams, sign, size, place, light = [], [], [], [], []
-            for codes in _sets(rows, data, bounds, k):
+            sets = _sets(rows, data, bounds, k)
+            node = np.array([_signature(s) for s in sets], np.int64)
+            for d in np.flatnonzero(bitmaps.holds(chosen, _member_code(rows.column("doc_id"), node))).tolist():
+                codes = sets[d]
                 n = len(codes)
                 if not n:
                     continue
@@ -140,7 +143,7 @@ def _prefixes(k: int, percent: int, heavy: np.ndarray, repeated: np.ndarray | No
                 if repeated is not None:
                     found = bitmaps.holds(repeated, own)
                     own, at = own[found], at[found]
-                    sign.append(np.full(len(own), _signature(codes) if len(own) else 0, np.int64))
+                    sign.append(np.full(len(own), node[d], np.int64))
                     size.append(np.full(len(own), n, np.int32))
                     place.append(at.astype(np.int32))
                     light.append(np.full(len(own), 1000 * int((keys < np.uint64(1 << 63)).sum()) // n, np.int32))
@@ -218,6 +221,8 @@ class Join:
         self.k, self.percent, self.bits = ngram, percent, bits
         first = stored(self.texts.mapInArrow(_profiles(ngram), "kind int, doc_id long, n long, code long"), "profiles")
         self.profiles = first.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("code").alias("node"))
+        # one row of each set takes part in the scans of prefixes: copies are neither counted nor shuffled
+        self.chosen = self._rows_of(self.profiles.where("n_shingles > 0"))
         known = (first.where("kind = 1").groupBy("code").agg(F.sum("n").alias("df")).where(F.col("df") >= HEAVY_DOCUMENTS)
                  .orderBy(F.desc("df"), "code").limit(MAX_HEAVY).toArrow())
         self.heavy_df = dict(zip(known["code"].to_pylist(), known["df"].to_pylist(), strict=True))
@@ -226,6 +231,7 @@ class Join:
                    .orderBy(F.desc("count"), "gram").limit(MAX_HEAVY))
         with small_batches(docs.sparkSession):
             often = crowded.toArrow()
+        del crowded
         for code, n in zip(often["gram"].to_pylist(), often["count"].to_pylist(), strict=True):
             self.heavy_df[code] = max(n, self.heavy_df.get(code, 0))
         release(docs.sparkSession)
@@ -237,27 +243,34 @@ class Join:
         return np.array([c for c, _ in rarest], np.int64).view(np.uint64)
 
     def _scan_prefixes(self, repeated: np.ndarray | None, schema: str) -> DataFrame:
-        return self.texts.mapInArrow(_prefixes(self.k, self.percent, self.heavy, repeated), schema)
+        return self.texts.mapInArrow(_prefixes(self.k, self.percent, self.heavy, self.chosen, repeated), schema)
+
+    def _rows_of(self, profiles: DataFrame) -> np.ndarray:
+        """Bitmap of one row of each set: that of its smallest doc_id."""
+        rows = profiles.groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "node")
+        return bitmaps.build(rows.mapInArrow(_member_codes, "code long"), "code", self.bits)
 
     def links(self) -> DataFrame:
         """Verified links (a, b) whose closure is that of all links between sets."""
-        counts = self._scan_prefixes(None, "gram long").groupBy("gram").count().where("count > 1")
-        repeated = bitmaps.build(counts, "gram", self.bits)
-        postings = stored(self._scan_prefixes(repeated, "gram long, node long, n int, place int, light int")
-                          .dropDuplicates(["gram", "node"]), "postings")
-        pivots = (postings.groupBy("gram").agg(F.min(F.struct("light", "node", "n", "place")).alias("pivot"),
-                                               F.count("*").alias("members")).where("members > 1").select("gram", "pivot"))
-        star = (postings.join(pivots, "gram").where(F.col("node") != F.col("pivot.node"))
+        repeated = bitmaps.build(self._scan_prefixes(None, "gram long").groupBy("gram").count().where("count > 1"), "gram", self.bits)
+        # dealt by n-gram once: copies that passed by chance, lists of one and the cleanest member are told there
+        listed = Window.partitionBy("gram")
+        postings = stored(self._scan_prefixes(repeated, "gram long, node long, n int, place int, light int").repartition("gram")
+                          .withColumn("before", F.lag("node").over(listed.orderBy("node")))
+                          .where("before IS NULL OR before != node").drop("before")
+                          .withColumn("pivot", F.min(F.struct("light", "node", "n", "place")).over(listed))
+                          .withColumn("members", F.count("*").over(listed)).where("members > 1"), "postings")
+        star = (postings.where(F.col("node") != F.col("pivot.node"))
                 .where(_may_link(self.percent, F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place")))
                 .select(F.col("pivot.node").alias("x"), F.col("pivot.n").alias("nx"), F.col("node").alias("y"), F.col("n").alias("ny")))
         prefixes = postings.groupBy("node").agg(F.collect_list("gram").alias("grams"))
         tested = stored(self._ordered(star), "pairs")
         found = stored(self.verify(stored(self.screened(tested, prefixes), "pairs")), "links")
         # a second star: the cleanest member outside the component of the first one's, met by all of other components
-        sketches = stored(self._sketches(postings), "sketches")
-        placed = self._placed(postings, components(found), sketches)
-        first = self._mixed_lists(placed).withColumnRenamed("cleanest", "met")
-        mixed = stored(placed.join(first, "gram").where("node != met"), "mixed")
+        # (every pair with the cleanest was met in the first star, so lists of two have nothing left)
+        longer = postings.where("members > 2").select("gram", "node", "n", "place", "light")
+        mixed = self._mixed(self._placed(longer, components(found)).repartition("gram"), "main").where("node != cleanest")
+        mixed = stored(mixed.drop("cleanest").join(self._sketches(postings), "node"), "mixed")
         second = (mixed.where("root != main").groupBy("gram")
                   .agg(F.min(F.struct("light", "node", "n", "place", "root", "held", *SKETCH)).alias("o")))
         again = (mixed.alias("m").join(second, "gram").where((F.col("m.root") != F.col("o.root"))
@@ -271,8 +284,7 @@ class Join:
         met = second.select("gram", F.col("o.node").alias("met_too"))
         roots = components(found)
         apart = self._placed(mixed.drop("root"), roots).join(met, "gram").where("node != met_too")
-        lists = self._mixed_lists(apart, least=2).select("gram", F.col("main").alias("own"))
-        rest = stored(apart.join(lists, "gram"), "mixed")
+        rest = stored(self._mixed(apart.drop("main"), "own"), "mixed")
         m, o = rest.where("root != own").alias("m"), rest.alias("o")
         cross = (m.join(o, (F.col("m.gram") == F.col("o.gram")) & (F.col("m.root") != F.col("o.root"))
                         & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
@@ -288,23 +300,19 @@ class Join:
         return stored(found.unionByName(self.verify(pairs)), "links")
 
     @staticmethod
-    def _placed(postings: DataFrame, roots: DataFrame, sketches: DataFrame | None = None) -> DataFrame:
-        """Postings with the component of their set, and its sketch."""
+    def _placed(postings: DataFrame, roots: DataFrame) -> DataFrame:
+        """Postings with the component of their set."""
         named = roots.select(F.col("node").alias("known"), F.col("root").alias("known_root"))
-        placed = (postings.join(named, F.col("node") == F.col("known"), "left")
-                  .withColumn("root", F.coalesce("known_root", "node")).drop("known", "known_root"))
-        return placed if sketches is None else placed.join(sketches, "node")
+        return (postings.join(named, F.col("node") == F.col("known"), "left")
+                .withColumn("root", F.coalesce("known_root", "node")).drop("known", "known_root"))
 
     @staticmethod
-    def _mixed_lists(placed: DataFrame, least: int = 3) -> DataFrame:
-        """(gram, main, cleanest) of the lists of several components: the cleanest member and its component.
-
-        Every pair with the cleanest was met in the first star, so lists of two have nothing left.
-        """
-        return (placed.groupBy("gram").agg(F.min(F.struct("light", "node", "root")).alias("main"), F.count("*").alias("members"),
-                                           F.min("root").alias("low"), F.max("root").alias("high"))
-                .where((F.col("low") != F.col("high")) & (F.col("members") >= least))
-                .select("gram", F.col("main.root").alias("main"), F.col("main.node").alias("cleanest")))
+    def _mixed(placed: DataFrame, main: str) -> DataFrame:
+        """Rows in lists of several components, with the list's cleanest member and, as ``main``, its component."""
+        listed = Window.partitionBy("gram")
+        return (placed.withColumn("least", F.min(F.struct("light", "node", "root")).over(listed))
+                .withColumn("low", F.min("root").over(listed)).withColumn("high", F.max("root").over(listed)).where("low != high")
+                .withColumn(main, F.col("least.root")).withColumn("cleanest", F.col("least.node")).drop("least", "low", "high"))
 
     @staticmethod
     def _sketches(postings: DataFrame) -> DataFrame:
@@ -338,14 +346,14 @@ class Join:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that reach the similarity, by partial overlaps per fragment."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        rows = self.profiles.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node")
-        wanted = bitmaps.build(rows.select("doc_id", "node").mapInArrow(_member_codes, "code long"), "code", self.bits)
+        wanted = self._rows_of(self.profiles.join(nodes, "node"))
         parts = (self.texts.mapInArrow(_fragments(self.k, self.heavy, wanted, FRAGMENTS),
                                        "node long, fragment int, codes array<bigint>")
                  .groupBy("node", "fragment").agg(F.first("codes").alias("codes")))
         a = parts.select(F.col("node").alias("a"), "fragment", F.col("codes").alias("codes_a"))
         b = parts.select(F.col("node").alias("b"), "fragment", F.col("codes").alias("codes_b"))
-        overlap = (pairs.join(a, "a").join(b, ["b", "fragment"])
+        cut = pairs.withColumn("fragment", F.explode(F.array(*map(F.lit, range(FRAGMENTS)))))   # parts are dealt by both keys
+        overlap = (cut.join(a, ["a", "fragment"]).join(b, ["b", "fragment"])
                    .select("a", "b", "na", "nb", F.size(F.array_intersect("codes_a", "codes_b")).alias("common"))
                    .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common")))
         return overlap.where(100 * F.col("common") >= self.percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")

@@ -86,7 +86,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner see which shuffles no query refers to any more."""
+    """Let Spark's cleaner see which shuffles no query refers to any more.
+
+    Listeners hold the last query that ended until another one does: an empty one takes its place.
+    """
+    spark.range(0).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

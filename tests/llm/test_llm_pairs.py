@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import llm_brute as brute
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.llm import decontam, linequality, ngramjoin, substrings, toxicity
-from flowlens.llm.workspace import free_names
+from flowlens.llm.workspace import free_names, release, stored
 
 DOCS = "doc_id long, text string"
 
@@ -58,6 +59,30 @@ def test_keep_one_keeps_the_smallest_of_each_component_and_all_columns(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, _, least in brute.components(brute.corpus()) if d == least]
 
 
+def test_lists_of_one_and_copies_are_not_stored(spark, monkeypatch):
+    """However full the bitmap of repeated n-grams is, a stored list has several sets, each once."""
+    tables = {}
+    monkeypatch.setattr(ngramjoin, "stored", lambda df, label: tables.setdefault(label, stored(df, label)) if label == "postings" else stored(df, label))
+    rows_ = [(i, " ".join(f"w{i}_{j}" for j in range(30))) for i in range(20)]
+    rows_ += [(30, rows_[3][1] + " end"), (31, rows_[3][1]), (32, rows_[3][1])]
+    links = ngramjoin.Join(spark.createDataFrame(rows_, DOCS), bits=8).links()
+    lists = tables["postings"].groupBy("gram").agg(F.count("*").alias("n"), F.countDistinct("node").alias("sets")).collect()
+    assert lists and all(r.n == r.sets == 2 for r in lists)
+    assert links.distinct().count() == 1
+
+
+def test_shuffles_of_finished_queries_are_let_go(spark):
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    release(spark)
+    time.sleep(1)
+    before = kept.size()
+    stored(spark.range(1000).repartition(5, "id"), "numbers")
+    end = time.time() + 10
+    while kept.size() > before and time.time() < end:
+        time.sleep(0.1)
+    assert kept.size() <= before
+
+
 def test_removals_equal_brute_force(docs):
     want = [(d, n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in brute.removals(brute.corpus())]
     assert rows(substrings.removal_digest(docs)) == want
