@@ -52,6 +52,7 @@ HEAVY_DOCUMENTS = 32    # known count from which an n-gram may be heavy
 HEAVY_PREFIXES = 4      # prefixes holding it from which an n-gram may be heavy
 HEAVY_BLOCK = 1 << 19   # n-grams looked at together for repeats
 FRAGMENTS = 8
+UNSURE_BITS = 22        # bitmap of the few rows that a join decides on
 SKETCH = ["s0", "s1", "s2", "s3"]
 
 
@@ -375,14 +376,15 @@ def similar_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
             .select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
-def _affected(k: int, affected: np.ndarray, wanted: bool, columns: list[str], node_name: str):
-    """Rows (not) in the bitmap; those in it with their set's signature and size."""
+def _dropped(k: int, gone: np.ndarray, unsure: np.ndarray, wanted: bool, columns: list[str], node_name: str):
+    """Rows that surely stay, or those ``unsure`` holds with their set's signature; rows in ``gone`` alone are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches):
             sets = _sets(rows, data, bounds, k)
             node = np.array([_signature(s) for s in sets], np.int64)
-            found = bitmaps.holds(affected, _member_code(rows.column("doc_id"), node))
-            keep = pa.array(found if wanted else ~found)
+            code, filled = _member_code(rows.column("doc_id"), node), np.array([len(s) > 0 for s in sets], bool)
+            asked = filled & bitmaps.holds(unsure, code)
+            keep = pa.array(asked if wanted else ~filled | ~(asked | bitmaps.holds(gone, code)))
             out = [rows.column(c) for c in columns]
             names = list(columns)
             if wanted:
@@ -392,24 +394,38 @@ def _affected(k: int, affected: np.ndarray, wanted: bool, columns: list[str], no
     return run
 
 
+def _passing(gone: np.ndarray):
+    """(doc_id, node) rows in the bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            code = _member_code(rows.column("doc_id"), rows.column("node").to_numpy())
+            yield rows.filter(pa.array(bitmaps.holds(gone, code)))
+    return run
+
+
 def keep_one(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component (that of its smallest doc_id); empty texts all stay.
 
-    Only rows whose (doc_id, set) is in a component of several rows are shuffled.
+    A bitmap of the (doc_id, set) rows to drop decides in the scan.  Texts are shuffled only of rows that
+    it holds by chance and of repeated rows to keep, both found among the ids; a join decides on them.
     """
-    members = stored(Join(docs, ngram, percent).members().where("root IS NOT NULL"), "members")
+    members = stored(Join(docs, ngram, percent).members().where("root IS NOT NULL").select("doc_id", "node", "root"), "members")
     groups = (members.groupBy("root").agg(F.count("*").alias("rows"), F.min(F.struct(
         F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")).alias("kept")).where("rows > 1"))
     groups = stored(groups, "groups")
-    crowded = members.join(groups.select("root"), "root").select("doc_id", "node").distinct()
-    affected = bitmaps.build(crowded.mapInArrow(_member_codes, "code long"), "code")
     columns, node, owner, other = docs.columns, *free_names(["node", "owner", "other"], docs.columns)
-    alone = docs.mapInArrow(_affected(ngram, affected, False, columns, node), docs.schema)
-    schema = docs.select("*", F.lit(0).cast("long").alias(node)).schema
-    several = docs.mapInArrow(_affected(ngram, affected, True, columns, node), schema)
-    named = crowded.select(F.col("doc_id").alias(owner), F.col("node").alias(other))
+    named = members.join(groups.select("root"), "root").select(F.col("doc_id").alias(owner), F.col("node").alias(other)).distinct()
     kept = groups.select(F.col("kept.doc_id").alias("kept_doc"), F.col("kept.node").alias("kept_node"))
-    drop = named.join(kept, F.col(owner).eqNullSafe(F.col("kept_doc")) & (F.col(other) == F.col("kept_node")), "left_anti")
+    drop = stored(named.join(kept, F.col(owner).eqNullSafe(F.col("kept_doc")) & (F.col(other) == F.col("kept_node")), "left_anti"), "dropped")
+    gone = bitmaps.build(drop.select(F.col(owner).alias("doc_id"), F.col(other).alias("node")).mapInArrow(_member_codes, "code long"), "code")
+    counted = members.groupBy("doc_id", "node").count()
+    asked = (counted.where("count > 1").select("doc_id", "node")
+             .unionByName(members.select("doc_id", "node").mapInArrow(_passing(gone), "doc_id long, node long"))
+             .join(drop, F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col("node") == F.col(other)), "left_anti"))
+    unsure = bitmaps.build(asked.mapInArrow(_member_codes, "code long"), "code", UNSURE_BITS)
+    alone = docs.mapInArrow(_dropped(ngram, gone, unsure, False, columns, node), docs.schema)
+    schema = docs.select("*", F.lit(0).cast("long").alias(node)).schema
+    several = docs.mapInArrow(_dropped(ngram, gone, unsure, True, columns, node), schema)
     stay = several.join(drop, F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col(node) == F.col(other)), "left_anti")
     return alone.unionByName(stay.dropDuplicates(["doc_id", node]).drop(node))
 

@@ -7,10 +7,12 @@ import random
 import time
 
 import llm_brute as brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.llm import decontam, linequality, ngramjoin, substrings, toxicity
+from flowlens.llm import bitmaps, decontam, linequality, ngramjoin, substrings, toxicity
 from flowlens.llm.workspace import free_names, release, stored
 
 DOCS = "doc_id long, text string"
@@ -71,6 +73,32 @@ def test_lists_of_one_and_copies_are_not_stored(spark, monkeypatch):
     assert links.distinct().count() == 1
 
 
+def test_repeated_rows_are_kept_once_and_wordless_ones_all(docs, monkeypatch):
+    """With a bitmap so small that the join decides on every row, and with the usual one."""
+    twice = docs.unionByName(docs)
+    least = [d for d, n, first in brute.components(brute.corpus()) for _ in range(1 if n else 2) if d == first]
+    for bits in (6, ngramjoin.UNSURE_BITS):
+        monkeypatch.setattr(ngramjoin, "UNSURE_BITS", bits)
+        assert sorted(r.doc_id for r in ngramjoin.keep_one(twice).collect()) == least
+
+
+def test_a_row_to_drop_is_decided_in_the_scan():
+    """Only rows in the second bitmap are handed to the join with their text."""
+    batch = pa.record_batch({"doc_id": pa.array([1, 2, 3, 4]), "text": pa.array(["a b c d e", "f g h i j", "k l m n o", ""])})
+    code = next(ngramjoin._dropped(5, np.zeros(1, np.uint64), np.full(1, -1, np.int64).view(np.uint64), True, ["doc_id"], "node")([batch]))
+    codes = ngramjoin._member_code(code.column("doc_id"), code.column("node").to_numpy())
+    assert code.column("doc_id").to_pylist() == [1, 2, 3]
+
+    def bitmap(chosen):
+        out = np.zeros(1 << 14, np.uint64)
+        for place in np.concatenate(bitmaps._places(codes[chosen], 20)).tolist():
+            out[place >> 6] |= np.uint64(1 << (place & 63))
+        return out
+    gone, unsure = bitmap([0, 1]), bitmap([1])
+    stay, ask = (next(ngramjoin._dropped(5, gone, unsure, wanted, ["doc_id"], "node")([batch])).column("doc_id").to_pylist() for wanted in (False, True))
+    assert (stay, ask) == ([3, 4], [2])
+
+
 def test_shuffles_of_finished_queries_are_let_go(spark):
     kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
     release(spark)
