@@ -12,12 +12,14 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm import decontam, ngramjoin, piecebpe, substrings, toxicity
-from flowlens.llm.workspace import free_names, stored
+from flowlens.llm.workspace import bound_batches, free_names, small_batches, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,13 +54,22 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return piecebpe.round_trip_digest(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [
+def _bounded(stage):
+    """The stage in a session that hands its workers few texts at once: also in the job that writes the stage's result."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run
+
+
+STAGES = [(name, _bounded(stage)) for name, stage in [
     ("toxicity", drop_toxic),
     ("near_copies", drop_near_copies),
     ("substring_dedup", cut_repeated_passages),
     ("decontamination", drop_contaminated),
     ("sentencepiece", encode_pieces),
-]
+]]
 
 #: SQL cannot express the toxicity model and the tokenizer; tests check the stages by brute force.
 ORACLE_SQL = None
@@ -67,6 +78,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's result is written and read again."""
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

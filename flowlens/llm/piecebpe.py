@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowlens.llm.workspace import by_value, forget_others, process_cache
+from flowlens.llm.workspace import by_value, forget_others, give_back, process_cache
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 80_000   # words met lately; as many older ones are kept beside them
+CHARS_AT_ONCE = 1 << 16  # symbols of new words merged at once (or one longer word)
 LONG_WORD = 1024         # symbols from which a word keeps its pair ranks between rounds
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -248,12 +249,23 @@ def encode_long(vocab: Vocabulary, word: str) -> np.ndarray:
     return np.array([i for part in out for i in part], np.int64)
 
 
+def _parts(words: list[str]) -> Iterator[list[str]]:
+    """The words in lists of at most ``CHARS_AT_ONCE`` symbols (or one longer word)."""
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    lo = 0
+    while lo < len(words):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHARS_AT_ONCE, "right")))
+        yield words[lo:hi]
+        lo = hi
+
+
 class Codec:
-    """Encoder and decoder with a bounded memory of words."""
+    """Encoder and decoder with a bounded memory of words: those met lately and those met before them."""
 
     def __init__(self, model_path: str):
         self.vocab = Vocabulary(model_path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -270,13 +282,17 @@ class Codec:
         """Ids (int32) of every text."""
         split = [self.words(t or "") for t in texts]
         if len(self.known) >= CACHE_ENTRIES:
-            self.known.clear()
-        known, long = self.known, {}
+            self.known, self.older = {}, self.known
+        known, older, long = self.known, self.older, {}
         new = {w for words in split for w in words if w not in known}
+        met = [w for w in new if w in older]
+        for w in met:
+            known[w] = older.pop(w)
+        new.difference_update(met)
         if new:
             marked = {w: w if w[0] == SPACE else SPACE + w for w in new}
             new = [w for w in new if len(w) < LONG_WORD]
-            codes = encode_words(self.vocab, [marked[w] for w in new])
+            codes = [c for part in _parts([marked[w] for w in new]) for c in encode_words(self.vocab, part)]
             far = [w for w in marked if len(w) >= LONG_WORD]
             codes += [encode_long(self.vocab, marked[w]) for w in far]
             for w, c in zip([*new, *far], codes, strict=True):
@@ -330,9 +346,10 @@ def _codec(model_path: str) -> Codec:
     return process_cache(f"codec {model_path}", lambda: Codec(model_path))
 
 
-def _slices(rows: pa.RecordBatch, step: int = 512) -> Iterator[pa.RecordBatch]:
+def _slices(rows: pa.RecordBatch, step: int = 128) -> Iterator[pa.RecordBatch]:
     for lo in range(0, rows.num_rows, step):
         yield rows.slice(lo, step)
+    give_back()
 
 
 def _encoder(model_path: str):

@@ -351,7 +351,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     toxic = spread.where("toxic = 1")
     names = different_texts([(r.doc_id, r.least) for r in toxic.select("doc_id", "text").mapInArrow(
         _sketches, "doc_id long, least array<bigint>").collect()])
-    ids = sample.sparkSession.createDataFrame([(i,) for i in names], "kept long")   # at most MAX_TRAIN
+    ids = sample.sparkSession.createDataFrame(pa.table({"kept": pa.array(names, pa.int64())}))   # at most MAX_TRAIN; Arrow needs no worker of its own
     single = toxic.join(F.broadcast(ids), F.col("doc_id") == F.col("kept")).select("doc_id", "text", "toxic")
     bad = (single.mapInArrow(_begin_counts(None), "term string, documents long")
            .groupBy("term").agg(F.sum("documents").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)

@@ -20,7 +20,7 @@ from flowlens.llm.workspace import by_value, forget_others, give_back, process_c
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 PIECE_BYTES = 1 << 17   # bytes scanned at once
-BLOCK_BYTES = 1 << 20   # text handed to an operator at once (or one longer document)
+BLOCK_BYTES = 1 << 18   # text handed to an operator at once (or one longer document)
 
 
 class Words(NamedTuple):

@@ -14,7 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 LARGE = ("latest ", "codec ", "names ", "count ", "encode ")   # caches that one operator's tasks keep for each other
-BATCH_ROWS = 2000   # texts handed to Python at once by the jobs that write intermediate tables
+BATCH_ROWS = 256   # texts handed to Python at once by the jobs that write intermediate tables
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def by_value(module_name: str) -> None:
@@ -63,8 +64,11 @@ def give_back() -> None:
 def forget_others(*keep: str) -> None:
     """Drop the models and remembered words that other operators keep in this worker, all but the names in ``keep``."""
     store = sys.modules.get("_flowlens_process")
-    for key in [k for k in (store.__dict__ if store else {}) if k.startswith(LARGE) and k not in keep]:
+    dropped = [k for k in (store.__dict__ if store else {}) if k.startswith(LARGE) and k not in keep]
+    for key in dropped:
         del store.__dict__[key]
+    if dropped:
+        give_back()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -95,16 +99,24 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def bound_batches(spark: SparkSession) -> str:
+    """From here on the session's jobs hand Python at most ``BATCH_ROWS`` rows at once: less memory in the JVM and in the workers.
+
+    Returns the former setting.
+    """
+    old = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(min(BATCH_ROWS, int(old)) if int(old) > 0 else BATCH_ROWS))
+    return old
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession):
-    """Within it, jobs hand Python at most ``BATCH_ROWS`` rows at once: less memory in the JVM and in the workers."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(min(BATCH_ROWS, int(old)) if int(old) > 0 else BATCH_ROWS))
+    """``bound_batches`` for the jobs within it."""
+    old = bound_batches(spark)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        spark.conf.set(BATCH_CONF, old)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -8,11 +8,12 @@ import zlib
 
 import corpus_pipeline
 import llm_brute as brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from flowlens.llm import htmltext, queries, sharding, toxicity
-from flowlens.llm.workspace import new_path, stored
+from flowlens.llm.workspace import BATCH_CONF, BATCH_ROWS, new_path, stored
 
 DOCS = "doc_id long, text string"
 SMALL = "/root/testdata/sf0.01"
@@ -241,6 +242,23 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_pipeline_stages_hand_python_few_rows_at_once(spark):
+    """Also in the job that writes a stage's result, whatever the session had set before."""
+    def sizes(batches):
+        for rows in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([rows.num_rows])], ["n"])
+
+    docs = spark.range(3000).selectExpr("id AS doc_id", "cast(id AS string) AS text").coalesce(1)
+    old = spark.conf.get(BATCH_CONF)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(BATCH_CONF, "10000")
+            stage(spark, docs.limit(3), SMALL)
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= BATCH_ROWS <= 256, name
+    finally:
+        spark.conf.set(BATCH_CONF, old)
+
+
 def test_pipeline_stages_take_effect(spark):
     """Every stage's result equals brute force on what its predecessor kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

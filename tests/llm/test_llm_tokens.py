@@ -135,6 +135,22 @@ def test_long_words_equal_the_library_in_linear_time():
     assert codec.encode([word])[0].tolist() == library.encode(word) and time.process_time() - began < 30
 
 
+def test_forgotten_words_equal_the_library(monkeypatch):
+    """Words leave the bounded memory in two steps; new ones are merged a few at a time."""
+    monkeypatch.setattr(piecebpe, "CACHE_ENTRIES", 40)
+    monkeypatch.setattr(piecebpe, "CHARS_AT_ONCE", 50)
+    seen, merge = [], piecebpe.encode_words
+    monkeypatch.setattr(piecebpe, "encode_words", lambda vocab, words: seen.append(words) or merge(vocab, words))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library, codec, rng = sentencepiece.SentencePieceProcessor(model_file=path), piecebpe.Codec(path), random.Random(8)
+    for _ in range(60):
+        batch = [" ".join(["the", "z" * 60, *["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(10)]]) for _ in range(3)]
+        assert [x.tolist() for x in codec.encode(batch)] == library.encode(batch)
+        assert len(codec.known) + len(codec.older) <= 2 * (40 + 36)
+    assert all(len(words) == 1 or sum(map(len, words)) <= 50 for words in seen)
+    assert sum("▁the" in words for words in seen) == 1   # met all the time: never forgotten
+
+
 def test_decoding_any_ids_equals_the_library():
     path = public_tokenizers.path("piece_bpe_32k.model")
     library, codec, rng = sentencepiece.SentencePieceProcessor(model_file=path), piecebpe.Codec(path), random.Random(5)
