@@ -29,6 +29,8 @@ Defined results: null and wordless texts have size 0 and are alone; shorter text
 their whole word sequence as one n-gram; rows that share a ``doc_id`` keep one result
 each; a null ``doc_id`` never names a component unless all its members have none.
 An empty table gives an empty result.
+
+Driver memory: bitmaps and heavy n-grams, both of bounded size.  Every join is by shuffle.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from flowlens.llm import bitmaps
 from flowlens.llm.graph import components
 from flowlens.llm.wordscan import blocks, mix, scan, short_code, space_words, window_codes
-from flowlens.llm.workspace import by_value, free_names, release, small_batches, stored
+from flowlens.llm.workspace import by_shuffle, by_value, free_names, release, small_batches, stored
 
 NGRAM = 5
 PERCENT = 75
@@ -226,22 +228,24 @@ class Join:
         self.chosen = self._rows_of(self.profiles.where("n_shingles > 0"))
         known = (first.where("kind = 1").groupBy("code").agg(F.sum("n").alias("df")).where(F.col("df") >= HEAVY_DOCUMENTS)
                  .orderBy(F.desc("df"), "code").limit(MAX_HEAVY).toArrow())
-        self.heavy_df = dict(zip(known["code"].to_pylist(), known["df"].to_pylist(), strict=True))
+        self._set_heavy(known["code"].to_numpy(), known["df"].to_numpy())
         # counted exactly where it matters: what many prefixes of this order still hold is heavy too
         crowded = (self._scan_prefixes(None, "gram long").groupBy("gram").count().where(F.col("count") >= HEAVY_PREFIXES)
                    .orderBy(F.desc("count"), "gram").limit(MAX_HEAVY))
         with small_batches(docs.sparkSession):
             often = crowded.toArrow()
         del crowded
-        for code, n in zip(often["gram"].to_pylist(), often["count"].to_pylist(), strict=True):
-            self.heavy_df[code] = max(n, self.heavy_df.get(code, 0))
+        self._set_heavy(np.concatenate([known["code"].to_numpy(), often["gram"].to_numpy()]),
+                        np.concatenate([known["df"].to_numpy(), often["count"].to_numpy()]))
+        del known, often
         release(docs.sparkSession)
 
-    @property
-    def heavy(self) -> np.ndarray:
-        """Heavy n-grams, rarest first; at most MAX_HEAVY."""
-        rarest = sorted(self.heavy_df.items(), key=lambda x: (x[1], x[0]))[-MAX_HEAVY:]
-        return np.array([c for c, _ in rarest], np.int64).view(np.uint64)
+    def _set_heavy(self, code: np.ndarray, n: np.ndarray) -> None:
+        """``heavy``: n-grams by the larger of their counts, rarest first; at most MAX_HEAVY, eight bytes each."""
+        by_count = np.lexsort((code, n))
+        code = code[by_count]
+        last = len(code) - 1 - np.unique(code[::-1], return_index=True)[1]   # where the largest count of each is
+        self.heavy = code[np.sort(last)][-MAX_HEAVY:].astype(np.int64, copy=True).view(np.uint64)
 
     def _scan_prefixes(self, repeated: np.ndarray | None, schema: str) -> DataFrame:
         return self.texts.mapInArrow(_prefixes(self.k, self.percent, self.heavy, self.chosen, repeated), schema)
@@ -271,27 +275,27 @@ class Join:
         # (every pair with the cleanest was met in the first star, so lists of two have nothing left)
         longer = postings.where("members > 2").select("gram", "node", "n", "place", "light")
         mixed = self._mixed(self._placed(longer, components(found)).repartition("gram"), "main").where("node != cleanest")
-        mixed = stored(mixed.drop("cleanest").join(self._sketches(postings), "node"), "mixed")
+        mixed = stored(mixed.drop("cleanest").join(by_shuffle(self._sketches(postings)), "node"), "mixed")
         second = (mixed.where("root != main").groupBy("gram")
                   .agg(F.min(F.struct("light", "node", "n", "place", "root", "held", *SKETCH)).alias("o")))
-        again = (mixed.alias("m").join(second, "gram").where((F.col("m.root") != F.col("o.root"))
+        again = (mixed.alias("m").join(by_shuffle(second), "gram").where((F.col("m.root") != F.col("o.root"))
                  & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
                  & _may_share(self.percent, "m", "o"))
                  .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
-        more = stored(self._ordered(again).join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = stored(self._ordered(again).join(by_shuffle(tested), ["a", "b"], "left_anti"), "pairs")
         found = self._with_links(found, more, prefixes)
         tested = stored(tested.unionByName(more), "tested")
         # then all pairs that are still apart; both cleanest members have met everyone
         met = second.select("gram", F.col("o.node").alias("met_too"))
         roots = components(found)
-        apart = self._placed(mixed.drop("root"), roots).join(met, "gram").where("node != met_too")
+        apart = self._placed(mixed.drop("root"), roots).join(by_shuffle(met), "gram").where("node != met_too")
         rest = stored(self._mixed(apart.drop("main"), "own"), "mixed")
         m, o = rest.where("root != own").alias("m"), rest.alias("o")
-        cross = (m.join(o, (F.col("m.gram") == F.col("o.gram")) & (F.col("m.root") != F.col("o.root"))
+        cross = (m.join(by_shuffle(o), (F.col("m.gram") == F.col("o.gram")) & (F.col("m.root") != F.col("o.root"))
                         & _may_link(self.percent, F.col("m.n"), F.col("m.place"), F.col("o.n"), F.col("o.place"))
                         & _may_share(self.percent, "m", "o"))
                  .select(F.col("m.node").alias("x"), F.col("m.n").alias("nx"), F.col("o.node").alias("y"), F.col("o.n").alias("ny")))
-        return self._with_links(found, stored(self._ordered(cross).join(tested, ["a", "b"], "left_anti"), "pairs"), prefixes)
+        return self._with_links(found, stored(self._ordered(cross).join(by_shuffle(tested), ["a", "b"], "left_anti"), "pairs"), prefixes)
 
     def _with_links(self, found: DataFrame, pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
         """``found`` and the links among further pairs."""
@@ -304,7 +308,7 @@ class Join:
     def _placed(postings: DataFrame, roots: DataFrame) -> DataFrame:
         """Postings with the component of their set."""
         named = roots.select(F.col("node").alias("known"), F.col("root").alias("known_root"))
-        return (postings.join(named, F.col("node") == F.col("known"), "left")
+        return (postings.join(by_shuffle(named), F.col("node") == F.col("known"), "left")
                 .withColumn("root", F.coalesce("known_root", "node")).drop("known", "known_root"))
 
     @staticmethod
@@ -340,21 +344,21 @@ class Join:
         b = prefixes.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
         shared = F.size(F.array_intersect("grams_a", "grams_b"))
         behind = F.greatest(*[F.ceil(self.percent * F.col(n) / 100) - 1 for n in ("na", "nb")])
-        return (pairs.join(a, "a").join(b, "b")
+        return (pairs.join(by_shuffle(a), "a").join(by_shuffle(b), "b")
                 .where((100 + self.percent) * (shared + behind) >= self.percent * (F.col("na") + F.col("nb")))
                 .select("a", "b", "na", "nb"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that reach the similarity, by partial overlaps per fragment."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = self._rows_of(self.profiles.join(nodes, "node"))
+        wanted = self._rows_of(self.profiles.join(by_shuffle(nodes), "node"))
         parts = (self.texts.mapInArrow(_fragments(self.k, self.heavy, wanted, FRAGMENTS),
                                        "node long, fragment int, codes array<bigint>")
                  .groupBy("node", "fragment").agg(F.first("codes").alias("codes")))
         a = parts.select(F.col("node").alias("a"), "fragment", F.col("codes").alias("codes_a"))
         b = parts.select(F.col("node").alias("b"), "fragment", F.col("codes").alias("codes_b"))
         cut = pairs.withColumn("fragment", F.explode(F.array(*map(F.lit, range(FRAGMENTS)))))   # parts are dealt by both keys
-        overlap = (cut.join(a, ["a", "fragment"]).join(b, ["b", "fragment"])
+        overlap = (cut.join(by_shuffle(a), ["a", "fragment"]).join(by_shuffle(b), ["b", "fragment"])
                    .select("a", "b", "na", "nb", F.size(F.array_intersect("codes_a", "codes_b")).alias("common"))
                    .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common")))
         return overlap.where(100 * F.col("common") >= self.percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
@@ -363,7 +367,7 @@ class Join:
         """(doc_id, n_shingles, node, root) per row: ``root`` names the component of sets (null: empty set)."""
         roots = components(self.links())
         p = self.profiles
-        return (p.join(roots, p["node"] == roots["node"], "left")
+        return (p.join(by_shuffle(roots), p["node"] == roots["node"], "left")
                 .select("doc_id", "n_shingles", p["node"],
                         F.when(F.col("n_shingles") > 0, F.coalesce(roots["root"], p["node"])).alias("root")))
 
@@ -372,7 +376,7 @@ def similar_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     """(doc_id, n_shingles, component_id) per row: the smallest doc_id reachable by links."""
     members = stored(Join(docs, ngram, percent).members(), "members")
     least = members.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return (members.join(least, "root", "left")
+    return (members.join(by_shuffle(least), "root", "left")
             .select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
@@ -414,19 +418,19 @@ def keep_one(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> Dat
         F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")).alias("kept")).where("rows > 1"))
     groups = stored(groups, "groups")
     columns, node, owner, other = docs.columns, *free_names(["node", "owner", "other"], docs.columns)
-    named = members.join(groups.select("root"), "root").select(F.col("doc_id").alias(owner), F.col("node").alias(other)).distinct()
+    named = members.join(by_shuffle(groups.select("root")), "root").select(F.col("doc_id").alias(owner), F.col("node").alias(other)).distinct()
     kept = groups.select(F.col("kept.doc_id").alias("kept_doc"), F.col("kept.node").alias("kept_node"))
-    drop = stored(named.join(kept, F.col(owner).eqNullSafe(F.col("kept_doc")) & (F.col(other) == F.col("kept_node")), "left_anti"), "dropped")
+    drop = stored(named.join(by_shuffle(kept), F.col(owner).eqNullSafe(F.col("kept_doc")) & (F.col(other) == F.col("kept_node")), "left_anti"), "dropped")
     gone = bitmaps.build(drop.select(F.col(owner).alias("doc_id"), F.col(other).alias("node")).mapInArrow(_member_codes, "code long"), "code")
     counted = members.groupBy("doc_id", "node").count()
     asked = (counted.where("count > 1").select("doc_id", "node")
              .unionByName(members.select("doc_id", "node").mapInArrow(_passing(gone), "doc_id long, node long"))
-             .join(drop, F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col("node") == F.col(other)), "left_anti"))
+             .join(by_shuffle(drop), F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col("node") == F.col(other)), "left_anti"))
     unsure = bitmaps.build(asked.mapInArrow(_member_codes, "code long"), "code", UNSURE_BITS)
     alone = docs.mapInArrow(_dropped(ngram, gone, unsure, False, columns, node), docs.schema)
     schema = docs.select("*", F.lit(0).cast("long").alias(node)).schema
     several = docs.mapInArrow(_dropped(ngram, gone, unsure, True, columns, node), schema)
-    stay = several.join(drop, F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col(node) == F.col(other)), "left_anti")
+    stay = several.join(by_shuffle(drop), F.col("doc_id").eqNullSafe(F.col(owner)) & (F.col(node) == F.col(other)), "left_anti")
     return alone.unionByName(stay.dropDuplicates(["doc_id", node]).drop(node))
 
 

@@ -89,6 +89,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` for a join that deals out both sides, whatever Spark expects of their size.
+
+    A side that grows with the input is never gathered in the driver to be broadcast: its rows
+    take many times the bytes of the Parquet file that Spark's threshold is held against.
+    """
+    return df.hint("merge")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner see which shuffles no query refers to any more.
 
